@@ -79,3 +79,182 @@ def q_fallback_gate(spark, sf):
 @query
 def q_verdict_counts(spark, sf):
     return scored_patients(spark, sf).groupBy("source", "verdict").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- projections, cleaning ------------------------------------------------
+
+from riskloom import schemas  # noqa: E402
+from riskloom.operators import clean, features, profile  # noqa: E402
+from riskloom.plans import feature_plans  # noqa: E402
+
+
+@query
+def q_select_features(spark, sf):
+    cust = clean.drop_ids(views.table(spark, sf, "customer"), ["c_name"])
+    feats = clean.feature_cols(cust, "c_mktsegment")
+    return clean.select_cols(cust, feats + ["c_mktsegment"])
+
+
+@query
+def q_drop_ids(spark, sf):
+    return clean.drop_ids(views.table(spark, sf, "customer"), ["c_name", "c_mktsegment"])
+
+
+def documents_labelled(spark, sf) -> DataFrame:
+    """documents LEFT JOIN labels: unlabelled documents carry nulls."""
+    docs = views.table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
+    return docs.join(views.table(spark, sf, "labels"), "doc_id", "left")
+
+
+@query
+def q_drop_null_rows(spark, sf):
+    return clean.drop_null_rows(documents_labelled(spark, sf))
+
+
+@query
+def q_nonzero_mean(spark, sf):
+    li = profile.nonzero_mean(views.table(spark, sf, "lineitem"), ["l_discount", "l_tax"])
+    pv = profile.nonzero_mean(views.patient_view(spark, sf), ["glu", "bp"])
+    both = li.withColumn("source", F.lit("lineitem")).unionByName(pv.withColumn("source", F.lit("patients")))
+    return both.select("source", "column_name", r6("nonzero_mean", "nonzero_mean"), "n_nonzero")
+
+
+@query
+def q_zero_impute(spark, sf):
+    li = views.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_discount", "l_tax")
+    out = clean.zero_impute(li, ["l_discount", "l_tax"])
+    return out.select("l_orderkey", "l_linenumber", r6("l_discount", "l_discount"), r6("l_tax", "l_tax"))
+
+
+@query
+def q_zero_impute_patients(spark, sf):
+    out = clean.zero_impute(views.patient_view(spark, sf).select("k", "glu", "bp", "skin"), ["glu", "bp", "skin"])
+    return out.select("k", *[r6(c, c) for c in ("glu", "bp", "skin")])
+
+
+@query
+def q_binary_encode(spark, sf):
+    o = views.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    return clean.binary_encode(o, "o_orderstatus", "F", out="status_flag").select("o_orderkey", "status_flag")
+
+
+# Form bounds narrowed for the derived heart view so the check rejects rows.
+NARROWED_HEART_BOUNDS = {**schemas.HEART_BOUNDS, "cholesterol": (120, 280), "systolic_bp": (100, 180)}
+ACCTBAL_BOUNDS = {"c_acctbal": (0, 9000)}
+
+
+@query
+def q_range_check(spark, sf):
+    checked = clean.range_check(views.heart_view(spark, sf), NARROWED_HEART_BOUNDS)
+    return checked.select("k", F.array_join("violations", ",").alias("violations"), "valid")
+
+
+def _reject_counts(checked: DataFrame, source: str) -> DataFrame:
+    per_col = (checked.select(F.explode("violations").alias("item"))
+               .groupBy("item").agg(F.count(F.lit(1)).alias("n")))
+    totals = (checked.groupBy(F.when(F.col("valid"), F.lit("__valid__")).otherwise(F.lit("__rejected__")).alias("item"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    return per_col.unionByName(totals).withColumn("source", F.lit(source))
+
+
+@query
+def q_range_reject_counts(spark, sf):
+    heart = clean.range_check(views.heart_view(spark, sf), NARROWED_HEART_BOUNDS)
+    cust = clean.range_check(views.table(spark, sf, "customer"), ACCTBAL_BOUNDS)
+    return _reject_counts(heart, "heart").unionByName(_reject_counts(cust, "customer")).select("source", "item", "n")
+
+
+@query
+def q_fill_absent(spark, sf):
+    h = views.heart_view(spark, sf).drop("stress", "family_history")
+    filled = clean.fill_absent(h)
+    r = rule_score_b(filled)
+    return r.select("k", "stress", "family_history", "rule_pred", r6("rule_prob", "rule_prob"))
+
+
+@query
+def q_decode_flags(spark, sf):
+    h = views.heart_view(spark, sf)
+    from riskloom.functions.columns import decode_flag
+    flags = [decode_flag(c).alias(c) for c in schemas.HEART_YES_NO_FLAGS]
+    return h.select("k", decode_flag("gender", "Male", "Female").alias("gender"), *flags)
+
+
+# --- vectors, assembly, scaling ---------------------------------------------
+
+@query
+def q_vector_roundtrip(spark, sf):
+    e = views.table(spark, sf, "embeddings").select("vec_id", "embedding")
+    back = features.to_array(features.to_vector(e, "embedding", "v"), "v", "a")
+    return back.select(
+        "vec_id", F.size("a").alias("n"),
+        r6(F.aggregate("a", F.lit(0.0), lambda acc, x: acc + x), "total"),
+        r6(F.col("a")[0], "first"))
+
+
+PATIENT_FEATURES = ["preg", "glu", "bp", "skin", "ins", "bmi", "dpf", "age"]
+
+
+@query
+def q_assemble(spark, sf):
+    pv = views.patient_view(spark, sf)
+    vec = features.assemble(pv, PATIENT_FEATURES, "features")
+    return features.vector_columns(vec, "features", PATIENT_FEATURES, keep=["k"])
+
+
+@query
+def q_standardize(spark, sf):
+    pv = views.patient_view(spark, sf).withColumn("const", F.lit(1))
+    cols = PATIENT_FEATURES + ["const"]
+    scaled, _ = features.standardize(pv, cols, "z")
+    out = features.vector_columns(scaled.select("k", "z"), "z", cols, keep=["k"])
+    return out.select("k", *[r6(c, c) for c in cols])
+
+
+@query
+def q_scaler_stats(spark, sf):
+    part = views.table(spark, sf, "part").withColumn("const", F.lit(7))
+    st = profile.scaler_stats(part, ["p_size", "p_retailprice", "const"])
+    return st.select("column_name", r6("mean", "mean"), r6("std", "std"))
+
+
+@query
+def q_features_zero_imputed(spark, sf):
+    pv = views.diabetes_inputs(views.patient_view(spark, sf))
+    model = feature_plans.zero_impute_plan().fit(pv)
+    out = features.vector_columns(model.transform(pv).select("k", "features"), "features",
+                                  schemas.DIABETES_FEATURES, keep=["k"])
+    return out.select("k", *[r6(c, c) for c in schemas.DIABETES_FEATURES])
+
+
+DOC_FEATURES = ["lang", "n_chars", "quality"]
+
+
+@query
+def q_features_null_dropped(spark, sf):
+    raw = documents_labelled(spark, sf)
+    prepared = feature_plans.null_drop_prepare(raw, "toxic", ids=["source"], key="doc_id")
+    feats = feature_plans.dynamic_features(prepared, "toxic", key="doc_id")
+    model = feature_plans.null_drop_plan(feats, encoded=("lang", "en")).fit(prepared)
+    out = features.vector_columns(model.transform(prepared).select("doc_id", "toxic", "features"),
+                                  "features", feats, keep=["doc_id", "toxic"])
+    return out.select("doc_id", "toxic", *[r6(c, c) for c in feats])
+
+
+# --- statistics ----------------------------------------------------------------
+
+@query
+def q_dataset_profile(spark, sf):
+    pv = views.patient_view(spark, sf)
+    p = profile.dataset_profile(pv, PATIENT_FEATURES + ["outcome"])
+    return p.select("column_name", "n", "n_null", "n_zero", "min_value", "max_value", r6("mean_value", "mean_value"))
+
+
+@query
+def q_sample_head(spark, sf):
+    return profile.sample_head(views.patient_view(spark, sf), "k", 5)
+
+
+@query
+def q_row_count(spark, sf):
+    return profile.row_count(views.table(spark, sf, "lineitem"))

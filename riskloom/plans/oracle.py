@@ -196,3 +196,177 @@ SELECT k, rule_pred, round(rule_prob, 6) AS rule_prob, source FROM cons""")
 _q("verdict_counts", f"""
 WITH {consensus_sql()}
 SELECT source, verdict, count(*) AS n FROM cons GROUP BY source, verdict""")
+
+
+# --- projections, cleaning ------------------------------------------------
+
+_q("select_features", "SELECT c_custkey, c_nationkey, c_acctbal, c_mktsegment FROM customer")
+
+_q("drop_ids", "SELECT c_custkey, c_nationkey, c_acctbal FROM customer")
+
+DOCS_LABELLED = """dl AS (
+  SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
+  FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
+
+_q("drop_null_rows", f"""
+WITH {DOCS_LABELLED}
+SELECT * FROM dl
+WHERE doc_id IS NOT NULL AND lang IS NOT NULL AND source IS NOT NULL AND n_chars IS NOT NULL
+  AND quality IS NOT NULL AND toxic IS NOT NULL""")
+
+
+def _nz(src: str, tbl: str, c: str) -> str:
+    return (f"SELECT '{src}' AS source, '{c}' AS column_name, "
+            f"round(avg(CASE WHEN {c} <> 0 THEN {c} END), 6) AS nonzero_mean, "
+            f"count(CASE WHEN {c} <> 0 THEN 1 END) AS n_nonzero FROM {tbl}")
+
+
+_q("nonzero_mean", f"""
+WITH {F4}
+{_nz('lineitem', 'lineitem', 'l_discount')}
+UNION ALL {_nz('lineitem', 'lineitem', 'l_tax')}
+UNION ALL {_nz('patients', 'f4', 'glu')}
+UNION ALL {_nz('patients', 'f4', 'bp')}""")
+
+_q("zero_impute", """
+WITH m AS (SELECT avg(CASE WHEN l_discount <> 0 THEN l_discount END) AS md,
+                  avg(CASE WHEN l_tax <> 0 THEN l_tax END) AS mt FROM lineitem)
+SELECT l_orderkey, l_linenumber,
+       round(CASE WHEN l_discount = 0 THEN md ELSE l_discount END, 6) AS l_discount,
+       round(CASE WHEN l_tax = 0 THEN mt ELSE l_tax END, 6) AS l_tax
+FROM lineitem CROSS JOIN m""")
+
+_q("zero_impute_patients", f"""
+WITH {F4},
+m AS (SELECT avg(CASE WHEN glu <> 0 THEN glu END) AS mg, avg(CASE WHEN bp <> 0 THEN bp END) AS mb,
+             avg(CASE WHEN skin <> 0 THEN skin END) AS ms FROM f4)
+SELECT k,
+       round(CASE WHEN glu = 0 THEN mg ELSE CAST(glu AS DOUBLE) END, 6) AS glu,
+       round(CASE WHEN bp = 0 THEN mb ELSE CAST(bp AS DOUBLE) END, 6) AS bp,
+       round(CASE WHEN skin = 0 THEN ms ELSE CAST(skin AS DOUBLE) END, 6) AS skin
+FROM f4 CROSS JOIN m""")
+
+_q("binary_encode", """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS status_flag FROM orders""")
+
+# Heart-form bounds with cholesterol and systolic narrowed, in form order.
+_HEART_NARROWED = [
+    ("age", 0, 120), ("gender", 0, 1), ("diabetes", 0, 1), ("hypertension", 0, 1),
+    ("obesity", 0, 1), ("smoking", 0, 1), ("alcohol", 0, 1), ("physical_activity", 0, 1),
+    ("diet_score", 0, 10), ("cholesterol", 120, 280), ("triglycerides", 50, 300),
+    ("ldl", 50, 200), ("hdl", 20, 100), ("systolic_bp", 100, 180), ("diastolic_bp", 60, 120),
+    ("pollution", 0, 1), ("family_history", 0, 1), ("stress", 1, 10), ("healthcare", 0, 1),
+]
+
+
+def _bad(c, lo, hi):
+    return f"NOT COALESCE({c} BETWEEN {lo} AND {hi}, FALSE)"
+
+
+_q("range_check", f"""
+WITH {F4B}
+SELECT k,
+  concat_ws(',', {', '.join(f"CASE WHEN {_bad(c, lo, hi)} THEN '{c}' END" for c, lo, hi in _HEART_NARROWED)}) AS violations,
+  NOT ({' OR '.join(_bad(c, lo, hi) for c, lo, hi in _HEART_NARROWED)}) AS valid
+FROM f4b""")
+
+_q("range_reject_counts", f"""
+WITH {F4B},
+per_col AS (
+  {' UNION ALL '.join(f"SELECT 'heart' AS source, '{c}' AS item, count(*) AS n FROM f4b WHERE {_bad(c, lo, hi)}"
+                     for c, lo, hi in _HEART_NARROWED)}
+  UNION ALL SELECT 'customer', 'c_acctbal', count(*) FROM customer WHERE {_bad('c_acctbal', 0, 9000)}),
+totals AS (
+  SELECT 'heart' AS source,
+         CASE WHEN {' OR '.join(_bad(c, lo, hi) for c, lo, hi in _HEART_NARROWED)} THEN '__rejected__'
+              ELSE '__valid__' END AS item, count(*) AS n
+  FROM f4b GROUP BY 2
+  UNION ALL
+  SELECT 'customer', CASE WHEN {_bad('c_acctbal', 0, 9000)} THEN '__rejected__' ELSE '__valid__' END, count(*)
+  FROM customer GROUP BY 2)
+SELECT source, item, n FROM per_col WHERE n > 0
+UNION ALL SELECT source, item, n FROM totals""")
+
+_q("fill_absent", f"""
+WITH {F4B},
+p AS (SELECT * EXCLUDE (stress, family_history), 5 AS stress, 0 AS family_history FROM f4b),
+{rule_b_sql('p')}
+SELECT k, stress, family_history, rule_pred, round(rule_prob, 6) AS rule_prob FROM rb""")
+
+_FLAGS = ["diabetes", "hypertension", "obesity", "smoking", "alcohol", "physical_activity",
+          "pollution", "family_history", "healthcare"]
+
+_q("decode_flags", f"""
+WITH {F4B}
+SELECT k, CASE WHEN gender = 1 THEN 'Male' WHEN gender IS NOT NULL THEN 'Female' END AS gender,
+  {', '.join(f"CASE WHEN {c} = 1 THEN 'Yes' WHEN {c} IS NOT NULL THEN 'No' END AS {c}" for c in _FLAGS)}
+FROM f4b""")
+
+
+# --- vectors, assembly, scaling ---------------------------------------------
+
+_q("vector_roundtrip", """
+SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n,
+       round(list_reduce(list_transform(embedding, lambda x: CAST(x AS DOUBLE)), lambda a, b: a + b), 6) AS total,
+       round(CAST(embedding[1] AS DOUBLE), 6) AS first
+FROM embeddings""")
+
+_PV = ["preg", "glu", "bp", "skin", "ins", "bmi", "dpf", "age"]
+
+_q("assemble", f"""
+WITH {F4}
+SELECT k, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _PV)} FROM f4""")
+
+
+def _zscore(src: str, key: str, cols: list[str], extra_keys: str = "") -> str:
+    stats = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in cols)
+    zs = ", ".join(f"round(CASE WHEN s_{c} = 0 THEN {D(0.0)} ELSE ({c} - m_{c}) / s_{c} END, 6) AS {c}" for c in cols)
+    return f"SELECT {key}{extra_keys}, {zs} FROM {src} CROSS JOIN (SELECT {stats} FROM {src}) st"
+
+
+_q("standardize", f"""
+WITH {F4}, s AS (SELECT k, {', '.join(_PV)}, 1 AS const FROM f4)
+{_zscore('s', 'k', _PV + ['const'])}""")
+
+_q("scaler_stats", """
+SELECT 'p_size' AS column_name, round(avg(p_size), 6) AS mean, round(stddev_samp(p_size), 6) AS std FROM part
+UNION ALL SELECT 'p_retailprice', round(avg(p_retailprice), 6), round(stddev_samp(p_retailprice), 6) FROM part
+UNION ALL SELECT 'const', round(avg(7), 6), round(stddev_samp(7), 6) FROM part""")
+
+_DIAB_FEATURES = ["pregnancies", "glucose", "blood_pressure", "skin_thickness", "insulin", "bmi", "dpf", "age"]
+_ZERO = ["glucose", "blood_pressure", "skin_thickness", "insulin", "bmi"]
+
+_q("features_zero_imputed", f"""
+WITH {F4}, {DIAB},
+m AS (SELECT {', '.join(f'avg(CASE WHEN {c} <> 0 THEN {c} END) AS nz_{c}' for c in _ZERO)} FROM diab),
+imp AS (
+  SELECT k, {', '.join((f'CASE WHEN {c} = 0 THEN nz_{c} ELSE CAST({c} AS DOUBLE) END AS {c}' if c in _ZERO
+                        else f'CAST({c} AS DOUBLE) AS {c}') for c in _DIAB_FEATURES)}
+  FROM diab CROSS JOIN m)
+{_zscore('imp', 'k', _DIAB_FEATURES)}""")
+
+_q("features_null_dropped", f"""
+WITH {DOCS_LABELLED},
+kept AS (
+  SELECT doc_id, toxic, CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS lang, n_chars, quality FROM dl
+  WHERE lang IS NOT NULL AND n_chars IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL)
+{_zscore('kept', 'doc_id', ['lang', 'n_chars', 'quality'], ', toxic')}""")
+
+
+# --- statistics ----------------------------------------------------------------
+
+def _prof(c: str) -> str:
+    return (f"SELECT '{c}' AS column_name, count(*) AS n, count(CASE WHEN {c} IS NULL THEN 1 END) AS n_null, "
+            f"count(CASE WHEN {c} = 0 THEN 1 END) AS n_zero, CAST(min({c}) AS DOUBLE) AS min_value, "
+            f"CAST(max({c}) AS DOUBLE) AS max_value, round(avg({c}), 6) AS mean_value FROM f4")
+
+
+_q("dataset_profile", f"""
+WITH {F4}
+{' UNION ALL '.join(_prof(c) for c in _PV + ['outcome'])}""")
+
+_q("sample_head", f"""
+WITH {F4}
+SELECT * FROM f4 ORDER BY k LIMIT 5""")
+
+_q("row_count", "SELECT count(*) AS n FROM lineitem")
