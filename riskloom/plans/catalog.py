@@ -258,3 +258,166 @@ def q_sample_head(spark, sf):
 @query
 def q_row_count(spark, sf):
     return profile.row_count(views.table(spark, sf, "lineitem"))
+
+
+# --- splits and folds ---------------------------------------------------------
+
+from riskloom.operators import evaluate, split  # noqa: E402
+from riskloom.functions import columns as fcols  # noqa: E402
+
+
+@query
+def q_hash_split(spark, sf):
+    o = views.table(spark, sf, "orders").select("o_orderkey")
+    return split.with_split(o, "o_orderkey").select("o_orderkey", "split")
+
+
+@query
+def q_split_counts(spark, sf):
+    o = split.with_split(views.table(spark, sf, "orders").select("o_orderkey"), "o_orderkey")
+    return o.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def q_fold_assign(spark, sf):
+    o = views.table(spark, sf, "orders").select("o_orderkey")
+    train, _ = split.hash_split(o, "o_orderkey")
+    return split.assign_folds(train, "o_orderkey").select("o_orderkey", "fold")
+
+
+# --- evaluation -----------------------------------------------------------------
+
+def rule_scores_long(spark, sf) -> DataFrame:
+    """(task, k, score, pred, label) for both rule scores over the derived views."""
+    a = rule_score_a(views.diabetes_inputs(views.patient_view(spark, sf)))
+    b = rule_score_b(views.heart_view(spark, sf))
+    cols = ["k", F.col("rule_prob").alias("score"), F.col("rule_pred").alias("pred"), F.col("outcome").alias("label")]
+    return (a.select(F.lit("diabetes").alias("task"), *cols)
+            .unionByName(b.select(F.lit("heart").alias("task"), *cols)))
+
+
+@query
+def q_auc_exact(spark, sf):
+    r = evaluate.auc_exact(rule_scores_long(spark, sf), "score", "label", by=["task"])
+    return r.select("task", r6("auc", "auc"), "n", "n_pos")
+
+
+@query
+def q_accuracy(spark, sf):
+    r = evaluate.accuracy(rule_scores_long(spark, sf), "pred", "label", by=["task"])
+    return r.select("task", r6("accuracy", "accuracy"), "n")
+
+
+def candidate_scores(spark, sf) -> DataFrame:
+    """(task, model, score, label): stand-in model outputs and rule scores
+    over the derived views, in long form; the ``tie_check`` task scores
+    both models with the same column, so its AUCs tie exactly."""
+    p = rule_score_a(views.diabetes_inputs(views.patient_outputs_view(spark, sf)))
+    h = rule_score_b(views.heart_view(spark, sf))
+    cand = lambda df, task, pairs: df.select(
+        F.lit(task).alias("task"), F.col("outcome").alias("label"),
+        F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.col(c).cast("double").alias("score"))
+                            for m, c in pairs])).alias("m"))
+    long = (cand(p, "diabetes", [("logistic_regression", "lr_prob"), ("random_forest", "rf_prob")])
+            .unionByName(cand(h, "heart", [("logistic_regression", "rule_prob"), ("random_forest", "rule_pred")]))
+            .unionByName(cand(p, "tie_check", [("logistic_regression", "rule_prob"), ("random_forest", "rule_prob")])))
+    return long.select("task", "m.model", "m.score", "label")
+
+
+def model_metrics(spark, sf) -> DataFrame:
+    m = evaluate.auc_exact(candidate_scores(spark, sf), "score", "label", by=["task", "model"])
+    return evaluate.pick_best(m.select("task", "model", r6("auc", "auc")))
+
+
+@query
+def q_best_model(spark, sf):
+    return model_metrics(spark, sf).select("task", "model", "auc", "is_best")
+
+
+@query
+def q_registry_status(spark, sf):
+    from riskloom.session import scratch_path
+    from riskloom.sources import registry
+    metrics = model_metrics(spark, sf).withColumn(
+        "path", F.concat(F.lit("models/"), F.col("task"), F.lit("_"), F.col("model")))
+    path = scratch_path(spark, "registry")
+    registry.write_registry(metrics, path)
+    return registry.registry_status(registry.expected_frame(spark), registry.read_registry(spark, path))
+
+
+# --- per-row scalar functions ---------------------------------------------------
+
+LINEAR_COEF = {"intercept": -4.0, "glu": 0.02, "bmi": 0.05, "age": 0.015, "dpf": 0.8}
+
+
+@query
+def q_linear_score(spark, sf):
+    from pyspark.ml.functions import array_to_vector
+    pv = views.patient_view(spark, sf)
+    z = F.lit(LINEAR_COEF["intercept"])
+    for c in ("glu", "bmi", "age", "dpf"):
+        z = z + F.lit(LINEAR_COEF[c]) * F.col(c)
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+    vec = pv.select("k", array_to_vector(F.array(F.lit(1.0) - p, p)).alias("probability"))
+    return vec.select("k", r6(fcols.positive_prob("probability"), "p"))
+
+
+@query
+def q_threshold(spark, sf):
+    m = views.model_output_view(spark, sf)
+    return m.select("k", fcols.threshold("lr_prob").alias("lr_pred"), fcols.threshold("rf_prob").alias("rf_pred"))
+
+
+@query
+def q_clamp(spark, sf):
+    m = views.model_output_view(spark, sf)
+    return m.select("k", r6(fcols.clamp("lr_prob"), "lr_clamped"), r6(fcols.clamp("rf_prob"), "rf_clamped"))
+
+
+@query
+def q_model_comparison(spark, sf):
+    c = scoring.comparison(scored_patients(spark, sf), "k")
+    return c.select("k", "model", "prediction", "risk_level", "probability", "probability_text")
+
+
+def heart_rule_path(spark, sf) -> DataFrame:
+    """Heart rows with no model answering: rule score, gate and verdict."""
+    h = views.heart_view(spark, sf).withColumns({
+        "lr_prob": F.lit(None).cast("double"), "rf_prob": F.lit(None).cast("double"),
+        "lr_pred": F.lit(None).cast("int"), "rf_pred": F.lit(None).cast("int")})
+    return scoring.consensus(rule_score_b(h, with_status=True))
+
+
+@query
+def q_recommendation(spark, sf):
+    d = scored_patients(spark, sf)
+    d = d.select(F.lit("diabetes").alias("task"), "k", "verdict", scoring.recommend(d, "diabetes").alias("recommendation"),
+                 scoring.headline("diabetes").alias("headline"))
+    h = heart_rule_path(spark, sf)
+    h = h.select(F.lit("heart").alias("task"), "k", "verdict", scoring.recommend(h, "heart").alias("recommendation"),
+                 scoring.headline("heart").alias("headline"))
+    return d.unionByName(h)
+
+
+# --- sources and sinks ------------------------------------------------------------
+
+@query
+def q_csv_roundtrip(spark, sf):
+    from riskloom.session import scratch_path
+    from riskloom.sources import files
+    part = views.table(spark, sf, "part")
+    path = scratch_path(spark, "part-csv")
+    files.write_csv(part, path)
+    return files.read_csv(spark, path, part.schema)
+
+
+@query
+def q_processed_roundtrip(spark, sf):
+    from riskloom.session import scratch_path
+    from riskloom.sources import files
+    part = views.table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
+    vec = features.assemble(part, ["p_size", "p_retailprice"], "features").select("p_partkey", "features")
+    path = scratch_path(spark, "part-processed")
+    files.write_processed(vec, path)
+    back = files.read_processed(spark, path)
+    return features.vector_columns(back, "features", ["p_size", "p_retailprice"], keep=["p_partkey"])

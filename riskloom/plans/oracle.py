@@ -370,3 +370,162 @@ WITH {F4}
 SELECT * FROM f4 ORDER BY k LIMIT 5""")
 
 _q("row_count", "SELECT count(*) AS n FROM lineitem")
+
+
+# --- splits and folds ---------------------------------------------------------
+
+def _bucket(key: str, salt: str, mod: int) -> str:
+    return f"(('0x' || substr(md5(CAST({key} AS VARCHAR) || '{salt}'), 1, 8))::BIGINT % {mod})"
+
+
+_q("hash_split", f"""
+SELECT o_orderkey, CASE WHEN {_bucket('o_orderkey', ':42', 100)} < 80 THEN 'train' ELSE 'test' END AS split
+FROM orders""")
+
+_q("split_counts", f"""
+SELECT CASE WHEN {_bucket('o_orderkey', ':42', 100)} < 80 THEN 'train' ELSE 'test' END AS split, count(*) AS n
+FROM orders GROUP BY 1""")
+
+_q("fold_assign", f"""
+SELECT o_orderkey, CAST({_bucket('o_orderkey', ':42:fold', 3)} AS INTEGER) AS fold
+FROM orders WHERE {_bucket('o_orderkey', ':42', 100)} < 80""")
+
+
+# --- evaluation -----------------------------------------------------------------
+
+def _rules_long() -> str:
+    return f"""{F4}, {DIAB}, {F4B},
+{rule_a_sql('diab')},
+{rule_b_sql('f4b')},
+lng AS (
+  SELECT 'diabetes' AS task, k, rule_prob AS score, rule_pred AS pred, outcome AS label FROM ra
+  UNION ALL SELECT 'heart', k, rule_prob, rule_pred, outcome FROM rb)"""
+
+
+def _auc(src: str, by: str) -> str:
+    """Rank-sum AUC per group with average ranks for ties."""
+    return f"""rk AS (
+  SELECT {by}, label,
+         rank() OVER (PARTITION BY {by} ORDER BY score)
+           + (count(*) OVER (PARTITION BY {by}, score) - 1) / 2.0 AS r
+  FROM {src} WHERE score IS NOT NULL AND label IS NOT NULL),
+auc AS (
+  SELECT {by}, count(*) AS n, CAST(sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) AS BIGINT) AS n_pos,
+         sum(CASE WHEN label = 1 THEN r ELSE 0 END) AS rs
+  FROM rk GROUP BY {by})"""
+
+
+_q("auc_exact", f"""
+WITH {_rules_long()},
+{_auc('lng', 'task')}
+SELECT task,
+  round(CASE WHEN n_pos > 0 AND n > n_pos
+        THEN (rs - n_pos * (n_pos + 1) / 2.0) / (CAST(n_pos AS DOUBLE) * CAST(n - n_pos AS DOUBLE)) END, 6) AS auc,
+  n, n_pos
+FROM auc""")
+
+_q("accuracy", f"""
+WITH {_rules_long()}
+SELECT task, round(avg(CASE WHEN pred = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy, count(*) AS n
+FROM lng GROUP BY task""")
+
+
+def _candidates() -> str:
+    return f"""{F4}, {F4C}, {DIAB}, {F4B},
+j AS (SELECT f4c.k, f4c.lr_prob, f4c.rf_prob, diab.* EXCLUDE (k) FROM f4c JOIN diab ON f4c.k = diab.k),
+{rule_a_sql('j')},
+{rule_b_sql('f4b')},
+cand AS (
+  SELECT 'diabetes' AS task, 'logistic_regression' AS model, lr_prob AS score, outcome AS label FROM ra
+  UNION ALL SELECT 'diabetes', 'random_forest', rf_prob, outcome FROM ra
+  UNION ALL SELECT 'heart', 'logistic_regression', rule_prob, outcome FROM rb
+  UNION ALL SELECT 'heart', 'random_forest', CAST(rule_pred AS DOUBLE), outcome FROM rb
+  UNION ALL SELECT 'tie_check', 'logistic_regression', rule_prob, outcome FROM ra
+  UNION ALL SELECT 'tie_check', 'random_forest', rule_prob, outcome FROM ra),
+grp AS (SELECT task || '|' || model AS g, task, model, score, label FROM cand),
+{_auc('grp', 'g')},
+met AS (
+  SELECT split_part(g, '|', 1) AS task, split_part(g, '|', 2) AS model,
+         round(CASE WHEN n_pos > 0 AND n > n_pos
+               THEN (rs - n_pos * (n_pos + 1) / 2.0) / (CAST(n_pos AS DOUBLE) * CAST(n - n_pos AS DOUBLE)) END, 6) AS auc
+  FROM auc),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY task ORDER BY auc DESC NULLS LAST,
+                               CASE WHEN model = 'logistic_regression' THEN 0 ELSE 1 END, model) = 1 AS is_best
+  FROM met)"""
+
+
+_q("best_model", f"""
+WITH {_candidates()}
+SELECT task, model, auc, is_best FROM best""")
+
+_q("registry_status", f"""
+WITH {_candidates()},
+expected(task, model) AS (VALUES ('diabetes', 'logistic_regression'), ('diabetes', 'random_forest'),
+  ('heart', 'logistic_regression'), ('heart', 'random_forest'), ('diabetes', 'best'), ('heart', 'best')),
+have AS (
+  SELECT task, model, max(CAST(is_best AS INTEGER)) AS b FROM (
+    SELECT task, model, is_best FROM best
+    UNION ALL SELECT task, 'best', TRUE FROM best WHERE is_best) x
+  GROUP BY task, model)
+SELECT e.task, e.model, h.b IS NOT NULL AS present, COALESCE(h.b = 1, FALSE) AS is_best
+FROM expected e LEFT JOIN have h ON e.task = h.task AND e.model = h.model""")
+
+
+# --- per-row scalar functions ---------------------------------------------------
+
+_q("linear_score", f"""
+WITH {F4}
+SELECT k, round(1.0 / (1.0 + exp(-({D(-4.0)} + {D(0.02)} * glu + {D(0.05)} * bmi + {D(0.015)} * age
+                                     + {D(0.8)} * dpf))), 6) AS p
+FROM f4""")
+
+_q("threshold", f"""
+WITH {F4C}
+SELECT k, CASE WHEN lr_prob IS NULL THEN NULL WHEN lr_prob >= 0.3 THEN 1 ELSE 0 END AS lr_pred,
+          CASE WHEN rf_prob IS NULL THEN NULL WHEN rf_prob >= 0.3 THEN 1 ELSE 0 END AS rf_pred
+FROM f4c""")
+
+_q("clamp", f"""
+WITH {F4C}
+SELECT k, round(CASE WHEN lr_prob IS NULL THEN NULL ELSE greatest({D(0.05)}, least({D(0.95)}, lr_prob)) END, 6) AS lr_clamped,
+          round(CASE WHEN rf_prob IS NULL THEN NULL ELSE greatest({D(0.05)}, least({D(0.95)}, rf_prob)) END, 6) AS rf_clamped
+FROM f4c""")
+
+_q("model_comparison", f"""
+WITH {consensus_sql()},
+lng AS (
+  SELECT k, 'Logistic Regression' AS model, lr_pred AS pred, lr_prob AS prob FROM cons WHERE lr_pred IS NOT NULL
+  UNION ALL SELECT k, 'Random Forest', rf_pred, rf_prob FROM cons WHERE rf_pred IS NOT NULL)
+SELECT k, model,
+  CASE WHEN pred = 1 THEN 'Positive' ELSE 'Negative' END AS prediction,
+  CASE WHEN pred = 1 THEN 'High Risk' ELSE 'Low Risk' END AS risk_level,
+  prob AS probability, printf('%.1f%%', prob * 100) AS probability_text
+FROM lng""")
+
+
+def _recommend(task_sql: str) -> str:
+    return f"""CASE WHEN {task_sql} = 'diabetes' AND verdict = 'High' THEN 'Further clinical tests are advised.'
+       WHEN {task_sql} = 'diabetes' AND verdict = 'Low' THEN 'Keep a healthy lifestyle and regular check-ups.'
+       WHEN {task_sql} = 'heart' AND verdict = 'High' THEN 'Prompt consultation with a cardiologist is advised.'
+       WHEN {task_sql} = 'heart' AND verdict = 'Low' THEN 'Continue regular check-ups and a healthy lifestyle.' END"""
+
+
+_q("recommendation", f"""
+WITH {consensus_sql()}, {F4B},
+{rule_b_sql('f4b')},
+hv AS (SELECT k, CASE WHEN rule_pred = 1 OR rule_prob >= 0.3 THEN 'High' ELSE 'Low' END AS verdict FROM rb),
+both_ AS (
+  SELECT 'diabetes' AS task, k, verdict,
+         verdict || ' Risk of Diabetes' || CASE WHEN source = 'models' THEN '' ELSE ' (Fallback Prediction)' END AS headline
+  FROM cons
+  UNION ALL SELECT 'heart', k, verdict, verdict || ' Risk of Heart Attack (Fallback Prediction)' FROM hv)
+SELECT task, k, verdict, {_recommend('task')} AS recommendation, headline FROM both_""")
+
+
+# --- sources and sinks ------------------------------------------------------------
+
+_q("csv_roundtrip", "SELECT * FROM part")
+
+_q("processed_roundtrip", """
+SELECT p_partkey, CAST(p_size AS DOUBLE) AS p_size, p_retailprice FROM part""")
