@@ -8,18 +8,22 @@ averaged.  It needs, for every distinct score, the number of negatives
 below it: a prefix sum in score order.  A window ordered by score with no
 partition would pull every row into one task, so instead:
 
-1. collapse to distinct scores: ``(group, score) -> (count, positives)``;
-   a partial aggregate, so a score that holds a third of all rows becomes
-   one row before the shuffle;
-2. cut the score axis into ``n_buckets`` ranges at approximate quantiles of
-   the *distinct* scores (a fixed-size sketch; only the cut points, at most
-   ``n_buckets`` doubles, reach the driver) and bucket with ``Bucketizer``;
-3. negatives per (group, bucket) -> prefix over buckets (a table of at most
-   groups x buckets rows);
-4. prefix within each (group, bucket) by a window partitioned on the
-   bucket, so the sort work is spread over ``n_buckets`` tasks;
+1. cut the score axis into ``n_buckets`` ranges at approximate quantiles
+   (a fixed-size sketch; only the cut points, at most ``n_buckets``
+   doubles, reach the driver) and bucket with ``Bucketizer``;
+2. collapse to distinct scores: ``(group, bucket, score) -> (count,
+   positives)``; a partial aggregate, so a score that holds a third of all
+   rows becomes one row per task before the shuffle;
+3. prefix sums inside each (group, bucket) by a window partitioned on the
+   bucket, so the sort work is spread over ``n_buckets`` tasks, then one
+   row per (group, bucket) on the same partitioning (no new shuffle);
+4. offsets across buckets on that small table (groups x buckets rows):
+   every positive in a bucket beats all negatives of earlier buckets;
 5. sum the contributions per group.
 
+No join and no global sort; every count is an exact integer, so the sum
+is exact up to the final division.
+
 The result is exact; the quantiles only balance the work.
 """
 
@@ -35,39 +39,58 @@ def _clean(df: DataFrame, score: str, label: str, by: list[str]) -> DataFrame:
             .where(F.col("__s").isNotNull() & F.col("__y").isNotNull()))
 
 
+def default_buckets(df: DataFrame) -> int:
+    """Score ranges per group: 4 per shuffle partition, so the prefix-sum
+    sort is spread over every task of the cluster."""
+    try:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    except (TypeError, ValueError):
+        parts = 200
+    return max(16, min(65536, 4 * parts))
+
+
 def auc_exact(df: DataFrame, score: str, label: str, by: list[str] | None = None,
-              n_buckets: int = 1024, out: str = "auc") -> DataFrame:
+              n_buckets: int | None = None, out: str = "auc") -> DataFrame:
     """Exact area under ROC per group of ``by`` (one row per group).
 
     Columns: ``*by, out, n, n_pos``.  Label 1 is positive; null scores or
     labels are ignored; a group without both classes gets a null AUC.
     """
     by = list(by or [])
-    pts = (_clean(df, score, label, by)
-           .groupBy(*by, "__s")
-           .agg(F.count(F.lit(1)).alias("c"), F.sum(F.when(F.col("__y") == 1, 1).otherwise(0)).alias("p"))
-           .withColumn("neg", F.col("c") - F.col("p")))
-
-    # Cut points over distinct scores (bounded sketch, bounded result).
-    cuts = pts.agg(F.percentile_approx("__s", [i / n_buckets for i in range(1, n_buckets)], 10000).alias("q")).first()
-    inner = sorted({float(x) for x in (cuts["q"] or []) if x == x})
+    rows = _clean(df, score, label, by)
+    n_buckets = n_buckets or default_buckets(df)
+
+    # Cut points: approximate quantiles of the raw scores (a fixed-size
+    # sketch).  Each bucket then holds about rows/n_buckets raw rows, so
+    # at most that many distinct scores; a hot score just repeats a cut.
+    qs = [i / n_buckets for i in range(1, n_buckets)]
+    accuracy_ = max(10000, 10 * n_buckets)
+    cuts = rows.agg(F.percentile_approx("__s", qs, accuracy_).alias("q")).first()["q"] or []
+    inner = sorted({float(x) for x in cuts if x is not None and x == x and abs(x) != float("inf")})
     splits = [float("-inf")] + inner + [float("inf")]
     if len(splits) < 3:
         splits = [float("-inf"), 0.0, float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="__s", outputCol="__b", handleInvalid="keep").transform(pts)
-
-    # Negatives in all earlier buckets of the same group.
-    per_bucket = bucketed.groupBy(*by, "__b").agg(F.sum("neg").alias("nb"))
-    wb = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.withColumn("before", F.coalesce(F.sum("nb").over(wb), F.lit(0))).drop("nb")
-
-    # Negatives at lower scores inside the bucket.
-    ws = Window.partitionBy(*by, "__b").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (bucketed.join(offsets, [*by, "__b"])
-              .withColumn("below", F.col("before") + F.coalesce(F.sum("neg").over(ws), F.lit(0))))
-    contrib = F.col("p").cast("double") * (F.col("below").cast("double") + F.col("neg").cast("double") / 2.0)
-    agg = ranked.groupBy(*by).agg(
-        F.sum(contrib).alias("__u"), F.sum("c").alias("n"), F.sum("p").alias("n_pos"))
+    bucketed = Bucketizer(splits=splits, inputCol="__s", outputCol="__b", handleInvalid="keep").transform(rows)
+
+    # Distinct scores per bucket (partial aggregate before the shuffle).
+    pts = (bucketed.groupBy(*by, "__b", "__s")
+           .agg(F.count(F.lit(1)).alias("c"), F.sum(F.when(F.col("__y") == 1, 1).otherwise(0)).alias("p"))
+           .withColumn("neg", F.col("c") - F.col("p")))
+
+    # Inside each bucket: negatives at lower scores, ties count half.
+    w_in = Window.partitionBy(*by, "__b").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
+    below = F.coalesce(F.sum("neg").over(w_in), F.lit(0))
+    contrib = F.col("p").cast("double") * (below.cast("double") + F.col("neg").cast("double") / 2.0)
+    per_bucket = (pts.withColumn("u", contrib)
+                  .groupBy(*by, "__b")
+                  .agg(F.sum("u").alias("u"), F.sum("p").alias("pb"), F.sum("neg").alias("nb"), F.sum("c").alias("cb")))
+
+    # Across buckets (groups x buckets rows): positives of a bucket are
+    # above every negative of the earlier buckets.
+    w_b = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("nb").over(w_b), F.lit(0))
+    total = per_bucket.withColumn("u", F.col("u") + F.col("pb").cast("double") * before.cast("double"))
+    agg = total.groupBy(*by).agg(F.sum("u").alias("__u"), F.sum("cb").alias("n"), F.sum("pb").alias("n_pos"))
     denom = F.col("n_pos").cast("double") * (F.col("n") - F.col("n_pos")).cast("double")
     return agg.select(*by, F.when(denom > 0, F.col("__u") / denom).alias(out), "n", "n_pos")
 

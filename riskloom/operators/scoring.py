@@ -11,6 +11,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +28,13 @@ def _any_null(cols) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols], F.lit(False))
 
 
+def for_scoring(model: PipelineModel) -> PipelineModel:
+    """Copy of a fitted pipeline whose assemblers keep rows with nulls
+    (training fails on them; scoring masks them instead)."""
+    stages = [s.copy({s.handleInvalid: "keep"}) if isinstance(s, VectorAssembler) else s for s in model.stages]
+    return PipelineModel(stages=stages)
+
+
 def score(df: DataFrame, models: dict, input_cols: list[str],
           t: float = schemas.MODEL_THRESHOLD) -> DataFrame:
     """Apply each fitted model; add ``<name>_prob`` and ``<name>_pred``.
@@ -45,7 +53,7 @@ def score(df: DataFrame, models: dict, input_cols: list[str],
         if model is None:
             out = out.withColumns({pcol: F.lit(None).cast("double"), dcol: F.lit(None).cast("int")})
         else:
-            scored = model.transform(out)
+            scored = for_scoring(model).transform(out)
             prob = F.when(masked, F.lit(None).cast("double")).otherwise(positive_prob("probability"))
             out = scored.select(*[F.col(c) for c in out.columns], prob.alias(pcol))
             out = out.withColumn(dcol, threshold(pcol, t))
@@ -148,6 +156,16 @@ def score_all(df: DataFrame, task: str, models: dict, key: str) -> DataFrame:
     from riskloom.functions.rules import rule_score_a, rule_score_b
     inputs = schemas.DIABETES_FEATURES if task == "diabetes" else schemas.HEART_FEATURES
     scored = score(df, models, [c for c in inputs if c in df.columns])
-    ruled = (rule_score_a if task == "diabetes" else rule_score_b)(scored, with_status=True)
+    if task == "diabetes":
+        ruled = rule_score_a(scored, with_status=True)
+    else:
+        g, positive = schemas.HEART_ENCODED
+        text_gender = g in df.columns and df.schema[g].dataType.typeName() == "string"
+        if text_gender:  # rules read the form's 1 = male flag
+            scored = scored.withColumnRenamed(g, "__gender_text").withColumn(
+                g, F.when(F.col("__gender_text") == positive, 1).otherwise(0))
+        ruled = rule_score_b(scored, with_status=True)
+        if text_gender:
+            ruled = ruled.drop(g).withColumnRenamed("__gender_text", g)
     out = consensus(ruled)
     return out.withColumns({"recommendation": recommend(out, task), "headline": headline(task)})

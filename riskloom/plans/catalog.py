@@ -421,3 +421,145 @@ def q_processed_roundtrip(spark, sf):
     files.write_processed(vec, path)
     back = files.read_processed(spark, path)
     return features.vector_columns(back, "features", ["p_size", "p_retailprice"], keep=["p_partkey"])
+
+
+# --- training, tuning, persistence, scoring -----------------------------------
+
+from riskloom.plans import training  # noqa: E402
+from riskloom.sources import models as model_io  # noqa: E402
+
+_FITS: dict = {}
+
+
+def patient_inputs(spark, sf) -> DataFrame:
+    """Diabetes inputs with canonical names, key ``k`` and label ``outcome``."""
+    return views.diabetes_inputs(views.patient_view(spark, sf))
+
+
+def fitted(spark, sf, task: str = "diabetes") -> dict:
+    """Tune LR and RF on the training split once per application and sf;
+    the pipelines are saved under the checkpoint folder and reloaded by path
+    (a live model object would not survive a new session)."""
+    from riskloom.session import scratch_path
+    key = (spark.sparkContext.applicationId, sf, task)
+    if key not in _FITS:
+        if task == "diabetes":
+            df, feats = patient_inputs(spark, sf), schemas.DIABETES_FEATURES
+        else:
+            df = views.heart_view(spark, sf).withColumnRenamed("outcome", "heart_attack_risk")
+            feats = [c for c in schemas.HEART_FEATURES if c in df.columns]
+        label = "outcome" if task == "diabetes" else "heart_attack_risk"
+        fit = training.fit_task(spark, df, "k", label, task, features=feats)
+        paths = {n: model_io.save_model(m, scratch_path(spark, f"{task}-{n}")) for n, m in fit.models.items()}
+        reports = [r for n in fit.models for r in fit.reports[n].collect()]
+        imp = fit.classifiers["rf"].featureImportances.toArray().tolist()
+        _FITS[key] = {"paths": paths, "reports": reports, "importances": list(zip(feats, imp)), "features": feats}
+    return _FITS[key]
+
+
+def _report_frame(spark, rows, model=None) -> DataFrame:
+    df = spark.createDataFrame(
+        rows, "model string, grid_index int, params string, mean_auc double, is_best boolean, fit_seconds double")
+    return df if model is None else df.where(F.col("model") == model)
+
+
+@query
+def q_train_lr(spark, sf):
+    df = patient_inputs(spark, sf)
+    fit = training.fit_task(spark, df, "k", "outcome", "diabetes", models=("lr",), tune_models=False)
+    lr = fit.classifiers["lr"]
+    rows = [("intercept", float(lr.intercept))] + list(zip(fit.feature_names, map(float, lr.coefficients.toArray())))
+    return spark.createDataFrame(rows, "term string, coefficient double")
+
+
+@query
+def q_train_rf(spark, sf):
+    df = patient_inputs(spark, sf)
+    fit = training.fit_task(spark, df, "k", "outcome", "diabetes", models=("rf",), tune_models=False)
+    trees = fit.classifiers["rf"].trees
+    return spark.createDataFrame([(i, t.numNodes, t.depth) for i, t in enumerate(trees)],
+                                 "tree int, num_nodes int, depth int")
+
+
+@query
+def q_tune_lr(spark, sf):
+    return _report_frame(spark, fitted(spark, sf)["reports"], "logistic_regression")
+
+
+@query
+def q_tune_rf(spark, sf):
+    return _report_frame(spark, fitted(spark, sf)["reports"], "random_forest")
+
+
+@query
+def q_cv_metrics(spark, sf):
+    return _report_frame(spark, fitted(spark, sf)["reports"])
+
+
+@query
+def q_feature_importance(spark, sf):
+    imp = fitted(spark, sf)["importances"]
+    return (spark.createDataFrame([(f, float(v)) for f, v in imp], "feature string, importance double")
+            .orderBy(F.col("importance").desc(), "feature"))
+
+
+def _score_cols():
+    return ["k", "lr_prob", "lr_pred", "rf_prob", "rf_pred", "rule_pred", "rule_prob", "source", "votes",
+            "risk_prob", "verdict", "recommendation"]
+
+
+@query
+def q_batch_score(spark, sf):
+    paths = fitted(spark, sf)["paths"]
+    models = {n: model_io.load_model(p) for n, p in paths.items()}
+    return scoring.score_all(patient_inputs(spark, sf), "diabetes", models, "k").select(*_score_cols())
+
+
+@query
+def q_heart_batch_score(spark, sf):
+    paths = fitted(spark, sf, "heart")["paths"]
+    models = {n: model_io.load_model(p) for n, p in paths.items()}
+    h = views.heart_view(spark, sf).drop("outcome")
+    return scoring.score_all(h, "heart", models, "k").select(*_score_cols())
+
+
+@query
+def q_partial_models(spark, sf):
+    """LR saved, RF path missing; some inputs null.  RF columns are typed
+    nulls, LR is masked where an input is null, rules take those rows."""
+    from riskloom.session import scratch_path
+    paths = fitted(spark, sf)["paths"]
+    models = {"lr": model_io.load_optional(spark, paths["lr"]),
+              "rf": model_io.load_optional(spark, scratch_path(spark, "absent-model"))}
+    df = patient_inputs(spark, sf).withColumn("glucose", F.nullif(F.col("glucose"), F.lit(100)))
+    return scoring.score_all(df, "diabetes", models, "k").select(*_score_cols())
+
+
+@query
+def q_model_roundtrip(spark, sf):
+    from riskloom.session import scratch_path
+    df = patient_inputs(spark, sf)
+    fit = training.fit_task(spark, df, "k", "outcome", "diabetes", models=("lr",), tune_models=False)
+    live = fit.models["lr"]
+    loaded = model_io.load_model(model_io.save_model(live, scratch_path(spark, "roundtrip-lr")))
+    a = scoring.score(df, {"live": live}, schemas.DIABETES_FEATURES)
+    b = scoring.score(a, {"loaded": loaded}, schemas.DIABETES_FEATURES)
+    return b.select("k", "live_prob", "loaded_prob",
+                    (F.abs(F.col("live_prob") - F.col("loaded_prob")) <= 1e-12).alias("same"))
+
+
+@query
+def q_stream_score(spark, sf):
+    """Rows land as parquet files; a stateless stream scores them with the
+    saved pipelines into a parquet sink (trigger availableNow)."""
+    from riskloom.session import scratch_path
+    from riskloom.streaming.score_stream import read_stream, score_stream
+    paths = fitted(spark, sf)["paths"]
+    models = {n: model_io.load_model(p) for n, p in paths.items()}
+    src = patient_inputs(spark, sf)
+    landing = scratch_path(spark, "stream-in")
+    src.write.mode("overwrite").parquet(landing)
+    out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
+    q = score_stream(read_stream(spark, landing, src.schema), "diabetes", models, "k", out, ckpt)
+    q.awaitTermination()
+    return spark.read.parquet(out).select(*_score_cols())

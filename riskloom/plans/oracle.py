@@ -320,7 +320,9 @@ SELECT k, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _PV)} FROM f4""")
 
 def _zscore(src: str, key: str, cols: list[str], extra_keys: str = "") -> str:
     stats = ", ".join(f"avg({c}) AS m_{c}, stddev_samp({c}) AS s_{c}" for c in cols)
-    zs = ", ".join(f"round(CASE WHEN s_{c} = 0 THEN {D(0.0)} ELSE ({c} - m_{c}) / s_{c} END, 6) AS {c}" for c in cols)
+    # ``+ 0.0`` turns a rounded -0.0 (a tiny negative residue) into 0.0.
+    zs = ", ".join(f"round(CASE WHEN s_{c} = 0 THEN {D(0.0)} ELSE ({c} - m_{c}) / s_{c} END, 6) + {D(0.0)} AS {c}"
+                   for c in cols)
     return f"SELECT {key}{extra_keys}, {zs} FROM {src} CROSS JOIN (SELECT {stats} FROM {src}) st"
 
 

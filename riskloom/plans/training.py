@@ -134,7 +134,9 @@ def fit_task(spark: SparkSession, df: DataFrame, key: str, label: str, task: str
     if task == "diabetes":
         stages = feature_plans.zero_impute_stages(features, [c for c in schemas.ZERO_AS_MISSING if c in features])
     else:
-        enc = schemas.HEART_ENCODED if schemas.HEART_ENCODED[0] in features else None
+        gcol = schemas.HEART_ENCODED[0]
+        is_text = gcol in df.columns and df.schema[gcol].dataType.typeName() == "string"
+        enc = schemas.HEART_ENCODED if gcol in features and is_text else None
         stages = feature_plans.null_drop_stages(features, enc)
     from pyspark.ml import Pipeline
     feat_model = Pipeline(stages=stages).fit(df if fit_scope == "all" else train)
