@@ -16,9 +16,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom import schemas
-from riskloom.functions.columns import clamp, col, dlit, py_ge, py_gt, py_le, py_lt
+from riskloom.functions.columns import dlit, py_ge, py_gt, py_le, py_lt  # noqa: F401
 
 _CMP = {"<": py_lt, "<=": py_le, ">": py_gt, ">=": py_ge}
 
@@ -75,65 +76,95 @@ HEART_REQUIRED = ["age", "cholesterol", "hdl", "ldl", "systolic_bp", "stress"]
 # ---------------------------------------------------------------------------
 
 
-def _band_term(c: Column, bands, otherwise: float) -> Column:
+def _floating(df: DataFrame) -> set[str]:
+    return {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+
+
+def _cmp(op: str, c: str, bound, floating: set[str]) -> Column:
+    """Python-semantics comparison; the NaN guard only where NaN can occur."""
+    x = F.col(c)
+    if op == "==":
+        return x == bound
+    if op in (">", ">=") and c in floating:
+        return _CMP[op](x, bound)
+    return {"<": x < bound, "<=": x <= bound, ">": x > bound, ">=": x >= bound}[op]
+
+
+def _band_term(c: str, bands, otherwise: float, floating: set[str]) -> Column:
+    # A null condition falls through a CASE like false: Python's
+    # ``None == 1`` is False, and nulls in ordered comparisons are rows the
+    # failure rule replaces anyway.
     expr = None
     for op, bound, inc in bands:
-        cond = (c == bound) if op == "==" else _CMP[op](c, bound)
-        # A null comparison never matches (Python's ``None == 1`` is False;
-        # nulls in ordered comparisons are handled by the failure rule).
-        cond = F.coalesce(cond, F.lit(False))
+        cond = _cmp(op, c, bound, floating)
         expr = F.when(cond, dlit(inc)) if expr is None else expr.when(cond, dlit(inc))
     return dlit(otherwise) if expr is None else expr.otherwise(dlit(otherwise))
 
 
 def _all_equal(values: dict) -> Column:
-    eq = reduce(lambda a, b: a & b, [F.col(k) == v for k, v in values.items()])
-    return F.coalesce(eq, F.lit(False))
+    return reduce(lambda a, b: a & b, [F.col(k) == v for k, v in values.items()])
 
 
 def _any_null(names) -> Column:
     return reduce(lambda a, b: a | b, [F.col(n).isNull() for n in names])
 
 
-def _finish(p: Column) -> tuple[Column, Column]:
-    prob = clamp(p)
-    pred = F.when(py_ge(prob, schemas.RULE_THRESHOLD), F.lit(1)).otherwise(F.lit(0))
-    return pred, prob
-
-
-def diabetes_rule_sum() -> Column:
+def diabetes_rule_sum(floating: set[str] = frozenset(("bmi", "dpf"))) -> Column:
     """Unclamped diabetes rule sum, additions in reference order."""
     p = dlit(DIABETES_BASE)
     for name, bands, otherwise in DIABETES_TERMS:
         if name == "insulin_resistance":
             ins_lt, glu_gt, inc = DIABETES_INSULIN_RESISTANCE
-            cond = F.coalesce(py_lt("insulin", ins_lt) & py_gt("glucose", glu_gt), F.lit(False))
+            cond = _cmp("<", "insulin", ins_lt, floating) & _cmp(">", "glucose", glu_gt, floating)
             term = F.when(cond, dlit(inc)).otherwise(dlit(0.0))
         else:
-            term = _band_term(F.col(name), bands, otherwise)
+            term = _band_term(name, bands, otherwise, floating)
         p = p + term
     return p
 
 
-def heart_rule_sum() -> Column:
+def heart_rule_sum(floating: set[str] = frozenset()) -> Column:
     """Unclamped heart rule sum, additions in reference order."""
     p = dlit(HEART_BASE)
     for name, bands, otherwise in HEART_TERMS:
         if name == "blood_pressure":
             expr = None
             for (sys_t, dia_t), inc in HEART_BP_BANDS:
-                cond = F.coalesce(py_ge("systolic_bp", sys_t) | py_ge("diastolic_bp", dia_t), F.lit(False))
+                cond = _cmp(">=", "systolic_bp", sys_t, floating) | _cmp(">=", "diastolic_bp", dia_t, floating)
                 expr = F.when(cond, dlit(inc)) if expr is None else expr.when(cond, dlit(inc))
             term = expr.otherwise(dlit(0.0))
         else:
-            term = _band_term(F.col(name), bands, otherwise)
+            term = _band_term(name, bands, otherwise, floating)
         p = p + term
     return p
 
 
-def _status(is_default: Column, failed: Column) -> Column:
-    return (F.when(is_default, F.lit("default_input")).when(failed, F.lit("failed"))
-            .otherwise(F.lit("scored")))
+_TMP = ("__rule_sum", "__rule_default", "__rule_failed", "__rule_p")
+
+
+def _finish(df: DataFrame, rule_sum: Column, is_default: Column, failed: Column, pred_col: str,
+            prob_col: str, with_status: bool, status_col: str) -> DataFrame:
+    """Clamp, threshold and apply the default/failure overrides.
+
+    The sum, the flags and the clamped value are separate projections:
+    each is read more than once, so Catalyst keeps them apart, and every
+    generated method stays small enough for the JIT.
+    """
+    lo, hi = schemas.PROB_CLAMP
+    fail_pred, fail_prob = schemas.RULE_FAILURE
+    dflt_pred, dflt_prob = schemas.RULE_DEFAULT_INPUT
+    s, d, f, p = (F.col(c) for c in _TMP)
+    staged = (df.withColumns({_TMP[0]: rule_sum, _TMP[1]: is_default, _TMP[2]: failed})
+              .withColumn(_TMP[3], F.greatest(dlit(lo), F.least(dlit(hi), s))))
+    cols = {
+        pred_col: F.when(d, F.lit(dflt_pred)).when(f, F.lit(fail_pred))
+        .when(p >= schemas.RULE_THRESHOLD, F.lit(1)).otherwise(F.lit(0)),
+        prob_col: F.when(d, dlit(dflt_prob)).when(f, dlit(fail_prob)).otherwise(p),
+    }
+    if with_status:
+        cols[status_col] = (F.when(d, F.lit("default_input")).when(f, F.lit("failed"))
+                            .otherwise(F.lit("scored")))
+    return staged.withColumns(cols).drop(*_TMP)
 
 
 def rule_score_a(df: DataFrame, pred_col: str = "rule_pred", prob_col: str = "rule_prob",
@@ -150,17 +181,8 @@ def rule_score_a(df: DataFrame, pred_col: str = "rule_pred", prob_col: str = "ru
         if with_status:
             cols[status_col] = F.lit("short_input")
         return df.withColumns(cols)
-    pred, prob = _finish(diabetes_rule_sum())
-    fail_pred, fail_prob = schemas.RULE_FAILURE
-    dflt_pred, dflt_prob = schemas.RULE_DEFAULT_INPUT
-    is_default = _all_equal(DIABETES_FORM_DEFAULTS)
-    failed = _any_null(DIABETES_REQUIRED)
-    out_pred = (F.when(is_default, F.lit(dflt_pred)).when(failed, F.lit(fail_pred)).otherwise(pred))
-    out_prob = (F.when(is_default, dlit(dflt_prob)).when(failed, dlit(fail_prob)).otherwise(prob))
-    cols = {pred_col: out_pred, prob_col: out_prob}
-    if with_status:
-        cols[status_col] = _status(is_default, failed)
-    return df.withColumns(cols)
+    return _finish(df, diabetes_rule_sum(_floating(df)), _all_equal(DIABETES_FORM_DEFAULTS),
+                   _any_null(DIABETES_REQUIRED), pred_col, prob_col, with_status, status_col)
 
 
 def fill_absent(df: DataFrame, defaults: dict | None = None) -> DataFrame:
@@ -184,21 +206,15 @@ def rule_score_b(df: DataFrame, pred_col: str = "rule_pred", prob_col: str = "ru
     """
     work = fill_absent(df)
     added = [c for c in work.columns if c not in df.columns]
-    pred, prob = _finish(heart_rule_sum())
-    fail_pred, fail_prob = schemas.RULE_FAILURE
-    dflt_pred, dflt_prob = schemas.RULE_DEFAULT_INPUT
-    is_default = _all_equal(HEART_FORM_DEFAULTS)
+    floating = _floating(work)
     failed = _any_null(HEART_REQUIRED) | (
-        F.col("diastolic_bp").isNull() & ~F.coalesce(py_ge("systolic_bp", 140), F.lit(False)))
-    out_pred = F.when(is_default, F.lit(dflt_pred)).when(failed, F.lit(fail_pred)).otherwise(pred)
-    out_prob = F.when(is_default, dlit(dflt_prob)).when(failed, dlit(fail_prob)).otherwise(prob)
-    cols = {pred_col: out_pred, prob_col: out_prob}
-    if with_status:
-        cols[status_col] = _status(is_default, failed)
-    out = work.withColumns(cols)
+        F.col("diastolic_bp").isNull() & ~F.coalesce(_cmp(">=", "systolic_bp", 140, floating), F.lit(False)))
+    out = _finish(work, heart_rule_sum(floating), _all_equal(HEART_FORM_DEFAULTS), failed,
+                  pred_col, prob_col, with_status, status_col)
     return out.drop(*added) if added else out
 
 
 def is_default_input(task: str) -> Column:
     """True where the inputs equal the untouched form exactly."""
-    return _all_equal(DIABETES_FORM_DEFAULTS if task == "diabetes" else HEART_FORM_DEFAULTS)
+    return F.coalesce(_all_equal(DIABETES_FORM_DEFAULTS if task == "diabetes" else HEART_FORM_DEFAULTS),
+                      F.lit(False))

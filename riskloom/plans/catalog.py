@@ -436,27 +436,37 @@ def patient_inputs(spark, sf) -> DataFrame:
     return views.diabetes_inputs(views.patient_view(spark, sf))
 
 
-def fitted(spark, sf, task: str = "diabetes") -> dict:
-    """Tune LR and RF on the training split once per application and sf;
-    the pipelines are saved under the checkpoint folder and reloaded by path
+def _task_frame(spark, sf, task: str):
+    if task == "diabetes":
+        return patient_inputs(spark, sf), "outcome", schemas.DIABETES_FEATURES
+    df = views.heart_view(spark, sf).withColumnRenamed("outcome", "heart_attack_risk")
+    return df, "heart_attack_risk", [c for c in schemas.HEART_FEATURES if c in df.columns]
+
+
+def fitted_model(spark, sf, task: str = "diabetes", model: str = "lr") -> dict:
+    """Tune one model on the training split once per application and sf;
+    the pipeline is saved under the checkpoint folder and reloaded by path
     (a live model object would not survive a new session)."""
     from riskloom.session import scratch_path
-    key = (spark.sparkContext.applicationId, sf, task)
+    key = (spark.sparkContext.applicationId, sf, task, model)
     if key not in _FITS:
-        if task == "diabetes":
-            df, feats = patient_inputs(spark, sf), schemas.DIABETES_FEATURES
-        else:
-            df = views.heart_view(spark, sf).withColumnRenamed("outcome", "heart_attack_risk")
-            feats = [c for c in schemas.HEART_FEATURES if c in df.columns]
-        label = "outcome" if task == "diabetes" else "heart_attack_risk"
-        fit = training.fit_task(spark, df, "k", label, task, features=feats)
-        paths = {n: model_io.save_model(m, scratch_path(spark, f"{task}-{n}")) for n, m in fit.models.items()}
-        reports = [r for n in fit.models for r in fit.reports[n].collect()]
-        imp = fit.classifiers["rf"].featureImportances.toArray().tolist()
-        _FITS[key] = {"paths": paths, "reports": reports, "importances": list(zip(feats, imp)), "features": feats}
+        df, label, feats = _task_frame(spark, sf, task)
+        fit = training.fit_task(spark, df, "k", label, task, features=feats, models=(model,))
+        entry = {"path": model_io.save_model(fit.models[model], scratch_path(spark, f"{task}-{model}")),
+                 "reports": fit.reports[model].collect(), "features": feats}
+        if model == "rf":
+            entry["importances"] = list(zip(feats, fit.classifiers["rf"].featureImportances.toArray().tolist()))
+        _FITS[key] = entry
     return _FITS[key]
 
 
+def fitted(spark, sf, task: str = "diabetes") -> dict:
+    """Both tuned models of a task: paths, CV reports, importances."""
+    lr, rf = fitted_model(spark, sf, task, "lr"), fitted_model(spark, sf, task, "rf")
+    return {"paths": {"lr": lr["path"], "rf": rf["path"]}, "reports": lr["reports"] + rf["reports"],
+            "importances": rf["importances"], "features": lr["features"]}
+
+
 def _report_frame(spark, rows, model=None) -> DataFrame:
     df = spark.createDataFrame(
         rows, "model string, grid_index int, params string, mean_auc double, is_best boolean, fit_seconds double")
@@ -483,12 +493,12 @@ def q_train_rf(spark, sf):
 
 @query
 def q_tune_lr(spark, sf):
-    return _report_frame(spark, fitted(spark, sf)["reports"], "logistic_regression")
+    return _report_frame(spark, fitted_model(spark, sf, "diabetes", "lr")["reports"])
 
 
 @query
 def q_tune_rf(spark, sf):
-    return _report_frame(spark, fitted(spark, sf)["reports"], "random_forest")
+    return _report_frame(spark, fitted_model(spark, sf, "diabetes", "rf")["reports"])
 
 
 @query
@@ -498,7 +508,7 @@ def q_cv_metrics(spark, sf):
 
 @query
 def q_feature_importance(spark, sf):
-    imp = fitted(spark, sf)["importances"]
+    imp = fitted_model(spark, sf, "diabetes", "rf")["importances"]
     return (spark.createDataFrame([(f, float(v)) for f, v in imp], "feature string, importance double")
             .orderBy(F.col("importance").desc(), "feature"))
 
