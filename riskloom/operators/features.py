@@ -30,21 +30,23 @@ def to_vector(df: DataFrame, c: str, out: str | None = None) -> DataFrame:
         sparse = F.transform(
             F.sequence(F.lit(0), src["size"] - 1),
             lambda i: F.coalesce(F.element_at(F.map_from_arrays(src["indices"], src["values"]), i), F.lit(0.0)))
-        arr = F.when(src.isNull(), F.lit(None)).when(src["type"] == 1, dense).otherwise(sparse)
-        return df.withColumn(out or c, array_to_vector(arr))
+        arr = F.when(src["type"] == 1, dense).otherwise(sparse)
+        return df.withColumn(out or c, F.when(src.isNotNull(), array_to_vector(arr)))
     if isinstance(dtype, T.ArrayType) and not isinstance(dtype.elementType, T.DoubleType):
         src = src.cast("array<double>")
-    return df.withColumn(out or c, array_to_vector(src))
+    # array_to_vector is not null-safe: a null array stays a null vector.
+    return df.withColumn(out or c, F.when(src.isNotNull(), array_to_vector(src)))
 
 
 def to_array(df: DataFrame, c: str, out: str | None = None) -> DataFrame:
-    """vector -> array<double>."""
-    return df.withColumn(out or c, vector_to_array(F.col(c), "float64"))
+    """vector -> array<double> (a null vector stays null)."""
+    v = F.col(c)
+    return df.withColumn(out or c, F.when(v.isNotNull(), vector_to_array(v, "float64")))
 
 
 def vector_columns(df: DataFrame, vec: str, names: list[str], keep: list[str] | None = None) -> DataFrame:
     """Split a vector column into one double column per name."""
-    arr = vector_to_array(F.col(vec), "float64")
+    arr = F.when(F.col(vec).isNotNull(), vector_to_array(F.col(vec), "float64"))
     keep = [c for c in df.columns if c != vec] if keep is None else keep
     return df.select(*keep, *[arr[i].alias(n) for i, n in enumerate(names)])
 
