@@ -150,11 +150,12 @@ def q_range_check(spark, sf):
 
 
 def _reject_counts(checked: DataFrame, source: str) -> DataFrame:
-    per_col = (checked.select(F.explode("violations").alias("item"))
-               .groupBy("item").agg(F.count(F.lit(1)).alias("n")))
-    totals = (checked.groupBy(F.when(F.col("valid"), F.lit("__valid__")).otherwise(F.lit("__rejected__")).alias("item"))
-              .agg(F.count(F.lit(1)).alias("n")))
-    return per_col.unionByName(totals).withColumn("source", F.lit(source))
+    """Rows per violated column plus ``__valid__`` / ``__rejected__`` totals,
+    in one pass: the row's marker rides along in the exploded array."""
+    marker = F.when(F.col("valid"), F.lit("__valid__")).otherwise(F.lit("__rejected__"))
+    items = F.explode(F.concat(F.col("violations"), F.array(marker))).alias("item")
+    return (checked.select(items).groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("source", F.lit(source)))
 
 
 @query
