@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from riskloom import schemas
 from riskloom.operators.split import assign_folds, with_split
 from riskloom.plans import feature_plans
+from riskloom.session import spread
 
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the reference for identical tuning).
@@ -119,7 +120,7 @@ class TaskFit:
 
 def fit_task(spark: SparkSession, df: DataFrame, key: str, label: str, task: str = "diabetes",
              features: list[str] | None = None, models=("lr", "rf"), tune_models: bool = True,
-             fit_scope: str = "train", parallelism: int = 4) -> TaskFit:
+             fit_scope: str = "train", parallelism: int | None = None) -> TaskFit:
     """Split by key, fit feature stages, tune each model, assemble pipelines.
 
     ``fit_scope="all"`` fits imputation/scaling on every row (the reference's
@@ -141,21 +142,28 @@ def fit_task(spark: SparkSession, df: DataFrame, key: str, label: str, task: str
     from pyspark.ml import Pipeline
     feat_model = Pipeline(stages=stages).fit(df if fit_scope == "all" else train)
     prepared = feat_model.transform(train).select("features", F.col(label).cast("double").alias(label), "fold")
-    prepared = prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    cores = spark.sparkContext.defaultParallelism
     out = TaskFit(test=test, train=train, feature_names=list(features))
-    try:
-        for name in models:
+    for name in models:
+        # Many passes follow, so the featurised rows are kept.  A forest does
+        # a lot of work per row, so a small input is spread over the cores;
+        # a logistic pass is a dot product per row, and extra tasks only add
+        # scheduling (measured at sf0.1: LR CV 7.7 s on 1 partition vs 13 s
+        # on 8; RF CV 24 s on 8 vs 33 s on 1).  At scale both are no-ops.
+        data = (spread(prepared) if name == "rf" else prepared).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
             est = lr_estimator(label) if name == "lr" else rf_estimator(label)
             t0 = time.time()
             if tune_models:
                 grid = lr_grid(est) if name == "lr" else rf_grid(est)
-                cvm = tune(est, grid, prepared, label, parallelism=parallelism)
+                par = parallelism or max(1, min(len(grid), cores))
+                cvm = tune(est, grid, data, label, parallelism=par)
                 clf = cvm.bestModel
                 out.reports[name] = cv_report(spark, cvm, MODEL_KEYS[name], time.time() - t0)
             else:
-                clf = est.fit(prepared)
-            out.classifiers[name] = clf
-            out.models[name] = PipelineModel(stages=list(feat_model.stages) + [clf])
-    finally:
-        prepared.unpersist()
+                clf = est.fit(data)
+        finally:
+            data.unpersist()
+        out.classifiers[name] = clf
+        out.models[name] = PipelineModel(stages=list(feat_model.stages) + [clf])
     return out

@@ -66,3 +66,19 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
     return spark
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin repartition only when ``df`` has fewer partitions than
+    the cluster has cores (e.g. one small file read as one task).
+
+    On a large input this is a no-op, so it never adds a shuffle at scale;
+    round-robin (with Spark's sort-before-repartition) is deterministic on
+    retry and cannot be skewed by a hot key.
+    """
+    try:
+        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        have = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD access (Connect): leave as is
+        return df
+    return df.repartition(want) if have < want else df
