@@ -574,3 +574,20 @@ def q_stream_score(spark, sf):
     q = score_stream(read_stream(spark, landing, src.schema), "diabetes", models, "k", out, ckpt)
     q.awaitTermination()
     return spark.read.parquet(out).select(*_score_cols())
+
+
+@query
+def q_model_registry(spark, sf):
+    """Tuned pipelines of both tasks scored on their held-out split: exact
+    AUC, accuracy, winner (a tie keeps LR), written as the registry."""
+    from riskloom.operators.split import with_split
+    from riskloom.plans import jobs
+    from riskloom.session import scratch_path
+    out = None
+    for task in ("diabetes", "heart"):
+        df, label, feats = _task_frame(spark, sf, task)
+        test = with_split(df, "k", training.SPLIT_FRACTION, training.SPLIT_SEED).where(F.col("split") == "test")
+        reg = jobs.register(spark, task, test, fitted(spark, sf, task)["paths"], feats, label,
+                            scratch_path(spark, f"registry-{task}"))
+        out = reg if out is None else out.unionByName(reg)
+    return out

@@ -53,3 +53,30 @@ def test_model_roundtrip_identical(spark, sf_small, q):
 def test_train_single_models(spark, sf_small, q):
     assert q["train_lr"](spark, sf_small).count() == 9
     assert q["train_rf"](spark, sf_small).count() == 20
+
+
+def test_model_registry_one_winner_per_task(spark, sf_small, q):
+    reg = q["model_registry"](spark, sf_small).collect()
+    assert sorted((r.task, r.model) for r in reg) == [
+        ("diabetes", "logistic_regression"), ("diabetes", "random_forest"),
+        ("heart", "logistic_regression"), ("heart", "random_forest")]
+    for task in ("diabetes", "heart"):
+        assert sum(r.is_best for r in reg if r.task == task) == 1
+
+
+def test_stream_resumes_without_rescoring(spark, tmp_path):
+    """A rerun on the same checkpoint scores only files that are new."""
+    from riskloom.plans import catalog
+    from riskloom.streaming.score_stream import read_stream, score_stream
+    src = catalog.patient_inputs(spark, "/root/testdata/sf0.001")
+    landing, out, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    src.where("k % 2 = 0").write.mode("append").parquet(landing)
+    score_stream(read_stream(spark, landing, src.schema), "diabetes", {"lr": None, "rf": None}, "k",
+                 out, ckpt).awaitTermination()
+    first = spark.read.parquet(out).count()
+    src.where("k % 2 = 1").write.mode("append").parquet(landing)
+    score_stream(read_stream(spark, landing, src.schema), "diabetes", {"lr": None, "rf": None}, "k",
+                 out, ckpt).awaitTermination()
+    total = spark.read.parquet(out)
+    assert total.count() == src.count() and first < total.count()
+    assert total.groupBy("k").count().where("count > 1").count() == 0

@@ -37,7 +37,8 @@ def duck(sf_small):
 def test_every_query_has_a_check_or_is_rows_only():
     rows_only = set(QUERIES) - set(ORACLE)
     assert rows_only <= {"train_lr", "train_rf", "tune_lr", "tune_rf", "cv_metrics", "feature_importance",
-                         "batch_score", "heart_batch_score", "partial_models", "model_roundtrip", "stream_score"}
+                         "batch_score", "heart_batch_score", "partial_models", "model_roundtrip", "stream_score",
+                         "model_registry"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
