@@ -315,14 +315,17 @@ def candidate_scores(spark, sf) -> DataFrame:
     both models with the same column, so its AUCs tie exactly."""
     p = rule_score_a(views.diabetes_inputs(views.patient_outputs_view(spark, sf)))
     h = rule_score_b(views.heart_view(spark, sf))
-    cand = lambda df, task, pairs: df.select(
-        F.lit(task).alias("task"), F.col("outcome").alias("label"),
-        F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.col(c).cast("double").alias("score"))
-                            for m, c in pairs])).alias("m"))
-    long = (cand(p, "diabetes", [("logistic_regression", "lr_prob"), ("random_forest", "rf_prob")])
-            .unionByName(cand(h, "heart", [("logistic_regression", "rule_prob"), ("random_forest", "rule_pred")]))
-            .unionByName(cand(p, "tie_check", [("logistic_regression", "rule_prob"), ("random_forest", "rule_prob")])))
-    return long.select("task", "m.model", "m.score", "label")
+
+    def cand(df, triples):  # one pass per table: every candidate of a row from one explode
+        return df.select(F.col("outcome").alias("label"), F.explode(F.array(*[
+            F.struct(F.lit(t).alias("task"), F.lit(m).alias("model"), F.col(c).cast("double").alias("score"))
+            for t, m, c in triples])).alias("m"))
+
+    long = (cand(p, [("diabetes", "logistic_regression", "lr_prob"), ("diabetes", "random_forest", "rf_prob"),
+                     ("tie_check", "logistic_regression", "rule_prob"), ("tie_check", "random_forest", "rule_prob")])
+            .unionByName(cand(h, [("heart", "logistic_regression", "rule_prob"),
+                                  ("heart", "random_forest", "rule_pred")])))
+    return long.select("m.task", "m.model", "m.score", "label")
 
 
 def model_metrics(spark, sf) -> DataFrame:
