@@ -70,16 +70,18 @@ def zero_impute(df: DataFrame, cols: list[str], means: dict | None = None) -> Da
     """O-13: replace 0 by the column's mean of non-zero values.
 
     With ``means`` given (e.g. fitted on the training split) this is a pure
-    projection.  Without, the means come from one aggregate over ``df``,
-    cross-joined back as a one-row broadcast.  A column that is all zero
-    gets a null mean, so its zeros become null.  Imputed columns are double.
+    projection.  Without, all means come from one scalar subquery over
+    ``df`` (a struct with one field per column): one aggregate pass whose
+    single row is inlined into the projection (no join).  A
+    column that is all zero gets a null mean, so its zeros become null.
+    Imputed columns are double.
     """
     if means is not None:
         return df.withColumns({c: _impute_expr(c, F.lit(means.get(c)).cast("double")) for c in cols})
-    stats = nonzero_means(df, cols).select(*[F.col(c).cast("double").alias(f"__mean_{c}") for c in cols])
-    joined = df.crossJoin(F.broadcast(stats))
-    out = joined.withColumns({c: _impute_expr(c, F.col(f"__mean_{c}")) for c in cols})
-    return out.drop(*[f"__mean_{c}" for c in cols])
+    stats = df.agg(F.struct(*[_nonzero_mean_col(c).cast("double").alias(c) for c in cols])).scalar()
+    # Project the struct once: every column then reads the same subquery.
+    staged = df.withColumn("__nz_means", stats)
+    return staged.withColumns({c: _impute_expr(c, F.col("__nz_means")[c]) for c in cols}).drop("__nz_means")
 
 
 def binary_encode(df: DataFrame, c: str, positive: str, out: str | None = None) -> DataFrame:
