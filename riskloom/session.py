@@ -18,29 +18,44 @@ from pyspark.sql import SparkSession
 _CKPT_KEY = "spark.checkpoint.dir"
 
 
+def _conf_dir(spark: SparkSession) -> str | None:
+    for get in (lambda: spark.conf.get(_CKPT_KEY, None),
+                lambda: spark.sparkContext.getConf().get(_CKPT_KEY, None)):
+        try:
+            v = get()
+        except Exception:  # noqa: BLE001 - some confs are not readable over Connect
+            v = None
+        if v:
+            return v
+    return None
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder of this session (set one if unset)."""
-    root = None
+    """The shared checkpoint folder of this session.
+
+    ``spark.checkpoint.dir`` if the cluster names one; else the folder
+    already given to ``SparkContext.setCheckpointDir``; else (local tests
+    only) a new temporary folder, which becomes the context's checkpoint
+    dir so later calls find it again.
+    """
+    root = _conf_dir(spark)
     try:
-        root = spark.conf.get(_CKPT_KEY, None)
-    except Exception:  # noqa: BLE001 - some confs are not readable over Connect
-        root = None
-    if not root:
-        try:
-            root = spark.sparkContext.getConf().get(_CKPT_KEY, None)
-        except Exception:  # noqa: BLE001
-            root = None
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect has no SparkContext
+        sc = None
+    if not root and sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current.rstrip("/")
     if not root:
         root = tempfile.mkdtemp(prefix="riskloom-ckpt-")
+    if sc is not None and not sc.getCheckpointDir():
         try:
-            spark.conf.set(_CKPT_KEY, root)
+            sc.setCheckpointDir(root)
+            if not _conf_dir(spark):
+                return sc.getCheckpointDir().rstrip("/")
         except Exception:  # noqa: BLE001
             pass
-    try:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(root)
-    except Exception:  # noqa: BLE001
-        pass
     return root.rstrip("/")
 
 
