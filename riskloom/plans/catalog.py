@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.functions.columns import threshold as fcols_threshold
 from riskloom.functions.rules import rule_score_a, rule_score_b
 from riskloom.operators import scoring
 from riskloom.plans import views
@@ -56,7 +57,7 @@ def q_rule_score_b(spark, sf):
 def scored_patients(spark, sf) -> DataFrame:
     """Stand-in model outputs + thresholds + rule fallback + verdict, per event."""
     p = views.diabetes_inputs(views.patient_outputs_view(spark, sf))
-    p = p.withColumns({"lr_pred": scoring.threshold("lr_prob"), "rf_pred": scoring.threshold("rf_prob")})
+    p = p.withColumns({"lr_pred": fcols_threshold("lr_prob"), "rf_pred": fcols_threshold("rf_prob")})
     return scoring.consensus(rule_score_a(p, with_status=True))
 
 
@@ -71,7 +72,7 @@ def q_consensus(spark, sf):
 def q_fallback_gate(spark, sf):
     c = scoring.fallback_gate(rule_score_a(
         views.diabetes_inputs(views.patient_outputs_view(spark, sf)).withColumns(
-            {"lr_pred": scoring.threshold("lr_prob"), "rf_pred": scoring.threshold("rf_prob")}),
+            {"lr_pred": fcols_threshold("lr_prob"), "rf_pred": fcols_threshold("rf_prob")}),
         with_status=True))
     return c.select("k", "rule_pred", r6("rule_prob", "rule_prob"), "source")
 
@@ -228,9 +229,6 @@ def q_features_zero_imputed(spark, sf):
     return out.select("k", *[r6(c, c) for c in schemas.DIABETES_FEATURES])
 
 
-DOC_FEATURES = ["lang", "n_chars", "quality"]
-
-
 @query
 def q_features_null_dropped(spark, sf):
     raw = documents_labelled(spark, sf)

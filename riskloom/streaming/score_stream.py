@@ -16,8 +16,14 @@ from pyspark.sql.streaming import StreamingQuery
 from riskloom.operators import scoring
 
 
-def read_stream(spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Parquet files landing in ``path`` as a stream (schema is required)."""
+def read_stream(spark: SparkSession, path: str, schema: T.StructType,
+                max_files_per_trigger: int | None = 1000) -> DataFrame:
+    """Parquet files landing in ``path`` as a stream (schema is required).
+
+    ``maxFilesPerTrigger`` bounds each micro-batch, so a large backlog is
+    worked off in pieces (``availableNow`` honours it) instead of one
+    batch that must fit the cluster at once.
+    """
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
