@@ -592,3 +592,12 @@ def q_model_registry(spark, sf):
                             scratch_path(spark, f"registry-{task}"))
         out = reg if out is None else out.unionByName(reg)
     return out
+
+
+def flagship(spark, sf) -> DataFrame:
+    """The whole serving path on real models: LR and RF fitted (single fits)
+    on the keyed training split, then every row scored by both pipelines,
+    with rule fallback, consensus verdict and texts."""
+    df = patient_inputs(spark, sf)
+    fit = training.fit_task(spark, df, "k", "outcome", "diabetes", tune_models=False)
+    return scoring.score_all(df, "diabetes", fit.models, "k").select(*_score_cols(), "headline")
