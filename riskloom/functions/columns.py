@@ -105,9 +105,13 @@ def risk_text(pred) -> Column:
 
 
 def percent_text(p) -> Column:
-    """``{p:.1%}``-style text.  Half-way ties may round differently from
-    Python; compare the number, not this text, in checks."""
-    return F.format_string("%.1f%%", col(p) * F.lit(100.0))
+    """``{p:.1%}`` text as Python writes it: ``p * 100`` in doubles, then
+    rounded on its exact binary value, exact ties to even (0.0625 -> 6.2%,
+    0.0635 -> 6.3%, 0.0005 -> 0.1%).  ``format_number`` (Java's
+    ``DecimalFormat``) rounds that way; ``format_string`` and ``bround`` round
+    the shortest decimal form instead and differ near ties.  Grouping commas
+    (only above 1000%) are removed."""
+    return F.concat(F.regexp_replace(F.format_number(col(p) * F.lit(100.0), 1), ",", ""), F.lit("%"))
 
 
 def decode_flag(c, yes: str = "Yes", no: str = "No") -> Column:

@@ -55,3 +55,9 @@ def test_recommendation_and_headline(spark):
     out = df.select(scoring.recommend(df, "heart").alias("r"), scoring.headline("heart").alias("h")).collect()
     assert out[0].r == scoring.RECOMMENDATIONS[("heart", "High")]
     assert out[1].h == "Low Risk of Heart Attack (Fallback Prediction)"
+
+
+def test_percent_text_rounds_like_python(spark):
+    vals = [0.0625, 0.0635, 0.0005, 0.0015, 0.00125, 0.999, 1.0, 0.33335, 12.3456]
+    df = spark.createDataFrame([(v,) for v in vals], "p double")
+    assert [r[0] for r in df.select(percent_text("p")).collect()] == [f"{v:.1%}" for v in vals]
