@@ -428,6 +428,7 @@ def q_processed_roundtrip(spark, sf):
 # --- training, tuning, persistence, scoring -----------------------------------
 
 from riskloom.plans import training  # noqa: E402
+from riskloom.session import app_id  # noqa: E402
 from riskloom.sources import models as model_io  # noqa: E402
 
 _FITS: dict = {}
@@ -450,7 +451,7 @@ def fitted_model(spark, sf, task: str = "diabetes", model: str = "lr") -> dict:
     the pipeline is saved under the checkpoint folder and reloaded by path
     (a live model object would not survive a new session)."""
     from riskloom.session import scratch_path
-    key = (spark.sparkContext.applicationId, sf, task, model)
+    key = (app_id(spark), sf, task, model)
     if key not in _FITS:
         df, label, feats = _task_frame(spark, sf, task)
         fit = training.fit_task(spark, df, "k", label, task, features=feats, models=(model,))

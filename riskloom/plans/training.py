@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from riskloom import schemas
 from riskloom.operators.split import assign_folds, with_split
 from riskloom.plans import feature_plans
+from riskloom.session import cores as n_cores
 from riskloom.session import spread
 
 # ---------------------------------------------------------------------------
@@ -142,7 +143,7 @@ def fit_task(spark: SparkSession, df: DataFrame, key: str, label: str, task: str
     from pyspark.ml import Pipeline
     feat_model = Pipeline(stages=stages).fit(df if fit_scope == "all" else train)
     prepared = feat_model.transform(train).select("features", F.col(label).cast("double").alias(label), "fold")
-    cores = spark.sparkContext.defaultParallelism
+    cores = n_cores(spark)
     out = TaskFit(test=test, train=train, feature_names=list(features))
     for name in models:
         # Many passes follow, so the featurised rows are kept.  A forest does

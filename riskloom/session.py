@@ -92,8 +92,31 @@ def spread(df, min_partitions: int | None = None):
     retry and cannot be skewed by a hot key.
     """
     try:
-        want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        want = min_partitions or cores(df.sparkSession)
         have = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD access (Connect): leave as is
         return df
     return df.repartition(want) if have < want else df
+
+
+def app_id(spark: SparkSession) -> str:
+    """Identifier of the running application (stable for a session)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Connect has no SparkContext
+        try:
+            return spark.conf.get("spark.app.id", None) or str(id(spark))
+        except Exception:  # noqa: BLE001
+            return str(id(spark))
+
+
+def cores(spark: SparkSession) -> int:
+    """Default parallelism of the cluster (task slots)."""
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001
+        try:
+            return int(spark.conf.get("spark.default.parallelism", None) or
+                       spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        except Exception:  # noqa: BLE001
+            return 8
