@@ -6,6 +6,8 @@ not match fails at the scan instead of training on shifted columns.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -24,13 +26,25 @@ def read_diabetes_csv(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.diabetes_csv_schema()).withColumnsRenamed(schemas.diabetes_rename_map())
 
 
+def snake(name: str) -> str:
+    """``Heart_Attack_Risk`` / ``Heart Attack Risk`` -> ``heart_attack_risk``."""
+    return "_".join(w for w in re.split(r"[^0-9A-Za-z]+", name.strip()) if w).lower()
+
+
 def read_heart_csv(spark: SparkSession, path: str, rename: dict | None = None,
                    schema: T.StructType | None = None) -> DataFrame:
-    """The heart CSV; ``rename`` maps the file's header names to ours."""
+    """The heart CSV with snake_case names (``Patient_ID`` -> ``patient_id``).
+
+    Its column list is not fixed upstream, so without ``schema`` the types
+    are inferred as the reference does (one extra pass over the file);
+    pass a schema to skip that.  ``rename`` maps normalised names to ours
+    where the file spells a feature differently.
+    """
     if schema is None:
-        df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+        df = spark.read.option("header", True).option("inferSchema", True).csv(path)
     else:
         df = read_csv(spark, path, schema)
+    df = df.withColumnsRenamed({c: snake(c) for c in df.columns if snake(c) != c})
     return df.withColumnsRenamed(rename) if rename else df
 
 

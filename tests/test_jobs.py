@@ -69,3 +69,16 @@ def test_heart_prepare_and_rule_serving(spark):
     # the gender string is encoded for the rules (1 = male)
     male = served.where("gender = 'Male'").select("rule_prob").limit(1).collect()
     assert male and served.schema["gender"].dataType.typeName() == "string"
+
+
+def test_heart_csv_names_and_types(spark):
+    header = ["Patient_ID", "State_Name", "Age", "Gender", "Diabetes", "Cholesterol_Level", "Heart_Attack_Risk"]
+    rows = [["P1", "Kerala", "54", "Male", "1", "231", "1"], ["P2", "", "61", "Female", "0", "190", "0"]]
+    path = scratch_path(spark, "test-heart-csv")
+    spark.createDataFrame(rows, header).coalesce(1).write.option("header", True).csv(path)
+    df = files.read_heart_csv(spark, path, rename={"cholesterol_level": "cholesterol"})
+    assert df.columns == ["patient_id", "state_name", "age", "gender", "diabetes", "cholesterol",
+                          "heart_attack_risk"]
+    assert dict(df.dtypes)["age"] == "int" and dict(df.dtypes)["gender"] == "string"
+    prepared = jobs.prepare(df, "heart", scratch_path(spark, "test-heart-prep"), key="patient_id")
+    assert prepared.count() == 2        # the null state name is an id: the row is kept
