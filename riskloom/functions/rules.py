@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskloom import schemas
-from riskloom.functions.columns import dlit, py_ge, py_gt, py_le, py_lt  # noqa: F401
+from riskloom.functions.columns import dlit, py_ge, py_gt, py_le, py_lt
 
 _CMP = {"<": py_lt, "<=": py_le, ">": py_gt, ">=": py_ge}
 

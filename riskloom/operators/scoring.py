@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from riskloom import schemas
 from riskloom.functions.columns import (
-    dlit, label_text, mean_prob, percent_text, positive_prob, py_ge, risk_text,
+    label_text, mean_prob, percent_text, positive_prob, py_ge, risk_text,
     threshold, vote_count,
 )
 

@@ -12,10 +12,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.ml.functions import array_to_vector
+
+from riskloom import schemas
+from riskloom.functions import columns as fcols
+from riskloom.functions.columns import decode_flag
 from riskloom.functions.columns import threshold as fcols_threshold
 from riskloom.functions.rules import rule_score_a, rule_score_b
-from riskloom.operators import scoring
-from riskloom.plans import views
+from riskloom.operators import clean, evaluate, features, profile, scoring, split
+from riskloom.operators.split import with_split
+from riskloom.plans import feature_plans, jobs, training, views
+from riskloom.session import app_id, scratch_path
+from riskloom.sources import files, registry
+from riskloom.sources import models as model_io
+from riskloom.streaming.score_stream import read_stream, score_stream
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -84,9 +94,6 @@ def q_verdict_counts(spark, sf):
 
 # --- projections, cleaning ------------------------------------------------
 
-from riskloom import schemas  # noqa: E402
-from riskloom.operators import clean, features, profile  # noqa: E402
-from riskloom.plans import feature_plans  # noqa: E402
 
 
 @query
@@ -177,7 +184,6 @@ def q_fill_absent(spark, sf):
 @query
 def q_decode_flags(spark, sf):
     h = views.heart_view(spark, sf)
-    from riskloom.functions.columns import decode_flag
     flags = [decode_flag(c).alias(c) for c in schemas.HEART_YES_NO_FLAGS]
     return h.select("k", decode_flag("gender", "Male", "Female").alias("gender"), *flags)
 
@@ -261,8 +267,6 @@ def q_row_count(spark, sf):
 
 # --- splits and folds ---------------------------------------------------------
 
-from riskloom.operators import evaluate, split  # noqa: E402
-from riskloom.functions import columns as fcols  # noqa: E402
 
 
 @query
@@ -338,8 +342,6 @@ def q_best_model(spark, sf):
 
 @query
 def q_registry_status(spark, sf):
-    from riskloom.session import scratch_path
-    from riskloom.sources import registry
     metrics = model_metrics(spark, sf).withColumn(
         "path", F.concat(F.lit("models/"), F.col("task"), F.lit("_"), F.col("model")))
     path = scratch_path(spark, "registry")
@@ -354,7 +356,6 @@ LINEAR_COEF = {"intercept": -4.0, "glu": 0.02, "bmi": 0.05, "age": 0.015, "dpf":
 
 @query
 def q_linear_score(spark, sf):
-    from pyspark.ml.functions import array_to_vector
     pv = views.patient_view(spark, sf)
     z = F.lit(LINEAR_COEF["intercept"])
     for c in ("glu", "bmi", "age", "dpf"):
@@ -405,8 +406,6 @@ def q_recommendation(spark, sf):
 
 @query
 def q_csv_roundtrip(spark, sf):
-    from riskloom.session import scratch_path
-    from riskloom.sources import files
     part = views.table(spark, sf, "part")
     path = scratch_path(spark, "part-csv")
     files.write_csv(part, path)
@@ -415,8 +414,6 @@ def q_csv_roundtrip(spark, sf):
 
 @query
 def q_processed_roundtrip(spark, sf):
-    from riskloom.session import scratch_path
-    from riskloom.sources import files
     part = views.table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
     vec = features.assemble(part, ["p_size", "p_retailprice"], "features").select("p_partkey", "features")
     path = scratch_path(spark, "part-processed")
@@ -427,9 +424,6 @@ def q_processed_roundtrip(spark, sf):
 
 # --- training, tuning, persistence, scoring -----------------------------------
 
-from riskloom.plans import training  # noqa: E402
-from riskloom.session import app_id  # noqa: E402
-from riskloom.sources import models as model_io  # noqa: E402
 
 _FITS: dict = {}
 
@@ -450,7 +444,6 @@ def fitted_model(spark, sf, task: str = "diabetes", model: str = "lr") -> dict:
     """Tune one model on the training split once per application and sf;
     the pipeline is saved under the checkpoint folder and reloaded by path
     (a live model object would not survive a new session)."""
-    from riskloom.session import scratch_path
     key = (app_id(spark), sf, task, model)
     if key not in _FITS:
         df, label, feats = _task_frame(spark, sf, task)
@@ -540,7 +533,6 @@ def q_heart_batch_score(spark, sf):
 def q_partial_models(spark, sf):
     """LR saved, RF path missing; some inputs null.  RF columns are typed
     nulls, LR is masked where an input is null, rules take those rows."""
-    from riskloom.session import scratch_path
     paths = fitted(spark, sf)["paths"]
     models = {"lr": model_io.load_optional(spark, paths["lr"]),
               "rf": model_io.load_optional(spark, scratch_path(spark, "absent-model"))}
@@ -550,7 +542,6 @@ def q_partial_models(spark, sf):
 
 @query
 def q_model_roundtrip(spark, sf):
-    from riskloom.session import scratch_path
     df = patient_inputs(spark, sf)
     fit = training.fit_task(spark, df, "k", "outcome", "diabetes", models=("lr",), tune_models=False)
     live = fit.models["lr"]
@@ -565,8 +556,6 @@ def q_model_roundtrip(spark, sf):
 def q_stream_score(spark, sf):
     """Rows land as parquet files; a stateless stream scores them with the
     saved pipelines into a parquet sink (trigger availableNow)."""
-    from riskloom.session import scratch_path
-    from riskloom.streaming.score_stream import read_stream, score_stream
     paths = fitted(spark, sf)["paths"]
     models = {n: model_io.load_model(p) for n, p in paths.items()}
     src = patient_inputs(spark, sf)
@@ -582,9 +571,6 @@ def q_stream_score(spark, sf):
 def q_model_registry(spark, sf):
     """Tuned pipelines of both tasks scored on their held-out split: exact
     AUC, accuracy, winner (a tie keeps LR), written as the registry."""
-    from riskloom.operators.split import with_split
-    from riskloom.plans import jobs
-    from riskloom.session import scratch_path
     out = None
     for task in ("diabetes", "heart"):
         df, label, feats = _task_frame(spark, sf, task)

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from riskloom import schemas
 from riskloom.operators import evaluate, scoring
-from riskloom.operators.features import vector_columns  # noqa: F401  (handy for callers)
 from riskloom.plans import feature_plans, training
 from riskloom.sources import files, models as model_io, registry
 
