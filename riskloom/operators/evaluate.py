@@ -95,6 +95,16 @@ def auc_exact(df: DataFrame, score: str, label: str, by: list[str] | None = None
     return agg.select(*by, F.when(denom > 0, F.col("__u") / denom).alias(out), "n", "n_pos")
 
 
+def auc_binned(df: DataFrame, score: str, label: str, num_bins: int = 1000) -> float:
+    """Spark's ``BinaryClassificationEvaluator`` AUC (approximate above
+    ``num_bins`` distinct scores): one distributed action, one number."""
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.functions import array_to_vector
+    s = F.col(score).cast("double")
+    raw = df.select(array_to_vector(F.array(-s, s)).alias("rawPrediction"), F.col(label).cast("double").alias("label"))
+    return float(BinaryClassificationEvaluator(numBins=num_bins).evaluate(raw))
+
+
 def accuracy(df: DataFrame, pred: str, label: str, by: list[str] | None = None, out: str = "accuracy") -> DataFrame:
     """Share of rows with ``pred == label`` per group (null pairs ignored)."""
     by = list(by or [])

@@ -68,7 +68,11 @@ def train(spark: SparkSession, df: DataFrame, task: str, models_dir: str, key: s
 def register(spark: SparkSession, task: str, test: DataFrame, paths: dict, feats: list[str], label: str,
              registry_path: str) -> DataFrame:
     """Score the held-out rows with each saved pipeline, measure exact AUC
-    and accuracy, mark the winner and write the registry table."""
+    and accuracy, mark the winner and write the registry table.
+
+    ``auc_binned`` is Spark's evaluator with its default 1000 bins, the
+    number the reference prints; the winner is chosen on the exact AUC.
+    """
     parts = []
     for name, path in paths.items():
         scored = scoring.score(test, {name: model_io.load_model(path)}, feats)
@@ -84,7 +88,11 @@ def register(spark: SparkSession, task: str, test: DataFrame, paths: dict, feats
         test_scores = test_scores.unionByName(p)
     auc = evaluate.auc_exact(test_scores, "score", "label", by=["task", "model", "path"])
     acc = evaluate.accuracy(test_scores, "pred", "label", by=["task", "model"]).drop("n")
-    metrics = evaluate.pick_best(auc.join(acc, ["task", "model"]).select("task", "model", "auc", "accuracy", "path"))
+    binned = spark.createDataFrame(
+        [(task, training.MODEL_KEYS[n], evaluate.auc_binned(p.where(F.col("score").isNotNull()), "score", "label"))
+         for n, p in zip(paths, parts)], "task string, model string, auc_binned double")
+    metrics = evaluate.pick_best(auc.join(acc, ["task", "model"]).join(binned, ["task", "model"])
+                                 .select("task", "model", "auc", "auc_binned", "accuracy", "path"))
     registry.write_registry(metrics, registry_path)
     return registry.read_registry(spark, registry_path)
 
