@@ -2,8 +2,8 @@
 
 All of these are narrow (map-side) except ``zero_impute`` without given
 means, which needs one global aggregate: a partial aggregate per task and
-a one-row final merge.  Its result is joined back as a one-row broadcast,
-so the plan stays lazy and nothing is collected to the driver.
+a one-row final merge, used as a scalar subquery, so the plan stays lazy,
+has no join, and nothing is collected by our code.
 """
 
 from __future__ import annotations
