@@ -2,7 +2,9 @@
 
 1. exact AUC where one score value holds a third of all rows, against
    Spark's exact ``BinaryClassificationEvaluator(numBins=0)``;
-2. rule score + gate + verdict + counts over the same number of rows.
+2. rule score + gate + verdict + counts over the same number of rows;
+3. both fitted pipelines (LR, RF; fitted on the sf0.01 patient view) +
+   rules + verdict over the same rows.
 
 Usage: python tools/scale_probe.py [N]  (default 10,000,000)
 """
@@ -57,6 +59,14 @@ def main() -> None:
     rows = c.groupBy("source", "verdict").count().collect()
     print(f"verdict counts over {n:,} rows {time.time() - t:.1f}s", sorted(tuple(r) for r in rows))
 
+    from riskloom.plans import catalog, training
+    fit = training.fit_task(spark, catalog.patient_inputs(spark, "/root/testdata/sf0.01"), "k", "outcome",
+                            "diabetes", tune_models=False)
+    scored = scoring.score_all(pv.drop("lr_prob", "rf_prob"), "diabetes", fit.models, "k")
+    t = time.time()
+    rows = scored.groupBy("source", "verdict").count().collect()
+    print(f"LR+RF pipelines + rules + verdict over {n:,} rows {time.time() - t:.1f}s", sorted(tuple(r) for r in rows))
+
 
 if __name__ == "__main__":
     main()
