@@ -44,3 +44,15 @@ def registry_status(expected: DataFrame, registry: DataFrame) -> DataFrame:
 
 def expected_frame(spark: SparkSession, expected=None) -> DataFrame:
     return spark.createDataFrame(EXPECTED_ARTEFACTS if expected is None else expected, "task string, model string")
+
+
+def artefact_status(spark: SparkSession, models_dir: str, tasks=("diabetes", "heart")) -> DataFrame:
+    """O-60 on the file system: which model folders and the registry exist
+    under ``models_dir`` (a fixed handful of paths, checked through the
+    cluster's file system from the driver; no data is read)."""
+    from riskloom.plans.jobs import MODEL_DIRS
+    from riskloom.sources.models import path_exists
+    rows = [(t, n, f"{models_dir}/{t}_{d}") for t in tasks for n, d in MODEL_DIRS.items()]
+    rows.append(("all", "registry", f"{models_dir}/registry"))
+    return spark.createDataFrame([(t, n, p, path_exists(spark, p)) for t, n, p in rows],
+                                 "task string, artefact string, path string, present boolean")

@@ -51,6 +51,10 @@ def test_prepare_train_serve(spark, diabetes):
     assert sum(r.is_best for r in reg) == 1 and all(0 <= r.auc <= 1 for r in reg)
     served = jobs.serve(spark, diabetes, "diabetes", f"{out}/models", key="k")
     assert served.count() == 768 and served.where("source <> 'models'").count() == 0
+    from riskloom.sources import registry
+    status = {(r.task, r.artefact): r.present for r in registry.artefact_status(spark, f"{out}/models").collect()}
+    assert status[("diabetes", "lr")] and status[("diabetes", "rf")] and status[("all", "registry")]
+    assert not status[("heart", "lr")] and not status[("heart", "rf")]
 
 
 def test_heart_prepare_and_rule_serving(spark):
