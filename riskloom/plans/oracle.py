@@ -307,7 +307,7 @@ FROM f4b""")
 
 _q("vector_roundtrip", """
 SELECT vec_id, CAST(len(embedding) AS INTEGER) AS n,
-       round(list_reduce(list_transform(embedding, lambda x: CAST(x AS DOUBLE)), lambda a, b: a + b), 6) AS total,
+       round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS total,
        round(CAST(embedding[1] AS DOUBLE), 6) AS first
 FROM embeddings""")
 
