@@ -151,8 +151,12 @@ def headline(task: str, verdict_col: str = "verdict", source_col: str = "source"
     return F.when(F.col(source_col) == "models", base).otherwise(F.concat(base, F.lit(" (Fallback Prediction)")))
 
 
-def score_all(df: DataFrame, task: str, models: dict, key: str) -> DataFrame:
-    """Full per-row result: models, rule fallback, verdict and text."""
+def score_all(df: DataFrame, task: str, models: dict, key: str | None = None) -> DataFrame:
+    """Full per-row result: models, rule fallback, verdict and text.
+
+    Every input row is kept (one output row per input row); ``key``, if
+    given, leads the output columns.
+    """
     from riskloom.functions.rules import rule_score_a, rule_score_b
     inputs = schemas.DIABETES_FEATURES if task == "diabetes" else schemas.HEART_FEATURES
     scored = score(df, models, [c for c in inputs if c in df.columns])
@@ -168,4 +172,5 @@ def score_all(df: DataFrame, task: str, models: dict, key: str) -> DataFrame:
         if text_gender:
             ruled = ruled.drop(g).withColumnRenamed("__gender_text", g)
     out = consensus(ruled)
-    return out.withColumns({"recommendation": recommend(out, task), "headline": headline(task)})
+    out = out.withColumns({"recommendation": recommend(out, task), "headline": headline(task)})
+    return out.select(key, *[c for c in out.columns if c != key]) if key else out
