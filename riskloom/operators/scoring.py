@@ -151,6 +151,16 @@ def headline(task: str, verdict_col: str = "verdict", source_col: str = "source"
     return F.when(F.col(source_col) == "models", base).otherwise(F.concat(base, F.lit(" (Fallback Prediction)")))
 
 
+def message(task: str, prob_col: str = "risk_prob", source_col: str = "source") -> Column:
+    """Verdict message with the probability as Python's ``{p:.1%}`` writes
+    it (our wording): the models' mean, or the fallback rule's value."""
+    what = "diabetes" if task == "diabetes" else "heart attack risk"
+    pct = percent_text(prob_col)
+    return F.when(F.col(source_col) == "models",
+                  F.concat(F.lit("Average model probability of "), F.lit(what), F.lit(": "), pct, F.lit(".")))\
+        .otherwise(F.concat(F.lit("Fallback rule probability of "), F.lit(what), F.lit(": "), pct, F.lit(".")))
+
+
 def score_all(df: DataFrame, task: str, models: dict, key: str | None = None) -> DataFrame:
     """Full per-row result: models, rule fallback, verdict and text.
 
@@ -172,5 +182,6 @@ def score_all(df: DataFrame, task: str, models: dict, key: str | None = None) ->
         if text_gender:
             ruled = ruled.drop(g).withColumnRenamed("__gender_text", g)
     out = consensus(ruled)
-    out = out.withColumns({"recommendation": recommend(out, task), "headline": headline(task)})
+    out = out.withColumns({"recommendation": recommend(out, task), "headline": headline(task),
+                           "message": message(task)})
     return out.select(key, *[c for c in out.columns if c != key]) if key else out

@@ -391,6 +391,14 @@ def heart_rule_path(spark, sf) -> DataFrame:
     return scoring.consensus(rule_score_b(h, with_status=True))
 
 
+@query
+def q_verdict_text(spark, sf):
+    """O-54/O-56 texts: heading and message with the percentage."""
+    c = scored_patients(spark, sf)
+    return c.select("k", "verdict", scoring.headline("diabetes").alias("headline"),
+                    scoring.message("diabetes").alias("message"))
+
+
 @query
 def q_recommendation(spark, sf):
     d = scored_patients(spark, sf)

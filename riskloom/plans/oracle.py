@@ -506,6 +506,15 @@ SELECT k, model,
 FROM lng""")
 
 
+_q("verdict_text", f"""
+WITH {consensus_sql()}
+SELECT k, verdict,
+  verdict || ' Risk of Diabetes' || CASE WHEN source = 'models' THEN '' ELSE ' (Fallback Prediction)' END AS headline,
+  CASE WHEN source = 'models' THEN 'Average model probability of diabetes: '
+       ELSE 'Fallback rule probability of diabetes: ' END || printf('%.1f%%', risk_prob * 100) || '.' AS message
+FROM cons""")
+
+
 def _recommend(task_sql: str) -> str:
     return f"""CASE WHEN {task_sql} = 'diabetes' AND verdict = 'High' THEN 'Further clinical tests are advised.'
        WHEN {task_sql} = 'diabetes' AND verdict = 'Low' THEN 'Keep a healthy lifestyle and regular check-ups.'
