@@ -102,3 +102,16 @@ def serve(spark: SparkSession, df: DataFrame, task: str, models_dir: str, key: s
     the rules where none answers, and add the verdict and its texts."""
     models = {n: model_io.load_optional(spark, f"{models_dir}/{task}_{d}") for n, d in MODEL_DIRS.items()}
     return scoring.score_all(df, task, models, key)
+
+
+def serve_checked(spark: SparkSession, df: DataFrame, task: str, models_dir: str, key: str,
+                  bounds: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Stage 3 behind the entry form's bounds: rows inside every bound (and
+    without nulls in a bounded input) are scored; the others come back
+    unscored with the names of the inputs they violate.  Both are lazy and
+    come from one range-check projection (no shuffle)."""
+    from riskloom.operators.clean import range_split
+    if bounds is None:
+        bounds = schemas.DIABETES_BOUNDS if task == "diabetes" else schemas.HEART_BOUNDS
+    valid, rejected = range_split(df, {c: b for c, b in bounds.items() if c in df.columns})
+    return serve(spark, valid, task, models_dir, key), rejected

@@ -86,3 +86,13 @@ def test_heart_csv_names_and_types(spark):
     assert dict(df.dtypes)["age"] == "int" and dict(df.dtypes)["gender"] == "string"
     prepared = jobs.prepare(df, "heart", scratch_path(spark, "test-heart-prep"), key="patient_id")
     assert prepared.count() == 2        # the null state name is an id: the row is kept
+
+
+def test_serve_checked_splits_out_of_range_rows(spark):
+    rows = [(1, 1, 120, 70, 20, 80, 25.0, 0.5, 30), (2, 1, 350, 70, 20, 80, 25.0, 0.5, 30),
+            (3, 1, 100, 70, 20, 80, 25.0, 4.0, 150)]
+    df = spark.createDataFrame(rows, "k int, pregnancies int, glucose int, blood_pressure int, skin_thickness int, "
+                                     "insulin int, bmi double, dpf double, age int")
+    scored, rejected = jobs.serve_checked(spark, df, "diabetes", scratch_path(spark, "no-models"), key="k")
+    assert [r.k for r in scored.collect()] == [1]
+    assert {r.k: r.violations for r in rejected.collect()} == {2: ["glucose"], 3: ["dpf", "age"]}
