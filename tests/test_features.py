@@ -88,3 +88,15 @@ def test_zero_mean_imputer_is_sql_transformer(spark):
     stage = feature_plans.ZeroMeanImputer(inputCols=["g"]).fit(df)
     assert "CASE WHEN `g` = 0" in stage.getStatement()
     assert [r["g__imputed"] for r in stage.transform(df).collect()] == [3.0, 2.0, 4.0]
+
+
+def test_fit_scope_train_vs_all(spark):
+    df = diabetes_frame(spark, 600)
+    only_train = training.fit_task(spark, df, "k", "outcome", "diabetes", models=("lr",), tune_models=False)
+    with_all = training.fit_task(spark, df, "k", "outcome", "diabetes", models=("lr",), tune_models=False,
+                                 fit_scope="all")
+    imp_train = only_train.models["lr"].stages[0].getStatement()
+    imp_all = with_all.models["lr"].stages[0].getStatement()
+    assert imp_train != imp_all                     # means fitted on different rows
+    assert only_train.test.count() == with_all.test.count()   # same keyed split
+    assert only_train.test.count() + only_train.train.count() == 600
