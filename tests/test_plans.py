@@ -8,7 +8,7 @@ QUERIES = entry.queries()
 ROW_LEVEL = ["rule_score_a", "rule_score_b", "consensus", "fallback_gate", "select_features", "drop_ids",
              "binary_encode", "range_check", "fill_absent", "decode_flags", "vector_roundtrip", "assemble",
              "hash_split", "fold_assign", "linear_score", "threshold", "clamp", "model_comparison",
-             "recommendation", "standardize", "features_zero_imputed"]
+             "recommendation", "standardize", "features_zero_imputed", "verdict_text"]
 
 
 def physical(df) -> str:
