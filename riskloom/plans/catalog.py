@@ -226,6 +226,17 @@ def q_scaler_stats(spark, sf):
     return st.select("column_name", r6("mean", "mean"), r6("std", "std"))
 
 
+@query
+def q_scaler_model_stats(spark, sf):
+    """O-27 as the fitted ``StandardScaler`` holds it (Spark ML's summarizer):
+    one row per feature; a handful of numbers come back from the fit."""
+    pv = views.patient_view(spark, sf)
+    _, model = features.standardize(pv, PATIENT_FEATURES, "z")
+    rows = [(c, float(m), float(sd)) for c, m, sd in features.scaler_model_stats(model, PATIENT_FEATURES)]
+    st = spark.createDataFrame(rows, "column_name string, mean double, std double")
+    return st.select("column_name", r6("mean", "mean"), r6("std", "std"))
+
+
 @query
 def q_features_zero_imputed(spark, sf):
     pv = views.diabetes_inputs(views.patient_view(spark, sf))

@@ -335,6 +335,11 @@ SELECT 'p_size' AS column_name, round(avg(p_size), 6) AS mean, round(stddev_samp
 UNION ALL SELECT 'p_retailprice', round(avg(p_retailprice), 6), round(stddev_samp(p_retailprice), 6) FROM part
 UNION ALL SELECT 'const', round(avg(7), 6), round(stddev_samp(7), 6) FROM part""")
 
+_q("scaler_model_stats", f"""
+WITH {F4}
+{' UNION ALL '.join(f"SELECT '{c}' AS column_name, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std FROM f4"
+                    for c in _PV)}""")
+
 _DIAB_FEATURES = ["pregnancies", "glucose", "blood_pressure", "skin_thickness", "insulin", "bmi", "dpf", "age"]
 _ZERO = ["glucose", "blood_pressure", "skin_thickness", "insulin", "bmi"]
 
