@@ -3,18 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from riskloom.llm import quality
+from riskloom.llm import pii, quality, secrets
 from riskloom.llm.common import table
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality verdict of every document."""
     verdicts, _ = quality.judge(table(spark, sf_dir, "documents"))
     return verdicts.drop("text_key", "host")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op3_pii": op3_pii,
     "op5_line_frequency": op5_line_frequency,
+    "op8_secrets": op8_secrets,
 }
