@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import pii, quality, secrets
+from riskloom.llm import pii, quality, secrets, sharding
 from riskloom.llm.common import table
 
 
@@ -24,8 +24,14 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document."""
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_pii": op3_pii,
     "op5_line_frequency": op5_line_frequency,
     "op8_secrets": op8_secrets,
+    "op10_sharding": op10_sharding,
 }
