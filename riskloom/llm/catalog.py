@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import pii, quality, secrets, sharding
+from riskloom.llm import pii, quality, secrets, sharding, warc
 from riskloom.llm.common import table
 
 
@@ -19,6 +19,11 @@ def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts.drop("text_key", "host")
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to archives and read back from them."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secrets.report(table(spark, sf_dir, "documents"))
@@ -32,6 +37,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_pii": op3_pii,
     "op5_line_frequency": op5_line_frequency,
+    "op6_warc": op6_warc,
     "op8_secrets": op8_secrets,
     "op10_sharding": op10_sharding,
 }
