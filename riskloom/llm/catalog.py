@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import pii, quality, secrets, sharding, warc
+from riskloom.llm import minhash, pii, quality, secrets, sharding, warc
 from riskloom.llm.common import table
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return minhash.report(table(spark, sf_dir, "documents"))
+
+
 def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.report(table(spark, sf_dir, "documents"))
@@ -35,6 +40,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_minhash": op2_minhash,
     "op3_pii": op3_pii,
     "op5_line_frequency": op5_line_frequency,
     "op6_warc": op6_warc,
