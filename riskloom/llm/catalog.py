@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import minhash, pii, quality, secrets, sharding, warc
+from riskloom.llm import minhash, packing, pii, quality, secrets, sharding, warc
 from riskloom.llm.common import table
 
 
@@ -18,6 +18,11 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document, packed into sequences."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality verdict of every document."""
     verdicts, _ = quality.judge(table(spark, sf_dir, "documents"))
@@ -42,6 +47,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_minhash": op2_minhash,
     "op3_pii": op3_pii,
+    "op4_packing": op4_packing,
     "op5_line_frequency": op5_line_frequency,
     "op6_warc": op6_warc,
     "op8_secrets": op8_secrets,
