@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import minhash, packing, pii, quality, secrets, sharding, warc
+from riskloom.llm import minhash, packing, pii, quality, secrets, sharding, tokens, warc
 from riskloom.llm.common import table
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count of every document."""
+    return tokens.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
     return minhash.report(table(spark, sf_dir, "documents"))
@@ -45,6 +50,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_token_counts": op1_token_counts,
     "op2_minhash": op2_minhash,
     "op3_pii": op3_pii,
     "op4_packing": op4_packing,
