@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import minhash, packing, pii, quality, secrets, sharding, tokens, warc
+from riskloom.llm import decontaminate, minhash, packing, pii, quality, secrets, sharding, tokens, warc
 from riskloom.llm.common import table
 
 
@@ -44,6 +44,11 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.report(table(spark, sf_dir, "documents"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items that each document leaks."""
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document."""
     return sharding.assign(table(spark, sf_dir, "documents"))
@@ -57,5 +62,6 @@ QUERIES = {
     "op5_line_frequency": op5_line_frequency,
     "op6_warc": op6_warc,
     "op8_secrets": op8_secrets,
+    "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
 }
