@@ -30,8 +30,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality verdict of every document."""
-    verdicts, _ = quality.judge(table(spark, sf_dir, "documents"))
-    return verdicts.drop("text_key", "host")
+    return quality.judge(table(spark, sf_dir, "documents")).drop("text_key", "host", "lines")
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -153,3 +153,11 @@ def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
     out = keys.join(by, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("t0") == F.col("t")), "left")
     n = F.coalesce("n", F.lit(0)).cast("long")
     return out.select("doc_id", (n > 0).alias("leaked"), n.alias("n_items"), F.coalesce("ids", F.array().cast("array<long>")).alias("item_ids"), F.col("best").alias("similarity"))
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows that leak an item; all columns as they were."""
+    found = leaks(docs, items, id_col, text_col).select(F.col("doc_id").alias("l_id"), F.col("text_key").alias("l_key")).distinct()
+    found = materialize(found, "leaking")
+    same = docs[f"`{id_col}`"].cast("long").eqNullSafe(found["l_id"]) & (F.xxhash64(docs[f"`{text_col}`"].cast("string")) == found["l_key"])
+    return docs.join(found.hint("shuffle_hash"), same, "left_anti")

@@ -44,13 +44,17 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from riskloom.llm.common import WordHashes, components, materialize, mix, shingle_hashes
 
 BANDS = 48
 ROWS = 5
 PERCENT = 80
-_SIGNED = "doc_id long, n_shingles long, set_id binary, bands array<long>, z binary"
+_SIGNED = [
+    StructField("doc_id", LongType()), StructField("n_shingles", LongType()), StructField("set_id", BinaryType()),
+    StructField("bands", ArrayType(LongType())), StructField("z", BinaryType()),
+]
 
 
 def shingle_set(text: bytes, hashes: WordHashes, k: int) -> np.ndarray:
@@ -98,11 +102,9 @@ def _signer(k: int, bands: int, rows: int):
                 n.append(len(s))
                 sets.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 keys.append(band_keys(signature(s, bands * rows), rows).view(np.int64) if len(s) else None)
-                z.append(pack.compress(t) if len(s) else None)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(z, pa.binary())],
-                names=["doc_id", "n_shingles", "set_id", "bands", "z"],
-            )
+                z.append(None if t is None else pack.compress(t))
+            made = [b.column(0), pa.array(n, pa.int64()), pa.array(sets, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(z, pa.binary())]
+            yield pa.RecordBatch.from_arrays(made + b.columns[2:], names=[f.name for f in _SIGNED] + b.schema.names[2:])
 
     return sign
 
@@ -124,12 +126,21 @@ def _confirmer(k: int, percent: int):
     return confirm
 
 
-def link(docs: DataFrame, shingle_words: int = 2, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, doc_id, n_shingles, component_id) for every row of ``docs``."""
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    signed_docs = texts.mapInArrow(_signer(shingle_words, bands, rows), _SIGNED)
-    t = materialize(signed_docs.withColumn("row", F.monotonically_increasing_id()), "minhash-rows")
-    classes = materialize(t.where("n_shingles > 0").groupBy("set_id").agg(F.min("row").alias("node"), F.min("doc_id").alias("low")), "minhash-classes")
+def sign(docs: DataFrame, shingle_words: int, bands: int, rows: int, id_col: str, text_col: str, carried: list[str]) -> DataFrame:
+    """The written table of signed rows, numbered by ``row``; carried columns follow as x0, x1, ..."""
+    more = [docs[f"`{c}`"].alias(f"x{i}") for i, c in enumerate(carried)]
+    texts = docs.select(docs[f"`{id_col}`"].cast("long").alias("doc_id"), docs[f"`{text_col}`"].cast("string").alias("text"), *more)
+    schema = StructType(_SIGNED + [StructField(f.name, f.dataType) for f in texts.schema.fields[2:]])
+    return materialize(texts.mapInArrow(_signer(shingle_words, bands, rows), schema).withColumn("row", F.monotonically_increasing_id()), "minhash-rows")
+
+
+def link(t: DataFrame, shingle_words: int, percent: int) -> DataFrame:
+    """(row, doc_id, n_shingles, component_id, stays) for every row of a signed table.
+
+    ``stays`` marks one row of each component, the first with its smallest doc_id.
+    """
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("low")
+    classes = materialize(t.where("n_shingles > 0").groupBy("set_id").agg(F.min("row").alias("node"), first), "minhash-classes")
 
     reps = t.join(classes.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), F.col("n_shingles").alias("n"), "bands")
     bucket = materialize(reps.select("node", "n", F.explode("bands").alias("key")), "minhash-bands")
@@ -177,12 +188,36 @@ def link(docs: DataFrame, shingle_words: int = 2, percent: int = PERCENT, bands:
             root = components(done.unionByName(last).where("linked").select("a", "b"), "minhash-components")
 
     group = rooted(classes, "node", "root")
-    lowest = group.groupBy("root").agg(F.min("low").alias("component"))
-    named = group.join(lowest, "root").select(F.col("set_id").alias("s"), "component")
+    lowest = group.groupBy("root").agg(F.min("low").alias("low"))
+    named = group.select("set_id", "root").join(lowest, "root").select(F.col("set_id").alias("s"), "low")
     out = t.select("row", "doc_id", "n_shingles", "set_id").join(named, F.col("set_id") == F.col("s"), "left")
-    return out.select("row", "doc_id", "n_shingles", F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"))
+    alone = F.col("set_id").isNull()
+    return out.select(
+        "row", "doc_id", "n_shingles", F.when(alone, F.col("doc_id")).otherwise(F.col("low.doc_id")).alias("component_id"), (alone | (F.col("row") == F.col("low.row"))).alias("stays")
+    )
 
 
-def report(docs: DataFrame, **options) -> DataFrame:
+def report(docs: DataFrame, shingle_words: int = 2, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document."""
-    return link(docs, **options).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+    t = sign(docs, shingle_words, bands, rows, id_col, text_col, [])
+    return link(t, shingle_words, percent).select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor()
+    for b in batches:
+        text = [None if z is None else unpack.decompress(z) for z in b.column(0).to_pylist()]
+        yield pa.RecordBatch.from_arrays([pa.array(text, pa.binary()).cast(pa.string()), *b.columns[1:]], names=["text", *b.schema.names[1:]])
+
+
+def deduplicate(docs: DataFrame, shingle_words: int = 5, percent: int = PERCENT, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component, all columns as they were."""
+    carried = [c for c in docs.columns if c != text_col]
+    t = sign(docs, shingle_words, bands, rows, id_col, text_col, carried)
+    stays = link(t, shingle_words, percent).where("stays").select("row")
+    x = [f"x{i}" for i in range(len(carried))]
+    kept = t.select("row", "z", *x).join(stays.hint("shuffle_hash"), "row", "left_semi").select("z", *x)
+    schema = StructType([StructField("text", docs.schema[text_col].dataType)] + [StructField(f, kept.schema[f].dataType) for f in x])
+    back = kept.mapInArrow(_unpacked, schema)
+    named = {c: f"x{i}" for i, c in enumerate(carried)} | {text_col: "text"}
+    return back.select(*(F.col(named[c]).alias(c) for c in docs.columns))

@@ -44,9 +44,11 @@ MIN_LEFT = 0.5
 _SYMBOLS = b"#*$%&|<>"
 
 _PROFILE = (
-    "doc_id long, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-    "n_repeat_words long, text_key long, like_key long, line_hash array<long>, line_chars array<long>"
+    "doc_id long, host string, text_key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    "n_repeat_words long, like_key long, line_hash array<long>, line_chars array<long>"
 )
+#: Spark's xxhash64 of a string is XXH64 with this seed.
+_SEED = 42
 
 
 def repeat_words(ids: np.ndarray, distinct: int, size: int = 3) -> int:
@@ -78,7 +80,7 @@ def _code_points(b: bytes) -> int:
 
 
 def profile_text(b: bytes, hashes: WordHashes) -> tuple:
-    """The profile of one text, without its id and host (fields as in ``_PROFILE``)."""
+    """The profile of one text, without its id, host and key (fields as in ``_PROFILE``)."""
     words = b.split()
     number = dict(zip(d := dict.fromkeys(words), range(len(d)), strict=True))
     ids = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
@@ -86,7 +88,7 @@ def profile_text(b: bytes, hashes: WordHashes) -> tuple:
     lines = [x for x in b.split(b"\n") if x.strip(WHITE)]
     of_line = Counter()
     for x in lines:
-        of_line[signed(xxhash.xxh3_64_intdigest(normal_line(x)))] += _code_points(x.translate(None, WHITE))
+        of_line[signed(xxhash.xxh64_intdigest(normal_line(x), _SEED))] += _code_points(x.translate(None, WHITE))
     like = 0
     if words:
         low = hashes.of(b"\n".join(number).lower().split())
@@ -97,7 +99,6 @@ def profile_text(b: bytes, hashes: WordHashes) -> tuple:
         len(b) - len(b.translate(None, _SYMBOLS)),
         len(lines) - len(set(lines)),
         repeat_words(ids, len(number)),
-        signed(xxhash.xxh3_64_intdigest(b)),
         like,
         list(of_line),
         list(of_line.values()),
@@ -106,21 +107,21 @@ def profile_text(b: bytes, hashes: WordHashes) -> tuple:
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
-    kinds = [pa.int64()] * 7 + [pa.list_(pa.int64())] * 2
+    kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())] * 2
     names = [x.split()[0] for x in _PROFILE.split(", ")]
     for batch in batches:
-        rows = [profile_text(t or b"", hashes) for t in batch.column(2).cast(pa.binary()).to_pylist()]
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * 9
+        rows = [profile_text(t or b"", hashes) for t in batch.column(3).cast(pa.binary()).to_pylist()]
+        cols = list(zip(*rows, strict=True)) if rows else [[]] * 8
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=names
+            [*batch.columns[:3], *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], names=names
         )
 
 
 def profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """One row per document: the base counts and its distinct normalised lines (hash, word characters)."""
-    return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(host_col).cast("string").alias("host"), F.col(text_col).cast("string").alias("text")
-    ).mapInArrow(_profiles, _PROFILE)
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(host_col).cast("string").alias("host"), F.xxhash64(text).alias("text_key"), text.alias("text"))
+    return rows.mapInArrow(_profiles, _PROFILE)
 
 
 def frequent_lines(profiles: DataFrame, max_docs: int = MAX_LINE_DOCS, unlike_share: float = UNLIKE_SHARE) -> DataFrame:
@@ -135,13 +136,13 @@ def frequent_lines(profiles: DataFrame, max_docs: int = MAX_LINE_DOCS, unlike_sh
 
 
 def removed_chars(profiles: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(doc_id, text_key, host, removed): word characters in lines above the limits, for documents that have such."""
+    """(doc_id, text_key, host, removed, lines): word characters in lines above the limits and their hashes, for documents that have such."""
     z = F.explode(F.arrays_zip("line_hash", "line_chars")).alias("z")
     lines = profiles.select("doc_id", "text_key", "host", z).select("doc_id", "text_key", "host", F.col("z.line_hash").alias("line"), F.col("z.line_chars").alias("chars"))
     f = frequent.select(F.col("host").alias("f_host"), F.col("line").alias("f_line"))
     hit = lines.join(f, F.col("host").eqNullSafe(F.col("f_host")) & (F.col("line") == F.col("f_line")), "left_semi")
     once = hit.groupBy("doc_id", "text_key", "host", "line").agg(F.max("chars").alias("chars"))
-    return once.groupBy("doc_id", "text_key", "host").agg(F.sum("chars").alias("removed"))
+    return once.groupBy("doc_id", "text_key", "host").agg(F.sum("chars").alias("removed"), F.collect_list("line").alias("lines"))
 
 
 def judge(
@@ -152,23 +153,38 @@ def judge(
     max_docs: int = MAX_LINE_DOCS,
     unlike_share: float = UNLIKE_SHARE,
     min_left: float = MIN_LEFT,
-) -> tuple[DataFrame, DataFrame]:
-    """Verdicts per document and the (host, line) table of lines to remove.
+) -> DataFrame:
+    """Verdict per document, with the hashes of the lines to remove (null if there are none).
 
     The profiles are written once (no texts in them) and read for the
     counting and for the verdicts.
     """
     p = materialize(profile(docs, id_col, text_col, host_col), "quality-profile")
     frequent = materialize(frequent_lines(p, max_docs, unlike_share), "quality-lines")
-    r = removed_chars(p, frequent).select(F.col("doc_id").alias("r_id"), F.col("text_key").alias("r_key"), F.col("host").alias("r_host"), "removed")
+    r = removed_chars(p, frequent).select(F.col("doc_id").alias("r_id"), F.col("text_key").alias("r_key"), F.col("host").alias("r_host"), "removed", "lines")
     out = p.drop("line_hash", "line_chars", "like_key").join(
         r, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("text_key") == F.col("r_key")) & F.col("host").eqNullSafe(F.col("r_host")), "left"
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     left = F.col("word_chars") - F.coalesce("removed", F.lit(0))
-    verdicts = out.select(
+    return out.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
         (~failed & (left >= min_left * F.col("word_chars"))).alias("kept"),
-        F.coalesce("removed", F.lit(0)).alias("removed_chars"), "text_key", "host",
+        F.coalesce("removed", F.lit(0)).alias("removed_chars"), "text_key", "host", "lines",
     )
-    return verdicts, frequent
+
+
+def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **limits) -> DataFrame:
+    """``docs`` without rejected rows and, in the kept texts, without the lines above the limits."""
+    v = judge(docs, id_col, text_col, host_col, **limits).where("kept").select(
+        F.col("doc_id").alias("v_id"), F.col("text_key").alias("v_key"), F.col("host").alias("v_host"), F.col("lines").alias("v_lines")
+    ).dropDuplicates(["v_id", "v_key", "v_host"])
+    v = materialize(v, "quality-kept")
+    text = docs[f"`{text_col}`"].cast("string")
+    same = docs[f"`{id_col}`"].cast("long").eqNullSafe(v["v_id"]) & (F.xxhash64(text) == v["v_key"]) & docs[f"`{host_col}`"].cast("string").eqNullSafe(v["v_host"])
+    found = docs.join(v.hint("shuffle_hash"), same)
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    norm = f"trim(regexp_replace(translate(x, '{upper}', '{lower}'), r'[\\x20\\t\\x0B\\f\\r]+', ' '))"
+    left = F.expr(f"array_join(filter(split(`{text_col}`, '\\n', -1), x -> not array_contains(v_lines, xxhash64({norm}))), '\\n')")
+    new = F.when(F.col("v_lines").isNull(), F.col(f"`{text_col}`")).otherwise(left)
+    return found.withColumn(text_col, new).select(*(F.col(f"`{c}`") for c in docs.columns))
