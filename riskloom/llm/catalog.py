@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontaminate, minhash, packing, pii, quality, secrets, sharding, tokens, warc
+from riskloom.llm import decontaminate, minhash, packing, pii, quality, secrets, sharding, suffix, tokens, warc
 from riskloom.llm.common import table
 
 
@@ -38,6 +38,11 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that repeat elsewhere, removed."""
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secrets.report(table(spark, sf_dir, "documents"))
@@ -60,6 +65,7 @@ QUERIES = {
     "op4_packing": op4_packing,
     "op5_line_frequency": op5_line_frequency,
     "op6_warc": op6_warc,
+    "op7_suffix_array": op7_suffix_array,
     "op8_secrets": op8_secrets,
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
