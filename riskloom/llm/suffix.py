@@ -295,7 +295,8 @@ def _sharder(length: int, shard_bytes: int):
                     if not r["flags"][a] or d not in seen:
                         digests.append(d)
                         at.append(a)
-                        seen.add(d)
+                        if r["flags"][a]:
+                            seen.add(d)
             if len(edges) or digests:
                 out.append((r["class"], r["context"], r["part"], edges, digests, at))
         cols = list(zip(*out, strict=True)) or [[]] * 6
