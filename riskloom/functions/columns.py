@@ -53,8 +53,7 @@ def nonzero(c) -> Column:
 
 def nonzero_mean(c) -> Column:
     """Mean of the non-zero values of ``c`` (null if there are none)."""
-    c = col(c)
-    return F.avg(F.when(c != 0, c))
+    return F.avg(F.when(nonzero(c), col(c)))
 
 
 def binary_encode(c, positive: str) -> Column:

@@ -212,9 +212,3 @@ def rule_score_b(df: DataFrame, pred_col: str = "rule_pred", prob_col: str = "ru
     out = _finish(work, heart_rule_sum(floating), _all_equal(HEART_FORM_DEFAULTS), failed,
                   pred_col, prob_col, with_status, status_col)
     return out.drop(*added) if added else out
-
-
-def is_default_input(task: str) -> Column:
-    """True where the inputs equal the untouched form exactly."""
-    return F.coalesce(_all_equal(DIABETES_FORM_DEFAULTS if task == "diabetes" else HEART_FORM_DEFAULTS),
-                      F.lit(False))

@@ -106,7 +106,3 @@ def range_split(df: DataFrame, bounds: dict) -> tuple[DataFrame, DataFrame]:
     """O-16: (valid rows, rejected rows with their violations)."""
     checked = range_check(df, bounds)
     return checked.where("valid").drop("violations", "valid"), checked.where(~F.col("valid"))
-
-
-def any_null(cols) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in cols], F.lit(False))

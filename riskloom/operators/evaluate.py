@@ -1,108 +1,91 @@
 """Model evaluation: exact AUC, accuracy, winner choice (O-37, O-38, O-41).
 
-Exact AUC without a global sort
--------------------------------
+Exact AUC without one task that sees all rows
+---------------------------------------------
 AUC = sum over positives of (negatives scored lower + half the negatives
 scored equal) / (P * N), which is the rank-sum statistic with tied ranks
 averaged.  It needs, for every distinct score, the number of negatives
-below it: a prefix sum in score order.  A window ordered by score with no
-partition would pull every row into one task, so instead:
-
-1. cut the score axis into ``n_buckets`` ranges at approximate quantiles
-   (a fixed-size sketch; only the cut points, at most ``n_buckets``
-   doubles, reach the driver) and bucket with ``Bucketizer``;
-2. collapse to distinct scores: ``(group, bucket, score) -> (count,
-   positives)``; a partial aggregate, so a score that holds a third of all
-   rows becomes one row per task before the shuffle;
-3. prefix sums inside each (group, bucket) by a window partitioned on the
-   bucket, so the sort work is spread over ``n_buckets`` tasks, then one
-   row per (group, bucket) on the same partitioning (no new shuffle);
-4. offsets across buckets on that small table (groups x buckets rows):
-   every positive in a bucket beats all negatives of earlier buckets;
-5. sum the contributions per group.
-
-No join and no global sort; every count is an exact integer, so the sum
-is exact up to the final division.
-
-The result is exact; the quantiles only balance the work.
+below it: a prefix sum in score order.
+
+1. collapse to distinct scores, ``(group, score) -> (count, positives)``;
+   a partial aggregate, so a score that holds a third of all rows becomes
+   one row per task before the shuffle;
+2. range-partition these by (group, score) and write them with the number
+   of their partition.  Spark bounds the sample it takes for the ranges;
+   the input is evaluated once, and a rerun cannot renumber anything;
+3. prefix sums inside each (group, partition) by a window, then offsets
+   over the partitions' totals (groups x partitions rows);
+4. sum the contributions per group.
+
+Contributions are summed twofold as ``decimal(38,0)``, so the sums are
+exact and the one division at the end is the only rounding.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskloom.session import scratch_path
 
-def _clean(df: DataFrame, score: str, label: str, by: list[str]) -> DataFrame:
-    return (df.select(*by, F.col(score).cast("double").alias("__s"), F.col(label).cast("double").alias("__y"))
-            .where(F.col("__s").isNotNull() & F.col("__y").isNotNull()))
+_EXACT = "decimal(38,0)"
 
 
-def default_buckets(df: DataFrame) -> int:
-    """Score ranges per group: 4 per shuffle partition, so the prefix-sum
-    sort is spread over every task of the cluster."""
-    try:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    except (TypeError, ValueError):
-        parts = 200
-    return max(16, min(65536, 4 * parts))
+def score_counts(df: DataFrame, score: str, label: str, by: list[str], weight: str | None = None) -> DataFrame:
+    """(*by, __s, c, p): rows and positives of each distinct score; null scores or labels are ignored.
 
+    ``weight`` names a column of row counts, where ``df`` is counted already.
+    """
+    w = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    rows = (df.select(*by, F.col(score).cast("double").alias("__s"), F.col(label).cast("double").alias("__y"), w.alias("__w"))
+            .where(F.col("__s").isNotNull() & F.col("__y").isNotNull()))
+    return rows.groupBy(*by, "__s").agg(F.sum("__w").alias("c"),
+                                        F.sum(F.when(F.col("__y") == 1, F.col("__w")).otherwise(0)).alias("p"))
 
-def auc_exact(df: DataFrame, score: str, label: str, by: list[str] | None = None,
-              n_buckets: int | None = None, out: str = "auc") -> DataFrame:
+
+def auc_exact(df: DataFrame, score: str, label: str, by: list[str] | None = None, out: str = "auc",
+              weight: str | None = None) -> DataFrame:
     """Exact area under ROC per group of ``by`` (one row per group).
 
     Columns: ``*by, out, n, n_pos``.  Label 1 is positive; null scores or
     labels are ignored; a group without both classes gets a null AUC.
     """
     by = list(by or [])
-    rows = _clean(df, score, label, by)
-    n_buckets = n_buckets or default_buckets(df)
-
-    # Cut points: approximate quantiles of the raw scores (a fixed-size
-    # sketch).  Each bucket then holds about rows/n_buckets raw rows, so
-    # at most that many distinct scores; a hot score just repeats a cut.
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    accuracy_ = max(10000, 10 * n_buckets)
-    cuts = rows.agg(F.percentile_approx("__s", qs, accuracy_).alias("q")).first()["q"] or []
-    inner = sorted({float(x) for x in cuts if x is not None and x == x and abs(x) != float("inf")})
-    splits = [float("-inf")] + inner + [float("inf")]
-    if len(splits) < 3:
-        splits = [float("-inf"), 0.0, float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="__s", outputCol="__b", handleInvalid="keep").transform(rows)
-
-    # Distinct scores per bucket (partial aggregate before the shuffle).
-    pts = (bucketed.groupBy(*by, "__b", "__s")
-           .agg(F.count(F.lit(1)).alias("c"), F.sum(F.when(F.col("__y") == 1, 1).otherwise(0)).alias("p"))
-           .withColumn("neg", F.col("c") - F.col("p")))
-
-    # Inside each bucket: negatives at lower scores, ties count half.
+    spark = df.sparkSession
+    counts = score_counts(df, score, label, by, weight).repartitionByRange(*by, "__s").withColumn("__b", F.spark_partition_id())
+    path = scratch_path(spark, "auc-scores")
+    counts.write.parquet(path)
+    pts = spark.read.schema(counts.schema).parquet(path).withColumn("neg", F.col("c") - F.col("p"))
+
+    # Inside each partition: negatives at lower scores; ties count half.
     w_in = Window.partitionBy(*by, "__b").orderBy("__s").rowsBetween(Window.unboundedPreceding, -1)
     below = F.coalesce(F.sum("neg").over(w_in), F.lit(0))
-    contrib = F.col("p").cast("double") * (below.cast("double") + F.col("neg").cast("double") / 2.0)
-    per_bucket = (pts.withColumn("u", contrib)
-                  .groupBy(*by, "__b")
-                  .agg(F.sum("u").alias("u"), F.sum("p").alias("pb"), F.sum("neg").alias("nb"), F.sum("c").alias("cb")))
+    twice = F.col("p").cast("decimal(18,0)") * (2 * below + F.col("neg")).cast("decimal(19,0)")
+    per_part = (pts.withColumn("u", twice.cast(_EXACT)).groupBy(*by, "__b")
+                .agg(F.sum("u").alias("u"), F.sum("p").alias("pb"), F.sum("neg").alias("nb"), F.sum("c").alias("cb")))
 
-    # Across buckets (groups x buckets rows): positives of a bucket are
-    # above every negative of the earlier buckets.
+    # Across partitions: positives of one are above every negative of the earlier ones.
     w_b = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("nb").over(w_b), F.lit(0))
-    total = per_bucket.withColumn("u", F.col("u") + F.col("pb").cast("double") * before.cast("double"))
-    agg = total.groupBy(*by).agg(F.sum("u").alias("__u"), F.sum("cb").alias("n"), F.sum("pb").alias("n_pos"))
-    denom = F.col("n_pos").cast("double") * (F.col("n") - F.col("n_pos")).cast("double")
-    return agg.select(*by, F.when(denom > 0, F.col("__u") / denom).alias(out), "n", "n_pos")
+    above = (F.col("pb").cast("decimal(18,0)") * (2 * before).cast("decimal(19,0)")).cast(_EXACT)
+    agg = per_part.withColumn("u", F.col("u") + above).groupBy(*by).agg(
+        F.sum("u").alias("__u"), F.sum("cb").alias("n"), F.sum("pb").alias("n_pos"))
+    pairs = (F.col("n_pos").cast("decimal(18,0)") * (F.col("n") - F.col("n_pos")).cast("decimal(18,0)")).cast(_EXACT)
+    value = F.col("__u").cast("double") / (2 * pairs).cast("double")
+    return agg.select(*by, F.when(pairs > 0, value).alias(out), "n", "n_pos")
 
 
-def auc_binned(df: DataFrame, score: str, label: str, num_bins: int = 1000) -> float:
+def auc_binned(counts: DataFrame, num_bins: int = 1000) -> float:
     """Spark's ``BinaryClassificationEvaluator`` AUC (approximate above
-    ``num_bins`` distinct scores): one distributed action, one number."""
+    ``num_bins`` distinct scores) from (__s, c, p) counts: one number."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     from pyspark.ml.functions import array_to_vector
-    s = F.col(score).cast("double")
-    raw = df.select(array_to_vector(F.array(-s, s)).alias("rawPrediction"), F.col(label).cast("double").alias("label"))
-    return float(BinaryClassificationEvaluator(numBins=num_bins).evaluate(raw))
+    s = F.col("__s")
+    kinds = F.array(F.struct(F.lit(1.0).alias("label"), F.col("p").cast("double").alias("w")),
+                    F.struct(F.lit(0.0).alias("label"), (F.col("c") - F.col("p")).cast("double").alias("w")))
+    raw = counts.select(array_to_vector(F.array(-s, s)).alias("rawPrediction"), F.explode(kinds).alias("x"))
+    raw = raw.select("rawPrediction", "x.label", "x.w").where("w > 0")
+    return float(BinaryClassificationEvaluator(numBins=num_bins, weightCol="w").evaluate(raw))
 
 
 def accuracy(df: DataFrame, pred: str, label: str, by: list[str] | None = None, out: str = "accuracy") -> DataFrame:

@@ -35,30 +35,55 @@ def for_scoring(model: PipelineModel) -> PipelineModel:
     return PipelineModel(stages=stages)
 
 
-def score(df: DataFrame, models: dict, input_cols: list[str],
-          t: float = schemas.MODEL_THRESHOLD) -> DataFrame:
-    """Apply each fitted model; add ``<name>_prob`` and ``<name>_pred``.
+def model_inputs(model: PipelineModel) -> list[str]:
+    """Columns that a fitted pipeline reads: its assemblers' inputs by the
+    names they have before imputation and encoding."""
+    names = [c for s in model.stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]
+    return list(dict.fromkeys(c.removesuffix(schemas.IMPUTED_SUFFIX).removesuffix(schemas.ENCODED_SUFFIX) for c in names))
+
 
-    ``models`` maps a short name (``lr``, ``rf``) to a ``PipelineModel`` or
-    ``None``.  A missing model leaves typed-null columns, so the other model
-    still answers.  Rows with a null in any input get null outputs from
-    every model: an assembler in ``keep`` mode would feed NaN to the model
-    and some models (forests) return an ordinary-looking number for it.
+def score(df: DataFrame, models: dict, input_cols: list[str] | None = None,
+          t: float = schemas.MODEL_THRESHOLD) -> DataFrame:
+    """Apply each fitted model; add ``<name>_prob``, ``<name>_pred`` and ``<name>_status``.
+
+    ``models`` maps a short name (``lr``, ``rf``) to a ``PipelineModel``, to
+    ``None`` or to ``(model or None, status)`` as ``load_with_status`` gives
+    it.  A model that is absent, cannot be read or does not fit the columns
+    leaves typed nulls and says so in its status (``absent``, ``failed``),
+    so the other model still answers.
+
+    Rows with a null in any input of a model (read from its own fitted
+    pipeline, or ``input_cols`` besides) get null outputs from it: an
+    assembler in ``keep`` mode would feed NaN to the model and some models
+    (forests) return an ordinary-looking number for it.  Feature stages
+    that several models share run once.
     """
-    out = df
-    keep = list(df.columns)
-    masked = _any_null(input_cols)
-    for name, model in models.items():
-        pcol, dcol = f"{name}_prob", f"{name}_pred"
+    out, keep = df, list(df.columns)
+    groups: dict[tuple, list] = {}
+    for name, given in models.items():
+        model, status = given if isinstance(given, tuple) else (given, "loaded" if given is not None else "absent")
+        if model is not None:
+            missing = [c for c in model_inputs(model) if c not in df.columns]
+            if missing:
+                model, status = None, "failed"
         if model is None:
-            out = out.withColumns({pcol: F.lit(None).cast("double"), dcol: F.lit(None).cast("int")})
+            out = out.withColumns({f"{name}_prob": F.lit(None).cast("double"), f"{name}_pred": F.lit(None).cast("int")})
         else:
-            scored = for_scoring(model).transform(out)
-            prob = F.when(masked, F.lit(None).cast("double")).otherwise(positive_prob("probability"))
-            out = scored.select(*[F.col(c) for c in out.columns], prob.alias(pcol))
-            out = out.withColumn(dcol, threshold(pcol, t))
-        keep += [pcol, dcol]
-    return out.select(*keep)
+            groups.setdefault(tuple(s.uid for s in model.stages[:-1]), []).append((name, model))
+        out = out.withColumn(f"{name}_status", F.lit(status))
+    for members in groups.values():
+        have = out.columns
+        first = members[0][1]
+        featured = for_scoring(PipelineModel(stages=first.stages[:-1])).transform(out)
+        for name, model in members:
+            nulls = _any_null(dict.fromkeys(model_inputs(model) + list(input_cols or [])))
+            base = featured.columns
+            scored = model.stages[-1].transform(featured)
+            prob = F.when(nulls, F.lit(None).cast("double")).otherwise(positive_prob("probability"))
+            featured = scored.select(*[F.col(c) for c in base], prob.alias(f"{name}_prob"))
+            featured = featured.withColumn(f"{name}_pred", threshold(f"{name}_prob", t))
+        out = featured.select(*have, *[f"{n}_{x}" for n, _ in members for x in ("prob", "pred")])
+    return out.select(*keep, *[f"{n}_{x}" for n in models for x in ("prob", "pred", "status")])
 
 
 def fallback_gate(df: DataFrame, rule_pred: str = "rule_pred", rule_prob: str = "rule_prob",
@@ -123,13 +148,21 @@ def comparison(df: DataFrame, key: str, names: dict | None = None) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Recommendation wording per (task, verdict).  Our own text.
+# Texts shown to users per (task, verdict) and per task.
 # ---------------------------------------------------------------------------
 RECOMMENDATIONS = {
-    ("diabetes", "High"): "Further clinical tests are advised.",
-    ("diabetes", "Low"): "Keep a healthy lifestyle and regular check-ups.",
-    ("heart", "High"): "Prompt consultation with a cardiologist is advised.",
-    ("heart", "Low"): "Continue regular check-ups and a healthy lifestyle.",
+    ("diabetes", "High"): "Further clinical tests are recommended.",
+    ("diabetes", "Low"): "Maintain a healthy lifestyle and regular check-ups.",
+    ("heart", "High"): "Immediate consultation with a cardiologist is advised.",
+    ("heart", "Low"): "Continue with regular health check-ups and maintain a healthy lifestyle.",
+}
+HEADLINES = {"diabetes": " Risk of Diabetes", "heart": " Risk of Heart Attack"}
+FALLBACK_HEADLINE = " (Fallback Prediction)"
+MESSAGES = {
+    "models": "The models predict an average ",
+    "fallback": "The fallback prediction indicates a ",
+    "diabetes": " probability of diabetes.",
+    "heart": " probability of heart attack risk.",
 }
 # ---------------------------------------------------------------------------
 
@@ -146,19 +179,15 @@ def recommend(df: DataFrame, task: str | Column, verdict_col: str = "verdict") -
 
 def headline(task: str, verdict_col: str = "verdict", source_col: str = "source") -> Column:
     """Short verdict heading, e.g. ``High Risk of Diabetes (Fallback Prediction)``."""
-    what = "Diabetes" if task == "diabetes" else "Heart Attack"
-    base = F.concat(F.col(verdict_col), F.lit(f" Risk of {what}"))
-    return F.when(F.col(source_col) == "models", base).otherwise(F.concat(base, F.lit(" (Fallback Prediction)")))
+    base = F.concat(F.col(verdict_col), F.lit(HEADLINES[task]))
+    return F.when(F.col(source_col) == "models", base).otherwise(F.concat(base, F.lit(FALLBACK_HEADLINE)))
 
 
 def message(task: str, prob_col: str = "risk_prob", source_col: str = "source") -> Column:
     """Verdict message with the probability as Python's ``{p:.1%}`` writes
-    it (our wording): the models' mean, or the fallback rule's value."""
-    what = "diabetes" if task == "diabetes" else "heart attack risk"
-    pct = percent_text(prob_col)
-    return F.when(F.col(source_col) == "models",
-                  F.concat(F.lit("Average model probability of "), F.lit(what), F.lit(": "), pct, F.lit(".")))\
-        .otherwise(F.concat(F.lit("Fallback rule probability of "), F.lit(what), F.lit(": "), pct, F.lit(".")))
+    it: the models' mean, or the fallback rule's value."""
+    lead = F.when(F.col(source_col) == "models", F.lit(MESSAGES["models"])).otherwise(F.lit(MESSAGES["fallback"]))
+    return F.concat(lead, percent_text(prob_col), F.lit(MESSAGES[task]))
 
 
 def score_all(df: DataFrame, task: str, models: dict, key: str | None = None) -> DataFrame:
@@ -169,7 +198,7 @@ def score_all(df: DataFrame, task: str, models: dict, key: str | None = None) ->
     """
     from riskloom.functions.rules import rule_score_a, rule_score_b
     inputs = schemas.DIABETES_FEATURES if task == "diabetes" else schemas.HEART_FEATURES
-    scored = score(df, models, [c for c in inputs if c in df.columns])
+    scored = score(df, models, [c for c in inputs if c in df.columns])  # the form's inputs and the model's own
     if task == "diabetes":
         ruled = rule_score_a(scored, with_status=True)
     else:

@@ -7,9 +7,12 @@ double rounding match ``oracle.ORACLE`` for the value-checked ones.
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.feature import SQLTransformer, StandardScalerModel, VectorAssembler
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pyspark.ml.functions import array_to_vector
@@ -20,9 +23,8 @@ from riskloom.functions.columns import decode_flag
 from riskloom.functions.columns import threshold as fcols_threshold
 from riskloom.functions.rules import rule_score_a, rule_score_b
 from riskloom.operators import clean, evaluate, features, profile, scoring, split
-from riskloom.operators.split import with_split
 from riskloom.plans import feature_plans, jobs, training, views
-from riskloom.session import app_id, scratch_path
+from riskloom.session import app_id, checkpoint_root, scratch_path
 from riskloom.sources import files, registry
 from riskloom.sources import models as model_io
 from riskloom.streaming.score_stream import read_stream, score_stream
@@ -444,160 +446,229 @@ def q_processed_roundtrip(spark, sf):
 # --- training, tuning, persistence, scoring -----------------------------------
 
 
-_FITS: dict = {}
+def patient_inputs(spark, sf) -> DataFrame:
+    """Diabetes inputs with canonical names, key ``k`` and the planted label ``outcome``."""
+    return views.diabetes_training_view(spark, sf)
 
 
-def patient_inputs(spark, sf) -> DataFrame:
-    """Diabetes inputs with canonical names, key ``k`` and label ``outcome``."""
-    return views.diabetes_inputs(views.patient_view(spark, sf))
+def _task_frame(spark, sf, task: str) -> DataFrame:
+    return patient_inputs(spark, sf) if task == "diabetes" else views.heart_training_view(spark, sf)
 
 
-def _task_frame(spark, sf, task: str):
-    if task == "diabetes":
-        return patient_inputs(spark, sf), "outcome", schemas.DIABETES_FEATURES
-    df = views.heart_view(spark, sf).withColumnRenamed("outcome", "heart_attack_risk")
-    return df, "heart_attack_risk", [c for c in schemas.HEART_FEATURES if c in df.columns]
+def trained(spark, sf, task: str = "diabetes") -> str:
+    """Folder with the task's tuned models, CV report, importances and registry.
 
+    The training job writes it once per application and data folder below
+    the shared checkpoint folder; the registry is written last, so a folder
+    with a registry is whole.  Queries read what they need from it.
+    """
+    name = hashlib.md5(f"{app_id(spark)}|{sf}".encode()).hexdigest()[:12]
+    base = f"{checkpoint_root(spark)}/riskloom/trained-{name}/{task}"
+    if not model_io.path_exists(spark, f"{base}/registry/_SUCCESS"):
+        jobs.train(spark, _task_frame(spark, sf, task), task, base, "k")
+    return base
 
-def fitted_model(spark, sf, task: str = "diabetes", model: str = "lr") -> dict:
-    """Tune one model on the training split once per application and sf;
-    the pipeline is saved under the checkpoint folder and reloaded by path
-    (a live model object would not survive a new session)."""
-    key = (app_id(spark), sf, task, model)
-    if key not in _FITS:
-        df, label, feats = _task_frame(spark, sf, task)
-        fit = training.fit_task(spark, df, "k", label, task, features=feats, models=(model,))
-        entry = {"path": model_io.save_model(fit.models[model], scratch_path(spark, f"{task}-{model}")),
-                 "reports": fit.reports[model].collect(), "features": feats}
-        if model == "rf":
-            entry["importances"] = list(zip(feats, fit.classifiers["rf"].featureImportances.toArray().tolist()))
-        _FITS[key] = entry
-    return _FITS[key]
 
+def model_path(base: str, task: str, name: str) -> str:
+    return f"{base}/{task}_{jobs.MODEL_DIRS[name]}"
 
-def fitted(spark, sf, task: str = "diabetes") -> dict:
-    """Both tuned models of a task: paths, CV reports, importances."""
-    lr, rf = fitted_model(spark, sf, task, "lr"), fitted_model(spark, sf, task, "rf")
-    return {"paths": {"lr": lr["path"], "rf": rf["path"]}, "reports": lr["reports"] + rf["reports"],
-            "importances": rf["importances"], "features": lr["features"]}
 
+def _load(spark, base: str, task: str) -> dict:
+    return {n: model_io.load_with_status(spark, model_path(base, task, n)) for n in jobs.MODEL_DIRS}
 
-def _report_frame(spark, rows, model=None) -> DataFrame:
-    df = spark.createDataFrame(
-        rows, "model string, grid_index int, params string, mean_auc double, is_best boolean, fit_seconds double")
-    return df if model is None else df.where(F.col("model") == model)
+
+def _single_fit(spark, sf, model: str):
+    df = patient_inputs(spark, sf)
+    fit = training.fit_task(spark, df, "k", schemas.DIABETES_LABEL, "diabetes", models=(model,), tune_models=False)
+    return fit, fit.train.count()
 
 
 @query
 def q_train_lr(spark, sf):
-    df = patient_inputs(spark, sf)
-    fit = training.fit_task(spark, df, "k", "outcome", "diabetes", models=("lr",), tune_models=False)
+    """Terms of one logistic fit on the training split.  Values are fitted,
+    so the checked columns are what must hold for any right fit: finite
+    terms, and positive weights for the two features the label follows."""
+    fit, n = _single_fit(spark, sf, "lr")
     lr = fit.classifiers["lr"]
     rows = [("intercept", float(lr.intercept))] + list(zip(fit.feature_names, map(float, lr.coefficients.toArray())))
-    return spark.createDataFrame(rows, "term string, coefficient double")
+    df = spark.createDataFrame(rows, "term string, coefficient double")
+    ok = ~F.isnan("coefficient") & (F.abs("coefficient") < 1e6)
+    followed = F.when(F.col("term").isin("glucose", "age"), F.col("coefficient") > 0.1).otherwise(F.lit(True))
+    return df.select("term", ok.alias("finite"), followed.alias("sign_ok"), F.lit(n).cast("long").alias("n_train"))
 
 
 @query
 def q_train_rf(spark, sf):
-    df = patient_inputs(spark, sf)
-    fit = training.fit_task(spark, df, "k", "outcome", "diabetes", models=("rf",), tune_models=False)
-    trees = fit.classifiers["rf"].trees
-    return spark.createDataFrame([(i, t.numNodes, t.depth) for i, t in enumerate(trees)],
-                                 "tree int, num_nodes int, depth int")
+    """Trees of one forest fit: their number, depth bound and that each splits."""
+    fit, n = _single_fit(spark, sf, "rf")
+    rows = [(i, t.depth <= 5, t.numNodes >= 3) for i, t in enumerate(fit.classifiers["rf"].trees)]
+    return spark.createDataFrame(rows, "tree int, depth_ok boolean, splits boolean").withColumn("n_train", F.lit(n).cast("long"))
+
+
+#: Mean AUC that every cross-validated grid point and held-out AUC that every model must reach on the planted label.
+LEAST_CV_AUC, LEAST_TEST_AUC = 0.5, 0.85
+
+
+def _report(spark, sf, model: str | None = None) -> DataFrame:
+    """Grid points of the tuning; the best is the one with the highest mean AUC and is above the test bound."""
+    r = spark.read.parquet(f"{trained(spark, sf)}/diabetes_cv_report")
+    r = r if model is None else r.where(F.col("model") == model)
+    top = F.max("mean_auc").over(Window.partitionBy("model"))  # at most nine grid points a model
+    best_ok = F.when(F.col("is_best"), (F.col("mean_auc") == top) & (top >= LEAST_TEST_AUC)).otherwise(F.lit(True))
+    n_best = F.sum(F.col("is_best").cast("int")).over(Window.partitionBy("model"))
+    return r.select("model", "grid_index", "params", F.col("mean_auc").between(LEAST_CV_AUC, 1.0).alias("auc_ok"),
+                    (best_ok & (n_best == 1)).alias("best_ok"), (F.col("fit_seconds") > 0).alias("timed"))
 
 
 @query
 def q_tune_lr(spark, sf):
-    return _report_frame(spark, fitted_model(spark, sf, "diabetes", "lr")["reports"])
+    return _report(spark, sf, "logistic_regression")
 
 
 @query
 def q_tune_rf(spark, sf):
-    return _report_frame(spark, fitted_model(spark, sf, "diabetes", "rf")["reports"])
+    return _report(spark, sf, "random_forest")
 
 
 @query
 def q_cv_metrics(spark, sf):
-    return _report_frame(spark, fitted(spark, sf)["reports"])
+    return _report(spark, sf)
 
 
 @query
 def q_feature_importance(spark, sf):
-    imp = fitted_model(spark, sf, "diabetes", "rf")["importances"]
-    return (spark.createDataFrame([(f, float(v)) for f, v in imp], "feature string, importance double")
-            .orderBy(F.col("importance").desc(), "feature"))
+    """Importances of the tuned forest: non-negative, adding to 1, and the two features the label follows on top."""
+    imp = spark.read.parquet(f"{trained(spark, sf)}/diabetes_importances")
+    every = Window.partitionBy(F.lit(1))  # eight features
+    place = F.rank().over(Window.partitionBy(F.lit(1)).orderBy(F.col("importance").desc()))
+    return imp.select("feature", (F.col("importance") >= 0).alias("non_negative"),
+                      (F.abs(F.sum("importance").over(every) - 1) < 1e-9).alias("adds_to_one"), (place <= 2).alias("top_two"))
 
 
 def _score_cols():
-    return ["k", "lr_prob", "lr_pred", "rf_prob", "rf_pred", "rule_pred", "rule_prob", "source", "votes",
-            "risk_prob", "verdict", "recommendation"]
+    return ["k", "lr_prob", "lr_pred", "lr_status", "rf_prob", "rf_pred", "rf_status", "rule_pred", "rule_prob",
+            "source", "votes", "risk_prob", "verdict", "recommendation"]
+
+
+def _sigmoid_of(model, df: DataFrame) -> Column:
+    """The logistic model's probability worked out from its stored numbers and the raw inputs."""
+    lr, scaler = model.stages[-1], next(s for s in model.stages if isinstance(s, StandardScalerModel))
+    inputs = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
+    imputed = next((s for s in model.stages if isinstance(s, SQLTransformer)), None)
+    z = F.lit(float(lr.intercept))
+    for c, w, m, d in zip(inputs, lr.coefficients.toArray(), scaler.mean.toArray(), scaler.std.toArray()):
+        raw = c.removesuffix(schemas.IMPUTED_SUFFIX)
+        x = F.col(raw).cast("double")
+        if raw != c:
+            mean = next(float(v) for v in re.findall(rf"WHEN `?{raw}`? = 0 THEN CAST\('([^']+)'", imputed.getStatement()))
+            x = F.when(F.col(raw) == 0, F.lit(mean)).otherwise(x)
+        z = z + F.lit(float(w)) * ((x - F.lit(float(m))) / F.lit(float(d)) if d else F.lit(0.0))
+    return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
+
+
+def _consistent(scored: DataFrame, lr_prob=None) -> DataFrame:
+    """k and whether each output follows from the row's own probabilities."""
+    lp, rp = F.col("lr_prob"), F.col("rf_prob")
+    mean = (lp + rp) / 2
+    votes = (lp >= 0.3).cast("int") + (rp >= 0.3).cast("int")
+    high = (votes > 0) | (mean >= 0.3)
+    flags = {
+        "in_range": lp.between(0, 1) & rp.between(0, 1),
+        "pred_ok": (F.col("lr_pred") == (lp >= 0.3).cast("int")) & (F.col("rf_pred") == (rp >= 0.3).cast("int")),
+        "votes_ok": F.col("votes") == votes,
+        "mean_ok": F.abs(F.col("risk_prob") - mean) < 1e-12,
+        "verdict_ok": (F.col("verdict") == "High") == high,
+        "no_rule": F.col("rule_pred").isNull() & F.col("rule_prob").isNull(),
+    }
+    if lr_prob is not None:
+        flags["sigmoid_ok"] = F.abs(lp - lr_prob) < 1e-9
+    return scored.select("k", "source", "lr_status", "rf_status", *[F.coalesce(f, F.lit(False)).alias(n) for n, f in flags.items()])
 
 
 @query
 def q_batch_score(spark, sf):
-    paths = fitted(spark, sf)["paths"]
-    models = {n: model_io.load_model(p) for n, p in paths.items()}
-    return scoring.score_all(patient_inputs(spark, sf), "diabetes", models, "k").select(*_score_cols())
+    models = _load(spark, trained(spark, sf), "diabetes")
+    df = patient_inputs(spark, sf)
+    return _consistent(scoring.score_all(df, "diabetes", models, "k"), _sigmoid_of(models["lr"][0], df))
 
 
 @query
 def q_heart_batch_score(spark, sf):
-    paths = fitted(spark, sf, "heart")["paths"]
-    models = {n: model_io.load_model(p) for n, p in paths.items()}
-    h = views.heart_view(spark, sf).drop("outcome")
-    return scoring.score_all(h, "heart", models, "k").select(*_score_cols())
+    models = _load(spark, trained(spark, sf, "heart"), "heart")
+    df = views.heart_view(spark, sf).drop("outcome")
+    return _consistent(scoring.score_all(df, "heart", models, "k"), _sigmoid_of(models["lr"][0], df))
 
 
 @query
 def q_partial_models(spark, sf):
-    """LR saved, RF path missing; some inputs null.  RF columns are typed
-    nulls, LR is masked where an input is null, rules take those rows."""
-    paths = fitted(spark, sf)["paths"]
-    models = {"lr": model_io.load_optional(spark, paths["lr"]),
-              "rf": model_io.load_optional(spark, scratch_path(spark, "absent-model"))}
+    """LR's folder is damaged, RF is whole; some inputs are null.  RF answers
+    where its inputs are all there, rules take the other rows."""
+    base = trained(spark, sf)
+    damaged = scratch_path(spark, "damaged-model")
+    spark.createDataFrame([("not a model",)], "value string").coalesce(1).write.text(f"{damaged}/metadata")
+    models = {"lr": model_io.load_with_status(spark, damaged),
+              "rf": model_io.load_with_status(spark, model_path(base, "diabetes", "rf"))}
     df = patient_inputs(spark, sf).withColumn("glucose", F.nullif(F.col("glucose"), F.lit(100)))
-    return scoring.score_all(df, "diabetes", models, "k").select(*_score_cols())
+    s = scoring.score_all(df, "diabetes", models, "k")
+    return s.select("k", "source", "lr_status", "rf_status", F.col("lr_prob").isNotNull().alias("lr_answered"),
+                    F.col("rf_prob").isNotNull().alias("rf_answered"), "rule_pred", r6("rule_prob", "rule_prob"))
+
+
+@query
+def q_own_inputs(spark, sf):
+    """A heart model trained with one more input than the form has: where
+    that input is null at serving, the model does not answer."""
+    df = _task_frame(spark, sf, "heart").withColumn("extra", F.col("k") % 13)
+    fit = training.fit_task(spark, feature_plans.null_drop_prepare(df, schemas.HEART_LABEL, [], "k"), "k",
+                            schemas.HEART_LABEL, "heart", models=("lr", "rf"), tune_models=False)
+    served = views.heart_view(spark, sf).drop("outcome").withColumn("extra", F.nullif(F.col("k") % 13, F.lit(5)))
+    s = scoring.score_all(served, "heart", fit.models, "k")
+    return s.select("k", F.col("lr_prob").isNotNull().alias("lr_answered"), F.col("rf_prob").isNotNull().alias("rf_answered"), "source")
 
 
 @query
 def q_model_roundtrip(spark, sf):
-    df = patient_inputs(spark, sf)
-    fit = training.fit_task(spark, df, "k", "outcome", "diabetes", models=("lr",), tune_models=False)
-    live = fit.models["lr"]
+    fit, _ = _single_fit(spark, sf, "lr")
+    df, live = patient_inputs(spark, sf), fit.models["lr"]
     loaded = model_io.load_model(model_io.save_model(live, scratch_path(spark, "roundtrip-lr")))
-    a = scoring.score(df, {"live": live}, schemas.DIABETES_FEATURES)
-    b = scoring.score(a, {"loaded": loaded}, schemas.DIABETES_FEATURES)
-    return b.select("k", "live_prob", "loaded_prob",
-                    (F.abs(F.col("live_prob") - F.col("loaded_prob")) <= 1e-12).alias("same"))
+    both = scoring.score(df, {"live": live, "loaded": loaded})
+    return both.select("k", (F.abs(F.col("live_prob") - F.col("loaded_prob")) <= 1e-12).alias("same"))
 
 
 @query
 def q_stream_score(spark, sf):
-    """Rows land as parquet files; a stateless stream scores them with the
-    saved pipelines into a parquet sink (trigger availableNow)."""
-    paths = fitted(spark, sf)["paths"]
-    models = {n: model_io.load_model(p) for n, p in paths.items()}
-    src = patient_inputs(spark, sf)
-    landing = scratch_path(spark, "stream-in")
-    src.write.mode("overwrite").parquet(landing)
+    """A stateless stream over the table's files scores their rows with the
+    saved pipelines into a parquet sink (trigger availableNow).  The path
+    is a glob: a stream takes a plain path for a folder."""
+    models = _load(spark, trained(spark, sf), "diabetes")
+    raw = read_stream(spark, f"{sf}/{{events.parquet}}", views.table(spark, sf, "events").schema)
     out, ckpt = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-ckpt")
-    q = score_stream(read_stream(spark, landing, src.schema), "diabetes", models, "k", out, ckpt)
-    q.awaitTermination()
-    return spark.read.parquet(out).select(*_score_cols())
+    score_stream(views.diabetes_inputs(views.patients(raw)), "diabetes", models, "k", out, ckpt).awaitTermination()
+    return _consistent(spark.read.parquet(out))
 
 
 @query
 def q_model_registry(spark, sf):
-    """Tuned pipelines of both tasks scored on their held-out split: exact
-    AUC, accuracy, winner (a tie keeps LR), written as the registry."""
+    """Registry of both tasks' training jobs: row counts of the split (heart
+    rows with nulls are dropped before it), AUC bounds, one winner."""
     out = None
     for task in ("diabetes", "heart"):
-        df, label, feats = _task_frame(spark, sf, task)
-        test = with_split(df, "k", training.SPLIT_FRACTION, training.SPLIT_SEED).where(F.col("split") == "test")
-        reg = jobs.register(spark, task, test, fitted(spark, sf, task)["paths"], feats, label,
-                            scratch_path(spark, f"registry-{task}"))
-        out = reg if out is None else out.unionByName(reg)
-    return out
+        r = registry.read_registry(spark, f"{trained(spark, sf, task)}/registry")
+        out = r if out is None else out.unionByName(r)
+    w = Window.partitionBy("task")  # two models a task
+    best = F.max("auc").over(w)
+    won = F.when(F.col("is_best"), F.col("auc") == best).otherwise(F.lit(True))
+    return out.select("task", "model", "n_train", "n_test", "partitions", (F.col("auc") >= LEAST_TEST_AUC).alias("auc_ok"),
+                      (F.abs(F.col("auc") - F.col("auc_binned")) < 0.01).alias("binned_near"),
+                      (F.col("accuracy") >= 0.75).alias("accuracy_ok"),
+                      (won & (F.sum(F.col("is_best").cast("int")).over(w) == 1)).alias("winner_ok"))
+
+
+@query
+def q_artefact_status(spark, sf):
+    """Model folders and registry of the diabetes training job on the store, and that none of another task is there."""
+    base = trained(spark, sf)
+    return registry.artefact_status(spark, base).select("task", "artefact", "present")
 
 
 def flagship(spark, sf) -> DataFrame:

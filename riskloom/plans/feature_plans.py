@@ -23,8 +23,7 @@ from riskloom.functions.columns import nonzero_mean
 from riskloom.operators.clean import drop_ids, drop_null_rows, feature_cols
 from riskloom.operators.features import assembler, scaler
 
-IMPUTED_SUFFIX = "__imputed"
-ENCODED_SUFFIX = "__encoded"
+IMPUTED_SUFFIX, ENCODED_SUFFIX = schemas.IMPUTED_SUFFIX, schemas.ENCODED_SUFFIX
 
 
 def _q(name: str) -> str:
@@ -122,10 +121,3 @@ def null_drop_plan(features: list[str], classifier=None, encoded=schemas.HEART_E
 def dynamic_features(df: DataFrame, label: str, key: str | None = None) -> list[str]:
     """O-15 for a prepared table: all columns but the label and the key."""
     return [c for c in feature_cols(df, label) if c != key]
-
-
-def features_frame(model_df: DataFrame, out: str = "features") -> DataFrame:
-    """Drop the intermediate columns the stages add (``*__imputed`` etc.)."""
-    drop = [c for c in model_df.columns if c.endswith(IMPUTED_SUFFIX) or c.endswith(ENCODED_SUFFIX)
-            or c == f"{out}_unscaled"]
-    return model_df.drop(*drop)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from riskloom import schemas
 from riskloom.operators import evaluate, scoring
 from riskloom.plans import feature_plans, training
+from riskloom.session import scratch_path
 from riskloom.sources import files, models as model_io, registry
 
 MODEL_DIRS = {"lr": "model_lr", "rf": "model_rf"}
@@ -52,55 +53,69 @@ def prepare(df: DataFrame, task: str, out_path: str, key: str | None = None) ->
 
 
 def train(spark: SparkSession, df: DataFrame, task: str, models_dir: str, key: str,
-          fit_scope: str = "train") -> DataFrame:
-    """Stage 2: split by key, tune LR and RF, save both pipelines, score the
+          fit_scope: str = "train", partitions: int = training.TRAIN_PARTITIONS) -> DataFrame:
+    """Stage 2: drop rows with nulls (heart task), split by key, tune LR and
+    RF, save both pipelines, the CV reports and the importances, score the
     held-out rows, pick the winner (a tie keeps LR) and write the registry.
 
-    Returns the registry ``(task, model, auc, accuracy, path, is_best)``.
+    Returns the registry ``(task, model, auc, auc_binned, accuracy, n_train,
+    n_test, partitions, path, is_best)``.
     """
     label, feats = task_spec(task, df, key)
-    fit = training.fit_task(spark, df, key, label, task, features=feats, fit_scope=fit_scope)
+    if task != "diabetes":
+        df = feature_plans.null_drop_prepare(df, label, schemas.HEART_ID_COLUMNS, key)
+    fit = training.fit_task(spark, df, key, label, task, features=feats, fit_scope=fit_scope, partitions=partitions)
     paths = {name: model_io.save_model(pipe, f"{models_dir}/{task}_{MODEL_DIRS[name]}")
              for name, pipe in fit.models.items()}
-    return register(spark, task, fit.test, paths, feats, label, f"{models_dir}/registry")
-
-
-def register(spark: SparkSession, task: str, test: DataFrame, paths: dict, feats: list[str], label: str,
-             registry_path: str) -> DataFrame:
-    """Score the held-out rows with each saved pipeline, measure exact AUC
-    and accuracy, mark the winner and write the registry table.
+    reports = list(fit.reports.values())
+    for r in reports[1:]:
+        reports[0] = reports[0].unionByName(r)
+    reports[0].coalesce(1).write.mode("overwrite").parquet(f"{models_dir}/{task}_cv_report")
+    importances = training.feature_importance(spark, fit.classifiers["rf"], fit.feature_names)
+    importances.coalesce(1).write.mode("overwrite").parquet(f"{models_dir}/{task}_importances")
+    return register(spark, task, fit.test, paths, label, f"{models_dir}/registry", fit.train.count(), partitions)
+
+
+def register(spark: SparkSession, task: str, test: DataFrame, paths: dict, label: str, registry_path: str,
+             n_train: int, partitions: int) -> DataFrame:
+    """Score the held-out rows with the saved pipelines in one pass, reduce
+    them to counts per (model, score, class, label), written once, and take
+    exact AUC, accuracy and Spark's binned AUC from the counts; mark the
+    winner and write the registry table.
 
     ``auc_binned`` is Spark's evaluator with its default 1000 bins, the
     number the reference prints; the winner is chosen on the exact AUC.
     """
-    parts = []
-    for name, path in paths.items():
-        scored = scoring.score(test, {name: model_io.load_model(path)}, feats)
-        parts.append(scored.select(F.lit(task).alias("task"), F.lit(training.MODEL_KEYS[name]).alias("model"),
-                                   F.lit(path).alias("path"), F.col(f"{name}_prob").alias("score"),
-                                   # accuracy uses the model's own class (argmax,
-                                   # p > 0.5), not the served 0.3 cut-off
-                                   F.when(F.col(f"{name}_prob").isNotNull(),
-                                          (F.col(f"{name}_prob") > 0.5).cast("int")).alias("pred"),
-                                   F.col(label).alias("label")))
-    test_scores = parts[0]
-    for p in parts[1:]:
-        test_scores = test_scores.unionByName(p)
-    auc = evaluate.auc_exact(test_scores, "score", "label", by=["task", "model", "path"])
-    acc = evaluate.accuracy(test_scores, "pred", "label", by=["task", "model"]).drop("n")
+    scored = scoring.score(test, {name: model_io.load_model(path) for name, path in paths.items()})
+    # accuracy uses the model's own class (argmax, p > 0.5), not the served 0.3 cut-off
+    long = scored.select(F.explode(F.array(*[
+        F.struct(F.lit(training.MODEL_KEYS[n]).alias("model"), F.lit(path).alias("path"), F.col(f"{n}_prob").alias("score"),
+                 (F.col(f"{n}_prob") > 0.5).cast("int").alias("pred"), F.col(label).cast("int").alias("label"))
+        for n, path in paths.items()])).alias("m")).select("m.*")
+    counts = long.groupBy("model", "path", "score", "pred", "label").agg(F.count("*").alias("rows"))
+    counts_path = scratch_path(spark, "test-counts")
+    counts.write.parquet(counts_path)
+    counts = spark.read.schema(counts.schema).parquet(counts_path)
+    auc = evaluate.auc_exact(counts, "score", "label", by=["model", "path"], weight="rows")
+    right = F.when(F.col("pred").isNotNull() & F.col("label").isNotNull(), (F.col("pred") == F.col("label")).cast("int"))
+    acc = counts.groupBy("model").agg(
+        (F.sum(right * F.col("rows")) / F.sum(F.when(right.isNotNull(), F.col("rows")))).alias("accuracy"))
     binned = spark.createDataFrame(
-        [(task, training.MODEL_KEYS[n], evaluate.auc_binned(p.where(F.col("score").isNotNull()), "score", "label"))
-         for n, p in zip(paths, parts)], "task string, model string, auc_binned double")
-    metrics = evaluate.pick_best(auc.join(acc, ["task", "model"]).join(binned, ["task", "model"])
-                                 .select("task", "model", "auc", "auc_binned", "accuracy", "path"))
+        [(m, evaluate.auc_binned(evaluate.score_counts(counts.where(F.col("model") == m), "score", "label", [], "rows")))
+         for m in (training.MODEL_KEYS[n] for n in paths)], "model string, auc_binned double")
+    metrics = evaluate.pick_best(
+        auc.withColumnRenamed("n", "n_test").join(acc, "model").join(binned, "model")
+        .select(F.lit(task).alias("task"), "model", "auc", "auc_binned", "accuracy", F.lit(n_train).cast("long").alias("n_train"),
+                "n_test", F.lit(partitions).alias("partitions"), "path"))
     registry.write_registry(metrics, registry_path)
     return registry.read_registry(spark, registry_path)
 
 
 def serve(spark: SparkSession, df: DataFrame, task: str, models_dir: str, key: str) -> DataFrame:
-    """Stage 3: score rows with whichever saved models exist, fall back to
-    the rules where none answers, and add the verdict and its texts."""
-    models = {n: model_io.load_optional(spark, f"{models_dir}/{task}_{d}") for n, d in MODEL_DIRS.items()}
+    """Stage 3: score rows with whichever saved models can be loaded
+    (``lr_status``, ``rf_status`` say which), fall back to the rules where
+    none answers, and add the verdict and its texts."""
+    models = {n: model_io.load_with_status(spark, f"{models_dir}/{task}_{d}") for n, d in MODEL_DIRS.items()}
     return scoring.score_all(df, task, models, key)
 
 

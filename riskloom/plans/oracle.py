@@ -515,16 +515,18 @@ _q("verdict_text", f"""
 WITH {consensus_sql()}
 SELECT k, verdict,
   verdict || ' Risk of Diabetes' || CASE WHEN source = 'models' THEN '' ELSE ' (Fallback Prediction)' END AS headline,
-  CASE WHEN source = 'models' THEN 'Average model probability of diabetes: '
-       ELSE 'Fallback rule probability of diabetes: ' END || printf('%.1f%%', risk_prob * 100) || '.' AS message
+  CASE WHEN source = 'models' THEN 'The models predict an average '
+       ELSE 'The fallback prediction indicates a ' END || printf('%.1f%%', risk_prob * 100)
+    || ' probability of diabetes.' AS message
 FROM cons""")
 
 
+# The texts shown to users.
 def _recommend(task_sql: str) -> str:
-    return f"""CASE WHEN {task_sql} = 'diabetes' AND verdict = 'High' THEN 'Further clinical tests are advised.'
-       WHEN {task_sql} = 'diabetes' AND verdict = 'Low' THEN 'Keep a healthy lifestyle and regular check-ups.'
-       WHEN {task_sql} = 'heart' AND verdict = 'High' THEN 'Prompt consultation with a cardiologist is advised.'
-       WHEN {task_sql} = 'heart' AND verdict = 'Low' THEN 'Continue regular check-ups and a healthy lifestyle.' END"""
+    return f"""CASE WHEN {task_sql} = 'diabetes' AND verdict = 'High' THEN 'Further clinical tests are recommended.'
+       WHEN {task_sql} = 'diabetes' AND verdict = 'Low' THEN 'Maintain a healthy lifestyle and regular check-ups.'
+       WHEN {task_sql} = 'heart' AND verdict = 'High' THEN 'Immediate consultation with a cardiologist is advised.'
+       WHEN {task_sql} = 'heart' AND verdict = 'Low' THEN 'Continue with regular health check-ups and maintain a healthy lifestyle.' END"""
 
 
 _q("recommendation", f"""
@@ -545,3 +547,76 @@ _q("csv_roundtrip", "SELECT * FROM part")
 
 _q("processed_roundtrip", """
 SELECT p_partkey, CAST(p_size AS DOUBLE) AS p_size, p_retailprice FROM part""")
+
+
+# --- training, tuning, persistence, scoring -----------------------------------
+# Fitted numbers are not SQL; these queries return what must hold for any
+# right fit, and the keys, counts and rule results that SQL can state.
+
+_TRAIN_K = _bucket("event_id", ":42", 100)
+_DIAB_NAMES = ["pregnancies", "glucose", "blood_pressure", "skin_thickness", "insulin", "bmi", "dpf", "age"]
+
+
+def _values(rows: list[str], cols: str) -> str:
+    return f"(VALUES {', '.join(rows)}) AS v({cols})"
+
+
+_n_train = f"(SELECT count(*) FROM events WHERE {_TRAIN_K} < 80) AS n_train"
+_q("train_lr", f"""
+SELECT term, true AS finite, true AS sign_ok, {_n_train}
+FROM {_values([f"('{t}')" for t in ["intercept", *_DIAB_NAMES]], "term")}""")
+
+_q("train_rf", f"SELECT CAST(i AS INTEGER) AS tree, true AS depth_ok, true AS splits, {_n_train} FROM range(20) AS r(i)")
+
+_LR_POINTS = [f"('logistic_regression', {i}, 'elasticNetParam={e},regParam={r}')"
+              for i, (r, e) in enumerate((r, e) for r in (0.01, 0.1, 0.3) for e in (0.0, 0.5, 1.0))]
+_RF_POINTS = [f"('random_forest', {i}, 'maxDepth={d},numTrees={t}')"
+              for i, (t, d) in enumerate((t, d) for t in (10, 20) for d in (5, 10))]
+
+
+def _points(rows: list[str]) -> str:
+    return ("SELECT model, CAST(grid_index AS INTEGER) AS grid_index, params, true AS auc_ok, true AS best_ok, true AS timed FROM "
+            + _values(rows, "model, grid_index, params"))
+
+
+_q("tune_lr", _points(_LR_POINTS))
+_q("tune_rf", _points(_RF_POINTS))
+_q("cv_metrics", _points(_LR_POINTS + _RF_POINTS))
+_q("feature_importance", "SELECT feature, true AS non_negative, true AS adds_to_one, feature IN ('glucose', 'age') AS top_two FROM "
+   + _values([f"('{f}')" for f in _DIAB_NAMES], "feature"))
+_q("model_roundtrip", "SELECT event_id AS k, true AS same FROM events")
+
+_FLAGS = ", ".join(f"true AS {f}" for f in ("in_range", "pred_ok", "votes_ok", "mean_ok", "verdict_ok", "no_rule"))
+_BOTH = "'models' AS source, 'loaded' AS lr_status, 'loaded' AS rf_status"
+_q("batch_score", f"SELECT event_id AS k, {_BOTH}, {_FLAGS}, true AS sigmoid_ok FROM events")
+_q("heart_batch_score", f"SELECT o_orderkey AS k, {_BOTH}, {_FLAGS}, true AS sigmoid_ok FROM orders")
+_q("stream_score", f"SELECT event_id AS k, {_BOTH}, {_FLAGS} FROM events")
+
+_q("partial_models", f"""
+WITH {F4}, {DIAB},
+src AS (SELECT * REPLACE (nullif(glucose, 100) AS glucose) FROM diab),
+{rule_a_sql('src')}
+SELECT k, CASE WHEN glucose IS NOT NULL THEN 'models' WHEN rule_status = 'failed' THEN 'last_resort' ELSE 'rules' END AS source,
+  'failed' AS lr_status, 'loaded' AS rf_status, false AS lr_answered, glucose IS NOT NULL AS rf_answered,
+  CASE WHEN glucose IS NULL THEN rule_pred END AS rule_pred, CASE WHEN glucose IS NULL THEN round(rule_prob, 6) END AS rule_prob
+FROM ra""")
+
+_q("own_inputs", """
+SELECT o_orderkey AS k, o_orderkey % 13 <> 5 AS lr_answered, o_orderkey % 13 <> 5 AS rf_answered,
+  CASE WHEN o_orderkey % 13 <> 5 THEN 'models' ELSE 'rules' END AS source
+FROM orders""")
+
+_KEPT = "o_orderkey % 50 <> 0 AND o_orderkey % 70 <> 0"
+_ORDER_K = _bucket("o_orderkey", ":42", 100)
+_q("model_registry", f"""
+WITH n AS (
+  SELECT 'diabetes' AS task, count(*) FILTER (WHERE {_TRAIN_K} < 80) AS n_train, count(*) FILTER (WHERE {_TRAIN_K} >= 80) AS n_test FROM events
+  UNION ALL
+  SELECT 'heart', count(*) FILTER (WHERE {_ORDER_K} < 80), count(*) FILTER (WHERE {_ORDER_K} >= 80) FROM orders WHERE {_KEPT})
+SELECT task, model, n_train, n_test, CAST(8 AS INTEGER) AS partitions,
+  true AS auc_ok, true AS binned_near, true AS accuracy_ok, true AS winner_ok
+FROM n, (VALUES ('logistic_regression'), ('random_forest')) AS m(model)""")
+
+_q("artefact_status", """
+SELECT task, artefact, present FROM (VALUES ('diabetes', 'lr', true), ('diabetes', 'rf', true),
+  ('heart', 'lr', false), ('heart', 'rf', false), ('all', 'registry', true)) AS v(task, artefact, present)""")

@@ -40,8 +40,13 @@ def _model_output_cols(e):
 
 def patient_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Diabetes-shaped view over ``events`` (key ``k``, label ``outcome``)."""
+    return patients(table(spark, sf_dir, "events"))
+
+
+def patients(events: DataFrame) -> DataFrame:
+    """The patient view of an ``events`` table or stream."""
     e = F.col("event_id")
-    return table(spark, sf_dir, "events").select(e.alias("k"), *_patient_cols(e))
+    return events.select(e.alias("k"), *_patient_cols(e))
 
 
 def patient_outputs_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,3 +103,27 @@ def model_output_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fixed stand-in model probabilities over ``events`` (null = no answer)."""
     e = F.col("event_id")
     return table(spark, sf_dir, "events").select(e.alias("k"), *_model_output_cols(e))
+
+
+def _noise(k, m: int):
+    """Integer noise in [0, m) from a key, the same in every engine."""
+    return k * 7919 % m
+
+
+def diabetes_training_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Canonical diabetes inputs with a planted label: it follows glucose and
+    age, so a model that mixes up features or labels cannot reach the
+    held-out AUC that the checks ask for."""
+    p = diabetes_inputs(patient_view(spark, sf_dir))
+    signal = F.col("glucose") + 2 * F.col("age") + _noise(F.col("k"), 97)
+    return p.withColumn("outcome", F.when(signal >= 290, 1).otherwise(0))
+
+
+def heart_training_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Heart inputs with a planted label that follows age, cholesterol and
+    hypertension; one row in 50 has a null cholesterol, one in 70 a null label."""
+    k = F.col("k")
+    signal = 2 * F.col("age") + F.col("cholesterol") + 60 * F.col("hypertension") + _noise(k, 97)
+    h = heart_view(spark, sf_dir).drop("outcome")
+    h = h.withColumn("heart_attack_risk", F.when(k % 70 == 0, F.lit(None).cast("int")).otherwise(F.when(signal >= 400, 1).otherwise(0)))
+    return h.withColumn("cholesterol", F.when(k % 50 == 0, F.lit(None)).otherwise(F.col("cholesterol")))

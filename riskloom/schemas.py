@@ -110,3 +110,7 @@ def heart_schema(int_type: T.DataType = T.IntegerType()) -> T.StructType:
         fields.append(T.StructField(c, t, True))
     fields.append(T.StructField(HEART_LABEL, T.IntegerType(), True))
     return T.StructType(fields)
+
+# Suffixes of the columns that the feature stages add beside their inputs.
+IMPUTED_SUFFIX = "__imputed"
+ENCODED_SUFFIX = "__encoded"

@@ -9,7 +9,9 @@ session so every later caller sees the same one.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -34,9 +36,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session.
 
     ``spark.checkpoint.dir`` if the cluster names one; else the folder
-    already given to ``SparkContext.setCheckpointDir``; else (local tests
-    only) a new temporary folder, which becomes the context's checkpoint
-    dir so later calls find it again.
+    already given to ``SparkContext.setCheckpointDir``; else, on a local
+    master only, a new temporary folder, which becomes the context's
+    checkpoint dir so later calls find it again and is removed when the
+    process ends.  On a cluster without such a folder executors would write
+    to their own disks, so that is an error.
     """
     root = _conf_dir(spark)
     try:
@@ -48,7 +52,11 @@ def checkpoint_root(spark: SparkSession) -> str:
         if current:
             return current.rstrip("/")
     if not root:
+        master = sc.master if sc is not None else ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"set {_CKPT_KEY} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="riskloom-ckpt-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     if sc is not None and not sc.getCheckpointDir():
         try:
             sc.setCheckpointDir(root)
@@ -74,7 +82,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", os.environ.get("RISKLOOM_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("RISKLOOM_DRIVER_MEMORY", "8g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     spark = builder.getOrCreate()
@@ -83,22 +91,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     return spark
 
 
-def spread(df, min_partitions: int | None = None):
-    """Round-robin repartition only when ``df`` has fewer partitions than
-    the cluster has cores (e.g. one small file read as one task).
-
-    On a large input this is a no-op, so it never adds a shuffle at scale;
-    round-robin (with Spark's sort-before-repartition) is deterministic on
-    retry and cannot be skewed by a hot key.
-    """
-    try:
-        want = min_partitions or cores(df.sparkSession)
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access (Connect): leave as is
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def app_id(spark: SparkSession) -> str:
     """Identifier of the running application (stable for a session)."""
     try:

@@ -6,6 +6,8 @@ once per job and applied to any number of rows.
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import SparkSession
 from pyspark.sql.utils import AnalysisException
@@ -21,22 +23,41 @@ def load_model(path: str) -> PipelineModel:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence on the cluster file system (driver-side metadata call)."""
+    """Existence on the cluster file system (driver-side metadata call).
+
+    Faults of the store are raised, not taken for absence.  Without a JVM
+    gateway (Connect) a read of the path tells.
+    """
     try:
-        jvm = spark.sparkContext._jvm
-        jpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(jpath))
-    except Exception:  # noqa: BLE001 - no JVM gateway (Connect): fall back to a read probe
+        context = spark.sparkContext
+        jvm = context._jvm
+    except Exception:  # noqa: BLE001 - Connect has no SparkContext
+        jvm = None
+    if jvm is None:
         try:
-            spark.read.text(f"{path}/metadata").limit(1).collect()
+            spark.read.text(path).limit(0).collect()
             return True
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return False
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(jpath.getFileSystem(context._jsc.hadoopConfiguration()).exists(jpath))
 
 
-def load_optional(spark: SparkSession, path: str | None) -> PipelineModel | None:
-    """A model, or ``None`` if the path is absent (the other model answers)."""
-    if path is None or not path_exists(spark, path):
-        return None
-    return load_model(path)
+def load_with_status(spark: SparkSession, path: str | None) -> tuple[PipelineModel | None, str]:
+    """(model, ``loaded``), (None, ``absent``) or (None, ``failed``).
+
+    A model that is there but cannot be read (damaged, of another kind, or
+    its store does not answer) fails alone; the other model still answers,
+    and the status stands in the scored rows.
+    """
+    if path is None:
+        return None, "absent"
+    try:
+        if not path_exists(spark, path):
+            return None, "absent"
+        return load_model(path), "loaded"
+    except Exception as e:  # noqa: BLE001 - whatever keeps this model from loading must not stop the other
+        logging.getLogger(__name__).warning("model %s cannot be loaded: %s", path, str(e).split("\n")[0])
+        return None, "failed"

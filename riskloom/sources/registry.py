@@ -21,7 +21,7 @@ EXPECTED_ARTEFACTS = [
 def write_registry(metrics: DataFrame, path: str) -> None:
     """Write ``(task, model, auc[, accuracy], path, is_best)`` as one small
     parquet file (a handful of rows: one per trained model)."""
-    cols = [c for c in ("task", "model", "auc", "auc_binned", "accuracy", "path", "is_best") if c in metrics.columns]
+    cols = [c for c in ("task", "model", "auc", "auc_binned", "accuracy", "n_train", "n_test", "partitions", "path", "is_best") if c in metrics.columns]
     metrics.select(*cols).coalesce(1).write.mode("overwrite").parquet(path)
 
 

@@ -15,8 +15,8 @@ def brute_auc(pairs):
     return wins / (len(pos) * len(neg))
 
 
-@pytest.mark.parametrize("n_buckets", [None, 3, 64])
-def test_auc_exact_matches_brute_force(spark, n_buckets):
+@pytest.mark.parametrize("parts", [1, 3, 64])
+def test_auc_exact_matches_brute_force(spark, parts):
     rnd = random.Random(3)
     rows = []
     for g in ("a", "b"):
@@ -25,8 +25,8 @@ def test_auc_exact_matches_brute_force(spark, n_buckets):
             rows.append((g, s, 1 if rnd.random() < s else 0))
     # a hot score holding a third of group a
     rows += [("a", 0.5, i % 2) for i in range(700)]
-    df = spark.createDataFrame(rows, "g string, s double, y int")
-    got = {r.g: r.auc for r in evaluate.auc_exact(df, "s", "y", by=["g"], n_buckets=n_buckets).collect()}
+    df = spark.createDataFrame(rows, "g string, s double, y int").repartition(parts)
+    got = {r.g: r.auc for r in evaluate.auc_exact(df, "s", "y", by=["g"]).collect()}
     for g in ("a", "b"):
         assert got[g] == pytest.approx(brute_auc([(s, y) for gg, s, y in rows if gg == g]), abs=1e-12)
 
