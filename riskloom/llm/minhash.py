@@ -9,17 +9,20 @@ consecutive bins form a band; documents that agree on a band share a bucket.
 Links are confirmed on full sets: 100 * intersection >= 80 * union.
 
 1. Documents with equal sets are one class; only one of each goes on.
-2. In each bucket the smallest class is the centre, and every other member
-   is a candidate of the centre only, so n members give n - 1 pairs.  Each
-   class first tries the centre it shares most bands with, then the others
-   that are not in its component yet.
-3. A bucket may still hold several components.  Its pairs across
-   components (not within) that share two bands are confirmed too, so no
-   link that the buckets show is lost; a group of copies is one component
-   by then and gives none.
-
-Two sets with similarity 0.8 share no band with probability 5e-9 and less
-than two with 1.3e-7 (48 bands of 5 rows); nothing is capped.
+2. In each bucket the smallest class is the centre and the others are
+   edges to it, so n members give n - 1 edges, and all buckets of a centre
+   form one star.  Each class is confirmed against the centre it shares
+   most bands with, and components are formed.
+3. A star may still hold several components (copies edited apart from one
+   another).  Its members meet in blocks of about ``BLOCK``, each two
+   blocks once; a task works out all intersections of two blocks as matrix
+   products and gives only the links that join components, fewer than
+   members.  So two documents that share a bucket are always compared, no
+   pair of them becomes a row, and a star that is one component (copies of
+   a text) is left out.
+
+Two sets with similarity 0.8 share no band with probability 5e-9 (48 bands
+of 5 rows); nothing is capped.
 
 Tables between the steps are written to the shared folder; the texts of
 candidates travel zstd-compressed.  Nothing but counts and checksums
@@ -51,6 +54,9 @@ from riskloom.llm.common import WordHashes, components, materialize, mix, shingl
 BANDS = 48
 ROWS = 5
 PERCENT = 80
+#: Members of a star that one block holds on average.
+BLOCK = 256
+_STRETCH = 1 << 14
 _SIGNED = [
     StructField("doc_id", LongType()), StructField("n_shingles", LongType()), StructField("set_id", BinaryType()),
     StructField("bands", ArrayType(LongType())), StructField("z", BinaryType()),
@@ -126,6 +132,68 @@ def _confirmer(k: int, percent: int):
     return confirm
 
 
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all pairwise intersections of some sets of hashes.
+
+    Products of 0/1 matrices over the hashes that at least two sets hold,
+    a bounded stretch of hashes at a time.
+    """
+    n = len(sets)
+    values, owner = np.concatenate(sets), np.repeat(np.arange(n), [len(x) for x in sets])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    head = np.concatenate([[True], values[1:] != values[:-1]])
+    number = np.cumsum(head) - 1
+    often = np.bincount(number) > 1
+    keep = often[number]
+    number, owner = (np.cumsum(often) - 1)[number[keep]], owner[keep]
+    out = np.zeros((n, n), np.int64)
+    for begin in range(0, int(often.sum()), _STRETCH):
+        a, b = np.searchsorted(number, [begin, begin + _STRETCH])
+        m = np.zeros((n, _STRETCH), np.float32)
+        m[owner[a:b], number[a:b] - begin] = 1
+        out += np.rint(m @ m.T).astype(np.int64)
+    return out
+
+
+def _block_links(k: int, percent: int):
+    """Links across components in each pair of blocks: as many as join components, not all of them."""
+
+    def links(rows: list[tuple], hashes: WordHashes, unpack) -> list[tuple[int, int]]:
+        if len({r[5] for r in rows}) < 2:
+            return []
+        sets = [shingle_set(unpack.decompress(r[6]), hashes, k) for r in rows]
+        size = np.array([len(x) for x in sets])
+        both = intersections(sets)
+        root = np.unique([r[5] for r in rows], return_inverse=True)[1]
+        ok = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & (root[:, None] < root[None, :])
+        out = []
+        for a, b in zip(*np.nonzero(ok), strict=True):
+            if root[a] != root[b]:
+                out.append((rows[a][4], rows[b][4]))
+                root[root == root[b]] = root[a]
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, unpack = WordHashes(), zstandard.ZstdDecompressor()
+        rows: list[tuple] = []
+
+        def found() -> pa.RecordBatch:
+            cols = list(zip(*links(rows, hashes, unpack), strict=True)) or [[], []]
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b"])
+
+        for b in batches:
+            for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if rows and r[:3] != rows[0][:3]:
+                    yield found()
+                    rows = []
+                rows.append(r)
+        if rows:
+            yield found()
+
+    return run
+
+
 def sign(docs: DataFrame, shingle_words: int, bands: int, rows: int, id_col: str, text_col: str, carried: list[str]) -> DataFrame:
     """The written table of signed rows, numbered by ``row``; carried columns follow as x0, x1, ..."""
     more = [docs[f"`{c}`"].alias(f"x{i}") for i, c in enumerate(carried)]
@@ -145,47 +213,36 @@ def link(t: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     reps = t.join(classes.select(F.col("node").alias("row")), "row").select(F.col("row").alias("node"), F.col("n_shingles").alias("n"), "bands")
     bucket = materialize(reps.select("node", "n", F.explode("bands").alias("key")), "minhash-bands")
     centre = bucket.groupBy("key").agg(F.min("node").alias("centre"), F.count("*").alias("members"), F.min_by("n", "node").alias("centre_n")).where("members > 1")
-    fits = lambda x, y: F.least(x, y) * 100 >= percent * F.greatest(x, y)  # noqa: E731  sizes alone can rule a link out
-    star = bucket.join(centre, "key").where((F.col("node") != F.col("centre")) & fits(F.col("n"), F.col("centre_n")))
-    star = materialize(star.groupBy(F.col("centre").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared")), "minhash-stars")
-
-    def confirmed(pairs: DataFrame, z: DataFrame, name: str) -> DataFrame:
-        za, zb = z.select(F.col("node").alias("a"), F.col("z").alias("za")), z.select(F.col("node").alias("b"), F.col("z").alias("zb"))
-        both = pairs.select("a", "b").join(za, "a").join(zb, "b").select("a", "b", "za", "zb").sortWithinPartitions("a")
-        return materialize(both.mapInArrow(_confirmer(shingle_words, percent), "a long, b long, linked boolean"), name)
-
-    def texts_of(nodes: DataFrame, name: str) -> DataFrame:
-        return materialize(t.select(F.col("row").alias("node"), "z").join(nodes.distinct(), "node"), name)
-
-    z = texts_of(star.select(F.col("a").alias("node")).unionByName(star.select(F.col("b").alias("node"))), "minhash-texts")
-    best = star.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
-    done = confirmed(best, z, "minhash-first")
-    root = components(done.where("linked").select("a", "b"), "minhash-components")
+    star = bucket.join(centre.hint("merge"), "key").where(F.col("node") != F.col("centre"))
+    star = star.groupBy(F.col("centre").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared"), F.first("n").alias("nb"), F.first("centre_n").alias("na"))
+    star = materialize(star, "minhash-stars")
+    nodes = star.select(F.col("a").alias("node")).unionByName(star.select(F.col("b").alias("node"))).distinct()
+    z = materialize(t.select(F.col("row").alias("node"), "z").join(nodes.hint("shuffle_hash"), "node", "left_semi"), "minhash-texts")
+
+    # Each class and the centre it shares most bands with; sizes alone can rule a link out.
+    fits = F.least("na", "nb") * 100 >= percent * F.greatest("na", "nb")
+    best = star.where(fits).groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
+    za, zb = z.select(F.col("node").alias("a"), F.col("z").alias("za")), z.select(F.col("node").alias("b"), F.col("z").alias("zb"))
+    both = best.join(zb.hint("merge"), "b").join(za.hint("merge"), "a").select("a", "b", "za", "zb").sortWithinPartitions("a")
+    first = materialize(both.mapInArrow(_confirmer(shingle_words, percent), "a long, b long, linked boolean"), "minhash-first").where("linked").select("a", "b")
+    root = components(first, "minhash-components")
 
     def rooted(df: DataFrame, node: str, out: str) -> DataFrame:
         r = root.select(F.col("node").alias(node), F.col("root").alias("r"))
         return df.join(r, node, "left").withColumn(out, F.coalesce("r", node)).drop("r")
 
-    rest = rooted(rooted(star.join(done.select("a", "b"), ["a", "b"], "left_anti"), "a", "ra"), "b", "rb").where("ra <> rb")
-    more = confirmed(rest, z, "minhash-second")
-    done = done.unionByName(more)
-    if not more.where("linked").isEmpty():
-        root = components(done.where("linked").select("a", "b"), "minhash-components")
-
-    # Buckets that still hold several components: their pairs across components.
-    shared_buckets = rooted(bucket.join(centre.select("key"), "key", "left_semi"), "node", "root")
-    mixed = shared_buckets.groupBy("key").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("key")
-    left = materialize(shared_buckets.join(mixed, "key", "left_semi"), "minhash-mixed")
-    x = left.select("key", F.col("node").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    y = left.select("key", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    across = x.join(y, "key").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & fits(F.col("na"), F.col("nb")))
-    across = across.groupBy("a", "b").agg(F.count("*").alias("shared")).where("shared > 1").join(done.select("a", "b"), ["a", "b"], "left_anti")
-    across = materialize(across, "minhash-across")
-    if not across.isEmpty():
-        nodes = across.select(F.col("a").alias("node")).unionByName(across.select(F.col("b").alias("node")))
-        last = confirmed(across, texts_of(nodes, "minhash-texts"), "minhash-third")
-        if not last.where("linked").isEmpty():
-            root = components(done.unionByName(last).where("linked").select("a", "b"), "minhash-components")
+    # Stars that still hold several components, in blocks of bounded size; every two blocks of a star meet.
+    members = star.select(F.col("a").alias("star"), F.col("b").alias("node")).unionByName(star.select(F.col("a").alias("star"), F.col("a").alias("node")).distinct())
+    members = materialize(rooted(members, "node", "root"), "minhash-members")
+    mixed = members.groupBy("star").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where("r0 <> r1")
+    mixed = mixed.select("star", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    left = members.join(mixed.hint("merge"), "star").select("star", "node", "root", block.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
+    left = left.select("star", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), "node", "root", "i").join(z.hint("merge"), "node")
+    left = left.repartition("star", "x", "y").sortWithinPartitions("star", "x", "y").select("star", "x", "y", "i", "node", "root", "z")
+    more = materialize(left.mapInArrow(_block_links(shingle_words, percent), "a long, b long"), "minhash-second")
+    if not more.isEmpty():
+        root = components(first.unionByName(more), "minhash-components")
 
     group = rooted(classes, "node", "root")
     lowest = group.groupBy("root").agg(F.min("low").alias("low"))
