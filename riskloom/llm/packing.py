@@ -11,9 +11,10 @@ however many documents there are:
   closest to the window, traced back to counts per length;
 * that pattern is repeated as often as the counts allow, which uses up at
   least one length, so there are at most window - 1 patterns;
-* when no multiset fills a sequence exactly, the rests that are left are
-  laid end to end and cut at every window, and the last, shorter stretch
-  is cut into powers of two, which need no padding.
+* a length with which no multiset fills a sequence exactly is set aside
+  with all its rests.  Those are laid end to end and cut at every window,
+  and the last, shorter stretch is cut into powers of two, which need no
+  padding.
 
 Rests of one length are numbered in chunks (so a length that a third of
 all documents share is not numbered in one task), and rest ``i`` of a
@@ -27,7 +28,9 @@ columns are read.
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,37 +42,63 @@ from tokenizers import Tokenizer
 
 from riskloom.llm.common import materialize
 
+# One task has one core; the library's own threads would only add to it.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
 WINDOW = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 CHUNK_ROWS = 50_000
 #: Most words whose ids a Python worker remembers.
-MEMO_WORDS = 1 << 19
-_GROUP_CHARS = 1 << 20
+MEMO_WORDS = 1 << 20
+_GROUP_BYTES = 4 << 20
 
 _TOKENIZED = "doc_id long, n long, crcs array<long>, ids binary"
 _PLACED = "row long, doc_id long, n long, start long, length long, crc long, sequence_id long, offset long"
 
 
 class WordTokenizer:
-    """Ids of texts by a tokenizer whose tokens never span white space; ids of words are remembered."""
+    """Ids of UTF-8 texts by a tokenizer that lower-cases and whose tokens never span white space.
+
+    The library is asked once for each word: lower-cased in A-Z and without
+    the punctuation around it, which such a tokenizer always cuts off where
+    a letter or digit stands next to it (an apostrophe is not taken for
+    punctuation, as it begins contractions).  Texts with ``<|``, which may
+    hold special strings, go to the library whole.
+    """
+
+    _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+    _MARKS = b".,!?;:|()\"-"
+    _ALNUM = frozenset(b"abcdefghijklmnopqrstuvwxyz0123456789")
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes] = {}
+        self.memo: dict[bytes, bytes] = {}
+
+    def _pieces(self, word: bytes) -> tuple[bytes, ...]:
+        """A word cut at its marks if that is exact, else the word."""
+        core = word.strip(self._MARKS)
+        if len(core) == len(word) or not core or core[0] not in self._ALNUM or core[-1] not in self._ALNUM:
+            return (word,)
+        at = word.index(core)
+        return tuple(x for x in (word[:at], core, word[at + len(core) :]) if x)
 
-    def of(self, texts: list[str]) -> list[bytes]:
+    def of(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        words = set().union(*split)
-        new = [w for w in words if w not in self.memo]
+        split = [None if b"<|" in t else t.translate(self._LOWER).split() for t in texts]
+        pieces = {w: self._pieces(w) for w in set().union(*(s for s in split if s))}
+        new = {p for x in pieces.values() for p in x if p not in self.memo}
         if len(self.memo) + len(new) > MEMO_WORDS:
             self.memo.clear()
-            new = list(words)
-        for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.memo[w] = np.array(e.ids, "<u4").tobytes()
-        get = self.memo.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+            new = {p for x in pieces.values() for p in x}
+        new = list(new)
+        for w, e in zip(new, self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False), strict=True):
+            self.memo[w] = array("I", e.ids).tobytes()
+        memo = self.memo
+        ids = {w: memo[x[0]] if len(x) == 1 else b"".join([memo[y] for y in x]) for w, x in pieces.items()}
+        get = ids.__getitem__
+        whole = lambda t: array("I", self.tokenizer.encode(t.decode(), add_special_tokens=False).ids).tobytes()
+        return [whole(t) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split, strict=True)]
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}  # of this Python worker
@@ -81,12 +110,12 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return _TOKENIZERS[path]
 
 
-def _groups(texts: list[str]) -> Iterator[list[str]]:
+def _groups(texts: list[bytes]) -> Iterator[list[bytes]]:
     part, size = [], 0
     for t in texts:
         part.append(t)
         size += len(t)
-        if size >= _GROUP_CHARS:
+        if size >= _GROUP_BYTES:
             yield part
             part, size = [], 0
     if part:
@@ -101,7 +130,7 @@ def _tokenize(path: str, window: int, end_id: int):
         words = word_tokenizer(path)
         for b in batches:
             at = 0
-            for part in _groups(["" if t is None else t for t in b.column(1).to_pylist()]):
+            for part in _groups([t or b"" for t in b.column(1).cast(pa.binary()).to_pylist()]):
                 n, crcs, kept = [], [], []
                 for ids in words.of(part):
                     ids += end
@@ -160,7 +189,7 @@ class Plan:
     def __init__(self, counts: dict[int, int], window: int = WINDOW, first_sequence: int = 0):
         left = {k: v for k, v in counts.items() if v > 0}
         self.window, taken, ranges, sequence = window, dict.fromkeys(left, 0), {k: [] for k in left}, first_sequence
-        lengths = sorted(left, reverse=True)
+        lengths, aside = sorted(left, reverse=True), []
         while lengths:
             top = lengths[0]
             left[top] -= 1
@@ -168,7 +197,9 @@ class Plan:
             left[top] += 1
             used[top] = used.get(top, 0) + 1
             if sum(k * v for k, v in used.items()) < window:
-                break
+                aside.append(top)  # less is left later, so it will not fill then either
+                lengths = lengths[1:]
+                continue
             times, offset = min(left[k] // v for k, v in used.items()), 0
             for k, v in sorted(used.items(), reverse=True):
                 ranges[k].append((taken[k], v, sequence, offset))
@@ -179,7 +210,7 @@ class Plan:
             lengths = [k for k in lengths if left[k]]
         # The rests that no multiset fills exactly: end to end, in order of length.
         self.stream_base, self.stream_sequence, at = {}, sequence, 0
-        for k in lengths:
+        for k in aside:
             self.stream_base[k] = at
             at += k * left[k]
         self.taken, self.stream_length = taken, at
