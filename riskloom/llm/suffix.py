@@ -48,7 +48,7 @@ from riskloom.llm.common import materialize, mix
 
 LENGTH = 400
 GRAM = 64
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 3 << 19
 CLASS_CONTEXTS = 4096
 _GROUP_BYTES = 1 << 20
 _MERGE_ROWS = 200_000
