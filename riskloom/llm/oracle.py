@@ -1,3 +1,84 @@
-"""DuckDB SQL for the registered operators that SQL can express."""
+"""DuckDB SQL for the registered operators that SQL can express.
 
-ORACLE: dict[str, str] = {}
+The others (tokenizers, suffix arrays, archives, shard plans and MinHash
+keys) are held against brute force in ``tests/llm``.
+"""
+
+from __future__ import annotations
+
+_WORDS = r"""list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+
+
+def _matches(kinds: dict[str, tuple[str, str, str]]) -> str:
+    """CTE ``s``: (doc_id, rank, kind, b, e) of the matches of each pattern that hold.
+
+    Positions come from the lengths of the matches and of the text between
+    them.  ``kinds``: kind -> (pattern, condition on m and g, group for g).
+    """
+    parts = []
+    for rank, (kind, (pattern, holds, group)) in enumerate(kinds.items()):
+        p = pattern.replace("'", "''")
+        parts.append(f"""
+  SELECT doc_id, {rank} AS rank, '{kind}' AS kind, found[i] AS m, inside[i] AS g,
+    CAST(list_sum(list_transform(parts[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:i-1], lambda x: length(x))), 0) AS BIGINT) AS b
+  FROM (SELECT doc_id, found, parts, inside, unnest(range(1, len(found) + 1)) AS i FROM (
+    SELECT doc_id, regexp_extract_all(t, '{p}') AS found, string_split_regex(t, '{p}') AS parts, regexp_extract_all(t, '{p}', {group}) AS inside FROM d))
+  WHERE {holds.replace("{m}", "found[i]").replace("{g}", "inside[i]")}""")
+    return "s AS (SELECT doc_id, rank, kind, b, b + length(m) AS e FROM (" + "\n  UNION ALL".join(parts) + "))"
+
+
+_SECRETS = {
+    "assign": (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", "length({g}) >= 6", "1"),
+    "access": (r"AKIA[A-Z0-9]+", "length({m}) >= 20", "0"),
+    "hex": (r"[0-9a-f]+", "length({m}) >= 24", "0"),
+    "pem": (r"-----BEGIN (?:RSA |EC |OPENSSH |DSA )?PRIVATE KEY-----", "true", "0"),
+    "hosted": (r"\bgh[pousr]_[A-Za-z0-9]{36,}", "true", "0"),
+}
+
+_JOINED = "string_agg(concat(kind, ':', b, ':', e), ',' ORDER BY {order}){where}"
+
+ORACLE: dict[str, str] = {
+    "op2_minhash": f"""
+WITH RECURSIVE w AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+sh AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM w),
+n AS (SELECT doc_id, len(s) AS n, list_sort(s) AS s FROM sh),
+x AS (SELECT doc_id, unnest(s) AS g FROM n),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common FROM x a JOIN x b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b WHERE 100 * common >= 80 * (p.n + q.n - common)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (SELECT a AS node, a AS seen FROM both_ways UNION SELECT r.node, e.b FROM reach r JOIN both_ways e ON e.a = r.seen),
+low AS (SELECT node, min(seen) AS low FROM reach GROUP BY node)
+SELECT doc_id, n AS n_shingles, coalesce(low, doc_id) AS component_id, coalesce(low, doc_id) = doc_id AS kept
+FROM n LEFT JOIN low ON node = doc_id""",
+    "op8_secrets": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+{_matches(_SECRETS)},
+a AS (SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access,
+    count(*) FILTER (WHERE kind = 'hex') AS n_hex, {_JOINED.format(order="b, rank", where=" FILTER (WHERE rank < 3)")} AS base,
+    {_JOINED.format(order="b, rank", where="")} AS spans
+  FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN a ON a.doc_id = d.doc_id""",
+    "op9_decontamination": r"""
+WITH i AS (SELECT item_id, list_filter(string_split_regex(lower(text), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM benchmark),
+it AS (SELECT item_id, len(w) AS n, least(len(w), 5) AS k, list_transform(range(1, len(w) - least(len(w), 5) + 2), lambda j: array_to_string(w[j:j + least(len(w), 5) - 1], ' ')) AS s FROM i WHERE len(w) > 0),
+d AS (SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+ds AS (SELECT doc_id, len(w) AS words, unnest(range(1, len(w) - 3)) AS p, w FROM d WHERE len(w) >= 5),
+hit AS (SELECT DISTINCT doc_id, words, item_id, n, greatest(0, least(p - place, words - n)) AS start
+  FROM (SELECT doc_id, words, p, array_to_string(w[p:p + 4], ' ') AS g FROM ds)
+  JOIN (SELECT item_id, n, unnest(s) AS g, unnest(range(1, len(s) + 1)) AS place FROM it WHERE k = 5) USING (g)),
+win AS (SELECT h.doc_id, h.item_id, h.start, unnest(range(h.start + 1, least(h.start + h.n, h.words) - 3)) AS p FROM hit h),
+wc AS (SELECT win.doc_id, item_id, start, array_to_string(w[p:p + 4], ' ') AS g, count(*) AS c FROM win JOIN d ON d.doc_id = win.doc_id GROUP BY ALL),
+nw AS (SELECT doc_id, item_id, start, sum(c) AS nw FROM wc GROUP BY ALL),
+ic AS (SELECT item_id, g, count(*) AS c FROM (SELECT item_id, unnest(s) AS g FROM it) GROUP BY ALL),
+ni AS (SELECT item_id, sum(c) AS ni FROM ic GROUP BY ALL),
+both_ AS (SELECT wc.doc_id, wc.item_id, wc.start, sum(least(wc.c, ic.c)) AS b FROM wc JOIN ic ON ic.item_id = wc.item_id AND ic.g = wc.g GROUP BY ALL),
+sim AS (SELECT doc_id, item_id, max(CAST(b AS DOUBLE) / CAST(nw + ni - b AS DOUBLE)) AS s FROM both_ JOIN nw USING (doc_id, item_id, start) JOIN ni USING (item_id) GROUP BY ALL),
+a AS (SELECT doc_id, count(*) AS n, list_sort(list(item_id)) AS ids, max(s) AS best FROM sim WHERE s >= 0.8 GROUP BY doc_id)
+SELECT documents.doc_id, n IS NOT NULL AS leaked, coalesce(n, 0) AS n_items, coalesce(ids, []) AS item_ids, best AS similarity
+FROM documents LEFT JOIN a ON a.doc_id = documents.doc_id""",
+}
