@@ -35,6 +35,35 @@ _SECRETS = {
     "hosted": (r"\bgh[pousr]_[A-Za-z0-9]{36,}", "true", "0"),
 }
 
+_D = "replace(replace({m}, ' ', ''), '-', '')"
+_V = f"CAST(substr({_D}, length({_D}) - j + 1, 1) AS INTEGER) * (1 + (j - 1) % 2)"
+_LUHN = f"list_sum(list_transform(range(1, length({_D}) + 1), lambda j: ({_V}) // 10 + ({_V}) % 10)) % 10 = 0"
+_I = "replace({m}, ' ', '')"
+_MOD97 = (
+    f"CASE WHEN length({_I}) BETWEEN 15 AND 34 THEN list_reduce(list_transform(string_split(substr({_I}, 5) || substr({_I}, 1, 4), ''), "
+    "lambda x: CASE WHEN x BETWEEN '0' AND '9' THEN ascii(x) - 48 ELSE ascii(x) - 55 END), "
+    "lambda a, v: (CASE WHEN v > 9 THEN a * 100 ELSE a * 10 END + v) % 97) = 1 ELSE false END"
+)
+_PERSONAL = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "true", "0"),
+    "ip": (r"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+", "list_bool_and(list_transform(string_split({m}, '.'), lambda x: coalesce(TRY_CAST(x AS HUGEINT) <= 255, false)))", "0"),
+    "card": (r"[0-9](?:[\x20-]?[0-9])+", f"CASE WHEN length({_D}) BETWEEN 16 AND 19 THEN {_LUHN} ELSE false END", "0"),
+    "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "length(regexp_replace({m}, '[^0-9]', '', 'g')) BETWEEN 8 AND 15", "0"),
+    "iban": (r"\b[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)\b", _MOD97, "0"),
+    "ssn": (r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b", "substr({m}, 1, 3) NOT IN ('000', '666') AND substr({m}, 1, 1) <> '9'", "0"),
+}
+# kind -> score, added near a context word, the words
+_SCORES = {
+    "email": ("0.8", "0.2", "mail|contact|write"),
+    "ip": ("0.5", "0.4", "ip|server|host|address"),
+    "card": ("0.8", "0.2", "card|visa|credit|pay"),
+    "phone": ("0.6", "0.3", "phone|call|tel|mobile|fax"),
+    "iban": ("0.9", "0.1", "iban|bank|account"),
+    "ssn": ("0.3", "0.5", "ssn|social security|social insurance"),
+}
+_NEAR = "lower(substr(t, greatest(b - 39, 1), least(b, 40) + e - b + 40))"
+_SCORE = "CASE kind " + " ".join(f"WHEN '{k}' THEN {a} + CASE WHEN regexp_matches({_NEAR}, '{w}') THEN {m} ELSE 0 END" for k, (a, m, w) in _SCORES.items()) + " END"
+
 _JOINED = "string_agg(concat(kind, ':', b, ':', e), ',' ORDER BY {order}){where}"
 
 ORACLE: dict[str, str] = {
@@ -53,6 +82,17 @@ reach AS (SELECT a AS node, a AS seen FROM both_ways UNION SELECT r.node, e.b FR
 low AS (SELECT node, min(seen) AS low FROM reach GROUP BY node)
 SELECT doc_id, n AS n_shingles, coalesce(low, doc_id) AS component_id, coalesce(low, doc_id) = doc_id AS kept
 FROM n LEFT JOIN low ON node = doc_id""",
+    "op3_pii": f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+{_matches(_PERSONAL)},
+c AS (SELECT s.*, CAST({_SCORE} AS DOUBLE) AS score FROM s JOIN d ON d.doc_id = s.doc_id),
+a AS (SELECT doc_id, {", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in ("email", "ip", "card", "phone"))},
+    {_JOINED.format(order="rank, b", where=" FILTER (WHERE rank < 4)")} AS base, {_JOINED.format(order="rank, b", where="")} AS spans,
+    list(score ORDER BY rank, b) AS scores
+  FROM c WHERE rank < 4 OR score >= 0.6 GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in ("email", "ip", "card", "phone"))},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(scores, []) AS scores
+FROM d LEFT JOIN a ON a.doc_id = d.doc_id""",
     "op8_secrets": f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 {_matches(_SECRETS)},
