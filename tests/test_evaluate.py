@@ -60,3 +60,17 @@ def test_accuracy(spark):
     df = spark.createDataFrame([(1, 1), (0, 1), (1, None), (0, 0)], "p int, y int")
     r = evaluate.accuracy(df, "p", "y").first()
     assert r.accuracy == pytest.approx(2 / 3) and r.n == 3
+
+
+def test_auc_has_no_task_that_sees_all_rows(spark, sf_small):
+    from riskloom.plans.catalog import rule_scores_long
+
+    rows = rule_scores_long(spark, sf_small)
+    counts = evaluate.score_counts(rows, "score", "label", ["task"])
+    plans = [counts, evaluate.auc_exact(rows, "score", "label", by=["task"])]
+    for df in plans:
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "SinglePartition" not in text and "percentile" not in text
+    # one scan a table: the input is reduced to counts once
+    assert plans[0]._jdf.queryExecution().executedPlan().toString().count("FileScan") == 2
+    assert "events.parquet" not in plans[1]._jdf.queryExecution().executedPlan().toString()
