@@ -29,7 +29,19 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def release(written: DataFrame) -> None:
+    """Delete a table of ``materialize`` that nothing reads any more."""
+    try:
+        context = written.sparkSession.sparkContext
+    except Exception:  # noqa: BLE001 - Connect has no SparkContext; the table stays
+        return
+    path = context._jvm.org.apache.hadoop.fs.Path(written.written_to)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 class WordHashes(dict):

@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
-from riskloom.llm.common import WordHashes, components, materialize, mix, shingle_hashes
+from riskloom.llm.common import WordHashes, components, materialize, mix, release, shingle_hashes
 
 BANDS = 48
 ROWS = 5
@@ -216,6 +216,7 @@ def link(t: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     star = bucket.join(centre.hint("merge"), "key").where(F.col("node") != F.col("centre"))
     star = star.groupBy(F.col("centre").alias("a"), F.col("node").alias("b")).agg(F.count("*").alias("shared"), F.first("n").alias("nb"), F.first("centre_n").alias("na"))
     star = materialize(star, "minhash-stars")
+    release(bucket)
     nodes = star.select(F.col("a").alias("node")).unionByName(star.select(F.col("b").alias("node"))).distinct()
     z = materialize(t.select(F.col("row").alias("node"), "z").join(nodes.hint("shuffle_hash"), "node", "left_semi"), "minhash-texts")
 

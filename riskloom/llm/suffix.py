@@ -44,7 +44,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import materialize, mix
+from riskloom.llm.common import materialize, mix, release
 
 LENGTH = 400
 GRAM = 64
@@ -395,6 +395,7 @@ def remove_repeats(
     meet = r.groupBy("class").agg(F.count("*").alias("n"), F.max("own").alias("o")).where("n > 1 or o").select("class")
     meeting = r.join(meet, "class", "left_semi")
     per = materialize(meeting.groupBy("node").agg(F.collect_list(F.struct("class", "first", "last", "own")).alias("ranges")), "suffix-meeting")
+    release(r)
     with_text = materialize(t.select(F.col("row").alias("node"), "z").join(per, "node").select("node", "z", "ranges"), "suffix-meeting-texts")
     ctx = materialize(with_text.mapInArrow(_range_digests(length), _RANGE), "suffix-contexts")
 
