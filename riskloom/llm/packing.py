@@ -49,8 +49,8 @@ WINDOW = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 CHUNK_ROWS = 50_000
-#: Most words whose ids a Python worker remembers.
-MEMO_WORDS = 1 << 20
+#: Words whose ids a Python worker remembers before a new generation starts; two are kept.
+MEMO_WORDS = 600_000
 _GROUP_BYTES = 4 << 20
 
 _TOKENIZED = "doc_id long, n long, crcs array<long>, ids binary"
@@ -74,6 +74,7 @@ class WordTokenizer:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.memo: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
     def _pieces(self, word: bytes) -> tuple[bytes, ...]:
         """A word cut at its marks if that is exact, else the word."""
@@ -86,17 +87,22 @@ class WordTokenizer:
     def of(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         split = [None if b"<|" in t else t.translate(self._LOWER).split() for t in texts]
-        pieces = {w: self._pieces(w) for w in set().union(*(s for s in split if s))}
-        new = {p for x in pieces.values() for p in x if p not in self.memo}
-        if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo.clear()
-            new = {p for x in pieces.values() for p in x}
-        new = list(new)
-        for w, e in zip(new, self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False), strict=True):
-            self.memo[w] = array("I", e.ids).tobytes()
-        memo = self.memo
-        ids = {w: memo[x[0]] if len(x) == 1 else b"".join([memo[y] for y in x]) for w, x in pieces.items()}
-        get = ids.__getitem__
+        words = set().union(*(s for s in split if s))
+        if len(self.memo) > MEMO_WORDS:  # words not met again in the next generation go
+            self.old, self.memo = self.memo, {}
+        memo, old = self.memo, self.old
+        fresh = [w for w in words if w not in memo]
+        for w in fresh:
+            if w in old:
+                memo[w] = old[w]
+        fresh = [(w, self._pieces(w)) for w in fresh if w not in memo]
+        bare = list({p for _, x in fresh for p in x if p not in memo})
+        for w, e in zip(bare, self.tokenizer.encode_batch_fast([x.decode() for x in bare], add_special_tokens=False), strict=True):
+            memo[w] = array("I", e.ids).tobytes()
+        for w, x in fresh:
+            if len(x) > 1:
+                memo[w] = b"".join([memo[y] for y in x])
+        get = memo.__getitem__
         whole = lambda t: array("I", self.tokenizer.encode(t.decode(), add_special_tokens=False).ids).tobytes()
         return [whole(t) if s is None else b"".join(map(get, s)) for t, s in zip(texts, split, strict=True)]
 
