@@ -8,9 +8,15 @@ rejected, and so is one that fails the base rules.
 
 "Unlike one another": copies and near copies of one document all carry
 all its lines, which does not make them boilerplate.  Each document has
-one MinHash key over its 2-word shingles; equal texts and most near
-copies share it, so a line counts as boilerplate only if its documents
-have at least ``unlike_share`` as many different keys as texts.
+``LIKE_KEYS`` keys, each made of ``LIKE_HASHES`` MinHashes over its 2-word
+shingles.  Of documents that share a part t of their shingles and nothing
+else, about t ** 6 have one key and all others a key of their own, so a
+line counts as boilerplate if its documents have, as a mean over the keys,
+at least ``unlike_share`` as many different keys as texts.  At half that
+divides at t = 0.89, which is a similarity of 0.8: a template of up to
+four fifths of a text is boilerplate, and documents that are near copies
+to operator 2 are near copies here.  Only lines above the limit by plain
+distinct documents are held against the keys.
 
 Defined results: a null or empty text has no words and no lines, fails
 the word minimum and is not kept; null hosts form one host; repeated rows
@@ -38,6 +44,8 @@ MAX_REPEAT_PERCENT = 50
 MAX_LINE_DOCS = 20
 #: Different MinHash keys among those documents, as a share of them.
 UNLIKE_SHARE = 0.5
+#: Keys of a document, and MinHashes that make one key.
+LIKE_KEYS, LIKE_HASHES = 8, 6
 #: Share of the word characters that must be left after the removal of lines.
 MIN_LEFT = 0.5
 
@@ -45,10 +53,14 @@ _SYMBOLS = b"#*$%&|<>"
 
 _PROFILE = (
     "doc_id long, host string, text_key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
-    "n_repeat_words long, like_key long, line_hash array<long>, line_chars array<long>"
+    "n_repeat_words long, like_keys array<long>, line_hash array<long>, line_chars array<long>"
 )
 #: Spark's xxhash64 of a string is XXH64 with this seed.
 _SEED = 42
+#: Odd factors: each orders the (mixed) shingle hashes anew.
+_FACTORS = np.random.Generator(np.random.PCG64(11)).integers(1, 1 << 63, (LIKE_KEYS * LIKE_HASHES, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Shingles whose hashes are worked out at a time.
+_STRETCH = 1 << 12
 
 
 def repeat_words(ids: np.ndarray, distinct: int, size: int = 3) -> int:
@@ -75,6 +87,19 @@ def normal_line(line: bytes) -> bytes:
     return b" ".join(line.lower().split())
 
 
+def like_keys(shingles: np.ndarray) -> list[int]:
+    """The MinHash keys of a document's shingles; zeros if there are none."""
+    if not len(shingles):
+        return [0] * LIKE_KEYS
+    x, low = mix(shingles), np.full(LIKE_KEYS * LIKE_HASHES, np.uint64(0xFFFFFFFFFFFFFFFF))
+    for at in range(0, len(x), _STRETCH):
+        low = np.minimum(low, (x[at : at + _STRETCH] * _FACTORS).min(axis=1))
+    key = np.zeros(LIKE_KEYS, np.uint64)
+    for column in low.reshape(LIKE_KEYS, LIKE_HASHES).T:
+        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + column)
+    return key.view(np.int64).tolist()
+
+
 def _code_points(b: bytes) -> int:
     return len(b) if b.isascii() else len(b.decode())
 
@@ -89,17 +114,14 @@ def profile_text(b: bytes, hashes: WordHashes) -> tuple:
     of_line = Counter()
     for x in lines:
         of_line[signed(xxhash.xxh64_intdigest(normal_line(x), _SEED))] += _code_points(x.translate(None, WHITE))
-    like = 0
-    if words:
-        low = hashes.of(b"\n".join(number).lower().split())
-        like = signed(int(mix(shingle_hashes(low[ids], 2)).min()))
+    low = hashes.of(b"\n".join(number).lower().split())
     return (
         len(words),
         _code_points(bare),
         len(b) - len(b.translate(None, _SYMBOLS)),
         len(lines) - len(set(lines)),
         repeat_words(ids, len(number)),
-        like,
+        like_keys(shingle_hashes(low[ids], 2)),
         list(of_line),
         list(of_line.values()),
     )
@@ -107,7 +129,7 @@ def profile_text(b: bytes, hashes: WordHashes) -> tuple:
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = WordHashes()
-    kinds = [pa.int64()] * 6 + [pa.list_(pa.int64())] * 2
+    kinds = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 3
     names = [x.split()[0] for x in _PROFILE.split(", ")]
     for batch in batches:
         rows = [profile_text(t or b"", hashes) for t in batch.column(3).cast(pa.binary()).to_pylist()]
@@ -127,12 +149,18 @@ def profile(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hos
 def frequent_lines(profiles: DataFrame, max_docs: int = MAX_LINE_DOCS, unlike_share: float = UNLIKE_SHARE) -> DataFrame:
     """(host, line): the normalised lines above the limit.  Counted over all documents of each host.
 
-    Both distinct counts aggregate per task before they shuffle, so a line
+    The distinct counts aggregate per task before they shuffle, so a line
     in a third of all documents arrives as few rows.
     """
-    lines = profiles.select("host", "text_key", "like_key", F.explode("line_hash").alias("line"))
-    n = lines.groupBy("host", "line").agg(F.count_distinct("text_key").alias("docs"), F.count_distinct("like_key").alias("kinds"))
-    return n.where((F.col("docs") > max_docs) & (F.col("kinds") >= unlike_share * F.col("docs"))).select("host", "line")
+    lines = profiles.select("host", "text_key", F.explode("line_hash").alias("line"))
+    many = lines.groupBy("host", "line").agg(F.count_distinct("text_key").alias("docs")).where(F.col("docs") > max_docs)
+    many = materialize(many.select(F.col("host").alias("m_host"), F.col("line").alias("m_line"), "docs"), "quality-many")
+    held = profiles.select("host", "like_keys", F.explode("line_hash").alias("line"))
+    held = held.join(many, F.col("host").eqNullSafe(F.col("m_host")) & (F.col("line") == F.col("m_line")))
+    keys = held.select("host", "line", "docs", F.posexplode("like_keys").alias("number", "key"))
+    n = keys.groupBy("host", "line", "docs", "number").agg(F.count_distinct("key").alias("kinds"))
+    n = n.groupBy("host", "line", "docs").agg(F.sum("kinds").alias("kinds"))
+    return n.where(F.col("kinds") >= unlike_share * LIKE_KEYS * F.col("docs")).select("host", "line")
 
 
 def removed_chars(profiles: DataFrame, frequent: DataFrame) -> DataFrame:
@@ -162,7 +190,7 @@ def judge(
     p = materialize(profile(docs, id_col, text_col, host_col), "quality-profile")
     frequent = materialize(frequent_lines(p, max_docs, unlike_share), "quality-lines")
     r = removed_chars(p, frequent).select(F.col("doc_id").alias("r_id"), F.col("text_key").alias("r_key"), F.col("host").alias("r_host"), "removed", "lines")
-    out = p.drop("line_hash", "line_chars", "like_key").join(
+    out = p.drop("line_hash", "line_chars", "like_keys").join(
         r, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("text_key") == F.col("r_key")) & F.col("host").eqNullSafe(F.col("r_host")), "left"
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))

@@ -216,3 +216,26 @@ def test_lines_above_the_limit_go_and_copies_do_not_count(spark):
     texts = {r.doc_id: r.text for r in clean.collect()}
     assert clean.columns == docs.columns and 300 not in texts
     assert texts[0] == rows[0][1].replace("All Rights  reserved by us\n", "") and texts[100] == one
+
+
+@pytest.mark.parametrize("percent", [25, 50, 80])
+def test_a_template_goes_whatever_its_share_of_the_text(spark, percent):
+    rnd = random.Random(percent)
+    line = lambda: " ".join(f"w{rnd.randrange(5000)}" for _ in range(10))
+    rows, cut = [], {}
+    for h in range(25):  # hosts, each with a template of its own
+        template = [line() for _ in range(percent // 5)]
+        for d in range(24):
+            own = [line() for _ in range(20 - percent // 5)]
+            rows.append((100 * h + d, "\n".join(template + own), f"h{h}"))
+            cut[100 * h + d] = sum(len(x.replace(" ", "")) for x in template), "\n".join(own)
+    copied = [line() for _ in range(60)]
+    for d in range(30):  # near copies: each has a line of its own in place of another one
+        rows.append((9000 + d, "\n".join(copied[:d] + [line()] + copied[d + 1 :]), "copies"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r for r in quality.judge(docs).collect()}
+    assert all(got[i].removed_chars == n for i, (n, _) in cut.items())
+    assert all(got[i].kept == (2 * n <= got[i].word_chars) for i, (n, _) in cut.items())
+    assert all(got[9000 + d].kept and got[9000 + d].removed_chars == 0 for d in range(30))
+    texts = {r.doc_id: r.text for r in quality.clean(docs).collect()}
+    assert all(texts[i] == own for i, (_, own) in cut.items() if got[i].kept)
