@@ -224,21 +224,29 @@ def neighbours_share(data: np.ndarray, key: np.ndarray, order: np.ndarray, first
     """Common prefix, up to ``length``, of each start with the start before it in ``order`` (Kasai's pass).
 
     Kasai's invariant (a start one further on shares at least one byte
-    less) holds along each context, so all contexts advance in step.
+    less) holds along each context, so all contexts advance in step.  It
+    needs the place after the neighbour to be a start too, and to stand
+    before the start in ``order``: not so where the neighbour is the last of
+    its context, or where a tie beyond the sorted bytes turns round.  There
+    the comparison begins at the first byte.
     """
     before = np.full(len(data) + 1, -1, np.int64)
     before[order[1:]] = order[:-1]
+    place = np.full(len(data) + 1, -1, np.int64)
+    place[order] = np.arange(len(order))
     lcp = np.zeros(len(data), np.int64)
     longest = np.argsort(-count, kind="stable")
     first, count = first[longest], count[longest]
-    share = np.zeros(len(first), np.int64)
+    share, other = np.zeros(len(first), np.int64), np.full(len(first), -1)
     wide = np.concatenate([key, np.zeros(length + 8, np.uint64)])
     narrow = np.concatenate([data, np.zeros(length + 8, np.uint8)])
     for j in range(int(count.max(initial=0))):
         live = np.searchsorted(-count, -j, "left")  # contexts with more than j starts
         at = first[:live] + j
+        after = place[other[:live] + 1]
         other = before[at]
-        share = np.where(other >= 0, np.maximum(share[:live] - 1, 0), 0)
+        kept = (after >= 0) & (after < place[at])
+        share = np.where((other >= 0) & kept, np.maximum(share[:live] - 1, 0), 0)
         run = np.flatnonzero((other >= 0) & (share + 8 <= length))
         while len(run):
             run = run[wide[at[run] + share[run]] == wide[other[run] + share[run]]]

@@ -253,6 +253,18 @@ def test_suffix_array_and_prefixes():
             assert lcp[b] == n or max(a, b) + 20 > 300
 
 
+def test_passages_that_end_their_document_make_no_false_copies():
+    rnd = random.Random(6)
+    raw = lambda n: bytes(rnd.choices(b"abcd", k=n))
+    passages = [raw(rnd.randint(400, 520)) for _ in range(300)]
+    bodies = [raw(20) + p for p in passages] + [raw(20) + p + raw(60) for p in passages]
+    bodies += [x for p in (raw(512) for _ in range(100)) for x in (p + b"a" + raw(40), b"z" + p + b"b" + raw(40))]  # agree in 512 bytes
+    rnd.shuffle(bodies)
+    count = Counter(b[i : i + 400] for b in bodies for i in range(len(b) - 399))
+    for b, flags in zip(bodies, suffix.copies_in_shard(bodies, [1] * len(bodies), 400), strict=True):
+        assert flags.tolist() == [count[b[i : i + 400]] > 1 for i in range(len(b) - 399)]
+
+
 # --- contamination -------------------------------------------------------------------
 
 
