@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.spans import cut, joined, replaced, spans
+from riskloom.llm.spans import cut, joined, replaced, spans, without
 
 CONTEXT_CHARS = 40
 MIN_SCORE = 0.6
@@ -112,23 +112,23 @@ def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with every accepted span of the text replaced by ``[KIND]``; all other columns stay.
 
-    A null text stays null.  Kinds are replaced one after the other; a
-    later kind sees the earlier replacements.
+    The text is cut at all spans of ``find()``; overlapping ones go as one,
+    under the kind of the first.  A null text stays null.  What only a
+    replacement lets stand alone (a card number once the address before it
+    is gone) is replaced after that, kind by kind; ``ssn`` is not, as its
+    context words count in the whole text only.
     """
-    columns, out, tmp = docs.columns, docs, "riskloom_pii_cuts"
-    for kind in BASE + ADDED:
-        text = f"`{text_col}`"
-        valid = KINDS[kind][1]
-        if kind == "ssn":  # kept only with a context word: here, anywhere within reach of the pieces beside it
-            words = "|".join(SCORES[kind][2])
-            near = f"concat(right({tmp}.parts[i], {CONTEXT_CHARS}), ' ', left({tmp}.parts[i + 1], {CONTEXT_CHARS}))"
-            valid = f"({valid}) and lower({near}) rlike '{words}'"
-        out = out.withColumn(tmp, _cuts(text, kind))
+    columns, tmp = docs.columns, "riskloom_pii_cuts"
+    rows = docs.select(F.struct(*(docs[f"`{c}`"] for c in columns)).alias("row"), docs[f"`{text_col}`"].alias("text"))
+    out = find(rows, "row").select(F.col("doc_id").alias("row"), F.when(F.size("all") > 0, without("text", "all")).alias("text"))
+    for kind in BASE + ("iban",):
+        out = out.withColumn(tmp, _cuts("text", kind))
         if kind == "card":
             out = out.withColumn(tmp, _turned(tmp))
-        out = out.withColumn(f"{tmp}_new", replaced(tmp, valid, f"[{kind.upper()}]"))
+        out = out.withColumn(f"{tmp}_new", replaced(tmp, KINDS[kind][1], f"[{kind.upper()}]"))
         new = F.col(f"{tmp}_new")
         if kind == "card":  # the padding of two letters on each side goes again
             new = F.expr(f"substr({tmp}_new, 3, char_length({tmp}_new) - 4)")
-        out = out.withColumn(text_col, F.when(F.size(F.col(f"{tmp}.found")) == 0, F.col(text_col)).otherwise(new)).select(*columns)
-    return out
+        out = out.withColumn("text", F.when(F.size(F.col(f"{tmp}.found")) == 0, F.col("text")).otherwise(new)).select("row", "text")
+    old = {c: F.col("row").getField(c) for c in columns}
+    return out.select(*((F.coalesce("text", old[c]) if c == text_col else old[c]).alias(c) for c in columns))

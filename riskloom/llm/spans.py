@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: Matches whose lengths are summed as one block: positions cost n²/512 steps, not n².
 _BLOCK = 256
+#: Code points of a chunk of a text that is cut at spans.
+_CHUNK = 1024
 
 
 def literal(pattern: str) -> str:
@@ -63,3 +65,30 @@ def replaced(cuts: str, valid: str, by: str) -> Column:
     return F.expr(
         f"array_join(flatten(zip_with({cuts}.parts, transform({cuts}.found, (m, i) -> if({valid}, '{by}', m)), (p, m) -> array(p, coalesce(m, '')))), '')"
     )
+
+
+def without(text: str, array: str) -> Column:
+    """The text with the spans of ``array`` replaced by ``[KIND]``; spans that overlap are one, of the first's kind.
+
+    The text is cut into chunks first, so a piece between spans costs its own length and not its place.
+    """
+    bind = "element_at(transform(array({0}), {1} -> {2}), 1)".format
+    first = "({0}) div " + str(_CHUNK)
+    in_one = f"substr(get(chunks, {first.format('{0}')}), ({{0}}) % {_CHUNK} + 1, ({{1}}) - ({{0}}))"
+    over = (
+        f"concat(substr(get(chunks, {first.format('{0}')}), ({{0}}) % {_CHUNK} + 1), "
+        f"array_join(slice(chunks, {first.format('{0}')} + 2, {first.format('{1}')} - {first.format('{0}')} - 1), ''), "
+        f"coalesce(substr(get(chunks, {first.format('{1}')}), 1, ({{1}}) % {_CHUNK}), ''))"
+    )
+    piece = f"coalesce(if({first.format('{0}')} = {first.format('{1}')}, {in_one}, {over}), '')".format
+    reach = f"greatest(blocks[i div {_BLOCK}], coalesce(array_max(slice(ends, (i div {_BLOCK}) * {_BLOCK} + 1, i % {_BLOCK})), 0))"
+    blocks = f"transform(sequence(0, size(ends) div {_BLOCK}), b -> coalesce(array_max(slice(ends, 1, b * {_BLOCK})), 0))"
+    pieces = (
+        f"transform(transform(ordered, (s, i) -> struct(s.start as start, s.kind as kind, {reach} as reach)), "
+        f"x -> if(x.reach <= x.start, concat({piece('x.reach', 'x.start')}, '[', upper(x.kind), ']'), ''))"
+    )
+    whole = f"concat(array_join({pieces}, ''), {piece('array_max(ends)', f'char_length({text})')})"
+    whole = bind(f"regexp_extract_all({text}, r'(?s).{{1,{_CHUNK}}}+', 0)", "chunks", whole)
+    whole = bind("transform(ordered, s -> s.end)", "ends", bind(blocks, "blocks", whole))
+    ordered = f"array_sort(transform({array}, (s, n) -> struct(s.start as start, n as n, s.end as end, s.kind as kind)))"
+    return F.expr(f"case when size({array}) = 0 then {text} else {bind(ordered, 'ordered', whole)} end")

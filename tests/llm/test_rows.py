@@ -87,6 +87,30 @@ def test_redaction_keeps_columns_and_hides_every_base_span(spark, documents, odd
     assert all(r.base_sha256 == digest([]) for r in pii.report(new).collect())
 
 
+def hidden_spans(text, spans):
+    """The text with the spans (kind, start, end) replaced, overlapping ones as one."""
+    out, at = "", 0
+    for kind, a, b in sorted(spans, key=lambda s: s[1]):
+        if a >= at:
+            out += text[at:a] + f"[{kind.upper()}]"
+        at = max(at, b)
+    return out + text[at:]
+
+
+def test_redaction_replaces_every_accepted_span(spark):
+    several = "SSNs: 123-45-6789 and 234-56-7890"
+    texts = [
+        several, "123-45-6789, 234-56-7890: both social security", "ssn@b.de 123-45-6789", "no words 123-45-6789",
+        "1.2.3.4@b.de +1 5500 0000 0000 0004 GB82 WEST 1234 5698 7654 32", "é😀" * 700 + several + "😀" * 2000 + several, "a@b.de " * 600, "",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.all] for r in pii.find(docs).collect()}
+    assert [k for k, *_ in found[0]] == ["ssn", "ssn"] and len(found[2]) == 2 and not found[3] and len(found[6]) == 600
+    got = {r.doc_id: r.text for r in pii.redact(docs).collect()}
+    assert got == {i: hidden_spans(t, found[i]) for i, t in enumerate(texts)}
+    assert got[0] == "SSNs: [SSN] and [SSN]" and got[2] == "[EMAIL] [SSN]"
+
+
 # --- secrets -------------------------------------------------------------------------
 
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
