@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontaminate, minhash, packing, pii, quality, secrets, sharding, suffix, tokens, warc
+from riskloom.llm import decontaminate, divergence, minhash, packing, pii, quality, secrets, sharding, suffix, tokens, warc
 from riskloom.llm.common import table
 
 
@@ -58,6 +58,11 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How each source of a language differs from the others, and in which terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_minhash": op2_minhash,
@@ -69,4 +74,5 @@ QUERIES = {
     "op8_secrets": op8_secrets,
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
+    "op11_divergence": op11_divergence,
 }

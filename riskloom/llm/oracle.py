@@ -121,4 +121,26 @@ sim AS (SELECT doc_id, item_id, max(CAST(b AS DOUBLE) / CAST(nw + ni - b AS DOUB
 a AS (SELECT doc_id, count(*) AS n, list_sort(list(item_id)) AS ids, max(s) AS best FROM sim WHERE s >= 0.8 GROUP BY doc_id)
 SELECT documents.doc_id, n IS NOT NULL AS leaked, coalesce(n, 0) AS n_items, coalesce(ids, []) AS item_ids, best AS similarity
 FROM documents LEFT JOIN a ON a.doc_id = documents.doc_id""",
+    "op11_divergence": r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS (SELECT row, lang, source, unnest(w) AS term FROM d),
+kept AS (SELECT lang, term FROM t GROUP BY 1, 2 HAVING count(DISTINCT row) >= 10),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY 1),
+groups AS (SELECT DISTINCT lang, source FROM d),
+cells AS (SELECT g.lang, g.source, k.term, coalesce(c, 0) AS c
+  FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN (SELECT lang, source, term, count(*) AS c FROM t GROUP BY ALL) x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term),
+gp AS (SELECT cells.lang, source, term, c, 1 + CAST(1000000000 AS HUGEINT) * (c + 2) // (sum(c) OVER (PARTITION BY cells.lang, source) + 2 * v) AS p FROM cells JOIN v ON v.lang = cells.lang),
+lp AS (SELECT lang, term, 1 + CAST(1000000000 AS HUGEINT) * (c + 2) // (sum(c) OVER (PARTITION BY lang) + 2 * v) AS q
+  FROM (SELECT cells.lang, term, sum(c) AS c, any_value(v) AS v FROM cells JOIN v ON v.lang = cells.lang GROUP BY ALL)),
+pairs AS (SELECT a.lang, a.source, b.source AS item FROM groups a JOIN groups b ON b.lang = a.lang AND b.source <> a.source),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM gp a JOIN gp b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL),
+parts AS (
+  SELECT pairs.lang, pairs.source, 'pair' AS part, pairs.item, coalesce(value, 0) AS value
+  FROM pairs LEFT JOIN sums ON sums.lang = pairs.lang AND sums.source = pairs.source AND sums.item = pairs.item
+  UNION ALL
+  SELECT gp.lang, source, 'term', gp.term, (p - q) * (p - q) // (p + q) FROM gp JOIN lp ON lp.lang = gp.lang AND lp.term = gp.term WHERE c > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts) WHERE part = 'pair' OR rank <= 10""",
 }
