@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskloom.llm import decontaminate, divergence, minhash, packing, pii, quality, secrets, sharding, suffix, tokens, warc
+from riskloom.llm import chat, decontaminate, divergence, minhash, packing, pii, quality, resample, secrets, sharding, suffix, tokens, warc
 from riskloom.llm.common import table
 
 
@@ -63,6 +63,18 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and place in the draw of every document, with the benchmark as target."""
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation formatted, and what its formatted text says when read back."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-1, 0, "user", chat.PROBE), (-1, 1, "assistant", chat.PROBE)], "conv_id long, turn long, role string, text string")
+    return chat.report(rows.unionByName(more))
+
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_minhash": op2_minhash,
@@ -75,4 +87,6 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_sharding": op10_sharding,
     "op11_divergence": op11_divergence,
+    "op12_resampling": op12_resampling,
+    "op13_chat": op13_chat,
 }

@@ -143,4 +143,32 @@ parts AS (
   SELECT gp.lang, source, 'term', gp.term, (p - q) * (p - q) // (p + q) FROM gp JOIN lp ON lp.lang = gp.lang AND lp.term = gp.term WHERE c > 0 AND p > q)
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
 FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts) WHERE part = 'pair' OR rank <= 10""",
+    "op12_resampling": r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+x AS (SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+dw AS (SELECT doc_id, unnest(w) AS word FROM w), bw AS (SELECT unnest(w) AS word FROM x),
+tab AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, CAST(3988292384 AS BIGINT)) ELSE c >> 1 END)) AS tab),
+words AS (SELECT word, hex(encode(word)) AS h FROM (SELECT word FROM dw UNION SELECT word FROM bw)),
+crc AS (SELECT word, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), CAST(4294967295 AS BIGINT)) % 10000 AS bucket FROM words, tab),
+s AS (SELECT bucket, count(*) AS s FROM dw JOIN crc ON crc.word = dw.word GROUP BY 1),
+t AS (SELECT bucket, count(*) AS t FROM bw JOIN crc ON crc.word = bw.word GROUP BY 1),
+g AS (SELECT s.bucket, CAST(floor(CAST(1000 AS DOUBLE) * ln((CAST(coalesce(t, 0) + 1 AS DOUBLE) * CAST((SELECT sum(s) FROM s) + 10000 AS DOUBLE))
+    / (CAST(s + 1 AS DOUBLE) * CAST(coalesce((SELECT sum(t) FROM t), 0) + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM s LEFT JOIN t ON t.bucket = s.bucket),
+f AS (SELECT doc_id, count(*) AS n, sum(gain) AS weight FROM dw JOIN crc ON crc.word = dw.word JOIN g ON g.bucket = crc.bucket GROUP BY 1),
+r AS (SELECT documents.doc_id, coalesce(n, 0) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(floor(CAST(-1000 AS DOUBLE) * ln(-ln((CAST('0x' || substr(sha256('2024:' || documents.doc_id), 1, 8) AS BIGINT) + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS noise
+  FROM documents LEFT JOIN f ON f.doc_id = documents.doc_id),
+o AS (SELECT doc_id, row_number() OVER (ORDER BY weight + noise DESC, doc_id) AS place, count(*) OVER () AS n FROM r WHERE n_features >= 20)
+SELECT r.doc_id, n_features, weight, weight + noise AS score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM r LEFT JOIN o ON o.doc_id = r.doc_id""",
+    "op13_chat": r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (SELECT *, length(regexp_replace(regexp_replace(role, '<(~*/?s>)', '<~\1', 'g'), '\[(~*(?:/?INST|IMG|AUDIO|DOC)\])', '[~\1', 'g'))
+    + length(regexp_replace(regexp_replace(text, '<(~*/?s>)', '<~\1', 'g'), '\[(~*(?:/?INST|IMG|AUDIO|DOC)\])', '[~\1', 'g')) + 17 AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY turn, role, text)) AS turns_sha256,
+  length(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(chars) + 3 AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id""",
 }

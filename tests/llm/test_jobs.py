@@ -381,4 +381,4 @@ def test_pipeline_stages(spark, sf_small):
 
 def test_catalog_names():
     numbers = sorted(int(k[2:].split("_")[0]) for k in catalog.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
