@@ -22,8 +22,8 @@ pairs of sources, which are themselves asked for.
 
 Bounds: a task holds the counts of ``TASK_CHUNKS`` (document, chunk) pairs;
 a text over ``LONG_TEXT`` bytes is split by an iterator, never into one
-list.  A chunk or a source in a third of all rows arrives as one row a task
-and flush.
+list.  A chunk in a third of all rows arrives as one row a task and flush,
+with its sources beside it.
 
 Defined results: null text, lang and source count as empty strings; every
 row is a document (repeated ids and rows too); an empty text has no terms
@@ -37,6 +37,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,10 +49,10 @@ TOP = 10
 SCALE = 1_000_000_000
 PRIOR = 2
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-TASK_CHUNKS = 2_000_000
+TASK_CHUNKS = 4_000_000
 LONG_TEXT = 1 << 22
 _CHUNK = re.compile(rb"[^\x20\x09-\x0D]+")
-_COUNTS = "lang string, source string, chunk string, n long, ids array<long>"
+_COUNTS = "lang string, chunk string, docs long, ids array<long>, sources array<string>, times array<long>"
 
 
 def _chunks(text: bytes):
@@ -64,38 +65,45 @@ class _Task:
 
     def __init__(self, min_docs: int):
         self.min_docs = min_docs
-        self.occurrences: dict[tuple[str, str], Counter] = defaultdict(Counter)
+        self.occurrences: dict[str, dict[str, Counter]] = defaultdict(lambda: defaultdict(Counter))
         self.documents: dict[str, Counter] = defaultdict(Counter)
         self.texts: dict[str, list[tuple[int, bytes]]] = defaultdict(list)
         self.held = 0
 
     def add(self, row: int, text: bytes, lang: str, source: str) -> None:
         text = text.lower()  # bytes: A-Z only
-        self.occurrences[lang, source].update(_chunks(text))
-        distinct = set(_chunks(text))
+        chunks = _chunks(text)
+        if isinstance(chunks, list):
+            distinct = set(chunks)
+        else:
+            distinct, chunks = set(chunks), _chunks(text)
+        self.occurrences[lang][source].update(chunks)
         self.documents[lang].update(distinct)
         self.texts[lang].append((row, text))
         self.held += len(distinct) + len(text) // 64 + 1  # the text is held too
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        """Occurrences by (lang, source, chunk); documents by (lang, chunk), with row numbers where there are few."""
-        for (lang, source), c in self.occurrences.items():
-            yield _batch(lang, source, c, None)
-        for lang, c in self.documents.items():
-            rare = {k for k, n in c.items() if n < self.min_docs}
+        """A row for each (lang, chunk): documents, their row numbers where they are few, and occurrences by source."""
+        for lang, documents in self.documents.items():
+            rare = {k for k, n in documents.items() if n < self.min_docs}
             ids: dict[bytes, list[int]] = defaultdict(list)
             for row, text in self.texts[lang]:
                 for k in rare.intersection(_chunks(text)):
                     ids[k].append(row)
-            yield _batch(lang, None, c, ids)
-
-
-def _batch(lang: str, source: str | None, counts: Counter, ids: dict | None) -> pa.RecordBatch:
-    n = len(counts)
-    same = lambda x: pa.array([x], pa.string()).take(pa.array([0] * n, pa.int32()))
-    held = pa.nulls(n, pa.list_(pa.int64())) if ids is None else pa.array([ids.get(k) for k in counts], pa.list_(pa.int64()))
-    cols = [same(lang), same(source), pa.array(counts.keys(), pa.binary()).cast(pa.string()), pa.array(counts.values(), pa.int64()), held]
-    return pa.RecordBatch.from_arrays(cols, names=["lang", "source", "chunk", "n", "ids"])
+            place = {k: i for i, k in enumerate(documents)}
+            sources = list(self.occurrences[lang])
+            found = [np.fromiter(map(place.__getitem__, c), np.int64, len(c)) for c in self.occurrences[lang].values()]
+            times = [np.fromiter(c.values(), np.int64, len(c)) for c in self.occurrences[lang].values()]
+            at, of = np.concatenate(found), np.repeat(np.arange(len(sources)), [len(f) for f in found])
+            order = np.argsort(at, kind="stable")
+            ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(place)))]).astype(np.int32)
+            listed = lambda values: pa.ListArray.from_arrays(pa.array(ends), values)  # noqa: E731, B023
+            cols = [
+                pa.array([lang], pa.string()).take(pa.array(np.zeros(len(place), np.int32))), pa.array(documents.keys(), pa.binary()).cast(pa.string()),
+                pa.array(documents.values(), pa.int64()), pa.array([ids.get(k) for k in documents], pa.list_(pa.int64())),
+                listed(pa.array(sources, pa.string()).take(pa.array(of[order]))), listed(pa.array(np.concatenate(times)[order])),
+            ]
+            yield from pa.Table.from_arrays(cols, names=[x.split()[0] for x in _COUNTS.split(", ")]).to_batches(max_chunksize=100_000)
 
 
 def _counter(min_docs: int, task_chunks: int):
@@ -114,7 +122,7 @@ def _counter(min_docs: int, task_chunks: int):
 
 
 def chunk_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_docs: int = MIN_DOCS, task_chunks: int = TASK_CHUNKS) -> DataFrame:
-    """Per task: (lang, source, chunk) with occurrences, and (lang, null, chunk) with documents and, for few, their row numbers."""
+    """A row for each task, language and chunk: documents (if they are few, their row numbers) and occurrences by source."""
     plain = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), plain(text_col).alias("text"), plain(lang_col).alias("lang"), plain(source_col).alias("source"))
     return rows.mapInArrow(_counter(min_docs, task_chunks), _COUNTS)
@@ -122,8 +130,7 @@ def chunk_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
 
 def kept_terms(counts: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
     """(lang, term) in at least ``min_docs`` documents, and (lang, chunk, term, times) of their chunks."""
-    by_docs = counts.where("source is null")
-    held = materialize(by_docs.groupBy("lang", "chunk").agg(F.sum("n").alias("docs")), "divergence-chunks")
+    held = materialize(counts.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs")), "divergence-chunks")
     distinct = held.select("chunk").distinct()  # each tokenized once
     terms = distinct.select("chunk", F.explode(F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0))).alias("term"))
     terms = terms.groupBy("chunk", "term").agg(F.count("*").alias("times"))
@@ -131,12 +138,13 @@ def kept_terms(counts: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame,
     release(held)
     bounds = materialize(back.groupBy("lang", "term").agg(F.max("docs").alias("least"), F.sum("docs").alias("most")).where(F.col("most") >= min_docs), "divergence-bounds")
     between = bounds.where(F.col("least") < min_docs).select("lang", "term")
-    few = by_docs.where("ids is not null").select("lang", "chunk", F.explode("ids").alias("row"))
-    exact = few.join(back.join(between, ["lang", "term"], "left_semi").select("lang", "chunk", "term"), ["lang", "chunk"])
-    exact = exact.select("lang", "term", "row").distinct().groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
+    # Keys begin with the chunk or term: rows are sorted by what tells them apart.
+    open_ = back.join(between, ["term", "lang"], "left_semi").select("lang", "chunk", "term")
+    exact = counts.where("ids is not null").select("lang", "chunk", "ids").join(open_, ["chunk", "lang"])
+    exact = exact.select("lang", "term", F.explode("ids").alias("row")).distinct().groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     kept = bounds.where(F.col("least") >= min_docs).select("lang", "term").unionByName(exact.select("lang", "term"))
     kept = materialize(kept, "divergence-kept")
-    chunks = materialize(back.join(kept, ["lang", "term"]).select("lang", "chunk", "term", "times"), "divergence-kept-chunks")
+    chunks = materialize(back.join(kept, ["term", "lang"]).select("lang", "chunk", "term", "times"), "divergence-kept-chunks")
     release(back)
     release(bounds)
     return kept, chunks
@@ -162,8 +170,9 @@ def audit(
     """(lang, source, part, item, value, rank): other sources by divergence (``pair``), and the terms that stand out (``term``)."""
     counts = materialize(chunk_counts(docs, text_col, lang_col, source_col, min_docs, task_chunks), "divergence-counts")
     kept, chunks = kept_terms(counts, min_docs)
-    found = counts.where("source is not null").select("lang", "source", "chunk", "n").join(chunks, ["lang", "chunk"])
-    found = found.groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("times")).alias("count"))
+    found = counts.select("lang", "chunk", "sources", F.col("times").alias("ns")).join(chunks, ["chunk", "lang"])
+    found = found.select("lang", "term", "times", F.explode(F.arrays_zip("sources", "ns")).alias("x"))
+    found = found.groupBy("lang", F.col("x.sources").alias("source"), "term").agg(F.sum(F.col("x.ns") * F.col("times")).alias("count"))
     found = materialize(found, "divergence-found")
     release(counts)
     release(chunks)
@@ -180,7 +189,7 @@ def audit(
     by_lang = shares.groupBy("lang", "term").agg(F.sum("count").alias("all"))
     whole = groups.groupBy("lang").agg(F.sum("total").alias("total"), F.max("terms").alias("terms"))
     by_lang = by_lang.join(whole, "lang").select("lang", "term", _share("all").alias("q"))
-    out = shares.select("lang", "source", "term", "p").join(by_lang, ["lang", "term"]).where("p > q")
+    out = shares.select("lang", "source", "term", "p").join(by_lang, ["term", "lang"]).where("p > q")
     out = out.select("lang", "source", F.col("term").alias("item"), _apart("p", "q").alias("value"))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     term_part = out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).withColumn("part", F.lit("term"))
@@ -193,7 +202,7 @@ def audit(
     x = shares.select("lang", "term", F.col("source").alias("a"), F.col("p").alias("pa"), F.col("absent").alias("a0"))
     y = shares.select("lang", "term", F.col("source").alias("b"), F.col("p").alias("pb"), F.col("absent").alias("b0"))
     fix = _apart("pa", "pb") - _apart("pa", "b0") - _apart("a0", "pb") + _apart("a0", "b0")
-    both = x.join(y, ["lang", "term"]).where("a < b").groupBy("lang", "a", "b").agg(F.sum(fix).alias("fix"))
+    both = x.join(y, ["term", "lang"]).where("a < b").groupBy("lang", "a", "b").agg(F.sum(fix).alias("fix"))
     turned = lambda df: df.select("lang", F.col("b").alias("a"), F.col("a").alias("b"), df.columns[-1])
     sums = one_side.unionByName(turned(one_side)).groupBy("lang", "a", "b").agg(F.sum("side").alias("sides"))
     both = both.unionByName(turned(both))
