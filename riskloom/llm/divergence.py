@@ -34,6 +34,7 @@ gives an empty table; only the named columns are read.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -85,34 +86,40 @@ class _Task:
     def rows(self) -> Iterator[pa.RecordBatch]:
         """A row for each (lang, chunk): documents, their row numbers where they are few, and occurrences by source."""
         for lang, documents in self.documents.items():
-            rare = {k for k, n in documents.items() if n < self.min_docs}
-            ids: dict[bytes, list[int]] = defaultdict(list)
-            for row, text in self.texts[lang]:
-                for k in rare.intersection(_chunks(text)):
-                    ids[k].append(row)
             place = {k: i for i, k in enumerate(documents)}
+            rare, held, sizes = {k for k, n in documents.items() if n < self.min_docs}, array("q"), []
+            for _, text in self.texts[lang]:
+                few = rare.intersection(_chunks(text))
+                held.extend(map(place.__getitem__, few))
+                sizes.append(len(few))
+            ids, id_ends = _listed(np.frombuffer(held, np.int64), np.repeat(np.array([row for row, _ in self.texts[lang]], np.int64), sizes), len(place))
             sources = list(self.occurrences[lang])
             found = [np.fromiter(map(place.__getitem__, c), np.int64, len(c)) for c in self.occurrences[lang].values()]
             times = [np.fromiter(c.values(), np.int64, len(c)) for c in self.occurrences[lang].values()]
-            at, of = np.concatenate(found), np.repeat(np.arange(len(sources)), [len(f) for f in found])
-            order = np.argsort(at, kind="stable")
-            ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=len(place)))]).astype(np.int32)
-            listed = lambda values: pa.ListArray.from_arrays(pa.array(ends), values)  # noqa: E731, B023
+            at = np.concatenate(found)
+            of, ends = _listed(at, np.repeat(np.arange(len(sources)), [len(f) for f in found]), len(place))
+            n, _ = _listed(at, np.concatenate(times), len(place))
             cols = [
                 pa.array([lang], pa.string()).take(pa.array(np.zeros(len(place), np.int32))), pa.array(documents.keys(), pa.binary()).cast(pa.string()),
-                pa.array(documents.values(), pa.int64()), pa.array([ids.get(k) for k in documents], pa.list_(pa.int64())),
-                listed(pa.array(sources, pa.string()).take(pa.array(of[order]))), listed(pa.array(np.concatenate(times)[order])),
+                pa.array(documents.values(), pa.int64()), pa.ListArray.from_arrays(id_ends, pa.array(ids)),
+                pa.ListArray.from_arrays(ends, pa.array(sources, pa.string()).take(pa.array(of))), pa.ListArray.from_arrays(ends, pa.array(n)),
             ]
             yield from pa.Table.from_arrays(cols, names=[x.split()[0] for x in _COUNTS.split(", ")]).to_batches(max_chunksize=100_000)
 
 
+def _listed(at: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray, pa.Array]:
+    """``values`` in the order of their place, and the offsets of the ``n`` places' lists."""
+    ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=n))]).astype(np.int32)
+    return values[np.argsort(at, kind="stable")], pa.array(ends)
+
+
 def _counter(min_docs: int, task_chunks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = _Task(min_docs)
         for b in batches:
             cols = [b.column(0), b.column(1).cast(pa.binary()), b.column(2), b.column(3)]
-            for i in range(b.num_rows):
-                task.add(*(c[i].as_py() for c in cols))
+            for row in zip(*(c.to_pylist() for c in cols), strict=True):
+                task.add(*row)
                 if task.held >= task_chunks:
                     yield from task.rows()
                     task = _Task(min_docs)
@@ -140,7 +147,7 @@ def kept_terms(counts: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame,
     between = bounds.where(F.col("least") < min_docs).select("lang", "term")
     # Keys begin with the chunk or term: rows are sorted by what tells them apart.
     open_ = back.join(between, ["term", "lang"], "left_semi").select("lang", "chunk", "term")
-    exact = counts.where("ids is not null").select("lang", "chunk", "ids").join(open_, ["chunk", "lang"])
+    exact = counts.where("size(ids) > 0").select("lang", "chunk", "ids").join(open_, ["chunk", "lang"])
     exact = exact.select("lang", "term", F.explode("ids").alias("row")).distinct().groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     kept = bounds.where(F.col("least") >= min_docs).select("lang", "term").unionByName(exact.select("lang", "term"))
     kept = materialize(kept, "divergence-kept")
