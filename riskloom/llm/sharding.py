@@ -8,12 +8,13 @@ what is left gets a shard of its own first (any plan's largest shard is at
 least that large), and the rest is partitioned over the remaining shards.
 
 The driver never sees the groups.  It works on cells, ranges of the hash
-order with their sums: 4,096 at first.  Cells that hold several groups are
-taken as divisible for a lower and as atomic for an upper bound of the
-capacity; only cells in which a cut can fall between those bounds are
-split (16 ways a round, by one aggregate over those ranges) until all of
-them are single groups.  What a round sends to the driver is bounded by
-shards² x 16 rows, whatever the input.
+order with their bytes and their largest group: 4,096 at first.  A greedy
+shard that ends inside a cell ends at most its largest group before the
+capacity, which gives a lower and an upper bound of every cut and so of the
+capacity.  Only cells in which a cut can fall between those bounds are split
+(16 ways, an equi-join with the parents' numbers and one aggregate), at most
+``SPLIT_CELLS`` a round, until the bounds meet.  A round sends 4,096 rows at
+the most, whatever the input; large groups only make for more rounds.
 
 Built-in functions only.  Slots count rows within (shard, chunk), where
 chunks hold about ``CHUNK_ROWS`` rows each, plus the rows of the chunks
@@ -28,6 +29,7 @@ only the named columns are read.
 from __future__ import annotations
 
 from bisect import bisect_right
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -36,93 +38,114 @@ from riskloom.llm.common import materialize
 
 ROW_BYTES = 16
 CHUNK_ROWS = 50_000
+#: Cells that one round splits; each gives at most 2**_MORE_BITS rows.
+SPLIT_CELLS = 256
 _FIRST_BITS = 12
 _MORE_BITS = 4
 
 
-class _Cells:
-    """Ordered cells (lowest hash, highest hash, bytes); a cell whose lowest and highest agree is one group."""
+class Cell(NamedTuple):
+    """The groups whose hashes agree but for the last ``shift`` bits."""
 
-    def __init__(self, cells: list[tuple[int, int, int]]):
-        self.cells = cells
-        self.ends, total = [], 0
-        for *_, size in cells:
-            total += size
-            self.ends.append(total)
-        self.total = total
+    low: int
+    high: int
+    bytes: int
+    largest: int
+    shift: int
 
-    def greedy(self, capacity: int, shards: int, divisible: bool) -> list[int] | None:
-        """Ends (bytes from the start) of the shards of a greedy pass, or None if they do not suffice."""
-        at, out = 0, []
-        for _ in range(shards):
-            if at >= self.total:
-                break
-            k = bisect_right(self.ends, at + capacity)
-            end = self.ends[k - 1] if k else 0
-            if divisible and k < len(self.cells) and self.cells[k][0] != self.cells[k][1]:
-                end = at + capacity
-            if end <= at:
-                return None
-            out.append(end)
-            at = end
-        return out if at >= self.total else None
-
-    def least(self, shards: int, divisible: bool) -> int:
-        low, high = max(1, -(-self.total // shards)), max(1, self.total)
-        while low < high:
-            mid = (low + high) // 2
-            if self.greedy(mid, shards, divisible) is None:
-                low = mid + 1
-            else:
-                high = mid
-        return low
+    @property
+    def single(self) -> bool:
+        return self.low == self.high
+
+
+class Cells:
+    """Cells in order, and bounds of what a greedy pass over their groups does."""
+
+    def __init__(self, cells: list[Cell]):
+        self.cells = sorted(cells)
+        self.ends, self.total = [], 0
+        for c in self.cells:
+            self.total += c.bytes
+            self.ends.append(self.total)
 
-    def partial(self, capacity: int, shards: int, divisible: bool) -> list[int]:
-        """Shard ends as far as a greedy pass comes (padded with its last end)."""
+    def reach(self, at: int, high: bool) -> int:
+        """Where a shard ends that may go up to byte ``at``: a bound of the last group's end."""
+        k = bisect_right(self.ends, at)
+        start = self.ends[k - 1] if k else 0
+        if k == len(self.cells) or self.cells[k].single or at == start:
+            return start  # exact: the end of whole cells
+        return at if high else max(start, at - self.cells[k].largest + 1)
+
+    def ends_of(self, capacity: int, shards: int, high: bool) -> list[int]:
+        """Bounds of the shards' ends (bytes from the start)."""
         at, out = 0, []
         for _ in range(shards):
-            k = bisect_right(self.ends, at + capacity)
-            end = max(at, self.ends[k - 1] if k else 0)
-            if divisible and k < len(self.cells) and self.cells[k][0] != self.cells[k][1]:
-                end = at + capacity
-            out.append(end)
-            at = end
+            at = max(at, self.reach(at + capacity, high))
+            out.append(at)
         return out
 
+    def least(self, shards: int, high: bool) -> int:
+        """Least capacity that suffices by the bound: too small by the high one, enough by the low one."""
+        low, top = max(1, -(-self.total // shards)), max(1, self.total)
+        while low < top:
+            mid = (low + top) // 2
+            if self.ends_of(mid, shards, high)[-1] >= self.total:
+                top = mid
+            else:
+                low = mid + 1
+        return low
 
-def _cell_sums(groups: DataFrame, shift: int) -> list[tuple[int, int, int]]:
-    rows = groups.groupBy(F.shiftright("h", shift).alias("cell")).agg(F.min("h").alias("low"), F.max("h").alias("high"), F.sum("bytes").alias("bytes")).collect()
-    return sorted((r.low, r.high, r.bytes) for r in rows)
+    def between(self, small: int, large: int, shards: int) -> list[int]:
+        """Cells of several groups in which a cut may fall, in order, for capacities from ``small`` to ``large``."""
+        a, b, out = 0, 0, {}
+        for _ in range(shards):
+            first, last = bisect_right(self.ends, a + small), min(bisect_right(self.ends, b + large), len(self.cells) - 1)
+            out.update(dict.fromkeys(k for k in range(first, last + 1) if not self.cells[k].single and (first < last or a + small > self.ends[k] - self.cells[k].bytes or b + large > a + small)))
+            a, b = max(a, self.reach(a + small, False)), max(b, self.reach(b + large, True))
+        return list(out)
+
+
+def _cell_rows(groups: DataFrame, shift: int) -> DataFrame:
+    rows = groups.groupBy(F.shiftright("h", shift).alias("cell")).agg(F.min("h").alias("low"), F.max("h").alias("high"), F.sum("bytes").alias("bytes"), F.max("bytes").alias("largest"))
+    return rows.select("low", "high", "bytes", "largest", F.lit(shift).alias("shift"))
+
+
+def _split(groups: DataFrame, cells: list[Cell]) -> list[Cell]:
+    """The cells' parts, by one job: an equi-join with the numbers of the cells of each width."""
+    spark, parts = groups.sparkSession, None
+    for shift in sorted({c.shift for c in cells}):
+        numbers = spark.createDataFrame([(c.low >> shift,) for c in cells if c.shift == shift], "number long")
+        inside = groups.join(F.broadcast(numbers), F.shiftright("h", shift) == F.col("number"), "left_semi")  # SPLIT_CELLS rows at most
+        rows = _cell_rows(inside, max(0, shift - _MORE_BITS))
+        parts = rows if parts is None else parts.unionByName(rows)
+    out = [Cell(*r) for r in parts.collect()]
+    if len(out) > len(cells) << _MORE_BITS:
+        raise AssertionError(f"{len(out)} parts of {len(cells)} cells")
+    return out
 
 
-def minimax_cuts(groups: DataFrame, shards: int) -> tuple[list[int], int]:
-    """Highest hash of each shard in order, and the capacity, for ``groups`` (h, bytes), one row a group."""
-    shift = 64 - _FIRST_BITS
-    cells = _Cells(_cell_sums(groups, shift))
+def minimax_cuts(groups: DataFrame, shards: int, split_cells: int = SPLIT_CELLS) -> tuple[list[int], int]:
+    """Highest hash of each shard in order, and the least capacity, for ``groups`` (h, bytes), one row a group."""
+    cells = Cells([Cell(*r) for r in _cell_rows(groups, 64 - _FIRST_BITS).collect()])
     if not cells.cells:
         return [], 0
     while True:
-        low, high = cells.least(shards, divisible=True), cells.least(shards, divisible=False)
-        first, last = cells.partial(low, shards, divisible=False), cells.partial(high, shards, divisible=True)
-        split = set()
-        for a, b in zip(first, last, strict=True):
-            k, top = bisect_right(cells.ends, a), min(bisect_right(cells.ends, b), len(cells.cells) - 1)
-            split.update(i for i in range(k, top + 1) if cells.cells[i][0] != cells.cells[i][1])
-        if not split or shift == 0:
-            ends = cells.greedy(high, shards, divisible=False)
-            return [cells.cells[bisect_right(cells.ends, e) - 1][1] for e in ends], high
-        shift = max(0, shift - _MORE_BITS)
-        ranges: list[list[int]] = []  # neighbouring cells read as one range
-        for i in sorted(split):
-            if ranges and i - 1 in split:
-                ranges[-1][1] = cells.cells[i][1]
-            else:
-                ranges.append([cells.cells[i][0], cells.cells[i][1]])
-        inside = F.lit(False)
-        for a, b in ranges:
-            inside = inside | F.col("h").between(a, b)
-        finer = _cell_sums(groups.where(inside), shift)
-        cells = _Cells(sorted([c for i, c in enumerate(cells.cells) if i not in split] + finer))
+        small, large = cells.least(shards, high=True), cells.least(shards, high=False)
+        ends = cells.ends_of(large, shards, high=False)
+        if small == large and ends == cells.ends_of(large, shards, high=True):
+            break
+        where = cells.between(small, large, shards)
+        if len(where) > split_cells:  # one capacity at a time, its first cuts first
+            mid = (small + large) // 2
+            where = (cells.between(mid, mid, shards) or where)[:split_cells]
+        chosen = [cells.cells[k] for k in where]
+        rest = set(where)
+        cells = Cells([c for k, c in enumerate(cells.cells) if k not in rest] + _split(groups, chosen))
+    out = []
+    for e in ends:
+        if not out or e > out[-1]:
+            out.append(e)
+    return [cells.cells[bisect_right(cells.ends, e) - 1].high for e in out], large
 
 
 def heavy_groups(groups: DataFrame, shards: int, total: int) -> list[tuple[int, int]]:

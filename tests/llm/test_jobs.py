@@ -10,6 +10,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -321,13 +322,30 @@ def least_capacity(sizes, shards):
     return low
 
 
-@pytest.mark.parametrize("n, shards", [(5, 3), (300, 40), (1500, 40), (1, 40)])
-def test_capacity_is_the_least(spark, n, shards):
-    rnd = random.Random(n)
-    groups_ = spark.createDataFrame([(rnd.getrandbits(64) - (1 << 63), rnd.choice([1, 5, 1000, 40_000])) for _ in range(n)], "h long, bytes long")
-    sizes = [r.bytes for r in groups_.orderBy("h").collect()]
-    cuts, capacity = sharding.minimax_cuts(groups_, shards)
-    assert capacity == least_capacity(sizes, shards) and len(cuts) <= shards
+def minimax_shards(sizes, capacity):
+    out, held = [], 0
+    for k, x in enumerate(sizes):
+        if held and held + x > capacity:
+            out.append(k - 1)
+            held = 0
+        held += x
+    return [*out, len(sizes) - 1]
+
+
+@pytest.mark.parametrize("n, shards, split_cells", [(5, 3, 256), (300, 40, 256), (1500, 40, 16), (1, 40, 256), (50_000, 40, 256), (250_000, 40, 256), (50_000, 7, 8)])
+def test_capacity_is_the_least(spark, monkeypatch, n, shards, split_cells):
+    """Few and many groups of long-tailed sizes; what a round sends to the driver is bounded."""
+    rnd = np.random.Generator(np.random.PCG64(n + shards))
+    h = np.unique(rnd.integers(-(1 << 63), (1 << 63) - 1, n))
+    sizes = np.minimum(16 + 300 * rnd.pareto(1.1, len(h)), 122_000).astype(np.int64) if n > 2000 else rnd.choice([1, 5, 1000, 40_000], len(h))
+    groups_ = spark.createDataFrame(pd.DataFrame({"h": h, "bytes": sizes})).repartition(4).cache()
+    sent, split = [], sharding._split
+    monkeypatch.setattr(sharding, "_split", lambda g, c: sent.append(len(c)) or split(g, c))
+    cuts, capacity = sharding.minimax_cuts(groups_, shards, split_cells)
+    assert capacity == least_capacity(sizes.tolist(), shards) and len(cuts) <= shards
+    assert cuts == h[minimax_shards(sizes.tolist(), capacity)].tolist()
+    assert max(sent, default=0) <= split_cells and len(sent) <= 60
+    groups_.unpersist()
 
 
 def test_shards(spark, documents, odd, empty):
