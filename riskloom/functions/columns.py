@@ -51,9 +51,9 @@ def nonzero(c) -> Column:
     return col(c) != 0
 
 
-def nonzero_mean(c) -> Column:
-    """Mean of the non-zero values of ``c`` (null if there are none)."""
-    return F.avg(F.when(nonzero(c), col(c)))
+def nonzero_values(c) -> Column:
+    """``c`` where it is not zero, else null."""
+    return F.when(nonzero(c), col(c))
 
 
 def binary_encode(c, positive: str) -> Column:

@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import binary_encode as _binary_encode_col
-from riskloom.functions.columns import nonzero_mean as _nonzero_mean_col
+from riskloom.functions.columns import nonzero_values
+from riskloom.operators import exact
 from riskloom.functions.rules import fill_absent  # noqa: F401  (re-exported, O-17)
 
 
@@ -55,10 +56,11 @@ def feature_cols(df: DataFrame, label: str) -> list[str]:
 def nonzero_means(df: DataFrame, cols: list[str]) -> DataFrame:
     """O-24: one row, one column per input: mean of the non-zero values.
 
-    A single pass for all columns (they are independent), not one job per
-    column.
+    All columns together (they are independent), not one job per column;
+    the sums do not depend on the order of rows.
     """
-    return df.agg(*[_nonzero_mean_col(c).alias(c) for c in cols])
+    stats = exact.means(df, {c: nonzero_values(c) for c in cols})
+    return df.sparkSession.range(1).select(stats.alias("m")).select("m.*")
 
 
 def _impute_expr(c: str, mean: Column) -> Column:
@@ -71,14 +73,14 @@ def zero_impute(df: DataFrame, cols: list[str], means: dict | None = None) -> Da
 
     With ``means`` given (e.g. fitted on the training split) this is a pure
     projection.  Without, all means come from one scalar subquery over
-    ``df`` (a struct with one field per column): one aggregate pass whose
-    single row is inlined into the projection (no join).  A
+    ``df`` (a struct with one field per column) whose single row is inlined
+    into the projection (no join); see ``exact`` for its passes.  A
     column that is all zero gets a null mean, so its zeros become null.
     Imputed columns are double.
     """
     if means is not None:
         return df.withColumns({c: _impute_expr(c, F.lit(means.get(c)).cast("double")) for c in cols})
-    stats = df.agg(F.struct(*[_nonzero_mean_col(c).cast("double").alias(c) for c in cols])).scalar()
+    stats = exact.means(df, {c: nonzero_values(c) for c in cols})
     # Project the struct once: every column then reads the same subquery.
     staged = df.withColumn("__nz_means", stats)
     return staged.withColumns({c: _impute_expr(c, F.col("__nz_means")[c]) for c in cols}).drop("__nz_means")

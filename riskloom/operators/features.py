@@ -2,19 +2,26 @@
 
 Vectors are Spark ML ``VectorUDT`` inside ML stages and ``array<double>``
 at table edges; conversion uses the JVM built-ins ``array_to_vector`` /
-``vector_to_array`` (no Python worker).  Scaler statistics come from
-Spark ML's distributed summarizer (tree aggregate), so fitting is one pass
+``vector_to_array`` (no Python worker).  Scaler statistics are sums
+that do not depend on the order of rows (``exact``): two aggregate passes
 whatever the row count.
 """
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.ml import Estimator
+from pyspark.ml.common import _py2java
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.operators import exact
+
 
 def to_vector(df: DataFrame, c: str, out: str | None = None) -> DataFrame:
     """array<float|double> -> dense vector.
@@ -64,8 +71,42 @@ def assemble(df: DataFrame, cols: list[str], out: str = "features", handle_inval
     return assembler(cols, out, handle_invalid).transform(df)
 
 
-def scaler(inp: str = "features_unscaled", out: str = "features") -> StandardScaler:
-    return StandardScaler(inputCol=inp, outputCol=out, withMean=True, withStd=True)
+class ExactScaler(Estimator):
+    """Fits a ``StandardScalerModel`` (centred, unit deviation) on exact sums.
+
+    The same rows give the same model bit for bit, whatever their order and
+    partitions.  Over Connect, where the model cannot be built from its
+    numbers, Spark's own estimator is fitted.
+    """
+
+    def __init__(self, inp: str, out: str):
+        super().__init__()
+        self.inp, self.out = inp, out
+
+    def _fit(self, dataset: DataFrame) -> StandardScalerModel:
+        params = {"inputCol": self.inp, "outputCol": self.out, "withMean": True, "withStd": True}
+        try:
+            context = dataset.sparkSession.sparkContext
+        except Exception:  # noqa: BLE001 - Connect has no SparkContext
+            return StandardScaler(**params).fit(dataset)
+        size = dataset.schema[self.inp].metadata.get("ml_attr", {}).get("num_attrs")
+        if size is None:
+            first = dataset.select(self.inp).first()
+            size = len(first[0]) if first else 0
+        values = dataset.select(vector_to_array(F.col(self.inp)).alias("v"))
+        _, found = exact.moments(values, {str(i): F.col("v")[i] for i in range(size)})
+        stats = [exact.mean_std(*found[str(i)]) for i in range(size)]
+        vector = lambda k: _py2java(context, Vectors.dense([s[k] for s in stats]))
+        name = f"StandardScaler_{uuid.uuid4().hex[:12]}"
+        model = StandardScalerModel(context._jvm.org.apache.spark.ml.feature.StandardScalerModel(name, vector(1), vector(0)))
+        model._resetUid(name)
+        model._set(**params)
+        model._transfer_params_to_java()
+        return model
+
+
+def scaler(inp: str = "features_unscaled", out: str = "features") -> ExactScaler:
+    return ExactScaler(inp, out)
 
 
 def standardize(df: DataFrame, cols: list[str], out: str = "features",

@@ -1,7 +1,7 @@
 """Dataset statistics (O-23 .. O-27).
 
-Every statistic is one aggregate pass: partial aggregates per task, a
-single-row merge.  Long (one row per column) outputs come from ``stack``
+Every statistic is a fixed number of aggregate passes: partial aggregates
+per task, a single-row merge.  Long (one row per column) outputs come from ``stack``
 over that single row, never from a loop of jobs.
 """
 
@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskloom.functions.columns import nonzero_values
+from riskloom.operators import exact
+
 
 def row_count(df: DataFrame) -> DataFrame:
     """O-23: one row, ``n``."""
@@ -26,12 +29,10 @@ def _stack(wide: DataFrame, cols: list[str], stats: list[str]) -> DataFrame:
 
 def nonzero_mean(df: DataFrame, cols: list[str]) -> DataFrame:
     """O-24 long form: (column_name, nonzero_mean, n_nonzero)."""
-    aggs = []
-    for c in cols:
-        x = F.col(c)
-        aggs += [F.avg(F.when(x != 0, x)).cast("double").alias(f"{c}__nonzero_mean"),
-                 F.count(F.when(x != 0, F.lit(1))).alias(f"{c}__n_nonzero")]
-    return _stack(df.agg(*aggs), cols, ["nonzero_mean", "n_nonzero"])
+    counts = df.agg(*[F.count(nonzero_values(c)).alias(f"{c}__n_nonzero") for c in cols])
+    m = exact.means(df, {c: nonzero_values(c) for c in cols})
+    wide = counts.withColumn("__m", m).withColumns({f"{c}__nonzero_mean": F.col("__m")[c] for c in cols})
+    return _stack(wide, cols, ["nonzero_mean", "n_nonzero"])
 
 
 def schema_report(df: DataFrame) -> list[tuple[str, str, bool]]:
@@ -63,9 +64,16 @@ def sample_head(df: DataFrame, key: str, n: int = 5) -> DataFrame:
 
 
 def scaler_stats(df: DataFrame, cols: list[str]) -> DataFrame:
-    """O-27 long form: (column_name, mean, std) with sample std."""
-    aggs = []
+    """O-27 long form: (column_name, mean, std) with sample std.
+
+    Deviations are taken from the mean, so nothing cancels; both sums are
+    independent of the order of rows.
+    """
+    m = exact.means(df, {c: F.col(c) for c in cols})
+    apart = df.withColumn("__m", m)
+    squares = exact.means(apart, {c: (F.col(c).cast("double") - F.col("__m")[c]) * (F.col(c).cast("double") - F.col("__m")[c]) for c in cols})
+    wide = df.agg(*[F.count(c).alias(f"{c}__n") for c in cols]).withColumns({"__m": m, "__s": squares})
     for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std")]
-    return _stack(df.agg(*aggs), cols, ["mean", "std"])
+        n = F.col(f"{c}__n")
+        wide = wide.withColumns({f"{c}__mean": F.col("__m")[c], f"{c}__std": F.when(n > 1, F.sqrt(F.col("__s")[c] * n / (n - 1)))})
+    return _stack(wide, cols, ["mean", "std"])

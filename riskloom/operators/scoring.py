@@ -8,12 +8,14 @@ no collect; the fitted models are shipped to executors once per job.
 
 from __future__ import annotations
 
+import logging
 from functools import reduce
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom import schemas
 from riskloom.functions.columns import (
@@ -42,6 +44,22 @@ def model_inputs(model: PipelineModel) -> list[str]:
     return list(dict.fromkeys(c.removesuffix(schemas.IMPUTED_SUFFIX).removesuffix(schemas.ENCODED_SUFFIX) for c in names))
 
 
+def misfits(model: PipelineModel, df: DataFrame) -> list[str]:
+    """Inputs of a fitted pipeline that ``df`` lacks or has in a type that its stages cannot take.
+
+    Such a model would fail while it transforms, when the job already runs.
+    """
+    assembled = [c for s in model.stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]
+    out = []
+    for c in assembled:
+        name = c.removesuffix(schemas.IMPUTED_SUFFIX).removesuffix(schemas.ENCODED_SUFFIX)
+        kind = df.schema[name].dataType if name in df.columns else None
+        wanted = T.StringType if c.endswith(schemas.ENCODED_SUFFIX) else (T.NumericType, T.BooleanType)
+        if not isinstance(kind, wanted):
+            out.append(name)
+    return out
+
+
 def score(df: DataFrame, models: dict, input_cols: list[str] | None = None,
           t: float = schemas.MODEL_THRESHOLD) -> DataFrame:
     """Apply each fitted model; add ``<name>_prob``, ``<name>_pred`` and ``<name>_status``.
@@ -49,7 +67,7 @@ def score(df: DataFrame, models: dict, input_cols: list[str] | None = None,
     ``models`` maps a short name (``lr``, ``rf``) to a ``PipelineModel``, to
     ``None`` or to ``(model or None, status)`` as ``load_with_status`` gives
     it.  A model that is absent, cannot be read or does not fit the columns
-    leaves typed nulls and says so in its status (``absent``, ``failed``),
+    (one is missing, or is text where a number is wanted) leaves typed nulls and says so in its status (``absent``, ``failed``),
     so the other model still answers.
 
     Rows with a null in any input of a model (read from its own fitted
@@ -63,8 +81,9 @@ def score(df: DataFrame, models: dict, input_cols: list[str] | None = None,
     for name, given in models.items():
         model, status = given if isinstance(given, tuple) else (given, "loaded" if given is not None else "absent")
         if model is not None:
-            missing = [c for c in model_inputs(model) if c not in df.columns]
-            if missing:
+            wrong = misfits(model, df)
+            if wrong:
+                logging.getLogger(__name__).warning("model %s does not fit the columns %s", name, ", ".join(wrong))
                 model, status = None, "failed"
         if model is None:
             out = out.withColumns({f"{name}_prob": F.lit(None).cast("double"), f"{name}_pred": F.lit(None).cast("int")})
@@ -199,6 +218,10 @@ def score_all(df: DataFrame, task: str, models: dict, key: str | None = None) ->
     from riskloom.functions.rules import rule_score_a, rule_score_b
     inputs = schemas.DIABETES_FEATURES if task == "diabetes" else schemas.HEART_FEATURES
     scored = score(df, models, [c for c in inputs if c in df.columns])  # the form's inputs and the model's own
+    encoded = schemas.HEART_ENCODED[0] if task != "diabetes" else None
+    text = [c for c in inputs if c in df.columns and c != encoded and isinstance(df.schema[c].dataType, T.StringType)]
+    if text:  # the rules take what reads as a number; other texts count as null, which the rules answer
+        scored = scored.withColumnsRenamed({c: f"__text_{c}" for c in text}).withColumns({c: F.col(f"__text_{c}").try_cast("double") for c in text})
     if task == "diabetes":
         ruled = rule_score_a(scored, with_status=True)
     else:
@@ -210,6 +233,8 @@ def score_all(df: DataFrame, task: str, models: dict, key: str | None = None) ->
         ruled = rule_score_b(scored, with_status=True)
         if text_gender:
             ruled = ruled.drop(g).withColumnRenamed("__gender_text", g)
+    if text:
+        ruled = ruled.drop(*text).withColumnsRenamed({f"__text_{c}": c for c in text})
     out = consensus(ruled)
     out = out.withColumns({"recommendation": recommend(out, task), "headline": headline(task),
                            "message": message(task)})

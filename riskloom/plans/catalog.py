@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.ml.feature import SQLTransformer, StandardScalerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pyspark.ml.functions import array_to_vector
 
@@ -25,9 +26,9 @@ from riskloom.functions.rules import rule_score_a, rule_score_b
 from riskloom.operators import clean, evaluate, features, profile, scoring, split
 from riskloom.plans import feature_plans, jobs, training, views
 from riskloom.session import app_id, checkpoint_root, scratch_path
-from riskloom.sources import files, registry
+from riskloom.sources import files, registry, versions
 from riskloom.sources import models as model_io
-from riskloom.streaming.score_stream import read_stream, score_stream
+from riskloom.streaming.score_stream import read_stream, score_stream, score_stream_refreshing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -433,6 +434,43 @@ def q_csv_roundtrip(spark, sf):
     return files.read_csv(spark, path, part.schema)
 
 
+@query
+def q_csv_by_name(spark, sf):
+    """The same table from files whose columns stand in another order."""
+    part = views.table(spark, sf, "part")
+    path = scratch_path(spark, "part-csv")
+    files.write_csv(part.select(*reversed(part.columns)), path)
+    return files.read_csv(spark, path, part.schema)
+
+
+@query
+def q_csv_quarantine(spark, sf):
+    """Rows of a CSV by whether they fit: each bad row once, quoted line ends
+    and quotes inside read as they were written."""
+    part = views.table(spark, sf, "part")
+    key = F.col("p_partkey")
+    name = F.when(key % 7 == 0, F.concat(F.lit("two\nlines, \""), "p_name", F.lit("\""))).otherwise(F.col("p_name"))
+    size = F.when(key % 17 == 0, F.lit("n/a")).otherwise(F.col("p_size").cast("string"))
+    path = scratch_path(spark, "part-odd-csv")
+    files.write_csv(part.select(size.alias("p_size"), name.alias("p_name"), "p_partkey"), path)
+    good, bad = files.read_checked_csv(spark, path, T.StructType([part.schema["p_partkey"], part.schema["p_name"], part.schema["p_size"]]),
+                                       scratch_path(spark, "part-bad"), multi_line=True)
+    kept = good.select("p_partkey", F.lit(True).alias("fits"), "p_size", F.sha2("p_name", 256).alias("name_sha256"))
+    apart = bad.select("read_as.p_partkey", F.lit(False).alias("fits"), F.lit(None).cast("int").alias("p_size"), F.sha2("read_as.p_name", 256).alias("name_sha256"))
+    return kept.unionByName(apart)
+
+
+@query
+def q_heart_csv_roundtrip(spark, sf):
+    """The heart reader: names from the header, in the file's spelling and order, types from ours."""
+    h = views.heart_training_view(spark, sf).withColumns({"gender": F.when(F.col("gender") == 1, "Male").otherwise("Female"), "state_name": F.lit("Kerala")})
+    spelled = h.select(*[F.col(c).alias("_".join(w.capitalize() for w in ("patient_id" if c == "k" else c).split("_"))) for c in reversed(h.columns)])
+    path = scratch_path(spark, "heart-csv")
+    files.write_csv(spelled, path)
+    back = files.read_heart_csv(spark, path)
+    return back.select(F.col("patient_id").cast("long").alias("k"), "state_name", *schemas.HEART_FEATURES, schemas.HEART_LABEL)
+
+
 @query
 def q_processed_roundtrip(spark, sf):
     part = views.table(spark, sf, "part").select("p_partkey", "p_size", "p_retailprice")
@@ -458,29 +496,31 @@ def _task_frame(spark, sf, task: str) -> DataFrame:
 def trained(spark, sf, task: str = "diabetes") -> str:
     """Folder with the task's tuned models, CV report, importances and registry.
 
-    The training job writes it once per application and data folder below
-    the shared checkpoint folder; the registry is written last, so a folder
-    with a registry is whole.  Queries read what they need from it.
+    The training job writes it once per application and state of the input
+    below the shared checkpoint folder and publishes it when it is whole.
+    Changed input files have another identity, so the job runs again.
+    Queries read what they need from it.
     """
-    name = hashlib.md5(f"{app_id(spark)}|{sf}".encode()).hexdigest()[:12]
-    base = f"{checkpoint_root(spark)}/riskloom/trained-{name}/{task}"
-    if not model_io.path_exists(spark, f"{base}/registry/_SUCCESS"):
-        jobs.train(spark, _task_frame(spark, sf, task), task, base, "k")
-    return base
+    models_dir = _models_dir(spark, sf, task)
+    if versions.current(spark, models_dir, task)[1] is None:
+        jobs.train(spark, _task_frame(spark, sf, task), task, models_dir, "k")
+    return versions.current(spark, models_dir, task)[1]
 
 
-def model_path(base: str, task: str, name: str) -> str:
-    return f"{base}/{task}_{jobs.MODEL_DIRS[name]}"
+def _models_dir(spark, sf, task: str) -> str:
+    df = views.table(spark, sf, "events" if task == "diabetes" else "orders")
+    name = hashlib.md5(f"{app_id(spark)}|{files.identity(df)}".encode()).hexdigest()[:12]
+    return f"{checkpoint_root(spark)}/riskloom/trained-{name}"
 
 
 def _load(spark, base: str, task: str) -> dict:
-    return {n: model_io.load_with_status(spark, model_path(base, task, n)) for n in jobs.MODEL_DIRS}
+    return jobs.load_models(spark, base)
 
 
 def _single_fit(spark, sf, model: str):
     df = patient_inputs(spark, sf)
     fit = training.fit_task(spark, df, "k", schemas.DIABETES_LABEL, "diabetes", models=(model,), tune_models=False)
-    return fit, fit.train.count()
+    return fit, fit.n_train
 
 
 @query
@@ -511,7 +551,7 @@ LEAST_CV_AUC, LEAST_TEST_AUC = 0.5, 0.85
 
 def _report(spark, sf, model: str | None = None) -> DataFrame:
     """Grid points of the tuning; the best is the one with the highest mean AUC and is above the test bound."""
-    r = spark.read.parquet(f"{trained(spark, sf)}/diabetes_cv_report")
+    r = spark.read.parquet(f"{trained(spark, sf)}/cv_report")
     r = r if model is None else r.where(F.col("model") == model)
     top = F.max("mean_auc").over(Window.partitionBy("model"))  # at most nine grid points a model
     best_ok = F.when(F.col("is_best"), (F.col("mean_auc") == top) & (top >= LEAST_TEST_AUC)).otherwise(F.lit(True))
@@ -538,7 +578,7 @@ def q_cv_metrics(spark, sf):
 @query
 def q_feature_importance(spark, sf):
     """Importances of the tuned forest: non-negative, adding to 1, and the two features the label follows on top."""
-    imp = spark.read.parquet(f"{trained(spark, sf)}/diabetes_importances")
+    imp = spark.read.parquet(f"{trained(spark, sf)}/importances")
     every = Window.partitionBy(F.lit(1))  # eight features
     place = F.rank().over(Window.partitionBy(F.lit(1)).orderBy(F.col("importance").desc()))
     return imp.select("feature", (F.col("importance") >= 0).alias("non_negative"),
@@ -607,7 +647,7 @@ def q_partial_models(spark, sf):
     damaged = scratch_path(spark, "damaged-model")
     spark.createDataFrame([("not a model",)], "value string").coalesce(1).write.text(f"{damaged}/metadata")
     models = {"lr": model_io.load_with_status(spark, damaged),
-              "rf": model_io.load_with_status(spark, model_path(base, "diabetes", "rf"))}
+              "rf": model_io.load_with_status(spark, f"{base}/{jobs.MODEL_DIRS['rf']}")}
     df = patient_inputs(spark, sf).withColumn("glucose", F.nullif(F.col("glucose"), F.lit(100)))
     s = scoring.score_all(df, "diabetes", models, "k")
     return s.select("k", "source", "lr_status", "rf_status", F.col("lr_prob").isNotNull().alias("lr_answered"),
@@ -647,6 +687,35 @@ def q_stream_score(spark, sf):
     return _consistent(spark.read.parquet(out))
 
 
+@query
+def q_stream_refresh(spark, sf):
+    """A stream over two halves of the table, with a retraining between them:
+    each half is scored by the version that was current then."""
+    events = views.table(spark, sf, "events")
+    folder, out, ckpt, models = (scratch_path(spark, f"refresh-{n}") for n in ("in", "out", "ckpt", "models"))
+    df = patient_inputs(spark, sf)
+    for half in (0, 1):
+        fit = training.fit_task(spark, df, "k", schemas.DIABETES_LABEL, "diabetes", models=("lr",), tune_models=False, fit_scope=("train", "all")[half])
+        new = versions.new_folder(models, "diabetes")
+        model_io.save_model(fit.models["lr"], f"{new}/{jobs.MODEL_DIRS['lr']}")
+        versions.publish(spark, models, "diabetes", new)
+        events.where(F.col("event_id") % 2 == half).write.mode("append").parquet(folder)
+        rows = views.diabetes_inputs(views.patients(read_stream(spark, folder, events.schema)))
+        score_stream_refreshing(rows, "diabetes", models, "k", out, ckpt).awaitTermination()
+    back = spark.read.parquet(out)
+    return back.select("k", "model_version", "lr_status", "rf_status", "source", F.col("lr_prob").isNotNull().alias("lr_answered"))
+
+
+@query
+def q_wrong_type(spark, sf):
+    """Glucose arrives as text: both models' status is failed before the job
+    runs, and the rules answer with what reads as a number."""
+    text = F.when(F.col("k") % 11 == 0, F.lit("unknown")).otherwise(F.col("glucose").cast("string"))
+    base = trained(spark, sf)
+    s = scoring.score_all(patient_inputs(spark, sf).withColumn("glucose", text), "diabetes", _load(spark, base, "diabetes"), "k")
+    return s.select("k", "glucose", "lr_status", "rf_status", "source", "rule_pred", r6("rule_prob", "rule_prob"))
+
+
 @query
 def q_model_registry(spark, sf):
     """Registry of both tasks' training jobs: row counts of the split (heart
@@ -666,9 +735,9 @@ def q_model_registry(spark, sf):
 
 @query
 def q_artefact_status(spark, sf):
-    """Model folders and registry of the diabetes training job on the store, and that none of another task is there."""
-    base = trained(spark, sf)
-    return registry.artefact_status(spark, base).select("task", "artefact", "present")
+    """Models and registry of the diabetes training job on the store, and that none of another task is there."""
+    trained(spark, sf)
+    return registry.artefact_status(spark, _models_dir(spark, sf, "diabetes")).select("task", "artefact", "present")
 
 
 def flagship(spark, sf) -> DataFrame:

@@ -19,8 +19,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 
 from riskloom import schemas
-from riskloom.functions.columns import nonzero_mean
-from riskloom.operators.clean import drop_ids, drop_null_rows, feature_cols
+from riskloom.operators.clean import drop_ids, drop_null_rows, feature_cols, nonzero_means
 from riskloom.operators.features import assembler, scaler
 
 IMPUTED_SUFFIX, ENCODED_SUFFIX = schemas.IMPUTED_SUFFIX, schemas.ENCODED_SUFFIX
@@ -44,7 +43,7 @@ def impute_statement(means: dict, suffix: str = IMPUTED_SUFFIX) -> str:
 
 
 class ZeroMeanImputer(Estimator, DefaultParamsReadable, DefaultParamsWritable):
-    """Zero-as-missing imputer: fit = one aggregate of non-zero means."""
+    """Zero-as-missing imputer: fit = the non-zero means of its columns."""
 
     inputCols = Param(Params._dummy(), "inputCols", "columns where 0 means missing",
                       typeConverter=TypeConverters.toListString)
@@ -59,8 +58,7 @@ class ZeroMeanImputer(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
     def _fit(self, dataset: DataFrame) -> SQLTransformer:
         cols = self.getOrDefault(self.inputCols)
-        # One pass for all columns; the result is one row of |cols| doubles.
-        row = dataset.agg(*[nonzero_mean(c).cast("double").alias(c) for c in cols]).first()
+        row = nonzero_means(dataset, cols).first()  # |cols| doubles
         means = {c: row[c] for c in cols}
         return SQLTransformer(statement=impute_statement(means, self.getOrDefault(self.suffix)))
 

@@ -15,7 +15,7 @@ from riskloom import schemas
 from riskloom.operators import evaluate, scoring
 from riskloom.plans import feature_plans, training
 from riskloom.session import scratch_path
-from riskloom.sources import files, models as model_io, registry
+from riskloom.sources import files, models as model_io, registry, versions
 
 MODEL_DIRS = {"lr": "model_lr", "rf": "model_rf"}
 
@@ -53,11 +53,14 @@ def prepare(df: DataFrame, task: str, out_path: str, key: str | None = None) ->
 
 
 def train(spark: SparkSession, df: DataFrame, task: str, models_dir: str, key: str,
-          fit_scope: str = "train", partitions: int = training.TRAIN_PARTITIONS) -> DataFrame:
+          fit_scope: str = "train", partitions: int | None = None) -> DataFrame:
     """Stage 2: drop rows with nulls (heart task), split by key, tune LR and
     RF, save both pipelines, the CV reports and the importances, score the
     held-out rows, pick the winner (a tie keeps LR) and write the registry.
 
+    All of it goes to a folder of its own, which is published last: until
+    then, and if the run fails, readers find the version before.
+
     Returns the registry ``(task, model, auc, auc_binned, accuracy, n_train,
     n_test, partitions, path, is_best)``.
     """
@@ -65,15 +68,17 @@ def train(spark: SparkSession, df: DataFrame, task: str, models_dir: str, key: s
     if task != "diabetes":
         df = feature_plans.null_drop_prepare(df, label, schemas.HEART_ID_COLUMNS, key)
     fit = training.fit_task(spark, df, key, label, task, features=feats, fit_scope=fit_scope, partitions=partitions)
-    paths = {name: model_io.save_model(pipe, f"{models_dir}/{task}_{MODEL_DIRS[name]}")
-             for name, pipe in fit.models.items()}
+    folder = versions.new_folder(models_dir, task)
+    paths = {name: model_io.save_model(pipe, f"{folder}/{MODEL_DIRS[name]}") for name, pipe in fit.models.items()}
     reports = list(fit.reports.values())
     for r in reports[1:]:
         reports[0] = reports[0].unionByName(r)
-    reports[0].coalesce(1).write.mode("overwrite").parquet(f"{models_dir}/{task}_cv_report")
+    reports[0].coalesce(1).write.mode("overwrite").parquet(f"{folder}/cv_report")
     importances = training.feature_importance(spark, fit.classifiers["rf"], fit.feature_names)
-    importances.coalesce(1).write.mode("overwrite").parquet(f"{models_dir}/{task}_importances")
-    return register(spark, task, fit.test, paths, label, f"{models_dir}/registry", fit.train.count(), partitions)
+    importances.coalesce(1).write.mode("overwrite").parquet(f"{folder}/importances")
+    out = register(spark, task, fit.test, paths, label, f"{folder}/registry", fit.n_train, fit.partitions)
+    versions.publish(spark, models_dir, task, folder)
+    return out
 
 
 def register(spark: SparkSession, task: str, test: DataFrame, paths: dict, label: str, registry_path: str,
@@ -111,11 +116,16 @@ def register(spark: SparkSession, task: str, test: DataFrame, paths: dict, label
     return registry.read_registry(spark, registry_path)
 
 
+def load_models(spark: SparkSession, folder: str | None) -> dict:
+    """Both models of a version's folder with their status; all absent without one."""
+    return {n: model_io.load_with_status(spark, folder and f"{folder}/{d}") for n, d in MODEL_DIRS.items()}
+
+
 def serve(spark: SparkSession, df: DataFrame, task: str, models_dir: str, key: str) -> DataFrame:
-    """Stage 3: score rows with whichever saved models can be loaded
+    """Stage 3: score rows with whichever models of the current version can be loaded
     (``lr_status``, ``rf_status`` say which), fall back to the rules where
     none answers, and add the verdict and its texts."""
-    models = {n: model_io.load_with_status(spark, f"{models_dir}/{task}_{d}") for n, d in MODEL_DIRS.items()}
+    models = load_models(spark, versions.current(spark, models_dir, task)[1])
     return scoring.score_all(df, task, models, key)
 
 

@@ -544,6 +544,11 @@ SELECT task, k, verdict, {_recommend('task')} AS recommendation, headline FROM b
 # --- sources and sinks ------------------------------------------------------------
 
 _q("csv_roundtrip", "SELECT * FROM part")
+_q("csv_by_name", "SELECT * FROM part")
+_q("csv_quarantine", """
+SELECT p_partkey, p_partkey % 17 <> 0 AS fits, CASE WHEN p_partkey % 17 <> 0 THEN p_size END AS p_size,
+  sha256(CASE WHEN p_partkey % 7 = 0 THEN 'two' || chr(10) || 'lines, "' || p_name || '"' ELSE p_name END) AS name_sha256
+FROM part""")
 
 _q("processed_roundtrip", """
 SELECT p_partkey, CAST(p_size AS DOUBLE) AS p_size, p_retailprice FROM part""")
@@ -592,6 +597,18 @@ _q("batch_score", f"SELECT event_id AS k, {_BOTH}, {_FLAGS}, true AS sigmoid_ok
 _q("heart_batch_score", f"SELECT o_orderkey AS k, {_BOTH}, {_FLAGS}, true AS sigmoid_ok FROM orders")
 _q("stream_score", f"SELECT event_id AS k, {_BOTH}, {_FLAGS} FROM events")
 
+_q("stream_refresh", """
+SELECT event_id AS k, CAST(1 + event_id % 2 AS BIGINT) AS model_version, 'loaded' AS lr_status, 'absent' AS rf_status, 'models' AS source, true AS lr_answered
+FROM events""")
+
+_q("wrong_type", f"""
+WITH {F4}, {DIAB},
+src AS (SELECT * REPLACE (CASE WHEN k % 11 <> 0 THEN CAST(glucose AS DOUBLE) END AS glucose) FROM diab),
+{rule_a_sql('src')}
+SELECT k, CASE WHEN k % 11 = 0 THEN 'unknown' ELSE CAST(CAST(glucose AS INTEGER) AS VARCHAR) END AS glucose, 'failed' AS lr_status, 'failed' AS rf_status,
+  CASE WHEN rule_status = 'failed' THEN 'last_resort' ELSE 'rules' END AS source, rule_pred, round(rule_prob, 6) AS rule_prob
+FROM ra""")
+
 _q("partial_models", f"""
 WITH {F4}, {DIAB},
 src AS (SELECT * REPLACE (nullif(glucose, 100) AS glucose) FROM diab),
@@ -613,10 +630,18 @@ WITH n AS (
   SELECT 'diabetes' AS task, count(*) FILTER (WHERE {_TRAIN_K} < 80) AS n_train, count(*) FILTER (WHERE {_TRAIN_K} >= 80) AS n_test FROM events
   UNION ALL
   SELECT 'heart', count(*) FILTER (WHERE {_ORDER_K} < 80), count(*) FILTER (WHERE {_ORDER_K} >= 80) FROM orders WHERE {_KEPT})
-SELECT task, model, n_train, n_test, CAST(8 AS INTEGER) AS partitions,
+SELECT task, model, n_train, n_test, CAST(greatest(1, least(64, (n_train + 16383) // 16384), (n_train + 999999) // 1000000) AS INTEGER) AS partitions,
   true AS auc_ok, true AS binned_near, true AS accuracy_ok, true AS winner_ok
 FROM n, (VALUES ('logistic_regression'), ('random_forest')) AS m(model)""")
 
 _q("artefact_status", """
 SELECT task, artefact, present FROM (VALUES ('diabetes', 'lr', true), ('diabetes', 'rf', true),
-  ('heart', 'lr', false), ('heart', 'rf', false), ('all', 'registry', true)) AS v(task, artefact, present)""")
+  ('diabetes', 'registry', true), ('heart', 'lr', false), ('heart', 'rf', false), ('heart', 'registry', false)) AS v(task, artefact, present)""")
+
+_HEART = ["age", "gender", "diabetes", "hypertension", "obesity", "smoking", "alcohol", "physical_activity", "diet_score", "cholesterol",
+          "triglycerides", "ldl", "hdl", "systolic_bp", "diastolic_bp", "pollution", "family_history", "stress", "healthcare"]
+_q("heart_csv_roundtrip", f"""
+WITH {F4B}
+SELECT k, 'Kerala' AS state_name, {", ".join({"gender": "CASE WHEN gender = 1 THEN 'Male' ELSE 'Female' END AS gender", "cholesterol": "CASE WHEN k % 50 <> 0 THEN cholesterol END AS cholesterol"}.get(c, c) for c in _HEART)},
+  CASE WHEN k % 70 <> 0 THEN CASE WHEN 2 * age + cholesterol + 60 * hypertension + k * 7919 % 97 >= 400 THEN 1 ELSE 0 END END AS heart_attack_risk
+FROM f4b""")

@@ -5,13 +5,15 @@ logistic loss, per-node histograms for forests), so the plan here is
 about *what* is fitted and on which rows:
 
 * the split and the CV folds are key hashes (``split``);
-* the training rows are dealt by key to a fixed number of partitions, a
-  parameter kept in the registry, and sorted by key in each.  Forests seed
-  their bagging and split samples per partition, so the fitted trees do not
-  depend on the input's files, the cores or which executors survived;
+* the training rows are dealt by a hash of all their columns to buckets and
+  sorted by key in each.  The number of buckets follows from the row count
+  alone and is kept in the registry.  Forests seed their bagging and split
+  samples per partition, so the fitted trees do not depend on the input's
+  files, the cores or which executors survived, and a key that many rows
+  share does not fill one bucket;
 * feature stages (impute, encode, assemble, scale) are fitted once on the
-  training rows, and the featurised training set is persisted for the
-  many passes of tuning, then unpersisted;
+  training rows with order-independent sums, and the featurised training set
+  is persisted for the many passes of tuning, then unpersisted;
 * ``CrossValidator`` gets ``foldCol`` and ``parallelism``; the winner is
   refit on all training rows and stored together with the feature stages
   as one ``PipelineModel``.
@@ -49,13 +51,19 @@ SPLIT_FRACTION = 0.8
 SPLIT_SEED = 42
 # ---------------------------------------------------------------------------
 
-#: Partitions of the training rows.  Part of the model's definition like a
-#: seed: raise it with the data (some 100 MB of feature rows a partition).
-TRAIN_PARTITIONS = 8
+#: Buckets of the training rows: so many rows each while there are few buckets, then up to ``MOST_ROWS``.
+LEAST_ROWS, FEW_BUCKETS, MOST_ROWS = 16_384, 64, 1_000_000
+#: Grid points fitted at once (measured at 15,000 rows: README).
+PARALLELISM = 4
 
 MODEL_KEYS = {"lr": "logistic_regression", "rf": "random_forest"}
 
 
+def buckets(rows: int) -> int:
+    """Number of training buckets for a row count: part of a model's definition like a seed."""
+    return max(1, min(FEW_BUCKETS, -(-rows // LEAST_ROWS)), -(-rows // MOST_ROWS))
+
+
 def lr_estimator(label: str, features: str = "features", **params) -> LogisticRegression:
     return LogisticRegression(featuresCol=features, labelCol=label, maxIter=params.pop("maxIter", LR_MAX_ITER), **params)
 
@@ -112,12 +120,14 @@ class TaskFit:
     test: DataFrame | None = None
     train: DataFrame | None = None
     feature_names: list = field(default_factory=list)
+    n_train: int = 0
+    partitions: int = 1
 
 
 def fit_task(spark: SparkSession, df: DataFrame, key: str, label: str, task: str = "diabetes",
              features: list[str] | None = None, models=("lr", "rf"), tune_models: bool = True,
              fit_scope: str = "train", parallelism: int | None = None,
-             partitions: int = TRAIN_PARTITIONS) -> TaskFit:
+             partitions: int | None = None) -> TaskFit:
     """Split by key, fit feature stages, tune each model, assemble pipelines.
 
     ``fit_scope="all"`` fits imputation/scaling on every row (the reference's
@@ -128,7 +138,8 @@ def fit_task(spark: SparkSession, df: DataFrame, key: str, label: str, task: str
         features = schemas.DIABETES_FEATURES if task == "diabetes" else feature_plans.dynamic_features(df, label, key)
     split = with_split(df, key, SPLIT_FRACTION, SPLIT_SEED)
     train = assign_folds(split.where(F.col("split") == "train"), key, CV_FOLDS, SPLIT_SEED)
-    train = train.repartition(partitions, key).sortWithinPartitions(key)
+    n_train = train.count()
+    partitions = buckets(n_train) if partitions is None else partitions
     test = split.where(F.col("split") == "test")
     if task == "diabetes":
         stages = feature_plans.zero_impute_stages(features, [c for c in schemas.ZERO_AS_MISSING if c in features])
@@ -139,9 +150,11 @@ def fit_task(spark: SparkSession, df: DataFrame, key: str, label: str, task: str
         stages = feature_plans.null_drop_stages(features, enc)
     from pyspark.ml import Pipeline
     feat_model = Pipeline(stages=stages).fit(df if fit_scope == "all" else train)
-    data = feat_model.transform(train).select("features", F.col(label).cast("double").alias(label), "fold")
+    dealt = train.select(key, *[c for c in features if c != key], label, "fold")
+    dealt = dealt.repartition(partitions, *dealt.columns).sortWithinPartitions(*dealt.columns)
+    data = feat_model.transform(dealt).select("features", F.col(label).cast("double").alias(label), "fold")
     cores = n_cores(spark)
-    out = TaskFit(test=test, train=train, feature_names=list(features))
+    out = TaskFit(test=test, train=train, feature_names=list(features), n_train=n_train, partitions=partitions)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)  # both models pass over these rows many times
     try:
         for name in models:
@@ -149,7 +162,7 @@ def fit_task(spark: SparkSession, df: DataFrame, key: str, label: str, task: str
             t0 = time.time()
             if tune_models:
                 grid = lr_grid(est) if name == "lr" else rf_grid(est)
-                par = parallelism or max(1, min(len(grid), cores))
+                par = parallelism or max(1, min(len(grid), cores, PARALLELISM))
                 cvm = tune(est, grid, data, label, parallelism=par)
                 clf = cvm.bestModel
                 out.reports[name] = cv_report(spark, cvm, MODEL_KEYS[name], time.time() - t0)

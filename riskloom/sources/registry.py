@@ -1,7 +1,7 @@
 """Winner registry (O-42) and artefact status (O-60).
 
 The registry is a small parquet table ``(task, model, auc, path, is_best)``
-written next to the models; status is a left join of the expected
+written next to a version's models (``versions``); status is a left join of the expected
 artefacts against it.
 """
 
@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.sources import versions
+
 # The artefacts a complete training run leaves behind.
 EXPECTED_ARTEFACTS = [
     ("diabetes", "logistic_regression"), ("diabetes", "random_forest"),
@@ -47,12 +49,14 @@ def expected_frame(spark: SparkSession, expected=None) -> DataFrame:
 
 
 def artefact_status(spark: SparkSession, models_dir: str, tasks=("diabetes", "heart")) -> DataFrame:
-    """O-60 on the file system: which model folders and the registry exist
-    under ``models_dir`` (a fixed handful of paths, checked through the
-    cluster's file system from the driver; no data is read)."""
+    """O-60 on the file system: which models and registry each task's current
+    version under ``models_dir`` has (a fixed handful of paths, checked through
+    the cluster's file system from the driver; no data is read)."""
     from riskloom.plans.jobs import MODEL_DIRS
     from riskloom.sources.models import path_exists
-    rows = [(t, n, f"{models_dir}/{t}_{d}") for t in tasks for n, d in MODEL_DIRS.items()]
-    rows.append(("all", "registry", f"{models_dir}/registry"))
-    return spark.createDataFrame([(t, n, p, path_exists(spark, p)) for t, n, p in rows],
-                                 "task string, artefact string, path string, present boolean")
+    rows = []
+    for t in tasks:
+        _, folder = versions.current(spark, models_dir, t)
+        for n, d in {**MODEL_DIRS, "registry": "registry"}.items():
+            rows.append((t, n, folder and f"{folder}/{d}", bool(folder) and path_exists(spark, f"{folder}/{d}")))
+    return spark.createDataFrame(rows, "task string, artefact string, path string, present boolean")

@@ -8,7 +8,7 @@ from riskloom.functions.rules import rule_score_a
 from riskloom.operators import clean
 from riskloom.plans import jobs, training, views
 from riskloom.session import scratch_path
-from riskloom.sources import files, registry
+from riskloom.sources import files, registry, versions
 from riskloom.sources import models as model_io
 
 
@@ -41,23 +41,118 @@ def test_prepare_train_serve(spark, diabetes):
     reg = jobs.train(spark, diabetes, "diabetes", f"{out}/models", key="k").collect()
     assert sorted(r.model for r in reg) == ["logistic_regression", "random_forest"]
     assert sum(r.is_best for r in reg) == 1 and all(r.auc >= 0.85 for r in reg)
-    assert all(r.n_train + r.n_test == n and r.partitions == training.TRAIN_PARTITIONS for r in reg)
+    assert all(r.n_train + r.n_test == n and r.partitions == training.buckets(r.n_train) for r in reg)
     served = jobs.serve(spark, diabetes, "diabetes", f"{out}/models", key="k")
     assert served.count() == n and served.where("source <> 'models'").count() == 0
     status = {(r.task, r.artefact): r.present for r in registry.artefact_status(spark, f"{out}/models").collect()}
-    assert status[("diabetes", "lr")] and status[("diabetes", "rf")] and status[("all", "registry")]
-    assert not status[("heart", "lr")] and not status[("heart", "rf")]
-
-
-def _trees(fit):
-    """Structure of a forest with thresholds to nine digits (means may differ in the last bit)."""
-    import re
-    return [re.sub(r"\d+\.\d+(E-?\d+)?", lambda m: f"{float(m[0]):.9g}", t.toDebugString.split("\n", 1)[1]) for t in fit.classifiers["rf"].trees]
-
-
-def test_forest_does_not_depend_on_the_layout(spark, diabetes):
-    fits = [training.fit_task(spark, diabetes.repartition(n), "k", "outcome", models=("rf",), tune_models=False) for n in (1, 4, 8)]
-    assert _trees(fits[0]) == _trees(fits[1]) == _trees(fits[2])
+    assert status[("diabetes", "lr")] and status[("diabetes", "rf")] and status[("diabetes", "registry")]
+    assert not status[("heart", "lr")] and not status[("heart", "rf")] and not status[("heart", "registry")]
+
+
+def _numbers(fit):
+    """Every number of a fitted pipeline with a forest, as it is."""
+    imputer, _, scaler, forest = fit.models["rf"].stages
+    return imputer.getStatement(), scaler.mean.toArray().tolist(), scaler.std.toArray().tolist(), [t.toDebugString.split("\n", 1)[1] for t in forest.trees]
+
+
+@pytest.mark.parametrize("partitions", [None, 3])
+def test_forest_does_not_depend_on_the_layout(spark, diabetes, partitions):
+    """Imputer means, scaler numbers and trees are equal bit for bit."""
+    hot = diabetes.withColumn("k", F.when(F.col("k") % 3 == 0, F.lit(3)).otherwise(F.col("k")))  # one key in a third of the rows
+    for df in (diabetes, hot):
+        fits = [training.fit_task(spark, df.repartition(n), "k", "outcome", models=("rf",), tune_models=False, partitions=partitions) for n in (1, 4, 8)]
+        assert _numbers(fits[0]) == _numbers(fits[1]) == _numbers(fits[2])
+
+
+def test_buckets_grow_with_the_rows():
+    rows = [0, 1, 16_384, 16_385, 12_000_000, 64_000_001, 10**11]
+    assert [training.buckets(n) for n in rows] == [1, 1, 1, 2, 64, 65, 100_000]
+    assert all(n / training.buckets(n) <= training.MOST_ROWS for n in rows)
+
+
+def test_a_run_that_dies_leaves_the_old_version(spark, diabetes, monkeypatch):
+    models = scratch_path(spark, "test-publish")
+
+    def quick(*args, **kw):
+        return fit_task(*args, **{**kw, "models": ("lr", "rf"), "tune_models": False})
+
+    fit_task = training.fit_task
+    monkeypatch.setattr(training, "fit_task", quick)
+    monkeypatch.setattr(training, "cv_report", None)
+    report = spark.createDataFrame([("x", 0)], "model string, grid_index int")
+
+    def reported(*args, **kw):
+        fit = quick(*args, **kw)
+        fit.reports = {"lr": report, "rf": report}
+        return fit
+
+    monkeypatch.setattr(training, "fit_task", reported)
+    jobs.train(spark, diabetes, "diabetes", models, key="k")
+    number, folder = versions.current(spark, models, "diabetes")
+    before = sorted(map(tuple, jobs.serve(spark, diabetes, "diabetes", models, key="k").select("k", "lr_prob", "rf_prob").collect()))
+    save = model_io.save_model
+
+    def dies(model, path):
+        if path.endswith("model_rf"):
+            raise OSError("lost")
+        return save(model, path)
+
+    monkeypatch.setattr(model_io, "save_model", dies)
+    with pytest.raises(OSError, match="lost"):
+        jobs.train(spark, diabetes.where("k % 2 = 0"), "diabetes", models, key="k")
+    assert versions.current(spark, models, "diabetes") == (number, folder)
+    served = jobs.serve(spark, diabetes, "diabetes", models, key="k")
+    assert sorted(map(tuple, served.select("k", "lr_prob", "rf_prob").collect())) == before
+    monkeypatch.setattr(model_io, "save_model", save)
+    jobs.train(spark, diabetes.where("k % 2 = 0"), "diabetes", models, key="k")
+    assert versions.current(spark, models, "diabetes")[0] == number + 1
+    assert versions.prune(spark, models, "diabetes", keep=1) == [folder.rpartition("/")[2]]
+    assert not model_io.path_exists(spark, folder) and versions.current(spark, models, "diabetes")[0] == number + 1
+
+
+def test_versions_published_at_once(spark):
+    models = scratch_path(spark, "test-versions")
+    assert versions.current(spark, models, "t") == (0, None)
+    assert versions.publish(spark, models, "t", f"{models}/versions/t-a") == 1
+    assert versions.publish(spark, models, "t", f"{models}/versions/t-b") == 2
+    assert versions.current(spark, models, "t") == (2, f"{models}/versions/t-b") and versions.current(spark, models, "u") == (0, None)
+    with pytest.raises(ValueError, match="stays"):
+        versions.prune(spark, models, "t", keep=0)
+
+
+def test_changed_files_have_another_identity(spark):
+    path = scratch_path(spark, "test-identity")
+    spark.range(5).write.parquet(path)
+    first = files.identity(spark.read.parquet(path))
+    assert first == files.identity(spark.read.parquet(path))
+    spark.range(1).write.mode("append").parquet(path)
+    assert files.identity(spark.read.parquet(path)) != first
+
+
+def test_csv_columns_are_bound_by_name(spark):
+    path, schema = scratch_path(spark, "test-csv"), schemas.diabetes_csv_schema()
+    names = [f.name for f in schema.fields]
+    swapped = ["BloodPressure" if n == "Glucose" else "Glucose" if n == "BloodPressure" else n for n in names]
+    row = {n: i + 1 for i, n in enumerate(names)}
+    spark.createDataFrame([tuple(str(row[n]) for n in swapped)], swapped).coalesce(1).write.option("header", True).csv(path)
+    got = files.read_diabetes_csv(spark, path).first()
+    assert (got.glucose, got.blood_pressure) == (row["Glucose"], row["BloodPressure"])
+    other = scratch_path(spark, "test-csv-missing")
+    spark.createDataFrame([("1",)], ["Glucose"]).coalesce(1).write.option("header", True).csv(other)
+    with pytest.raises(ValueError, match="lacks"):
+        files.read_diabetes_csv(spark, other)
+    spark.createDataFrame([tuple(str(row[n]) for n in names)], names).coalesce(1).write.mode("append").option("header", True).csv(path)
+    with pytest.raises(Exception, match="(?i)header"):  # the second file has another order
+        files.read_diabetes_csv(spark, path).collect()
+
+
+def test_bad_rows_are_kept_apart(spark):
+    path = scratch_path(spark, "test-bad-csv")
+    spark.createDataFrame([("a,b\n1,x\nz,y\n3\n4,q,r\n,\n",)], "value string").coalesce(1).write.text(path)
+    schema = "a int, b string"
+    good, bad = files.read_checked_csv(spark, path, spark.createDataFrame([], schema).schema, scratch_path(spark, "test-bad"))
+    assert [tuple(r) for r in good.collect()] == [(1, "x"), (None, None)]
+    assert sorted(r.row for r in bad.collect()) == ["3", "4,q,r", "z,y"] and good.select("b").count() == 2
 
 
 def test_heart_training_drops_rows_with_nulls(spark, sf_small):
