@@ -10,15 +10,21 @@ words, weighted by how often they occur, sum of minima over sum of maxima.
    the document's ends.  Items are few and given; their shingles are
    broadcast if there are at most ``BROADCAST_SHINGLES`` of them and joined
    by shuffle otherwise.
-2. Windows and items get SimHash fingerprints of 256 bits: each bit is the
-   weighted majority of its shingles' hash bits, summed in packed lanes by
-   one grouped aggregate.
-3. Fingerprints are cut into 64 blocks of 4 bits.  Two that differ in at
-   most ``RADIUS`` = 63 bits agree in some block, so the join on (length,
-   block, value) finds every pair within the radius; the distance is then
-   checked in full.  (At similarity 0.8 the mean distance is 39 bits with a
-   deviation of 6, so the radius misses 2 in 100,000.)
-4. The similarity of the pairs that are left is worked out exactly.
+2. The k-th of several equal shingles is a feature of its own, so the share
+   of features in common is the weighted similarity.  Windows and items get
+   SimHash fingerprints of 512 bits over these features: each bit is the
+   majority of their hash bits, summed in packed lanes by one aggregate.
+3. Multi-index Hamming search: fingerprints are cut into 32 blocks of 16
+   bits.  Two that differ in at most ``RADIUS`` = 127 bits differ in at most
+   3 bits of some block.  Each item is entered under all 697 values within 3
+   bits of each of its blocks, so an equi-join on (length, block, value)
+   finds every pair within the radius: these are the candidates, and their
+   distance is then checked in full.  Of pairs of strangers of one length a
+   third of a row comes out of the join each, and none has passed the
+   distance (they differ in 256 bits, with a deviation of 11).  At similarity
+   0.8 the mean distance is 77 bits with a deviation of 8: six deviations
+   below the radius (``tests/llm`` measure it).
+4. The similarity of the candidates is worked out exactly.
 
 Built-in functions only.  Texts are shuffled once, to meet their windows;
 rows with a shingle that is in very many documents spread by document.
@@ -36,13 +42,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import materialize
+from riskloom.llm.common import materialize, release
 
 SHINGLE = 5
 SIMILARITY = 0.8
-WORDS, BITS = 4, 256  # a fingerprint: four longs
-BLOCKS = 64
-RADIUS = BLOCKS - 1
+WORDS, BITS = 8, 512  # a fingerprint: eight longs
+BLOCK_BITS = 16
+BLOCKS = BITS // BLOCK_BITS
+#: Bits in which a block may differ; by the pigeonhole principle this finds all pairs within the radius.
+BLOCK_RADIUS = 3
+RADIUS = BLOCKS * (BLOCK_RADIUS + 1) - 1
 #: Item shingles that may be broadcast (24 bytes each).
 BROADCAST_SHINGLES = 1_000_000
 
@@ -58,12 +67,19 @@ def _shingles(words: str, k: int) -> Column:
     return F.expr(f"case when size({words}) >= {k} then transform(sequence(0, size({words}) - {k}), i -> xxhash64({at})) else cast(array() as array<bigint>) end")
 
 
-def fingerprints(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """SimHash of the shingles ``s`` of each key: columns f0..f3 and the number of shingles ``n``.
+def counted(rows: DataFrame, key: str) -> DataFrame:
+    """(key, length, s, c): how often each shingle of ``shingles`` occurs."""
+    return rows.select(key, "length", F.explode("shingles").alias("s")).groupBy(key, "length", "s").agg(F.count("*").alias("c"))
+
+
+def fingerprints(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """SimHash of the numbered shingles of each key: columns f0..f7 and their number ``n``.
 
     Two bits are counted in the halves of one long.
     """
-    sums = [F.sum(F.expr(f"shiftright(xxhash64(s, {j}), {b}) & 4294967297L")).alias(f"c{j}_{b}") for j in range(WORDS) for b in range(32)]
+    rows = counts.select(*keys, F.explode(F.expr("transform(sequence(1, cast(c as int)), j -> xxhash64(s, j))")).alias("x"))
+    rows = rows.select(*keys, *[F.expr(f"xxhash64(x, {j})").alias(f"x{j}") for j in range(WORDS)])
+    sums = [F.sum(F.expr(f"shiftright(x{j}, {b}) & 4294967297L")).alias(f"c{j}_{b}") for j in range(WORDS) for b in range(32)]
     df = rows.groupBy(*keys).agg(F.count("*").alias("n"), *sums)
 
     def word(j: int) -> Column:
@@ -77,10 +93,26 @@ def fingerprints(rows: DataFrame, keys: list[str]) -> DataFrame:
 def _blocks(df: DataFrame, keep: list[str]) -> DataFrame:
     """A row for each block of a fingerprint: (block, value)."""
     per = BLOCKS // WORDS
-    values = ", ".join(f"struct({j * per + b} as block, cast(shiftrightunsigned(f{j}, {b * (64 // per)}) & {(1 << 64 // per) - 1} as int) as value)" for j in range(WORDS) for b in range(per))
+    values = ", ".join(f"struct({j * per + b} as block, cast(shiftrightunsigned(f{j}, {b * BLOCK_BITS}) & {(1 << BLOCK_BITS) - 1} as int) as value)" for j in range(WORDS) for b in range(per))
     return df.select(*keep, F.inline(F.expr(f"array({values})")))
 
 
+def _neighbours(blocks: DataFrame) -> DataFrame:
+    """A row for each value within ``BLOCK_RADIUS`` bits of a block's."""
+    masks = [m for m in range(1 << BLOCK_BITS) if m.bit_count() <= BLOCK_RADIUS]
+    return blocks.withColumn("mask", F.explode(F.lit(masks))).withColumn("value", F.col("value").bitwiseXOR(F.col("mask"))).drop("mask")
+
+
+def near(windows: DataFrame, items: DataFrame) -> DataFrame:
+    """(window, item) whose fingerprints lie within ``RADIUS``: found by their blocks, held against the full distance."""
+    left, right = _blocks(windows, ["window", "length"]), _neighbours(_blocks(items, ["item", "length"]))
+    pairs = left.join(right, ["value", "block", "length"]).select("window", "item").distinct()
+    pairs = pairs.join(windows.select("window", *(f"f{j}" for j in range(WORDS))), "window")
+    pairs = pairs.join(items.select("item", *(F.col(f"f{j}").alias(f"g{j}") for j in range(WORDS))), "item")
+    apart = sum((F.bit_count(F.col(f"f{j}").bitwiseXOR(F.col(f"g{j}"))) for j in range(WORDS)), F.lit(0))
+    return pairs.where(apart <= RADIUS).select("window", "item")
+
+
 def prepared_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """(item, item_id, length, k, shingles) of every item with words."""
     df = items.select(F.col(id_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text"))
@@ -126,22 +158,22 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         by_k = by_k.when(F.col("k") == k, _shingles("w", k))
     win = materialize(win.select(F.monotonically_increasing_id().alias("window"), "doc_id", "text_key", "start", "length", by_k.alias("shingles")), "window-shingles")
 
-    wf = materialize(fingerprints(win.select("window", "length", F.explode("shingles").alias("s")), ["window", "length"]), "window-prints")
-    fi = materialize(fingerprints(it.select("item", "length", F.explode("shingles").alias("s")), ["item", "length"]), "item-prints")
-    g = [F.col(f"f{j}").alias(f"g{j}") for j in range(WORDS)]
-    near = _blocks(wf, ["window", "length", "f0", "f1", "f2", "f3"]).join(_blocks(fi.select("item", "length", *(f"f{j}" for j in range(WORDS)), *g), ["item", "length", "g0", "g1", "g2", "g3"]), ["length", "block", "value"])
-    apart = sum((F.bit_count(F.col(f"f{j}").bitwiseXOR(F.col(f"g{j}"))) for j in range(WORDS)), F.lit(0))
-    near = near.where(apart <= RADIUS).select("window", "item").distinct()
-
-    wc = win.select("window", F.explode("shingles").alias("s")).groupBy("window", "s").agg(F.count("*").alias("cw"))
-    ic = it.select("item", F.explode("shingles").alias("s")).groupBy("item", "s").agg(F.count("*").alias("ci"))
-    common = near.join(wc, "window").join(ic, ["item", "s"]).groupBy("window", "item").agg(F.sum(F.least("cw", "ci")).alias("both"))
+    wc = materialize(counted(win, "window"), "window-counts")
+    ic = materialize(counted(it, "item"), "item-counts")
+    wf = materialize(fingerprints(wc, ["window", "length"]), "window-prints")
+    fi = materialize(fingerprints(ic, ["item", "length"]), "item-prints")
+    pairs = materialize(near(wf, fi), "near-pairs")
+    ours = pairs.join(wc.select("window", "s", F.col("c").alias("cw")), "window")
+    common = ours.join(ic.select("item", "s", F.col("c").alias("ci")), ["item", "s"]).groupBy("window", "item").agg(F.sum(F.least("cw", "ci")).alias("both"))
     sized = common.join(wf.select("window", F.col("n").alias("nw")), "window").join(fi.select("item", F.col("n").alias("ni")), "item")
     good = sized.withColumn("similarity", F.col("both") / (F.col("nw") + F.col("ni") - F.col("both"))).where(F.col("similarity") >= similarity)
     named = good.join(win.select("window", "doc_id", "text_key", "start", "length"), "window").join(it.select("item", "item_id"), "item")
     best = F.max_by(F.struct("start", "length", "similarity"), F.struct("similarity", -F.col("start"))).alias("best")
     out = named.groupBy("doc_id", "text_key", "item", "item_id").agg(best)
-    return materialize(out.select("doc_id", "text_key", "item_id", "best.start", "best.length", "best.similarity"), "leaks")
+    out = materialize(out.select("doc_id", "text_key", "item_id", "best.start", "best.length", "best.similarity"), "leaks")
+    for written in (it, places, found, per_doc, win, wc, ic, wf, fi, pairs):
+        release(written)
+    return out
 
 
 def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
