@@ -22,7 +22,8 @@ Defined results: a null or empty text has no words and no lines, fails
 the word minimum and is not kept; null hosts form one host; repeated rows
 are separate rows of one document text (counted once per line); an empty
 table gives an empty table; other columns are ignored, whatever their
-names.  A very long text is one row of a task and never shuffled.
+names.  A very long text is one row of a task; ``judge`` never shuffles
+texts, ``clean`` does so once, to meet their verdicts.
 """
 
 from __future__ import annotations
@@ -208,11 +209,14 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
         F.col("doc_id").alias("v_id"), F.col("text_key").alias("v_key"), F.col("host").alias("v_host"), F.col("lines").alias("v_lines")
     ).dropDuplicates(["v_id", "v_key", "v_host"])
     v = materialize(v, "quality-kept")
-    text = docs[f"`{text_col}`"].cast("string")
-    same = docs[f"`{id_col}`"].cast("long").eqNullSafe(v["v_id"]) & (F.xxhash64(text) == v["v_key"]) & docs[f"`{host_col}`"].cast("string").eqNullSafe(v["v_host"])
-    found = docs.join(v.hint("shuffle_hash"), same)
+    # The row goes along as one column, so its names cannot meet ours.
+    rows = docs.select(F.struct("*").alias("row"))
+    part = lambda c: F.col("row").getField(c)
+    text = part(text_col).cast("string")
+    rows = rows.select("row", part(id_col).cast("long").alias("r_id"), F.xxhash64(text).alias("r_key"), part(host_col).cast("string").alias("r_host"), text.alias("r_text"))
+    found = rows.join(v.hint("shuffle_hash"), F.col("r_id").eqNullSafe(F.col("v_id")) & (F.col("r_key") == F.col("v_key")) & F.col("r_host").eqNullSafe(F.col("v_host")))
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     norm = f"trim(regexp_replace(translate(x, '{upper}', '{lower}'), r'[\\x20\\t\\x0B\\f\\r]+', ' '))"
-    left = F.expr(f"array_join(filter(split(`{text_col}`, '\\n', -1), x -> not array_contains(v_lines, xxhash64({norm}))), '\\n')")
-    new = F.when(F.col("v_lines").isNull(), F.col(f"`{text_col}`")).otherwise(left)
-    return found.withColumn(text_col, new).select(*(F.col(f"`{c}`") for c in docs.columns))
+    left = F.expr(f"array_join(filter(split(r_text, '\\n', -1), x -> not array_contains(v_lines, xxhash64({norm}))), '\\n')")
+    new = F.when(F.col("v_lines").isNull(), F.col("r_text")).otherwise(left)
+    return found.select(*(new.alias(c) if c == text_col else part(c).alias(c) for c in docs.columns))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from riskloom.llm import catalog, decontaminate, minhash, packing, sharding, suffix, warc
+from riskloom.llm import catalog, decontaminate, minhash, packing, pii, quality, secrets, sharding, suffix, tokens, warc
 from riskloom.session import scratch_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -303,6 +303,73 @@ def test_leaks(spark, documents, odd, empty):
     assert not any(r.leaked for r in decontaminate.report(documents, items.limit(0)).collect())
 
 
+def test_leaks_of_items_with_repeated_shingles(spark):
+    """Against every window: repeated shingles in items, some of them missing or moved in the documents."""
+    rnd = random.Random(12)
+    word = lambda n: [f"t{rnd.randrange(10**6)}" for _ in range(n)]
+    items, docs = [], []
+    for i in range(12):
+        refrain = word(5 + i % 4)
+        body = [*refrain, *word(30), *refrain * (i % 5), *word(20), *refrain * 2]
+        items.append((i, " ".join(body)))
+        for j in range(12):
+            copy = list(body)
+            for _ in range(rnd.randrange(5)):
+                at = rnd.randrange(len(copy))
+                copy[at : at + rnd.randrange(3)] = word(rnd.randrange(3))
+            if j % 3 == 0 and i % 5:  # a refrain less
+                copy = copy[: 5 + i % 4 + 30] + copy[2 * (5 + i % 4) + 30 :]
+            docs.append((1000 * i + j, " ".join([*word(rnd.randrange(30)), *copy, *word(rnd.randrange(30))])))
+    held = {}
+    for i, t in items:
+        w = t.split()
+        held[i] = (len(w), Counter(tuple(w[q : q + 5]) for q in range(len(w) - 4)))
+    want = set()
+    for d, t in docs:
+        w = t.split()
+        for i, (n, c) in held.items():
+            for s in range(max(1, len(w) - n + 1)):
+                x = w[s : s + n]
+                k = Counter(tuple(x[q : q + 5]) for q in range(len(x) - 4))
+                both = sum((k & c).values())
+                if both >= 0.8 * (sum(k.values()) + sum(c.values()) - both):
+                    want.add((d, i))
+                    break
+    assert 30 < len(want) < 140
+    got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in got.collect()} == want
+
+
+def test_an_item_with_ten_equal_shingles_is_found(spark):
+    """Similarity 0.8 and more where only repetitions differ: 40 documents, none is missed."""
+    rnd = random.Random(5)
+    item = ["la"] * 14 + [f"u{i}" for i in range(80)]  # one shingle ten times
+    docs = [(d, " ".join([*(f"v{rnd.randrange(10**6)}" for _ in range(30)), *["la"] * 4, *item[14:], *(f"v{rnd.randrange(10**6)}" for _ in range(20))])) for d in range(40)]
+    items = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    got = decontaminate.report(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert all(r.leaked for r in got) and len({r.similarity for r in got}) == 1 and 0.8 <= got[0].similarity < 0.9
+
+
+def test_hamming_blocks(spark):
+    """Pairs within the radius, and the distances at similarity 0.8."""
+    rnd = random.Random(3)
+    rows, items = [], []
+    for i, n in enumerate([9, 18, 27, 45, 90, 180, 360] * 40):  # so many features, a ninth of them others: similarity 0.8
+        x = [rnd.getrandbits(62) for _ in range(n)]
+        items.append((i, n, x))
+        rows.append((i, n, [*x[: n - n // 9], *(rnd.getrandbits(62) for _ in range(n // 9))]))
+    prints = lambda r, key: decontaminate.fingerprints(decontaminate.counted(spark.createDataFrame(r, f"{key} long, length long, shingles array<long>"), key), [key, "length"])
+    windows, targets = prints(rows, "window").cache(), prints(items, "item").cache()
+    got = {tuple(r) for r in decontaminate.near(windows, targets).collect()}
+    bits = lambda df, key: {r[key]: (r.length, [r[f"f{j}"] & (1 << 64) - 1 for j in range(decontaminate.WORDS)]) for r in df.collect()}
+    w, t = bits(windows, "window"), bits(targets, "item")
+    apart = {(a, b): sum((x ^ y).bit_count() for x, y in zip(w[a][1], t[b][1], strict=True)) for a in w for b in t if w[a][0] == t[b][0]}
+    assert got == {p for p, d in apart.items() if d <= decontaminate.RADIUS} == {(i, i) for i in w}
+    same = np.array([apart[i, i] for i in w])
+    assert same.mean() + 5 * same.std() < decontaminate.RADIUS and same.max() < decontaminate.RADIUS - 10
+    windows.unpersist(), targets.unpersist()
+
+
 # --- shards --------------------------------------------------------------------------
 
 
@@ -397,6 +464,49 @@ def test_pipeline_stages(spark, sf_small):
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == want - leaked
 
 
+INSIDE = (
+    "row", "node", "class", "context", "v_id", "v_host", "v_lines", "v_key", "r_id", "r_text", "host", "lines", "kept", "l_id", "l_key", "window", "item", "s", "z", "w", "a", "b", "m", "n", "h",
+    "bytes", "shard", "chunk", "local", "size", "token", "length", "start", "spans", "first", "last", "own", "text_key", "text_id", "sha", "words", "root", "star", "band", "c", "x",
+)
+
+
+@pytest.fixture(scope="module")
+def clashing(documents, odd):
+    """A table with columns named as the operators name their own, and a very long text."""
+    rnd = random.Random(9)
+    words = [f"q{rnd.randrange(5000)}" for _ in range(60_000)]
+    plain = odd(documents.limit(40), [(-1, ""), (-2, None), (-3, " ".join(words)), (-4, " ".join(words[:300])), (-4, " ".join(words[:300]))])
+    wide = plain
+    for c in INSIDE:
+        wide = wide.withColumn(c, F.col("doc_id"))
+    return plain.cache(), wide.cache()
+
+
+OPERATORS = {
+    "tokens": lambda d, items: tokens.count_tokens(d), "minhash": lambda d, items: minhash.report(d), "pii": lambda d, items: pii.report(d), "packing": lambda d, items: packing.pack(d).groupBy("doc_id").agg(F.sum("length").alias("length")),
+    "quality": lambda d, items: quality.judge(d).drop("lines"), "suffix": lambda d, items: suffix.remove_repeats(d), "secrets": lambda d, items: secrets.report(d),
+    "decontaminate": decontaminate.report, "sharding": lambda d, items: sharding.assign(d).drop("slot"),
+}
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_columns_with_names_used_inside(spark, clashing, sf_small, name):
+    items = spark.read.parquet(f"{sf_small}/benchmark.parquet")
+    made = [sorted(map(repr, map(tuple, OPERATORS[name](d, items).collect()))) for d in clashing]
+    assert made[0] == made[1] and made[0]
+
+
+@pytest.mark.parametrize("name", [k for k, _ in corpus_pipeline.STAGES])
+def test_stages_with_names_used_inside(spark, clashing, sf_small, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    plain, wide = (stage(spark, d, sf_small) for d in clashing)
+    if name == "packing":
+        return
+    assert wide.columns == [*plain.columns, *INSIDE]
+    assert sorted(map(repr, map(tuple, wide.select(*plain.columns).collect()))) == sorted(map(repr, map(tuple, plain.collect())))
+    assert wide.where("not (v_id <=> doc_id)").count() == 0
+
+
 def test_catalog_names():
     numbers = sorted(int(k[2:].split("_")[0]) for k in catalog.QUERIES)
     assert numbers == list(range(1, 14))
