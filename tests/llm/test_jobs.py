@@ -195,12 +195,22 @@ def test_archive_round_trip(spark, sf_small):
 
 
 def test_archives_do_not_depend_on_the_layout(spark, sf_small):
-    pages, made = spark.read.parquet(f"{sf_small}/pages.parquet"), []
-    for parts in (1, 7):
-        root = scratch_path(spark, "test-warc")
-        names = sorted(r.file for r in warc.write(pages.repartition(parts), root).collect())
-        made.append(b"".join(gzip.open(f"{root}/{n}").read() for n in names))
-    assert made[0] == made[1]
+    """Equal names and bytes from any partitions, with and without adaptive plans; nothing temporary is left."""
+    pages, made, before = spark.read.parquet(f"{sf_small}/pages.parquet"), [], {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    try:
+        for parts, adaptive in ((2, "true"), (8, "false"), (211, "true")):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+            root = scratch_path(spark, "test-warc")
+            os.makedirs(root)
+            open(f"{root}/_temporary-00000000-77", "w").close()  # of a failed attempt
+            names = sorted(r.file for r in warc.write(pages.repartition(parts % 5 + 1), root, roll_bytes=8_000).collect())
+            made.append({n: open(f"{root}/{n}", "rb").read() for n in names})
+            assert sorted(n for n in os.listdir(root) if not n.startswith((".", "_manifest"))) == names
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert made[0] == made[1] == made[2] and len(made[0]) > 5
 
 
 def test_archive_of_nothing(spark):
