@@ -106,7 +106,8 @@ def _neighbours(blocks: DataFrame) -> DataFrame:
 def near(windows: DataFrame, items: DataFrame) -> DataFrame:
     """(window, item) whose fingerprints lie within ``RADIUS``: found by their blocks, held against the full distance."""
     left, right = _blocks(windows, ["window", "length"]), _neighbours(_blocks(items, ["item", "length"]))
-    pairs = left.join(right, ["value", "block", "length"]).select("window", "item").distinct()
+    # Hinted: Spark takes the values for as few as the blocks they come from, and would broadcast them.
+    pairs = left.join(right.hint("merge"), ["value", "block", "length"]).select("window", "item").distinct()
     pairs = pairs.join(windows.select("window", *(f"f{j}" for j in range(WORDS))), "window")
     pairs = pairs.join(items.select("item", *(F.col(f"f{j}").alias(f"g{j}") for j in range(WORDS))), "item")
     apart = sum((F.bit_count(F.col(f"f{j}").bitwiseXOR(F.col(f"g{j}"))) for j in range(WORDS)), F.lit(0))
