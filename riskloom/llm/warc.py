@@ -142,15 +142,15 @@ def _order(url: str | None, page_id: int | None, hex_: str) -> tuple:
     return (url is not None, (url or "").encode(), page_id is not None, page_id or 0, hex_)
 
 
-def _dealt(starts: list[tuple]):
-    """Rows with their range: the last whose first record does not stand after them."""
+def _dealt(starts: list[tuple], numbers: list[int]):
+    """Rows with the number of their range: the last whose first record does not stand after them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1)
         for b in batches:
             page, url, hex_, first = (b.column(i).to_pylist() for i in range(4))
             html = b.column(4).cast(pa.binary()).to_pylist()
-            at = [max(0, bisect_right(starts, _order(u, i, h)) - 1) for i, u, h in zip(page, url, hex_, strict=True)]
+            at = [numbers[max(0, bisect_right(starts, _order(u, i, h)) - 1)] for i, u, h in zip(page, url, hex_, strict=True)]
             yield _batch([at, page, url, hex_, first, [None if h is None else pack.compress(h) for h in html]], _DEALT)
 
     return run
@@ -160,8 +160,8 @@ def _filesystem(root: str):
     return pafs.FileSystem.from_uri("s3://" + root[6:] if root.startswith("s3a://") else root)
 
 
-def _writer(root: str, roll_bytes: int, starts: list[int]):
-    """``starts``: byte number of each range's first record."""
+def _writer(root: str, roll_bytes: int, starts: dict[int, int]):
+    """``starts``: byte number of each range's first record, by the range's number."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, top = _filesystem(root)
@@ -224,13 +224,17 @@ def write(pages: DataFrame, root: str, roll_bytes: int = ROLL_BYTES, id_col: str
     files = at.withColumn("file", F.call_function("div", F.col("at"), F.lit(roll_bytes))).withColumn("last", F.call_function("div", F.col("all"), F.lit(roll_bytes)))
     dealt = files.groupBy(F.call_function("div", F.col("file") * ranges, F.col("last") + 1).alias("range"))
     starts = dealt.agg(F.min(F.struct("at", *key)).alias("s")).select("s.*").orderBy("at").collect()  # MOST_RANGES rows at most
-    deal = _dealt([_order(r.url, r.page_id, r.hex) for r in starts])
+    # One number for each range that Spark's hash puts into a partition of its own.
+    n = len(starts) or 1
+    numbers = spark.range(40 * n).select(F.col("id").cast("int").alias("id")).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("part")).agg(F.min("id").alias("id")).collect()
+    numbers = sorted(r.id for r in numbers) + [40 * n + k for k in range(n - len(numbers))]
+    deal = _dealt([_order(r.url, r.page_id, r.hex) for r in starts], numbers)
     null = F.lit(None)
     rows = p.select("page_id", "url", "hex", null.cast("long").alias("first"), "html").mapInArrow(deal, _DEALT)
     rows = rows.unionByName(plan.select("page_id", "url", "hex", "first", null.cast("string").alias("html")).mapInArrow(deal, _DEALT))
     # The plan's row of a record stands before its payloads.
-    rows = rows.repartition(len(starts) or 1, "range").sortWithinPartitions("range", *key, F.col("z").isNotNull())
-    manifest = rows.mapInArrow(_writer(root, roll_bytes, [r["at"] for r in starts]), _MANIFEST)
+    rows = rows.repartition(n, "range").sortWithinPartitions("range", *key, F.col("z").isNotNull())
+    manifest = rows.mapInArrow(_writer(root, roll_bytes, dict(zip(numbers, (r["at"] for r in starts), strict=False))), _MANIFEST)
     path = f"{root}/_manifest"
     manifest.write.parquet(path)
     release(plan)
