@@ -391,7 +391,7 @@ def _finisher(length: int):
 def remove_repeats(
     docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, class_contexts: int = CLASS_CONTEXTS
 ) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every document."""
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, has_repeats) of every document."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     t = materialize(texts.mapInArrow(_scanner(length, gram), _SCANNED).withColumn("row", F.monotonically_increasing_id()), "suffix-rows")
     same = materialize(t.groupBy("text_id").agg(F.min("row").alias("node"), F.count("*").alias("rows")), "suffix-texts")
@@ -438,4 +438,5 @@ def remove_repeats(
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(whole, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(whole, F.lit(hashlib.sha256().hexdigest())).otherwise(F.coalesce("kept_sha", "sha")).alias("kept_sha256"),
+        (whole | F.col("n_removed").isNotNull()).alias("has_repeats"),
     )
