@@ -213,10 +213,10 @@ def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_
     rows = docs.select(F.struct("*").alias("row"))
     part = lambda c: F.col("row").getField(c)
     text = part(text_col).cast("string")
-    rows = rows.select("row", part(id_col).cast("long").alias("r_id"), F.xxhash64(text).alias("r_key"), part(host_col).cast("string").alias("r_host"), text.alias("r_text"))
+    rows = rows.select("row", part(id_col).cast("long").alias("r_id"), F.xxhash64(text).alias("r_key"), part(host_col).cast("string").alias("r_host"))
     found = rows.join(v.hint("shuffle_hash"), F.col("r_id").eqNullSafe(F.col("v_id")) & (F.col("r_key") == F.col("v_key")) & F.col("r_host").eqNullSafe(F.col("v_host")))
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     norm = f"trim(regexp_replace(translate(x, '{upper}', '{lower}'), r'[\\x20\\t\\x0B\\f\\r]+', ' '))"
-    left = F.expr(f"array_join(filter(split(r_text, '\\n', -1), x -> not array_contains(v_lines, xxhash64({norm}))), '\\n')")
-    new = F.when(F.col("v_lines").isNull(), F.col("r_text")).otherwise(left)
+    left = F.expr(f"array_join(filter(split(cast(row.`{text_col}` as string), '\\n', -1), x -> not array_contains(v_lines, xxhash64({norm}))), '\\n')")
+    new = F.when(F.col("v_lines").isNull(), text).otherwise(left)
     return found.select(*(new.alias(c) if c == text_col else part(c).alias(c) for c in docs.columns))
