@@ -147,7 +147,7 @@ def kept_terms(counts: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame,
     between = bounds.where(F.col("least") < min_docs).select("lang", "term")
     # Keys begin with the chunk or term: rows are sorted by what tells them apart.
     open_ = back.join(between, ["term", "lang"], "left_semi").select("lang", "chunk", "term")
-    exact = counts.where("size(ids) > 0").select("lang", "chunk", "ids").join(open_, ["chunk", "lang"])
+    exact = counts.where("size(ids) > 0").select("lang", "chunk", "ids").join(open_.hint("shuffle_hash"), ["chunk", "lang"])
     exact = exact.select("lang", "term", F.explode("ids").alias("row")).distinct().groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
     kept = bounds.where(F.col("least") >= min_docs).select("lang", "term").unionByName(exact.select("lang", "term"))
     kept = materialize(kept, "divergence-kept")
@@ -177,7 +177,7 @@ def audit(
     """(lang, source, part, item, value, rank): other sources by divergence (``pair``), and the terms that stand out (``term``)."""
     counts = materialize(chunk_counts(docs, text_col, lang_col, source_col, min_docs, task_chunks), "divergence-counts")
     kept, chunks = kept_terms(counts, min_docs)
-    found = counts.select("lang", "chunk", "sources", F.col("times").alias("ns")).join(chunks, ["chunk", "lang"])
+    found = counts.select("lang", "chunk", "sources", F.col("times").alias("ns")).join(chunks.hint("shuffle_hash"), ["chunk", "lang"])
     found = found.select("lang", "term", "times", F.explode(F.arrays_zip("sources", "ns")).alias("x"))
     found = found.groupBy("lang", F.col("x.sources").alias("source"), "term").agg(F.sum(F.col("x.ns") * F.col("times")).alias("count"))
     found = materialize(found, "divergence-found")
