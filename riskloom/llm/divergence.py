@@ -37,6 +37,7 @@ import re
 from array import array
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -62,55 +63,57 @@ def _chunks(text: bytes):
 
 
 class _Task:
-    """Chunk counts of some documents of a task."""
+    """Chunk counts of some documents of a task: numbered chunks, and (chunk, times) of each document by language."""
 
     def __init__(self, min_docs: int):
         self.min_docs = min_docs
-        self.occurrences: dict[str, dict[str, Counter]] = defaultdict(lambda: defaultdict(Counter))
-        self.documents: dict[str, Counter] = defaultdict(Counter)
-        self.texts: dict[str, list[tuple[int, bytes]]] = defaultdict(list)
+        self.place: dict[str, dict[bytes, int]] = defaultdict(lambda: defaultdict(count().__next__))
+        self.chunks: dict[str, array] = defaultdict(lambda: array("q"))
+        self.times: dict[str, array] = defaultdict(lambda: array("q"))
+        self.documents: dict[str, list[tuple[int, int, int]]] = defaultdict(list)  # row, source, distinct chunks
+        self.sources: dict[str, int] = defaultdict(count().__next__)
         self.held = 0
 
     def add(self, row: int, text: bytes, lang: str, source: str) -> None:
-        text = text.lower()  # bytes: A-Z only
-        chunks = _chunks(text)
-        if isinstance(chunks, list):
-            distinct = set(chunks)
-        else:
-            distinct, chunks = set(chunks), _chunks(text)
-        self.occurrences[lang][source].update(chunks)
-        self.documents[lang].update(distinct)
-        self.texts[lang].append((row, text))
-        self.held += len(distinct) + len(text) // 64 + 1  # the text is held too
+        found = Counter(_chunks(text.lower()))  # bytes: A-Z only
+        self.chunks[lang].extend(map(self.place[lang].__getitem__, found))
+        self.times[lang].extend(found.values())
+        self.documents[lang].append((row, self.sources[source], len(found)))
+        self.held += len(found) + 1
 
     def rows(self) -> Iterator[pa.RecordBatch]:
         """A row for each (lang, chunk): documents, their row numbers where they are few, and occurrences by source."""
-        for lang, documents in self.documents.items():
-            place = {k: i for i, k in enumerate(documents)}
-            rare, held, sizes = {k for k, n in documents.items() if n < self.min_docs}, array("q"), []
-            for _, text in self.texts[lang]:
-                few = rare.intersection(_chunks(text))
-                held.extend(map(place.__getitem__, few))
-                sizes.append(len(few))
-            ids, id_ends = _listed(np.frombuffer(held, np.int64), np.repeat(np.array([row for row, _ in self.texts[lang]], np.int64), sizes), len(place))
-            sources = list(self.occurrences[lang])
-            found = [np.fromiter(map(place.__getitem__, c), np.int64, len(c)) for c in self.occurrences[lang].values()]
-            times = [np.fromiter(c.values(), np.int64, len(c)) for c in self.occurrences[lang].values()]
-            at = np.concatenate(found)
-            of, ends = _listed(at, np.repeat(np.arange(len(sources)), [len(f) for f in found]), len(place))
-            n, _ = _listed(at, np.concatenate(times), len(place))
+        names = pa.array(self.sources.keys(), pa.string())
+        for lang, place in self.place.items():
+            row, source, size = np.array(self.documents[lang], np.int64).T
+            at, times = np.frombuffer(self.chunks[lang], np.int64), np.frombuffer(self.times[lang], np.int64)
+            if not len(at):
+                continue
+            documents = np.bincount(at)
+            few = documents[at] < self.min_docs
+            ids, id_ends = _listed(at[few], np.repeat(row, size)[few], len(place))
+            key = at * len(names) + np.repeat(source, size)
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            n, key = np.add.reduceat(times[order], head), key[head]
+            ends = pa.array(_ends(key // len(names), len(place)))
             cols = [
-                pa.array([lang], pa.string()).take(pa.array(np.zeros(len(place), np.int32))), pa.array(documents.keys(), pa.binary()).cast(pa.string()),
-                pa.array(documents.values(), pa.int64()), pa.ListArray.from_arrays(id_ends, pa.array(ids)),
-                pa.ListArray.from_arrays(ends, pa.array(sources, pa.string()).take(pa.array(of))), pa.ListArray.from_arrays(ends, pa.array(n)),
+                pa.array([lang], pa.string()).take(pa.array(np.zeros(len(place), np.int32))), pa.array(place.keys(), pa.binary()).cast(pa.string()),
+                pa.array(documents), pa.ListArray.from_arrays(id_ends, pa.array(ids)),
+                pa.ListArray.from_arrays(ends, names.take(pa.array(key % len(names)))), pa.ListArray.from_arrays(ends, pa.array(n)),
             ]
             yield from pa.Table.from_arrays(cols, names=[x.split()[0] for x in _COUNTS.split(", ")]).to_batches(max_chunksize=100_000)
 
 
+def _ends(at: np.ndarray, n: int) -> np.ndarray:
+    """Offsets of the lists of ``n`` places that hold so many values."""
+    return np.concatenate([[0], np.cumsum(np.bincount(at, minlength=n))]).astype(np.int32)
+
+
 def _listed(at: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray, pa.Array]:
     """``values`` in the order of their place, and the offsets of the ``n`` places' lists."""
-    ends = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=n))]).astype(np.int32)
-    return values[np.argsort(at, kind="stable")], pa.array(ends)
+    return values[np.argsort(at, kind="stable")], pa.array(_ends(at, n))
 
 
 def _counter(min_docs: int, task_chunks: int):
