@@ -5,9 +5,12 @@ hash among the 64-byte grams inside the string.  Equal strings have equal
 classes, whatever stands around them, so all copies of a string meet in
 one class and no shard must look into all others.  Neighbouring starts
 with one class form a range of about 170 starts, whose context is the
-bytes from its first start to the end of its last string.  Only classes
-with two ranges (or a range with two places of its smallest gram) go on.
-Equal contexts of a class are one, with a count.
+bytes from its first start to the end of its last string.  A range has at
+most ``RANGE_STARTS`` starts: where a text repeats itself (one byte, a short
+period) its smallest gram comes again and again, and the range is cut into
+pieces of one class, most of them with equal contexts.  Only classes with
+two ranges (or a range with two places of its smallest gram) go on.  Equal
+contexts of a class are one, with a count.
 
 *Shards.*  Distinct contexts are gathered class by class into shards of
 about ``SHARD_BYTES``.  Each shard's suffix array is made by Larsson and
@@ -17,8 +20,8 @@ string length), common prefixes by Kasai's pass, run in step over all
 contexts, eight bytes at a time.  A start whose neighbour shares 400 bytes
 is a copy.
 
-*Merging.*  A class with more than ``CLASS_CONTEXTS`` distinct contexts is
-spread over several shards.  Those shards also give a 128-bit digest of
+*Merging.*  A class with more than ``CLASS_CONTEXTS`` distinct contexts, of
+at most ``RANGE_STARTS`` + 399 bytes each, is spread over several shards.  Those shards also give a 128-bit digest of
 each distinct string; the digests are shuffled, and
 binary search in each sorted run finds those that occur in another shard.
 
@@ -26,8 +29,8 @@ Texts equal to another one's as a whole, of 400 bytes or more, are removed
 whole; one of them takes part for all.
 
 Defined results: null text counts as empty; texts shorter than 400 bytes
-hold no such string and lose nothing; repeated rows are copies of one another; very long texts are cut into ranges like
-all others; an empty table gives an empty table; only the named columns
+hold no such string and lose nothing; repeated rows are copies of one another; very long texts are hashed in
+stretches of ``STRETCH`` starts, whose strings overlap; an empty table gives an empty table; only the named columns
 are read.
 """
 
@@ -50,7 +53,12 @@ LENGTH = 400
 GRAM = 64
 SHARD_BYTES = 3 << 19
 CLASS_CONTEXTS = 4096
+#: Most starts of a range; only a range whose smallest gram comes again has more than LENGTH - GRAM + 1.
+RANGE_STARTS = 4096
+#: Starts of a long text that are hashed at once.
+STRETCH = 1 << 20
 _GROUP_BYTES = 1 << 20
+_BODIES = 4096
 _MERGE_ROWS = 200_000
 _SCANNED = "doc_id long, n_bytes long, text_id binary, sha string, z binary, hash array<long>, first array<long>, last array<long>, own array<boolean>"
 _RANGE = "class long, context binary, node long, first long, last long, own boolean"
@@ -95,7 +103,24 @@ def sliding_min(a: np.ndarray, window: int) -> np.ndarray:
     return a if size == window else np.minimum(a[: len(a) - (window - size)], a[window - size :])
 
 
-def ranges(texts: list[bytes], length: int, gram: int) -> list[tuple[list[int], list[int], list[int], list[bool]]]:
+def _pieces(first: np.ndarray, last: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ranges cut into pieces of at most ``most`` starts: the range of each piece, its first and last start."""
+    n = (last - first) // most + 1
+    of = np.repeat(np.arange(len(first)), n)
+    begin = first[of] + (np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)) * most
+    return of, begin, np.minimum(last[of], begin + most - 1)
+
+
+def long_ranges(text: bytes, length: int, gram: int, most: int, stretch: int) -> tuple[np.ndarray, ...]:
+    """``ranges`` of one text, ``stretch`` starts at a time."""
+    out = []
+    for at in range(0, max(1, len(text) - length + 1), stretch):
+        value, first, last, own = ranges([text[at : at + stretch + length - 1]], length, gram, most)[0]
+        out.append((value, np.array(first, np.int64) + at, np.array(last, np.int64) + at, own))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
+
+
+def ranges(texts: list[bytes], length: int, gram: int, most: int = RANGE_STARTS) -> list[tuple[list[int], list[int], list[int], list[bool]]]:
     """For each text the classes, first and last starts of its ranges, and whether a range can hold copies by itself."""
     data = np.frombuffer(b"".join(texts), np.uint8)
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
@@ -111,13 +136,14 @@ def ranges(texts: list[bytes], length: int, gram: int) -> list[tuple[list[int],
         m = least[at : at + starts]
         first = np.concatenate([[0], np.flatnonzero(m[1:] != m[:-1]) + 1])
         last = np.concatenate([first[1:] - 1, [starts - 1]])
+        _, first, last = _pieces(first, last, most)
         value = m[first]
         own = [int(np.count_nonzero(grams[at + a : at + b + window] == v)) > 1 for a, b, v in zip(first.tolist(), last.tolist(), value, strict=True)]
         out[i] = (value.view(np.int64), first, last, own)
     return out
 
 
-def _scanner(length: int, gram: int):
+def _scanner(length: int, gram: int, most: int, stretch: int):
     names = [x.split()[0] for x in _SCANNED.split(", ")]
     lists = [pa.list_(pa.int64())] * 3 + [pa.list_(pa.bool_())]
 
@@ -128,11 +154,11 @@ def _scanner(length: int, gram: int):
             at = 0
             while at < len(texts):
                 to, size = at, 0
-                while to < len(texts) and (to == at or size + len(texts[to]) <= _GROUP_BYTES):
+                while to < len(texts) and (to == at or size + len(texts[to]) <= min(_GROUP_BYTES, stretch)):  # a long text is alone
                     size += len(texts[to])
                     to += 1
                 part = texts[at:to]
-                found = ranges(part, length, gram)
+                found = [long_ranges(part[0], length, gram, most, stretch)] if len(part[0]) >= stretch + length else ranges(part, length, gram, most)
                 cols = [
                     b.column(0).slice(at, to - at), pa.array(map(len, part), pa.int64()), pa.array(map(xxhash.xxh3_128_digest, part), pa.binary()),
                     pa.array([hashlib.sha256(t).hexdigest() for t in part]), pa.array(map(pack.compress, part), pa.binary()),
@@ -171,8 +197,10 @@ def _bodies(length: int):
                 text = unpack.decompress(b.column(0)[i].as_py())
                 rs = b.column(1)[i].as_py()
                 kinds = (pa.int64(), pa.binary(), pa.int64(), pa.bool_(), pa.int32())
-                cols = [pa.array([r[k] for r in rs], t) for k, t in zip(names, kinds, strict=False)]
-                yield pa.RecordBatch.from_arrays([*cols, pa.array([text[r["first"] : r["last"] + length] for r in rs], pa.binary())], names=names)
+                for at in range(0, len(rs), _BODIES):
+                    part = rs[at : at + _BODIES]
+                    cols = [pa.array([r[k] for r in part], t) for k, t in zip(names, kinds, strict=False)]
+                    yield pa.RecordBatch.from_arrays([*cols, pa.array([text[r["first"] : r["last"] + length] for r in part], pa.binary())], names=names)
 
     return run
 
@@ -389,11 +417,12 @@ def _finisher(length: int):
 
 
 def remove_repeats(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, class_contexts: int = CLASS_CONTEXTS
-) -> DataFrame:
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text", shard_bytes: int = SHARD_BYTES, class_contexts: int = CLASS_CONTEXTS,
+    range_starts: int = RANGE_STARTS, stretch: int = STRETCH,
+) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256, has_repeats) of every document."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    t = materialize(texts.mapInArrow(_scanner(length, gram), _SCANNED).withColumn("row", F.monotonically_increasing_id()), "suffix-rows")
+    t = materialize(texts.mapInArrow(_scanner(length, gram, range_starts, stretch), _SCANNED).withColumn("row", F.monotonically_increasing_id()), "suffix-rows")
     same = materialize(t.groupBy("text_id").agg(F.min("row").alias("node"), F.count("*").alias("rows")), "suffix-texts")
     nodes = same.select(F.col("node").alias("row"))
 

@@ -220,14 +220,14 @@ def test_archive_of_nothing(spark):
 # --- repeated strings ----------------------------------------------------------------
 
 
-@pytest.mark.parametrize("class_contexts", [1, 3, 4096])
-def test_repeats(documents, odd, class_contexts):
+@pytest.mark.parametrize("class_contexts, range_starts, stretch", [(1, 4096, 1 << 20), (3, 37, 1 << 20), (4096, 4096, 1 << 20), (4096, 100, 250)])
+def test_repeats(documents, odd, class_contexts, range_starts, stretch):
     random.seed(3)
     base = "".join(random.choice("abcdefgh ") for _ in range(900))
     rows = [(-1, ""), (-2, None), (-3, "a" * 1000), (-4, "ab" * 150 + "c"), (-5, base[:450] + "X" + base[100:700]), (-6, "é" * 30 + base[200:640])]
     rows += [(-7, base[:399]), (-8, base[:400]), (-9, "xyz" * 300), (-10, "q" * 399), (-11, "w" * 400), (-11, "w" * 400), (-12, "v" * 401), (-13, base[300:])]
     docs = odd(documents.limit(120), rows)
-    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix.remove_repeats(docs, class_contexts=class_contexts, shard_bytes=20_000).collect())
+    got = sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in suffix.remove_repeats(docs, class_contexts=class_contexts, shard_bytes=20_000, range_starts=range_starts, stretch=stretch).collect())
     texts = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
     count = Counter(t[i : i + 400] for _, t in texts for i in range(len(t) - 399))
     want = []
@@ -242,6 +242,18 @@ def test_repeats(documents, odd, class_contexts):
     assert got == sorted(want)
 
 
+def test_long_texts_that_repeat_themselves(spark):
+    """Runs of one byte and of short periods, 10 MB together: bounded contexts, nothing kept."""
+    texts = ["a" * 6_000_000, "abcdefg" * 400_000, "xyz" * 400_000 + "!"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r for r in suffix.remove_repeats(docs).collect()}
+    assert [(got[i].n_removed, got[i].n_spans) for i in range(2)] == [(len(t), 1) for t in texts[:2]]
+    assert (got[2].n_removed, got[2].n_spans, got[2].kept_sha256) == (len(texts[2]) - 1, 1, hashlib.sha256(b"!").hexdigest())
+    value, first, last, _ = suffix.long_ranges(texts[0].encode(), 400, 64, 4096, 1 << 20)
+    assert len(set(value.tolist())) == 1 and int((last - first).max()) < 4096
+    assert first[0] == 0 and last[-1] == len(texts[0]) - 400 and (first[1:] == last[:-1] + 1).all()
+
+
 def test_no_repeats_in_nothing(empty):
     assert suffix.remove_repeats(empty).count() == 0
 
