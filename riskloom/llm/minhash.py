@@ -14,12 +14,14 @@ Links are confirmed on full sets: 100 * intersection >= 80 * union.
    form one star.  Each class is confirmed against the centre it shares
    most bands with, and components are formed.
 3. A star may still hold several components (copies edited apart from one
-   another).  Its members meet in blocks of about ``BLOCK``, each two
-   blocks once; a task works out all intersections of two blocks as matrix
-   products and gives only the links that join components, fewer than
-   members.  So two documents that share a bucket are always compared, no
-   pair of them becomes a row, and a star that is one component (copies of
-   a text) is left out.
+   another).  Its members meet in blocks of about ``BLOCK``, cut by root:
+   a component that fills a block has blocks of its own, the members of
+   the others share blocks, and two blocks meet once unless both are of
+   one component.  A task works out all intersections of two blocks as
+   matrix products and gives only the links that join components, fewer
+   than members.  So two documents that share a bucket and are not linked
+   already are always compared, no pair of them becomes a row, and a star
+   that is one component (copies of a text) is left out.
 
 Two sets with similarity 0.8 share no band with probability 5e-9 (48 bands
 of 5 rows); nothing is capped.
@@ -56,6 +58,9 @@ ROWS = 5
 PERCENT = 80
 #: Members of a star that one block holds on average.
 BLOCK = 256
+#: Shingles of its members, on average; what bounds a block of long texts.
+BLOCK_SHINGLES = 1 << 21
+_MEETING = ["star", "x_group", "x_block", "y_group", "y_block"]
 _STRETCH = 1 << 14
 _SIGNED = [
     StructField("doc_id", LongType()), StructField("n_shingles", LongType()), StructField("set_id", BinaryType()),
@@ -160,17 +165,17 @@ def _block_links(k: int, percent: int):
     """Links across components in each pair of blocks: as many as join components, not all of them."""
 
     def links(rows: list[tuple], hashes: WordHashes, unpack) -> list[tuple[int, int]]:
-        if len({r[5] for r in rows}) < 2:
+        if len({r[6] for r in rows}) < 2:
             return []
-        sets = [shingle_set(unpack.decompress(r[6]), hashes, k) for r in rows]
+        sets = [shingle_set(unpack.decompress(r[7]), hashes, k) for r in rows]
         size = np.array([len(x) for x in sets])
         both = intersections(sets)
-        root = np.unique([r[5] for r in rows], return_inverse=True)[1]
+        root = np.unique([r[6] for r in rows], return_inverse=True)[1]
         ok = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & (root[:, None] < root[None, :])
         out = []
         for a, b in zip(*np.nonzero(ok), strict=True):
             if root[a] != root[b]:
-                out.append((rows[a][4], rows[b][4]))
+                out.append((rows[a][5], rows[b][5]))
                 root[root == root[b]] = root[a]
         return out
 
@@ -184,7 +189,7 @@ def _block_links(k: int, percent: int):
 
         for b in batches:
             for r in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if rows and r[:3] != rows[0][:3]:
+                if rows and r[:5] != rows[0][:5]:
                     yield found()
                     rows = []
                 rows.append(r)
@@ -194,6 +199,31 @@ def _block_links(k: int, percent: int):
     return run
 
 
+def meetings(members: DataFrame) -> DataFrame:
+    """Every block of a mixed star that each member has to meet, from (star, node, n, root).
+
+    Members of a root that fills a block by itself stand in blocks of that
+    root (``group`` is the root); the members of all other roots share
+    blocks (``group`` -1).  Two blocks of one root have nothing to compare,
+    so a star of one large component and a few strays gives each member
+    about one row.
+    """
+    roots = members.groupBy("star", "root").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    mixed = roots.groupBy("star").agg(F.count("*").alias("roots")).where("roots > 1").select("star")
+    fills = (F.col("members") >= BLOCK) | (F.col("shingles") >= BLOCK_SHINGLES)
+    roots = roots.join(mixed, "star", "left_semi").withColumn("group", F.when(fills, F.col("root")).otherwise(F.lit(-1)))
+    blocks = F.ceil(F.greatest(F.sum("members") / BLOCK, F.sum("shingles") / BLOCK_SHINGLES)).cast("int")
+    groups = roots.groupBy("star", "group").agg(blocks.alias("blocks"))
+    groups = roots.select("star", "root", "group").join(groups, ["star", "group"])
+    own = members.join(groups.hint("merge"), ["star", "root"]).select("star", "node", "root", "group", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"))
+    others = groups.select("star", F.col("group").alias("g"), "blocks").distinct()
+    met = own.join(others.hint("merge"), "star").where((F.col("group") != F.col("g")) | (F.col("g") == -1))
+    met = met.withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    here, there = F.struct(F.col("group").alias("g"), F.col("block").alias("b")), F.struct("g", "b")
+    met = met.select("star", "node", "root", F.least(here, there).alias("x"), F.greatest(here, there).alias("y"))
+    return met.select("star", F.col("x.g").alias("x_group"), F.col("x.b").alias("x_block"), F.col("y.g").alias("y_group"), F.col("y.b").alias("y_block"), "node", "root")
+
+
 def sign(docs: DataFrame, shingle_words: int, bands: int, rows: int, id_col: str, text_col: str, carried: list[str]) -> DataFrame:
     """The written table of signed rows, numbered by ``row``; carried columns follow as x0, x1, ..."""
     more = [docs[f"`{c}`"].alias(f"x{i}") for i, c in enumerate(carried)]
@@ -225,25 +255,24 @@ def link(t: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     best = star.where(fits).groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
     za, zb = z.select(F.col("node").alias("a"), F.col("z").alias("za")), z.select(F.col("node").alias("b"), F.col("z").alias("zb"))
     both = best.join(zb.hint("merge"), "b").join(za.hint("merge"), "a").select("a", "b", "za", "zb").sortWithinPartitions("a")
-    first = materialize(both.mapInArrow(_confirmer(shingle_words, percent), "a long, b long, linked boolean"), "minhash-first").where("linked").select("a", "b")
+    confirmed = materialize(both.mapInArrow(_confirmer(shingle_words, percent), "a long, b long, linked boolean"), "minhash-first")
+    first = confirmed.where("linked").select("a", "b")
     root = components(first, "minhash-components")
 
     def rooted(df: DataFrame, node: str, out: str) -> DataFrame:
         r = root.select(F.col("node").alias(node), F.col("root").alias("r"))
         return df.join(r, node, "left").withColumn(out, F.coalesce("r", node)).drop("r")
 
-    # Stars that still hold several components, in blocks of bounded size; every two blocks of a star meet.
-    members = star.select(F.col("a").alias("star"), F.col("b").alias("node")).unionByName(star.select(F.col("a").alias("star"), F.col("a").alias("node")).distinct())
+    # Stars that still hold several components: blocks of them meet where they hold different roots.
+    members = star.select(F.col("a").alias("star"), F.col("b").alias("node"), F.col("nb").alias("n"))
+    members = members.unionByName(star.select(F.col("a").alias("star"), F.col("a").alias("node"), F.col("na").alias("n")).distinct())
     members = materialize(rooted(members, "node", "root"), "minhash-members")
-    mixed = members.groupBy("star").agg(F.min("root").alias("r0"), F.max("root").alias("r1"), F.count("*").alias("n")).where("r0 <> r1")
-    mixed = mixed.select("star", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    left = members.join(mixed.hint("merge"), "star").select("star", "node", "root", block.alias("i"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j"))
-    left = left.select("star", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), "node", "root", "i").join(z.hint("merge"), "node")
-    left = left.repartition("star", "x", "y").sortWithinPartitions("star", "x", "y").select("star", "x", "y", "i", "node", "root", "z")
-    more = materialize(left.mapInArrow(_block_links(shingle_words, percent), "a long, b long"), "minhash-second")
+    meeting = meetings(members).join(z.hint("merge"), "node").repartition(*_MEETING).sortWithinPartitions(*_MEETING).select(*_MEETING, "node", "root", "z")
+    more = materialize(meeting.mapInArrow(_block_links(shingle_words, percent), "a long, b long"), "minhash-second")
     if not more.isEmpty():
         root = components(first.unionByName(more), "minhash-components")
+    for written in (star, z, confirmed, members, more):
+        release(written)
 
     group = rooted(classes, "node", "root")
     lowest = group.groupBy("root").agg(F.min("low").alias("low"))

@@ -80,6 +80,33 @@ def test_components(documents, odd, k, monkeypatch):
     assert got == sorted(groups([(r.doc_id, r.text) for r in docs.collect()], k))
 
 
+def test_blocks_of_different_roots_meet(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    rnd = random.Random(8)
+    rows = [(star, 100 * star + i, 10, rnd.choice([0, 0, 0, 1, 1, *range(2, 9)])) for star in range(3) for i in range(60)] + [(9, 900 + i, 10, 5) for i in range(20)]
+    met = defaultdict(set)
+    for r in minhash.meetings(spark.createDataFrame(rows, "star long, node long, n long, root long")).collect():
+        assert r.x_group != r.y_group or r.x_group == -1  # two blocks of one root do not meet
+        met[tuple(r[:5])].add(r.node)
+    for star in (0, 1, 2):
+        mine = [r for r in rows if r[0] == star]
+        assert all(any({a[1], b[1]} <= m for m in met.values()) for a in mine for b in mine if a[3] < b[3])
+    assert not any(k[0] == 9 for k in met)  # one component
+
+
+def test_a_stray_does_not_multiply_its_star(spark):
+    star = spark.range(100_000).select(F.lit(0).cast("long").alias("star"), F.col("id").alias("node"), F.lit(50).cast("long").alias("n"), (F.col("id") == 77_777).cast("long").alias("root"))
+    assert minhash.meetings(star).count() == 99_999 + 391 + 1  # each member once, the stray once a block and in its own
+
+
+def test_blocks_of_long_texts_are_small(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 1000)
+    rows = [(0, i, 500, i % 2) for i in range(40)]
+    met = minhash.meetings(spark.createDataFrame(rows, "star long, node long, n long, root long"))
+    assert met.groupBy("x_group", "x_block").agg(F.countDistinct("node").alias("n")).count() == 10
+    assert met.where("x_group = -1").isEmpty()
+
+
 def test_components_of_nothing(empty):
     assert minhash.report(empty).count() == 0
     assert minhash.deduplicate(empty).count() == 0
