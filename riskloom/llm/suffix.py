@@ -431,14 +431,14 @@ def remove_repeats(
     r = materialize(r.select("node", F.col("r.hash").alias("class"), "r.first", "r.last", "r.own"), "suffix-ranges")
     meet = r.groupBy("class").agg(F.count("*").alias("n"), F.max("own").alias("o")).where("n > 1 or o").select("class")
     meeting = r.join(meet, "class", "left_semi")
-    per = materialize(meeting.groupBy("node").agg(F.collect_list(F.struct("class", "first", "last", "own")).alias("ranges")), "suffix-meeting")
+    per_node = materialize(meeting.groupBy("node").agg(F.collect_list(F.struct("class", "first", "last", "own")).alias("ranges")), "suffix-meeting")
     release(r)
-    with_text = materialize(t.select(F.col("row").alias("node"), "z").join(per, "node").select("node", "z", "ranges"), "suffix-meeting-texts")
+    with_text = materialize(t.select(F.col("row").alias("node"), "z").join(per_node, "node").select("node", "z", "ranges"), "suffix-meeting-texts")
     ctx = materialize(with_text.mapInArrow(_range_digests(length), _RANGE), "suffix-contexts")
 
     rep = ctx.groupBy("class", "context").agg(F.min(F.struct("node", "first", "last")).alias("r"), F.count("*").alias("copies"), F.max("own").alias("own"))
     rep = rep.select("class", "context", "r.node", "r.first", "r.last", "copies", "own")
-    rep = materialize(rep, "suffix-distinct")
+    rep = distinct = materialize(rep, "suffix-distinct")
     crowd = materialize(rep.groupBy("class").agg(F.count("*").alias("n")).where(F.col("n") > class_contexts).select("class", F.ceil(F.col("n") / class_contexts).cast("int").alias("parts")), "suffix-crowds")
     part = F.when(F.col("parts").isNull(), F.lit(-1)).otherwise(F.pmod(F.xxhash64("context"), F.col("parts")).cast("int"))
     rep = rep.join(crowd, "class", "left").withColumn("part", part)
@@ -449,16 +449,20 @@ def remove_repeats(
 
     runs = found.where(F.size("runs") > 0).select("class", "context", F.explode(F.expr("transform(sequence(0, size(runs) div 2 - 1), i -> struct(runs[2 * i] as a, runs[2 * i + 1] as b))")).alias("x"))
     runs = runs.select("class", "context", "x.a", "x.b")
+    written = [per_node, with_text, ctx, distinct, crowd, found]
     if not crowd.isEmpty():
         d = found.where("part >= 0").select("class", "context", F.explode(F.arrays_zip("digests", "digest_at")).alias("x"))
         d = d.select("class", "context", F.col("x.digests").alias("digest"), F.col("x.digest_at").alias("at"))
         across = d.repartition(F.col("digest")).sortWithinPartitions("digest").mapInArrow(_merge, "class long, context binary, at long")
-        runs = runs.unionByName(materialize(across, "suffix-merged").select("class", "context", F.col("at").alias("a"), (F.col("at") + 1).alias("b")))
+        written.append(materialize(across, "suffix-merged"))
+        runs = runs.unionByName(written[-1].select("class", "context", F.col("at").alias("a"), (F.col("at") + 1).alias("b")))
     spans = ctx.select("class", "context", "node", "first").join(runs, ["class", "context"])
     spans = spans.select("node", (F.col("first") + F.col("a")).alias("begin"), (F.col("first") + F.col("b") - 1 + length).alias("end"))
     spans = spans.groupBy("node").agg(F.collect_list(F.struct("begin", "end")).alias("s"))
     cut = with_text.select("node", "z").join(spans, "node").select("node", "z", F.col("s.begin").alias("begin"), F.col("s.end").alias("end"))
     cut = materialize(cut.mapInArrow(_finisher(length), "node long, n_removed long, n_spans long, kept_sha string"), "suffix-cut")
+    for table in written:
+        release(table)
 
     out = t.select("doc_id", "n_bytes", "text_id", "sha").join(same, "text_id").join(cut, "node", "left")
     whole = (F.col("rows") > 1) & (F.col("n_bytes") >= length)
