@@ -14,6 +14,9 @@ about *what* is fitted and on which rows:
 * feature stages (impute, encode, assemble, scale) are fitted once on the
   training rows with order-independent sums, and the featurised training set
   is persisted for the many passes of tuning, then unpersisted;
+* logistic fits and the evaluations make many short passes, so they read the
+  buckets in no more tasks than there are cores (``pass_tasks``); a forest
+  needs the buckets as they are, and keeps each row's node between levels;
 * ``CrossValidator`` gets ``foldCol`` and ``parallelism``; the winner is
   refit on all training rows and stored together with the feature stages
   as one ``PipelineModel``.
@@ -64,12 +67,28 @@ def buckets(rows: int) -> int:
     return max(1, min(FEW_BUCKETS, -(-rows // LEAST_ROWS)), -(-rows // MOST_ROWS))
 
 
+def pass_tasks(partitions: int, rows: int, cores: int) -> int:
+    """Tasks of a pass whose result does not depend on the buckets: one a core, or one a ``MOST_ROWS`` rows if that is more."""
+    return min(partitions, max(cores, -(-rows // MOST_ROWS)))
+
+
+class NarrowEvaluator(BinaryClassificationEvaluator):
+    """Spark's evaluator (binned AUC) in ``tasks`` tasks: it runs five short jobs over the distinct scores."""
+
+    def __init__(self, label: str, tasks: int):
+        super().__init__(labelCol=label)
+        self.tasks = tasks
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        return super()._evaluate(dataset.coalesce(self.tasks))
+
+
 def lr_estimator(label: str, features: str = "features", **params) -> LogisticRegression:
     return LogisticRegression(featuresCol=features, labelCol=label, maxIter=params.pop("maxIter", LR_MAX_ITER), **params)
 
 
 def rf_estimator(label: str, features: str = "features", seed: int = RF_SEED, **params) -> RandomForestClassifier:
-    return RandomForestClassifier(featuresCol=features, labelCol=label, seed=seed, **params)
+    return RandomForestClassifier(featuresCol=features, labelCol=label, seed=seed, cacheNodeIds=params.pop("cacheNodeIds", True), **params)
 
 
 def lr_grid(lr: LogisticRegression) -> list:
@@ -83,11 +102,12 @@ def rf_grid(rf: RandomForestClassifier) -> list:
 
 
 def tune(est, grid: list, train: DataFrame, label: str, k: int = CV_FOLDS, fold_col: str = "fold",
-         parallelism: int = 4, seed: int = SPLIT_SEED):
+         parallelism: int = 4, seed: int = SPLIT_SEED, tasks: int | None = None):
     """O-36: k-fold CV by AUC over ``grid``; the best is refit on all of
-    ``train``.  Folds come from ``fold_col`` (keyed), not a random split."""
+    ``train``.  Folds come from ``fold_col`` (keyed), not a random split.
+    ``tasks`` bounds the tasks of an evaluation."""
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid,
-                        evaluator=BinaryClassificationEvaluator(labelCol=label),
+                        evaluator=NarrowEvaluator(label, tasks) if tasks else BinaryClassificationEvaluator(labelCol=label),
                         numFolds=k, foldCol=fold_col, parallelism=parallelism, seed=seed)
     return cv.fit(train)
 
@@ -156,18 +176,20 @@ def fit_task(spark: SparkSession, df: DataFrame, key: str, label: str, task: str
     cores = n_cores(spark)
     out = TaskFit(test=test, train=train, feature_names=list(features), n_train=n_train, partitions=partitions)
     data = data.persist(StorageLevel.MEMORY_AND_DISK)  # both models pass over these rows many times
+    tasks = pass_tasks(partitions, n_train, cores)
     try:
         for name in models:
             est = lr_estimator(label) if name == "lr" else rf_estimator(label)
+            rows = data.coalesce(tasks) if name == "lr" else data
             t0 = time.time()
             if tune_models:
                 grid = lr_grid(est) if name == "lr" else rf_grid(est)
                 par = parallelism or max(1, min(len(grid), cores, PARALLELISM))
-                cvm = tune(est, grid, data, label, parallelism=par)
+                cvm = tune(est, grid, rows, label, parallelism=par, tasks=tasks)
                 clf = cvm.bestModel
                 out.reports[name] = cv_report(spark, cvm, MODEL_KEYS[name], time.time() - t0)
             else:
-                clf = est.fit(data)
+                clf = est.fit(rows)
             out.classifiers[name] = clf
             out.models[name] = PipelineModel(stages=list(feat_model.stages) + [clf])
     finally:

@@ -70,6 +70,23 @@ def test_buckets_grow_with_the_rows():
     assert all(n / training.buckets(n) <= training.MOST_ROWS for n in rows)
 
 
+def test_short_passes_do_not_follow_the_buckets(spark, diabetes, monkeypatch):
+    """Logistic fits and evaluations run in as many tasks as there are cores, the forest on its buckets."""
+    class Seen(Exception):
+        pass
+
+    def tuned(est, grid, train, label, **kw):
+        raise Seen(train.rdd.getNumPartitions(), kw["tasks"])
+
+    monkeypatch.setattr(training, "tune", tuned)
+    cores = training.n_cores(spark)
+    for model, tasks in (("lr", cores), ("rf", cores + 3)):
+        with pytest.raises(Seen) as seen:
+            training.fit_task(spark, diabetes, "k", schemas.DIABETES_LABEL, models=(model,), partitions=cores + 3)
+        assert seen.value.args == (tasks, cores)
+    assert training.pass_tasks(5, 80_000, 12) == 5 and training.pass_tasks(100, 90_000_000, 12) == 90
+
+
 def test_a_run_that_dies_leaves_the_old_version(spark, diabetes, monkeypatch):
     models = scratch_path(spark, "test-publish")
 
