@@ -263,3 +263,18 @@ def test_a_template_goes_whatever_its_share_of_the_text(spark, percent):
     assert all(got[9000 + d].kept and got[9000 + d].removed_chars == 0 for d in range(30))
     texts = {r.doc_id: r.text for r in quality.clean(docs).collect()}
     assert all(texts[i] == own for i, (_, own) in cut.items() if got[i].kept)
+
+
+def test_symbols_and_latin_letters_are_cut_off_words_exactly():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from riskloom.llm import packing
+
+    path = public_tokenizers.path(packing.VOCABULARY)
+    texts = [" stber.$$$  Stber### ", "éa.$ .é! ×. .÷ a× ə! x\u0301. \u0301a. ≠ 'tis don't, _a_ {d}\x0b~é~ a|b", "", " \t", "< |x <|endoftext|> y$"]
+    library = Tokenizer.from_file(path)
+    words = packing.WordTokenizer(path)
+    ids = words.of([t.encode() for t in texts])
+    assert [list(memoryview(x).cast("I")) for x in ids] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert words._pieces(b"stber.$$$") == (b"stber", b".$$$") and words._pieces("é!".encode()) == ("é".encode(), b"!")
