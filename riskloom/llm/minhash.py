@@ -61,7 +61,7 @@ BLOCK = 256
 #: Shingles of its members, on average; what bounds a block of long texts.
 BLOCK_SHINGLES = 1 << 21
 _MEETING = ["star", "x_group", "x_block", "y_group", "y_block"]
-_STRETCH = 1 << 14
+_STRETCH = 1 << 12
 _SIGNED = [
     StructField("doc_id", LongType()), StructField("n_shingles", LongType()), StructField("set_id", BinaryType()),
     StructField("bands", ArrayType(LongType())), StructField("z", BinaryType()),

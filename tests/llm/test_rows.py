@@ -278,3 +278,16 @@ def test_symbols_and_latin_letters_are_cut_off_words_exactly():
     ids = words.of([t.encode() for t in texts])
     assert [list(memoryview(x).cast("I")) for x in ids] == [library.encode(t, add_special_tokens=False).ids for t in texts]
     assert words._pieces(b"stber.$$$") == (b"stber", b".$$$") and words._pieces("é!".encode()) == ("é".encode(), b"!")
+
+
+def test_a_worker_remembers_few_words():
+    import xxhash
+
+    from riskloom.llm import common, minhash
+
+    hashes = common.WordHashes()
+    for i in range(0, 100_000, 1000):
+        words = [b"w%d" % j for j in range(i, i + 1000)]
+        assert hashes.of(words).tolist() == [xxhash.xxh3_64_intdigest(w) for w in words]
+        assert len(hashes) <= 1 << 16
+    assert 2 * minhash.BLOCK * minhash._STRETCH * 4 <= 8 << 20  # the matrix of two mean blocks
