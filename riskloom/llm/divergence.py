@@ -2,15 +2,15 @@
 
 *Chunk factorization.*  A term never crosses white space, so texts need not
 be tokenized one by one.  Each task splits its documents on ASCII white
-space (A-Z lower-cased) and counts the chunks: documents and occurrences,
-added up over many documents before anything is shuffled.  Each globally
-distinct chunk is then tokenized once and its terms are joined back.
+space (A-Z lower-cased) and numbers the chunks; each chunk that it holds is
+then tokenized once and its terms are joined back to the documents.
 
 *Distinct documents.*  A document with "foo" and "foo," holds the term foo
-once, so documents of chunks do not add up to documents of terms.  The
-largest of a term's chunks is a lower bound and their sum an upper one;
-only terms with the limit between the two are counted exactly, from the row
-numbers that a task keeps for chunks in fewer documents than the limit.
+once, so documents of chunks do not add up to documents of terms.  A
+document lies in one task as a whole, which sorts its (term, document)
+pairs: documents of a term are exact there and add up over tasks.  Only
+terms leave a task, in one shuffle by term and language that sees which are
+kept and sums their occurrences by source.
 
 *Divergence.*  Groups and terms have integer shares; all arithmetic is on
 integers (decimals where a product may pass 64 bits).  A group holds no
@@ -20,10 +20,10 @@ share of an absent term, and corrected on the terms that both hold.  The
 join behind that correction has no more rows than kept terms times the
 pairs of sources, which are themselves asked for.
 
-Bounds: a task holds the counts of ``TASK_CHUNKS`` (document, chunk) pairs;
-a text over ``LONG_TEXT`` bytes is split by an iterator, never into one
-list.  A chunk in a third of all rows arrives as one row a task and flush,
-with its sources beside it.
+Bounds: a task holds the chunks of ``TASK_CHUNKS`` places (or four bytes of
+text for each) as numbers, whole documents only; a text over ``LONG_TEXT``
+bytes is split in stretches.  A term in a third of all rows arrives as one
+row a task and flush, with its sources beside it.
 
 Defined results: null text, lang and source count as empty strings; every
 row is a document (repeated ids and rows too); an empty text has no terms
@@ -34,13 +34,11 @@ gives an empty table; only the named columns are read.
 from __future__ import annotations
 
 import re
-from array import array
-from collections import Counter, defaultdict
 from collections.abc import Iterator
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,122 +48,159 @@ MIN_DOCS = 10
 TOP = 10
 SCALE = 1_000_000_000
 PRIOR = 2
-TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-TASK_CHUNKS = 4_000_000
+#: Counts below this times SCALE stay within 64 bits.
+_SMALL = 9_000_000_000
+#: Term bytes (A-Z lower-cased) as they are, all others a space: terms are `[^\x00-\x40\x5B-\x60\x7B-\x7F]+`.
+_TERM = bytes(x + 32 if 0x41 <= x <= 0x5A else x if 0x61 <= x <= 0x7A or x >= 0x80 else 0x20 for x in range(256))
+TASK_CHUNKS = 8_000_000
 LONG_TEXT = 1 << 22
-_CHUNK = re.compile(rb"[^\x20\x09-\x0D]+")
-_COUNTS = "lang string, chunk string, docs long, ids array<long>, sources array<string>, times array<long>"
+_WHITE = re.compile(rb"[\x20\x09-\x0D]")
+_COUNTS = "lang string, term string, docs long, times long, sources array<string>, counts array<long>"
 
 
-def _chunks(text: bytes):
-    """The chunks of a lower-cased text; one at a time if it is very long."""
-    return text.split() if len(text) <= LONG_TEXT else (m.group() for m in _CHUNK.finditer(text))
+def _stretches(text: bytes) -> list[bytes]:
+    """A long text cut at white space, into stretches of ``LONG_TEXT`` bytes or a chunk more."""
+    out, at = [], 0
+    while at < len(text):
+        white = _WHITE.search(text, at + LONG_TEXT)
+        to = white.start() if white else len(text)
+        out.append(text[at:to])
+        at = to
+    return out
+
+
+def _terms(chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """For each chunk the number of its terms; the terms of all as numbers, in order; and the numbered terms."""
+    data = chunks.buffers()[2]
+    plain = pa.Array.from_buffers(chunks.type, len(chunks), [None, chunks.buffers()[1], pa.py_buffer((data.to_pybytes() if data else b"").translate(_TERM))], offset=chunks.offset)
+    found = pc.ascii_split_whitespace(plain)
+    of, term = pc.list_parent_indices(found), found.flatten()
+    some = pc.greater(pc.binary_length(term), 0)
+    numbered = term.filter(some).dictionary_encode()
+    return np.bincount(of.filter(some).to_numpy(), minlength=len(chunks)), numbered.indices.to_numpy().astype(np.int64), numbered.dictionary
 
 
 class _Task:
-    """Chunk counts of some documents of a task: numbered chunks, and (chunk, times) of each document by language."""
-
-    def __init__(self, min_docs: int):
-        self.min_docs = min_docs
-        self.place: dict[str, dict[bytes, int]] = defaultdict(lambda: defaultdict(count().__next__))
-        self.chunks: dict[str, array] = defaultdict(lambda: array("q"))
-        self.times: dict[str, array] = defaultdict(lambda: array("q"))
-        self.documents: dict[str, list[tuple[int, int, int]]] = defaultdict(list)  # row, source, distinct chunks
-        self.sources: dict[str, int] = defaultdict(count().__next__)
+    """Some documents of a task: their chunks as numbers, their languages and sources."""
+
+    def __init__(self):
+        self.chunks: list[pa.DictionaryArray] = []
+        self.sizes: list[np.ndarray] = []  # chunks of each document
+        self.langs: list[pa.Array] = []
+        self.sources: list[pa.Array] = []
         self.held = 0
 
-    def add(self, row: int, text: bytes, lang: str, source: str) -> None:
-        found = Counter(_chunks(text.lower()))  # bytes: A-Z only
-        self.chunks[lang].extend(map(self.place[lang].__getitem__, found))
-        self.times[lang].extend(found.values())
-        self.documents[lang].append((row, self.sources[source], len(found)))
-        self.held += len(found) + 1
+    def add(self, text: pa.Array, lang: pa.Array, source: pa.Array) -> None:
+        """Documents; or one, in stretches."""
+        found = pc.ascii_split_whitespace(pc.ascii_lower(text))  # A-Z only
+        size = pc.list_value_length(found).to_numpy().astype(np.int64)
+        self.chunks.append(found.flatten().dictionary_encode())
+        self.sizes.append(size if len(lang) == len(text) else size.sum(keepdims=True))
+        self.langs.append(lang)
+        self.sources.append(source)
+        self.held += max(int(size.sum()), pc.sum(pc.binary_length(text)).as_py() // 4)
 
     def rows(self) -> Iterator[pa.RecordBatch]:
-        """A row for each (lang, chunk): documents, their row numbers where they are few, and occurrences by source."""
-        names = pa.array(self.sources.keys(), pa.string())
-        for lang, place in self.place.items():
-            row, source, size = np.array(self.documents[lang], np.int64).T
-            at, times = np.frombuffer(self.chunks[lang], np.int64), np.frombuffer(self.times[lang], np.int64)
-            if not len(at):
-                continue
-            documents = np.bincount(at)
-            few = documents[at] < self.min_docs
-            ids, id_ends = _listed(at[few], np.repeat(row, size)[few], len(place))
-            key = at * len(names) + np.repeat(source, size)
-            order = np.argsort(key, kind="stable")
-            key = key[order]
-            head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            n, key = np.add.reduceat(times[order], head), key[head]
-            ends = pa.array(_ends(key // len(names), len(place)))
-            cols = [
-                pa.array([lang], pa.string()).take(pa.array(np.zeros(len(place), np.int32))), pa.array(place.keys(), pa.binary()).cast(pa.string()),
-                pa.array(documents), pa.ListArray.from_arrays(id_ends, pa.array(ids)),
-                pa.ListArray.from_arrays(ends, names.take(pa.array(key % len(names)))), pa.ListArray.from_arrays(ends, pa.array(n)),
-            ]
-            yield from pa.Table.from_arrays(cols, names=[x.split()[0] for x in _COUNTS.split(", ")]).to_batches(max_chunksize=100_000)
-
-
-def _ends(at: np.ndarray, n: int) -> np.ndarray:
-    """Offsets of the lists of ``n`` places that hold so many values."""
-    return np.concatenate([[0], np.cumsum(np.bincount(at, minlength=n))]).astype(np.int32)
-
-
-def _listed(at: np.ndarray, values: np.ndarray, n: int) -> tuple[np.ndarray, pa.Array]:
-    """``values`` in the order of their place, and the offsets of the ``n`` places' lists."""
-    return values[np.argsort(at, kind="stable")], pa.array(_ends(at, n))
-
-
-def _counter(min_docs: int, task_chunks: int):
+        """A row for each (lang, term): documents, occurrences, and occurrences by source."""
+        if not self.chunks:
+            return
+        lang, source = (pa.chunked_array(x).combine_chunks().dictionary_encode() for x in (self.langs, self.sources))
+        names = source.dictionary
+        group = lang.indices.to_numpy().astype(np.int64) * len(names) + source.indices.to_numpy()
+        order = np.argsort(group, kind="stable")
+        place = np.empty(len(group), np.int64)  # documents in the order of their groups
+        place[order] = np.arange(len(group))
+        group = group[order]
+
+        numbered = pa.chunked_array(self.chunks).unify_dictionaries().chunks
+        self.chunks.clear()
+        n, term, terms = _terms(numbered[0].dictionary)
+        first = np.cumsum(n) - n
+        keys, documents = [], 0
+        for chunks, size in zip(numbered, self.sizes, strict=True):
+            chunk = chunks.indices.to_numpy()
+            here = n[chunk]
+            at = np.arange(here.sum()) + np.repeat(first[chunk] - np.cumsum(here) + here, here)
+            document = np.repeat(place[documents : documents + len(size)], size)
+            keys.append(term[at] * len(group) + np.repeat(document, here))
+            documents += len(size)
+        key = np.concatenate(keys)
+        del numbered, keys
+        if not len(key):
+            return
+        key.sort()
+        head = _heads(key)  # one for each (term, document)
+        times, key = np.diff(head, append=len(key)), key[head]
+        of_term, at = np.divmod(key, len(group))
+        cell = _heads(of_term, group[at])
+        of_term, of_group, counts = of_term[cell], group[at[cell]], np.add.reduceat(times, cell)
+        of_lang = of_group // len(names)
+        row = _heads(of_term, of_lang)
+        list_ends = pa.array(np.append(row, len(cell)), pa.int32())
+        cols = [
+            lang.dictionary.take(pa.array(of_lang[row])), terms.take(pa.array(of_term[row])),
+            pa.array(np.diff(cell[row], append=len(key))), pa.array(np.add.reduceat(counts, row)),
+            pa.ListArray.from_arrays(list_ends, names.take(pa.array(of_group % len(names)))), pa.ListArray.from_arrays(list_ends, pa.array(counts)),
+        ]
+        yield from pa.Table.from_arrays(cols, names=[x.split()[0] for x in _COUNTS.split(", ")]).to_batches(max_chunksize=100_000)
+
+
+def _heads(*keys: np.ndarray) -> np.ndarray:
+    """Where a run of equal keys begins."""
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
+def _counter(task_chunks: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = _Task(min_docs)
+        task = _Task()
         for b in batches:
-            cols = [b.column(0), b.column(1).cast(pa.binary()), b.column(2), b.column(3)]
-            for row in zip(*(c.to_pylist() for c in cols), strict=True):
-                task.add(*row)
+            text, lang, source = b.columns
+            size = pc.binary_length(text).to_numpy()
+            ends = np.cumsum(size, dtype=np.int64)
+            at = 0
+            while at < b.num_rows:
+                most = min(LONG_TEXT, 4 * max(1, task_chunks - task.held))
+                to = max(at + 1, int(np.searchsorted(ends, ends[at] - size[at] + most, "right")))  # a long text is alone
+                part = text.slice(at, to - at)
+                if size[at] > LONG_TEXT:
+                    part = pa.array(_stretches(part.cast(pa.binary() if part.type == pa.string() else pa.large_binary())[0].as_py()), pa.binary()).cast(part.type)
+                task.add(part, lang.slice(at, to - at), source.slice(at, to - at))
+                at = to
                 if task.held >= task_chunks:
                     yield from task.rows()
-                    task = _Task(min_docs)
+                    task = _Task()
         yield from task.rows()
 
     return run
 
 
-def chunk_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_docs: int = MIN_DOCS, task_chunks: int = TASK_CHUNKS) -> DataFrame:
-    """A row for each task, language and chunk: documents (if they are few, their row numbers) and occurrences by source."""
+def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", task_chunks: int = TASK_CHUNKS) -> DataFrame:
+    """A row for each task, language and term: documents, occurrences, and occurrences by source."""
     plain = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), plain(text_col).alias("text"), plain(lang_col).alias("lang"), plain(source_col).alias("source"))
-    return rows.mapInArrow(_counter(min_docs, task_chunks), _COUNTS)
-
-
-def kept_terms(counts: DataFrame, min_docs: int = MIN_DOCS) -> tuple[DataFrame, DataFrame]:
-    """(lang, term) in at least ``min_docs`` documents, and (lang, chunk, term, times) of their chunks."""
-    held = materialize(counts.groupBy("lang", "chunk").agg(F.sum("docs").alias("docs")), "divergence-chunks")
-    distinct = held.select("chunk").distinct()  # each tokenized once
-    terms = distinct.select("chunk", F.explode(F.regexp_extract_all("chunk", F.lit(TERM), F.lit(0))).alias("term"))
-    terms = terms.groupBy("chunk", "term").agg(F.count("*").alias("times"))
-    back = materialize(held.join(terms, "chunk").select("lang", "chunk", "term", "times", "docs"), "divergence-terms")
-    release(held)
-    bounds = materialize(back.groupBy("lang", "term").agg(F.max("docs").alias("least"), F.sum("docs").alias("most")).where(F.col("most") >= min_docs), "divergence-bounds")
-    between = bounds.where(F.col("least") < min_docs).select("lang", "term")
-    # Keys begin with the chunk or term: rows are sorted by what tells them apart.
-    open_ = back.join(between, ["term", "lang"], "left_semi").select("lang", "chunk", "term")
-    exact = counts.where("size(ids) > 0").select("lang", "chunk", "ids").join(open_.hint("shuffle_hash"), ["chunk", "lang"])
-    exact = exact.select("lang", "term", F.explode("ids").alias("row")).distinct().groupBy("lang", "term").agg(F.count("*").alias("docs")).where(F.col("docs") >= min_docs)
-    kept = bounds.where(F.col("least") >= min_docs).select("lang", "term").unionByName(exact.select("lang", "term"))
-    kept = materialize(kept, "divergence-kept")
-    chunks = materialize(back.join(kept, ["term", "lang"]).select("lang", "chunk", "term", "times"), "divergence-kept-chunks")
-    release(back)
-    release(bounds)
-    return kept, chunks
+    rows = docs.select(plain(text_col).alias("text"), plain(lang_col).alias("lang"), plain(source_col).alias("source"))
+    return rows.mapInArrow(_counter(task_chunks), _COUNTS)
+
+
+def kept_counts(counts: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
+    """(lang, term, all, source, count) of the terms in at least ``min_docs`` documents; ``all`` over all sources."""
+    # One shuffle serves the window and the sums. Keys begin with the term: rows are sorted by what tells them apart.
+    same = Window.partitionBy("term", "lang")
+    kept = counts.withColumn("docs", F.sum("docs").over(same)).withColumn("all", F.sum("times").over(same)).where(F.col("docs") >= min_docs)
+    kept = kept.select("term", "lang", "all", F.explode(F.arrays_zip("sources", "counts")).alias("x"))
+    return kept.groupBy("term", "lang", "all", F.col("x.sources").alias("source")).agg(F.sum("x.counts").alias("count"))
 
 
 def _share(count: Column | str, total: str = "total", terms: str = "terms") -> Column:
     """1 + floor(SCALE * (count + PRIOR) / (total + PRIOR * terms)); null where no term is kept."""
     count = F.col(count) if isinstance(count, str) else count
-    part = (count + PRIOR).cast("decimal(28,0)") * F.lit(SCALE).cast("decimal(10,0)")
-    whole = F.nullif((F.col(total) + PRIOR * F.col(terms)).cast("decimal(28,0)"), F.lit(0).cast("decimal(28,0)"))
-    return F.lit(1).cast("long") + F.call_function("div", part, whole)
+    whole = F.nullif(F.col(total) + PRIOR * F.col(terms), F.lit(0).cast("long"))
+    small = F.call_function("div", (count + PRIOR) * F.lit(SCALE).cast("long"), whole)
+    large = F.call_function("div", (count + PRIOR).cast("decimal(28,0)") * F.lit(SCALE).cast("decimal(10,0)"), whole.cast("decimal(28,0)"))
+    return F.lit(1).cast("long") + F.when(count < _SMALL, small).otherwise(large)
 
 
 def _apart(p: str, q: str) -> Column:
@@ -178,28 +213,21 @@ def audit(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", min_docs: int = MIN_DOCS, top: int = TOP, task_chunks: int = TASK_CHUNKS
 ) -> DataFrame:
     """(lang, source, part, item, value, rank): other sources by divergence (``pair``), and the terms that stand out (``term``)."""
-    counts = materialize(chunk_counts(docs, text_col, lang_col, source_col, min_docs, task_chunks), "divergence-counts")
-    kept, chunks = kept_terms(counts, min_docs)
-    found = counts.select("lang", "chunk", "sources", F.col("times").alias("ns")).join(chunks.hint("shuffle_hash"), ["chunk", "lang"])
-    found = found.select("lang", "term", "times", F.explode(F.arrays_zip("sources", "ns")).alias("x"))
-    found = found.groupBy("lang", F.col("x.sources").alias("source"), "term").agg(F.sum(F.col("x.ns") * F.col("times")).alias("count"))
-    found = materialize(found, "divergence-found")
-    release(counts)
-    release(chunks)
+    found = materialize(kept_counts(term_counts(docs, text_col, lang_col, source_col, task_chunks), min_docs), "divergence-found")
 
     plain = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))
     groups = docs.select(plain(lang_col).alias("lang"), plain(source_col).alias("source")).distinct()
-    terms = kept.groupBy("lang").agg(F.count("*").alias("terms"))
+    terms = found.select("term", "lang").distinct().groupBy("lang").agg(F.count("*").alias("terms"))
     totals = found.groupBy("lang", "source").agg(F.sum("count").alias("total"), F.count("*").alias("present"))
     groups = groups.join(terms, "lang", "left").join(totals, ["lang", "source"], "left").na.fill(0, ["terms", "total", "present"])
     groups = materialize(groups.withColumn("absent", _share(F.lit(0).cast("long"))), "divergence-groups")
-    shares = found.join(groups, ["lang", "source"]).select("lang", "source", "term", "count", _share("count").alias("p"), "absent", "total", "terms")
+    whole = groups.groupBy("lang").agg(F.sum("total").alias("in_lang"))
+    shares = found.join(groups.join(whole, "lang"), ["lang", "source"])
+    shares = shares.select("lang", "source", "term", _share("count").alias("p"), _share("all", "in_lang").alias("q"), "absent")
     shares = materialize(shares, "divergence-shares")
+    release(found)
 
-    by_lang = shares.groupBy("lang", "term").agg(F.sum("count").alias("all"))
-    whole = groups.groupBy("lang").agg(F.sum("total").alias("total"), F.max("terms").alias("terms"))
-    by_lang = by_lang.join(whole, "lang").select("lang", "term", _share("all").alias("q"))
-    out = shares.select("lang", "source", "term", "p").join(by_lang, ["term", "lang"]).where("p > q")
+    out = shares.where("p > q")
     out = out.select("lang", "source", F.col("term").alias("item"), _apart("p", "q").alias("value"))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")
     term_part = out.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).withColumn("part", F.lit("term"))

@@ -70,6 +70,19 @@ def test_divergence(spark, sf_small, task_chunks):
     assert got.columns == ["lang", "source", "part", "item", "value", "rank"]
 
 
+def test_divergence_writes_no_rare_chunks(spark, monkeypatch):
+    rows = [(" ".join([f"q{chr(97 + i % 26)}{chr(97 + i // 26)}{chr(97 + j)}x" for j in range(20)] + ["common", "Common,", "(common"]), "en", f"s{i % 3}") for i in range(200)]
+    rows += [("edge edge, edge. almost", "en", "s0")] * 9 + [("edge; (edge) none", "en", "s1")]
+    docs = spark.createDataFrame(rows, "text string, lang string, source string").repartition(4)
+    written, write = [], divergence.materialize
+    monkeypatch.setattr(divergence, "materialize", lambda df, name: written.append(write(df, name)) or written[-1])
+    monkeypatch.setattr(divergence, "release", lambda table: None)
+    got = sorted(map(tuple, divergence.audit(docs).collect()))
+    assert got == audit(rows, 10, 10)
+    assert {r[3] for r in got if r[2] == "term"} <= {"common", "edge"}
+    assert sum(t.count() for t in written) < 100  # 4,000 chunks stand in one document each
+
+
 def test_divergence_of_nothing(empty):
     assert divergence.audit(empty.selectExpr("*", "text as lang")).count() == 0
 
