@@ -8,8 +8,12 @@ largest absolute value, and the limbs are summed as longs, which is exact
 in any order.  ``LIMBS`` limbs keep 88 bits below the largest value; what
 a value has beneath that is rounded off the same way wherever its row is.
 
-Two aggregate passes, each with partial aggregation and a single row as
-result: the largest absolute values (and the row count), then the limbs.
+``moments`` takes two aggregate passes, each with partial aggregation and a
+single row as result: the largest absolute values (and the row count), then
+the limbs.  ``means`` takes one: each value is cut against the next power of
+2**LIMB_BITS above itself, so its limbs lie on one grid whatever the largest
+value is, and nothing is rounded off; limbs are summed by column and power
+(some hundred rows), then by their place on the grid.
 Longs hold the limbs of 2**40 rows.
 """
 
@@ -47,14 +51,6 @@ def limbs(x: Column, bits: Column) -> list[Column]:
     return out
 
 
-def mean_of(sums: list[Column], bits: Column, n: Column) -> Column:
-    """The mean that summed limbs stand for, worked out in one fixed order."""
-    y = F.lit(0.0)
-    for s in reversed(sums):
-        y = (y + F.coalesce(s, F.lit(0)).cast("double")) / F.lit(_STEP)
-    return y / n * F.pow(F.lit(2.0), F.coalesce(bits, F.lit(0)))
-
-
 def _finite(x: Column) -> Column:
     """``x`` where it can be summed exactly."""
     return F.when(~F.isnan(x) & (F.abs(x) < F.lit(math.inf)), x)
@@ -69,29 +65,56 @@ def means(df: DataFrame, cols: dict[str, Column]) -> Column:
     names = list(cols)
     staged = df.select(*[e.alias(f"x_{i}") for i, e in enumerate(cols.values())])
     whole = [isinstance(f.dataType, T.IntegralType) for f in staged.schema.fields]
-    largest = [F.max(F.abs(_finite(F.col(f"x_{i}").cast("double")))).alias(f"x_{i}") for i, w in enumerate(whole) if not w]
-    if largest:
-        staged = staged.withColumn("largest", staged.agg(F.struct(*largest)).scalar())
-    aggs = []
-    for i, w in enumerate(whole):
-        if w:  # longs add up exactly as they are
-            aggs += [F.sum(f"x_{i}").alias(f"s_{i}"), F.count(f"x_{i}").alias(f"n_{i}")]
-            continue
-        v, bits = F.col(f"x_{i}").cast("double"), scale_bits(F.col(f"largest.x_{i}"))
-        aggs += [F.sum(limb).alias(f"s_{i}_{j}") for j, limb in enumerate(limbs(_finite(v), bits))]
-        aggs += [F.count(v).alias(f"n_{i}"), F.sum(F.when(_finite(v).isNull(), v)).alias(f"odd_{i}"), F.max(bits).alias(f"b_{i}")]
+    if all(whole):  # longs add up exactly as they are
+        one = staged.agg(*[F.sum(f"x_{i}").alias(f"s_{i}") for i in range(len(names))], *[F.count(f"x_{i}").alias(f"n_{i}") for i in range(len(names))])
+        out = [(F.col(f"s_{i}").cast("double") / F.nullif(F.col(f"n_{i}"), F.lit(0))).alias(c) for i, c in enumerate(names)]
+        return one.select(F.struct(*out)).scalar()
+    none = F.lit(None)
+    pairs = [F.struct((F.col(f"x_{i}") if w else none).cast("long").alias("w"), (none if w else F.col(f"x_{i}")).cast("double").alias("v")) for i, w in enumerate(whole)]
+    each = staged.select(F.posexplode(F.array(*pairs)).alias("i", "x")).select("i", "x.w", "x.v").where("w is not null or v is not null")
+    each = each.withColumn("top", grid_top(_finite(F.col("v"))))
+    sums = [F.sum(limb).alias(f"s_{j}") for j, limb in enumerate(limbs(_finite(F.col("v")), F.col("top") * LIMB_BITS))]
+    odd = F.sum(F.when(_finite(F.col("v")).isNull(), F.col("v"))).alias("odd")
+    held = each.groupBy("i", "top").agg(F.count("*").alias("n"), F.sum("w").alias("w"), odd, *sums)
+    held = held.select("i", "top", "n", "w", "odd", F.array(*[f"s_{j}" for j in range(LIMBS)]).alias("s"))
+    one = held.agg(F.collect_list(F.struct("i", "top", "n", "w", "odd", "s")).alias("all"))
     out = []
-    one = staged.agg(*aggs)
     for i, c in enumerate(names):
-        n = F.nullif(F.col(f"n_{i}"), F.lit(0))
-        if whole[i]:
-            mean = F.col(f"s_{i}").cast("double") / n
-        else:
-            mean = mean_of([F.col(f"s_{i}_{j}") for j in range(LIMBS)], F.col(f"b_{i}"), n) + F.coalesce(f"odd_{i}", F.lit(0.0))
-        out.append(mean.alias(c))
+        mine = _of_column(i)
+        n = F.nullif(_total(mine, "n", "long"), F.lit(0))
+        total = _total(mine, "w", "long").cast("double") / n if whole[i] else mean_on_grid(mine, n) + _total(mine, "odd", "double")
+        out.append(total.alias(c))
     return one.select(F.struct(*out)).scalar()
 
 
+def grid_top(x: Column) -> Column:
+    """The power of 2**LIMB_BITS that is next above ``x``."""
+    bits = scale_bits(F.abs(x))
+    return F.least(F.greatest(F.ceil(bits / LIMB_BITS), F.lit(_LEAST // LIMB_BITS + 1)), F.lit(_MOST // LIMB_BITS + 1)).cast("int")
+
+
+def _of_column(i: int) -> Column:
+    return F.filter("all", lambda r: r["i"] == i)
+
+
+def _total(rows: Column, field: str, kind: str) -> Column:
+    return F.aggregate(rows, F.lit(0).cast(kind), lambda so_far, r: so_far + F.coalesce(r[field], F.lit(0).cast(kind)))
+
+
+def mean_on_grid(rows: Column, n: Column) -> Column:
+    """The mean that limbs summed by ``top`` stand for, worked out from the lowest place of the grid up."""
+    tops = F.transform(rows, lambda r: r["top"])
+    high = F.array_max(tops)
+    places = F.sequence(F.array_min(tops) - (LIMBS - 1), high)
+
+    def there(place):
+        inside = F.filter(rows, lambda r: (r["top"] >= place) & (r["top"] - place < LIMBS))
+        return F.aggregate(inside, F.lit(0).cast("long"), lambda so_far, r: so_far + F.coalesce(r["s"][r["top"] - place], F.lit(0).cast("long")))
+
+    y = F.aggregate(places, F.lit(0.0), lambda so_far, place: (so_far + there(place).cast("double")) / F.lit(_STEP))
+    return y / n * F.pow(F.lit(2.0), high * LIMB_BITS)
+
+
 def moments(df: DataFrame, cols: dict[str, Column]) -> tuple[int, dict[str, tuple[int, Fraction, Fraction]]]:
     """(rows, {name: (non-null values, sum, sum of squares)}) as exact fractions, by two aggregate jobs.
 
