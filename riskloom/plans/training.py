@@ -14,12 +14,17 @@ about *what* is fitted and on which rows:
 * feature stages (impute, encode, assemble, scale) are fitted once on the
   training rows with order-independent sums, and the featurised training set
   is persisted for the many passes of tuning, then unpersisted;
-* logistic fits and the evaluations make many short passes, so they read the
-  buckets in no more tasks than there are cores (``pass_tasks``); a forest
-  needs the buckets as they are, and keeps each row's node between levels;
-* ``CrossValidator`` gets ``foldCol`` and ``parallelism``; the winner is
-  refit on all training rows and stored together with the feature stages
-  as one ``PipelineModel``.
+* tuning packs these rows once into blocks by bucket and fold and moves all
+  fits of a grid forward together (``operators.blocks``, ``logistic``,
+  ``forest``): a pass over the blocks serves every grid point and fold.  The
+  logistic fits are Spark ML's step by step, the forests of a fold share
+  their trees.  Models come out as Spark ML models;
+* other estimators or parameters, labels beyond 0 and 1, folds without rows
+  or without both classes, and Connect go through ``CrossValidator`` with
+  ``foldCol`` and ``parallelism``; its logistic fits and evaluations read the
+  buckets in no more tasks than there are cores (``pass_tasks``);
+* the winner is refit on all training rows and stored together with the
+  feature stages as one ``PipelineModel``.
 """
 
 from __future__ import annotations
@@ -31,11 +36,13 @@ from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom import schemas
+from riskloom.operators import forest, logistic
+from riskloom.operators.blocks import Blocks
 from riskloom.operators.split import assign_folds, with_split
 from riskloom.plans import feature_plans
 from riskloom.session import cores as n_cores
@@ -101,15 +108,63 @@ def rf_grid(rf: RandomForestClassifier) -> list:
     return ParamGridBuilder().addGrid(rf.numTrees, RF_NUM_TREES).addGrid(rf.maxDepth, RF_MAX_DEPTH).build()
 
 
+def _points(est, grid: list) -> list[tuple] | None:
+    """(regParam, elasticNetParam) or (numTrees, maxDepth) of each grid point; None where a parameter is set that the joint fits do not know."""
+    if type(est) is LogisticRegression:
+        names, known = ("regParam", "elasticNetParam"), {"featuresCol", "labelCol", "maxIter", "tol"}
+    elif type(est) is RandomForestClassifier:
+        names, known = ("numTrees", "maxDepth"), {"featuresCol", "labelCol", "seed", "cacheNodeIds"}
+    else:
+        return None
+    if not {p.name for p in est._paramMap} <= known | set(names) or not all({p.name for p in m} <= set(names) for m in grid):
+        return None
+    out = [tuple(m.get(est.getParam(n), est.getOrDefault(n)) for n in names) for m in grid]
+    return out if names[0] == "regParam" or all(t > 1 and 0 < d <= forest.DEEPEST for t, d in out) else None
+
+
+def packed(data: DataFrame, label: str, tasks: int, cores: int, k: int = CV_FOLDS, fold_col: str = "fold") -> Blocks | None:
+    """The training rows as blocks, or None where they do not allow joint fits."""
+    try:
+        data.sparkSession.sparkContext  # noqa: B018 - Connect has none
+    except Exception:  # noqa: BLE001
+        return None
+    blocks = Blocks(data, label, fold_col, tasks, cores)
+    if blocks.complete(k):
+        return blocks
+    blocks.release()
+    return None
+
+
 def tune(est, grid: list, train: DataFrame, label: str, k: int = CV_FOLDS, fold_col: str = "fold",
-         parallelism: int = 4, seed: int = SPLIT_SEED, tasks: int | None = None):
+         parallelism: int = 4, seed: int = SPLIT_SEED, tasks: int | None = None, blocks: Blocks | None = None):
     """O-36: k-fold CV by AUC over ``grid``; the best is refit on all of
     ``train``.  Folds come from ``fold_col`` (keyed), not a random split.
-    ``tasks`` bounds the tasks of an evaluation."""
+    With ``blocks`` (``packed`` rows of ``train``) all fits go forward together;
+    ``tasks`` bounds the tasks of an evaluation without them."""
     cv = CrossValidator(estimator=est, estimatorParamMaps=grid,
                         evaluator=NarrowEvaluator(label, tasks) if tasks else BinaryClassificationEvaluator(labelCol=label),
                         numFolds=k, foldCol=fold_col, parallelism=parallelism, seed=seed)
-    return cv.fit(train)
+    points = _points(est, grid)
+    if blocks is None or points is None:
+        return cv.fit(train)
+    spark, folds = train.sparkSession, range(k)
+    if isinstance(est, LogisticRegression):
+        most, tol = est.getMaxIter(), est.getTol()
+        wanted = [(f, *p) for f in folds for p in points]
+        aucs = logistic.fold_aucs(blocks, {(f, i): fit for (f, i), fit in zip(
+            [(f, i) for f in folds for i in range(len(points))], logistic.fit(blocks, wanted, most, tol))})
+        means = [sum(aucs[(f, i)] for f in folds) / k for i in range(len(points))]
+    else:
+        trees, depth = (max(p[i] for p in points) for i in (0, 1))
+        aucs = forest.fold_aucs(blocks, forest.fit(blocks, list(folds), trees, depth, est.getSeed()), sorted(set(points)))
+        means = [sum(aucs[(f, *p)] for f in folds) / k for p in points]
+    best = max(range(len(points)), key=means.__getitem__)
+    tuned = est.copy(grid[best])
+    if isinstance(est, LogisticRegression):
+        model = logistic.model(spark, tuned, *logistic.fit(blocks, [(None, *points[best])], most, tol)[0])
+    else:
+        model = forest.model(spark, tuned, forest.fit(blocks, [None], *points[best], est.getSeed())[None], *points[best])
+    return cv._copyValues(CrossValidatorModel(model, means))
 
 
 def cv_report(spark: SparkSession, cv_model, model_name: str, fit_seconds: float) -> DataFrame:
@@ -175,8 +230,10 @@ def fit_task(spark: SparkSession, df: DataFrame, key: str, label: str, task: str
     data = feat_model.transform(dealt).select("features", F.col(label).cast("double").alias(label), "fold")
     cores = n_cores(spark)
     out = TaskFit(test=test, train=train, feature_names=list(features), n_train=n_train, partitions=partitions)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)  # both models pass over these rows many times
     tasks = pass_tasks(partitions, n_train, cores)
+    blocks = packed(data, label, tasks, cores) if tune_models else None
+    if blocks is None:
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)  # both models pass over these rows many times
     try:
         for name in models:
             est = lr_estimator(label) if name == "lr" else rf_estimator(label)
@@ -185,7 +242,7 @@ def fit_task(spark: SparkSession, df: DataFrame, key: str, label: str, task: str
             if tune_models:
                 grid = lr_grid(est) if name == "lr" else rf_grid(est)
                 par = parallelism or max(1, min(len(grid), cores, PARALLELISM))
-                cvm = tune(est, grid, rows, label, parallelism=par, tasks=tasks)
+                cvm = tune(est, grid, rows, label, parallelism=par, tasks=tasks, blocks=blocks)
                 clf = cvm.bestModel
                 out.reports[name] = cv_report(spark, cvm, MODEL_KEYS[name], time.time() - t0)
             else:
@@ -193,5 +250,5 @@ def fit_task(spark: SparkSession, df: DataFrame, key: str, label: str, task: str
             out.classifiers[name] = clf
             out.models[name] = PipelineModel(stages=list(feat_model.stages) + [clf])
     finally:
-        data.unpersist()
+        (data.unpersist if blocks is None else blocks.release)()
     return out
